@@ -5,6 +5,7 @@ from __future__ import annotations
 from .media import op5_media
 from .packing import op3_packing
 from .repair_ids import op1_repair_ids
+from .token_fst import op4_token_fst
 
-QUERIES = {f.__name__: f for f in (op1_repair_ids, op3_packing, op5_media)}
+QUERIES = {f.__name__: f for f in (op1_repair_ids, op3_packing, op4_token_fst, op5_media)}
 ORACLE_SQL: dict[str, str] = {}
