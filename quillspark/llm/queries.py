@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from .jaccard_join import op8_jaccard_join
 from .media import op5_media
 from .packing import op3_packing
 from .repair_ids import op1_repair_ids
 from .token_fst import op4_token_fst
 
-QUERIES = {f.__name__: f for f in (op1_repair_ids, op3_packing, op4_token_fst, op5_media)}
+QUERIES = {f.__name__: f for f in (op1_repair_ids, op3_packing, op4_token_fst, op5_media, op8_jaccard_join)}
 ORACLE_SQL: dict[str, str] = {}
