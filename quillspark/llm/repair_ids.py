@@ -157,7 +157,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """Per document of the files at path: doc_id, start, n_tokens, ids_crc32, ids (little-endian unsigned 32-bit)."""
     blocks = spark.read.schema(SCHEMA).parquet(path)
     totals = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("shard_tokens"))
-    before = totals.select("shard", (F.sum("shard_tokens").over(Window.orderBy("shard")) - F.col("shard_tokens")).alias("before"))  # one row a shard
+    before = totals.select("shard", (F.sum("shard_tokens").over(Window.orderBy("shard")) - F.col("shard_tokens")).alias("before"))  # one row a shard: as many as write_ids was told to write
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,7 +169,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                 parts = [ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(block["doc_ids"], pa.int64()), pa.array(at[:-1] + block["before"] + block["shard_start"], pa.int64()), pa.array(n, pa.int64()), pa.array([zlib.crc32(p) for p in parts], pa.int64()), pa.array(parts, pa.binary())], ["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
 
-    return blocks.join(before, "shard").mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
+    return blocks.join(F.broadcast(before), "shard").mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
 
 def op1_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
