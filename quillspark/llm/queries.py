@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .backoff_lm import op9_backoff_lm
+from .decontaminate import op2_decontaminate
 from .jaccard_join import op8_jaccard_join
 from .media import op5_media
 from .mil_quality import op10_mil_quality
@@ -11,5 +12,5 @@ from .pii import op6_pii
 from .repair_ids import op1_repair_ids
 from .token_fst import op4_token_fst
 
-QUERIES = {f.__name__: f for f in (op1_repair_ids, op3_packing, op4_token_fst, op5_media, op6_pii, op8_jaccard_join, op9_backoff_lm, op10_mil_quality)}
+QUERIES = {f.__name__: f for f in (op1_repair_ids, op2_decontaminate, op3_packing, op4_token_fst, op5_media, op6_pii, op8_jaccard_join, op9_backoff_lm, op10_mil_quality)}
 ORACLE_SQL: dict[str, str] = {}
