@@ -1,15 +1,56 @@
-"""The corpus pipeline: stages over documents."""
+"""The corpus pipeline: five stages over documents, each written as Parquet before the next reads it.
+
+Documents that the quality classifier scores under its threshold go; of each group of near copies (five-word shingles,
+similarity 0.8, linked through others too) the smallest doc_id stays; documents with a passage of the benchmark go;
+personal data in the rest is replaced by its kind in brackets, and n_chars follows the new text; what is left is packed
+into sequences. Rows without a doc_id are nobody's copy. Columns other than those used pass through.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillspark.llm import decontaminate, jaccard_join, mil_quality, packing, pii
+from quillspark.llm.common import stored
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: keep what scores at least THRESHOLD, by a model of the labels that are not held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    model = mil_quality.train(docs, labels.select("doc_id", F.col("quality").alias("label")))
+    return mil_quality.with_scores(docs, model, "_score").filter(F.col("_score") >= mil_quality.THRESHOLD).drop("_score")
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: keep the smallest doc_id of each component."""
+    copies = jaccard_join.jaccard_classes(docs, k=5, percent=80).filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: drop documents with a window like a benchmark item."""
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: replace personal data in texts."""
+    clean = pii.redacted(docs, pii.train(docs))
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: pieces of documents in sequences."""
+    return packing.pack(docs).drop("ids")
+
 
-STAGES: list = []
+STAGES = [("quality", quality), ("near_copies", near_copies), ("benchmark", benchmark), ("personal_data", personal_data), ("packed", packed)]
+#: Models and tokenizers are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -18,6 +18,7 @@ tables give no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -114,48 +115,69 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return int(np.minimum(x, y).sum()), int(np.maximum(x, y).sum())
 
 
+def _blocks(benchmark: DataFrame, k: int, percent: int, radius: int) -> Iterator[Index]:
+    """The benchmark's index, in blocks of about ITEMS items."""
+    items = benchmark.filter("text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.lower(F.col("text").cast("string")).alias("text"))
+    blocks = max(1, -(-items.count() // ITEMS))
+    for block in range(blocks):
+        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
+        yield Index(sorted((-1 if r[0] is None else r[0], r[1]) for r in rows), k, percent, radius)
+
+
+def _found(index: Index, batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, dict[int, list]]]:
+    """Slices of batches, each with the matches of its rows that have any: item's place, similarity, first shingle, words."""
+    marks = {}
+    for width, known in index.known.items():  # a quick look before the exact one
+        marks[width] = np.zeros(1 << 22, bool)
+        marks[width][known & np.uint64((1 << 22) - 1)] = True
+    for batch in slices(batches, text):
+        data, at = text_bytes(batch.column(text))
+        hashes, _, _, where = words(data, at)
+        n, rows = np.diff(where), {}
+        for width in index.known:
+            gram, row, _ = shingles(hashes, where, width)
+            first = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            for r in np.unique(row[marks[width][gram & np.uint64((1 << 22) - 1)]]).tolist():
+                if n[r] >= width and (got := index.matches(gram[first[r] : first[r + 1]], width)):
+                    rows.setdefault(r, []).extend((i, similarity, s, m + width - 1) for i, similarity, s, m in got)
+        yield batch, rows
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, k: int = K, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
     """Pairs of docs (doc_id, text) and benchmark (item_id, text): doc_id, item_id, similarity, start_word, n_words."""
     columns = "doc_id long, item_id long, similarity double, start_word long, n_words long"
     docs = docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text"))
-    items = benchmark.filter("text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.lower(F.col("text").cast("string")).alias("text"))
-    blocks = max(1, -(-items.count() // ITEMS))
-    out = None
-    for block in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()  # about ITEMS rows of the query set
-        found = _against(docs, Index(sorted((-1 if r[0] is None else r[0], r[1]) for r in rows), k, percent, radius), columns)
-        out = found if out is None else out.unionByName(found)
-    return out
-
-
-def _against(docs: DataFrame, index: Index, columns: str) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(index)
-    names = [c.split()[0] for c in columns.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = sent.value
-        marks = {}
-        for width, known in index.known.items():  # a quick look before the exact one
-            marks[width] = np.zeros(1 << 22, bool)
-            marks[width][known & np.uint64((1 << 22) - 1)] = True
-        for batch in slices(batches):
-            data, at = text_bytes(batch.column("text"))
-            hashes, _, _, where = words(data, at)
-            rows = []
-            for width in index.known:
-                n = np.diff(where)
-                gram, row, _ = shingles(hashes, where, width)
-                first = np.searchsorted(row, np.arange(batch.num_rows + 1))
-                for r in np.unique(row[marks[width][gram & np.uint64((1 << 22) - 1)]]).tolist():
-                    if n[r] < width:
-                        continue
-                    doc = batch.column("doc_id")[r].as_py()
-                    rows += [(doc, index.ids[i], similarity, s, m + width - 1) for i, similarity, s, m in index.matches(gram[first[r] : first[r + 1]], width)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
-
-    return docs.mapInArrow(work, columns)
+    names, kinds = [c.split()[0] for c in columns.split(", ")], [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+
+    def against(index: Index) -> DataFrame:
+        sent = docs.sparkSession.sparkContext.broadcast(index)
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch, found in _found(sent.value, batches, "text"):
+                rows = [(batch.column("doc_id")[r].as_py(), sent.value.ids[i], *rest) for r, got in found.items() for i, *rest in got]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+
+        return docs.mapInArrow(work, columns)
+
+    return reduce(DataFrame.unionByName, map(against, _blocks(benchmark, k, percent, radius)))
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, k: int = K, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
+    """The rows of docs (with text; all columns stay) that match no item; rows never leave their partition."""
+    low = "_" + "_".join(docs.columns)  # a name that docs can't have
+    out = docs.withColumn(low, F.lower(F.col("text").cast("string")))
+
+    def without(out: DataFrame, index: Index) -> DataFrame:
+        sent = docs.sparkSession.sparkContext.broadcast(index)
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch, found in _found(sent.value, batches, low):
+                yield batch.filter(pa.array([r not in found for r in range(batch.num_rows)], pa.bool_()))
+
+        return out.mapInArrow(work, out.schema)
+
+    return reduce(without, _blocks(benchmark, k, percent, radius), out).drop(low)
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

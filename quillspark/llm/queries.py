@@ -10,7 +10,8 @@ from .mil_quality import op10_mil_quality
 from .packing import op3_packing
 from .pii import op6_pii
 from .repair_ids import op1_repair_ids
+from .revisit import OP7_SQL, op7_revisits
 from .token_fst import op4_token_fst
 
-QUERIES = {f.__name__: f for f in (op1_repair_ids, op2_decontaminate, op3_packing, op4_token_fst, op5_media, op6_pii, op8_jaccard_join, op9_backoff_lm, op10_mil_quality)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_repair_ids, op2_decontaminate, op3_packing, op4_token_fst, op5_media, op6_pii, op7_revisits, op8_jaccard_join, op9_backoff_lm, op10_mil_quality)}
+ORACLE_SQL: dict[str, str] = {"op7_revisits": OP7_SQL}
