@@ -1,12 +1,438 @@
-"""Queries for the engine's own operators, with the SQL that gives the same rows."""
+"""Queries for the engine's own operators over the test tables, with the SQL that gives the same rows."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import arithmetic, text
+from .operators import checks, integrity, policy, scoring, selection, tokens
+from .sources import adapters, datasets, jsonl
 
-QUERIES: dict = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+def query(sql: str | None = None):
+    """Register a function as a query under its name, with its SQL."""
+
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return put
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per conversation: conv_id and its messages in order of turns."""
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    return _table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.transform(turns, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content"))).alias("messages"))
+
+
+#: Conversations in SQL: pairs of role and stripped text, and records with fields in alphabetical order.
+_CONV = r"""
+SELECT conv_id, list([role, regexp_replace(text, '^\s+|\s+$', '', 'g')] ORDER BY turn) AS pairs,
+  list({'content': text, 'role': role} ORDER BY turn) AS messages, list(role ORDER BY turn) AS roles,
+  bool_or(role = 'assistant' AND regexp_replace(text, '^\s+|\s+$', '', 'g') <> '') AS answered,
+  string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'assistant') AS assistant_text
+FROM conversations GROUP BY conv_id"""
+_FP = "sha256(CAST(to_json(pairs) AS VARCHAR))"
+_RECORD = "CAST(to_json({'messages': messages}) AS VARCHAR)"
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conv_fingerprints(spark, sf_dir)
+
+
+@query(f"SELECT conv_id, {_FP} AS fingerprint, sha256({_RECORD}) AS record_fingerprint FROM ({_CONV})")
+def conv_fingerprints(spark, sf_dir):
+    m = F.col("messages")
+    return conversations(spark, sf_dir).select("conv_id", text.message_fingerprint(m).alias("fingerprint"), text.record_fingerprint(m).alias("record_fingerprint"))
+
+
+@query(f"SELECT conv_id, {_RECORD} AS record FROM ({_CONV})")
+def conv_canonical_json(spark, sf_dir):
+    return conversations(spark, sf_dir).select("conv_id", text.record_json(F.col("messages")).alias("record"))
+
+
+@query(f"SELECT conv_id, CASE WHEN len(list_filter(roles, lambda r: r NOT IN ('system', 'user', 'assistant'))) > 0 THEN 'DATASET_ROLE_INVALID' WHEN NOT answered THEN 'DATASET_TARGET_EMPTY' ELSE 'ok' END AS code FROM ({_CONV})")
+def conv_codes(spark, sf_dir):
+    return conversations(spark, sf_dir).select("conv_id", F.coalesce(text.messages_code(F.col("messages")), F.lit("ok")).alias("code"))
+
+
+@query(f"SELECT conv_id, coalesce(assistant_text, '') AS assistant_text FROM ({_CONV})")
+def conv_assistant_text(spark, sf_dir):
+    return conversations(spark, sf_dir).select("conv_id", text.assistant_text(F.col("messages")).alias("assistant_text"))
+
+
+@query(f"SELECT conv_id, '{{\"messages\": [' || list_aggregate(list_transform(messages, lambda m: '{{\"content\": ' || CAST(to_json(m.content) AS VARCHAR) || ', \"role\": ' || CAST(to_json(m.role) AS VARCHAR) || '}}'), 'string_agg', ', ') || ']}}' AS line FROM ({_CONV})")
+def conv_jsonl_lines(spark, sf_dir):
+    return conversations(spark, sf_dir).select("conv_id", datasets.spaced_json(F.col("messages")).alias("line"))
+
+
+@query("SELECT source, count(*) AS examples, count(*) - count(DISTINCT sha256(text)) AS duplicates FROM documents GROUP BY source")
+def doc_duplicates_by_source(spark, sf_dir):
+    return checks.duplicate_counts(_table(spark, sf_dir, "documents").withColumn("fp", F.sha2("text", 256)), "source", "fp")
+
+
+_PAIRS = """
+WITH d AS (SELECT DISTINCT {split} AS s, sha256(text) AS fp FROM documents)
+SELECT a.s AS split_a, b.s AS split_b, count(*) AS shared FROM d a JOIN d b ON a.fp = b.fp AND a.s < b.s GROUP BY ALL"""
+
+
+@query(_PAIRS.format(split="source"))
+def doc_split_leakage_pairs(spark, sf_dir):
+    return checks.leakage(_table(spark, sf_dir, "documents").select("source", F.sha2("text", 256).alias("fp")), "source", "fp")
+
+
+_SPLIT = "CASE doc_id % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'validation' ELSE 'test' END"
+
+
+@query(_PAIRS.format(split=_SPLIT))
+def train_validation_leakage(spark, sf_dir):
+    return checks.leakage(_table(spark, sf_dir, "documents").select(F.expr(_SPLIT).alias("split"), F.sha2("text", 256).alias("fp")), "split", "fp")
+
+
+@query("""
+SELECT (SELECT count(DISTINCT left(sha256(l), 16)) FROM (SELECT unnest(string_split(text, chr(10))) AS l FROM benchmark) WHERE l <> '' AND left(sha256(l), 16) IN
+  (SELECT left(sha256(l), 16) FROM (SELECT unnest(string_split(text, chr(10))) AS l FROM documents))) AS shared_lines,
+  (SELECT count(*) FROM (SELECT DISTINCT left(sha256(text), 16) AS fp FROM benchmark INTERSECT SELECT left(sha256(text), 16) FROM documents)) AS shared_texts""")
+def benchmark_exact_overlap(spark, sf_dir):
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    lines = lambda df: checks.short_fingerprints(df.select(F.explode(F.split("text", "\n")).alias("l")).filter("l <> ''").select(F.sha2("l", 256).alias("f")), "f")
+    whole = lambda df: checks.short_fingerprints(df.select(F.sha2("text", 256).alias("f")), "f")
+    a = lines(items).intersect(lines(docs)).agg(F.count("*").alias("shared_lines"))
+    return a.crossJoin(whole(items).intersect(whole(docs)).agg(F.count("*").alias("shared_texts")))  # one row each
+
+
+@query(f"SELECT sha256(string_agg(fp, '' ORDER BY s, conv_id)) AS dataset_digest FROM (SELECT conv_id, 's' || (conv_id % 3) AS s, {_FP} AS fp FROM ({_CONV}))")
+def dataset_digest_ordered(spark, sf_dir):
+    rows = conversations(spark, sf_dir).select("conv_id", F.concat(F.lit("s"), F.col("conv_id") % 3).alias("s"), text.message_fingerprint(F.col("messages")).alias("fp"))
+    return checks.ordered_digest(rows, "s", "conv_id", "fp")
+
+
+@query(f"SELECT sha256(string_agg(t, '' ORDER BY s)) AS dataset_digest FROM (SELECT s, s || string_agg(fp, '' ORDER BY fp) AS t FROM (SELECT 's' || (conv_id % 3) AS s, {_FP} AS fp FROM ({_CONV})) GROUP BY s)")
+def dataset_digest_set(spark, sf_dir):
+    rows = conversations(spark, sf_dir).select(F.concat(F.lit("s"), F.col("conv_id") % 3).alias("s"), text.message_fingerprint(F.col("messages")).alias("fp"))
+    return checks.named_set_digest(rows, "s", "fp")
+
+
+@query("SELECT count(*) AS fingerprints, sha256(string_agg(fp, chr(10) ORDER BY fp)) AS digest FROM (SELECT DISTINCT left(sha256(text), 16) AS fp FROM documents)")
+def fingerprint_set_digest(spark, sf_dir):
+    short = checks.short_fingerprints(_table(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("f")), "f")
+    return short.agg(F.count("*").alias("fingerprints"), checks.set_digest(F.col("fp")).alias("digest"))
+
+
+_HASH = "sha256(CAST(to_json({'lang': lang, 'text': text}) AS VARCHAR))"
+
+
+def _stable_sql(count: int, salt: str) -> str:
+    return f"SELECT doc_id FROM (SELECT doc_id, sha256('{salt}:' || h || ':' || (row_number() OVER (PARTITION BY h ORDER BY doc_id) - 1)) AS r FROM (SELECT doc_id, {_HASH} AS h FROM documents)) ORDER BY r, doc_id LIMIT {count}"
+
+
+def _stable(spark, sf_dir, count: int, salt: str) -> DataFrame:
+    return selection.select_stable(_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), count, salt, ["text", "lang"], "doc_id").select("doc_id")
+
+
+@query(_stable_sql(100, "docs:smoke_100"))
+def select_stable_100(spark, sf_dir):
+    return _stable(spark, sf_dir, 100, "docs:smoke_100")
+
+
+@query(_stable_sql(500, "docs:smoke_500"))
+def select_stable_500(spark, sf_dir):
+    return _stable(spark, sf_dir, 500, "docs:smoke_500")
+
+
+@query(f"SELECT doc_id, identity, sha256('bounded:' || identity) AS rank FROM (SELECT doc_id, doc_id || ':' || {_HASH} AS identity FROM documents) ORDER BY rank, identity LIMIT 50")
+def select_bounded_50(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return selection.select_bounded(docs, 50, "bounded", "doc_id", ["lang", "text"]).select("doc_id", "identity", "rank")
+
+
+@query(f"SELECT sha256(string_agg(identity, chr(10) ORDER BY identity)) AS identity_digest FROM (SELECT identity FROM (SELECT doc_id || ':' || {_HASH} AS identity FROM documents) ORDER BY sha256('bounded:' || identity), identity LIMIT 50)")
+def selected_identity_digest(spark, sf_dir):
+    return select_bounded_50(spark, sf_dir).agg(checks.set_digest(F.col("identity")).alias("identity_digest"))
+
+
+@query(f"SELECT count(*) AS shared FROM ({_stable_sql(100, 'docs:smoke_100')}) a JOIN ({_stable_sql(500, 'docs:smoke_500')}) b USING (doc_id)")
+def nested_profile_overlap(spark, sf_dir):
+    return select_stable_100(spark, sf_dir).join(select_stable_500(spark, sf_dir), "doc_id").agg(F.count("*").alias("shared"))
+
+
+@query("SELECT lang, count(*) AS kept FROM documents WHERE lower(coalesce(lang, 'none')) NOT IN ('fr', 'es') GROUP BY lang")
+def exclude_language_column(spark, sf_dir):
+    return selection.drop_languages(_table(spark, sf_dir, "documents"), "lang", ["FR", "es"]).groupBy("lang").agg(F.count("*").alias("kept"))
+
+
+_LANG = """regexp_extract(html, 'lang="([a-z]+)"', 1)"""
+_PREFIXES = f"""
+SELECT lang, left(a, CAST(coalesce(list_max(list_filter(range(least(length(a), length(b)) + 1), lambda i: left(a, CAST(i AS INTEGER)) = left(b, CAST(i AS INTEGER)))), 0) AS INTEGER)) AS prefix
+FROM (SELECT {_LANG} AS lang, min(html) AS a, max(html) AS b FROM pages GROUP BY 1)"""
+
+
+@query(f"SELECT lang, prefix, CAST(length(prefix) AS BIGINT) AS n FROM ({_PREFIXES})")
+def prefix_of_group(spark, sf_dir):
+    by = _table(spark, sf_dir, "pages").groupBy(F.expr(_LANG).alias("lang")).agg(F.min("html").alias("a"), F.max("html").alias("b"))
+    return by.select("lang", F.left("a", text.prefix_length(F.col("a"), F.col("b"))).alias("prefix")).withColumn("n", F.length("prefix").cast("long"))
+
+
+@query(f"SELECT page_id FROM pages WHERE NOT starts_with(html, (SELECT prefix FROM ({_PREFIXES}) WHERE lang = 'fr'))")
+def drop_by_prefix(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages")
+    template = selection.derive_prefix(pages.filter(F.expr(_LANG) == "fr"), "html", least=30)
+    return selection.drop_prefix(pages, "html", template).select("page_id")
+
+
+_TOKENS = r"len(list_filter(string_split_regex(text, '\s+'), lambda w: w <> ''))"
+_DOC_TOKENS = f"(SELECT doc_id, lang, source, text, sha256(text) AS fp, CAST({_TOKENS} AS BIGINT) AS tokens, {_SPLIT} AS split FROM documents)"
+
+
+def _doc_tokens(spark, sf_dir) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.sha2("text", 256).alias("fp"), tokens.whitespace_tokens(F.col("text")).cast("long").alias("tokens"), F.expr(_SPLIT).alias("split"))
+
+
+@query(f"""SELECT lang, count(*) AS n, min(tokens) AS min_tokens, CAST(trunc(median(tokens)) AS BIGINT) AS median_tokens, quantile_disc(tokens, 0.95) AS p95_tokens,
+quantile_disc(tokens, 0.99) AS p99_tokens, max(tokens) AS max_tokens, CAST(sum(tokens) AS BIGINT) AS total_tokens FROM {_DOC_TOKENS} GROUP BY lang""")
+def token_stats_by_lang(spark, sf_dir):
+    return tokens.token_stats(_doc_tokens(spark, sf_dir), "lang", "tokens")
+
+
+@query(f"""SELECT split, count(*) AS n_long, max(tokens) AS longest, array_to_string(list_slice(list(doc_id ORDER BY doc_id), 1, 50), ',') AS first_lines
+FROM {_DOC_TOKENS} WHERE tokens > 1000 GROUP BY split""")
+def overlength_lines(spark, sf_dir):
+    return tokens.overlength(_doc_tokens(spark, sf_dir), "split", "doc_id", "tokens", 1000)
+
+
+@query(f"""SELECT n_long, train_tokens, CASE WHEN n_long > 0 THEN 'DATASET_SEQUENCE_TOO_LONG' WHEN train_tokens > 50000000 THEN 'DATASET_TOKEN_BUDGET_EXCEEDED' ELSE 'ok' END AS code
+FROM (SELECT count(*) FILTER (WHERE tokens > 1000000) AS n_long, CAST(coalesce(sum(tokens) FILTER (WHERE split = 'train'), 0) AS BIGINT) AS train_tokens FROM {_DOC_TOKENS})""")
+def token_budget(spark, sf_dir):
+    return tokens.token_budget(_doc_tokens(spark, sf_dir), "split", "tokens", ceiling=1_000_000)
+
+
+@query(f"SELECT split, count(*) AS examples, count(*) - count(DISTINCT fp) AS duplicates, CAST(sum(tokens) AS BIGINT) AS total_tokens, max(tokens) AS longest FROM {_DOC_TOKENS} GROUP BY split")
+def split_checks(spark, sf_dir):
+    return checks.split_report(_doc_tokens(spark, sf_dir), "split", "fp", "tokens")
+
+
+@query("SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY sha256(text), doc_id) <= greatest(1, floor((SELECT count(*) FROM documents) * 0.2)) THEN 'validation' ELSE 'train' END AS split FROM documents")
+def holdout_fifth(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("fp"))
+    return selection.holdout(docs, "fp", "doc_id").select("doc_id", "split")
+
+
+_UNIQUE = "sha256(doc_id || ':' || text)"
+
+
+@query(f"""WITH d AS (SELECT doc_id, {_UNIQUE} AS fp, tokens FROM {_DOC_TOKENS}), k AS (SELECT * FROM d WHERE tokens <= 300 ORDER BY fp LIMIT 100)
+SELECT doc_id, (SELECT count(*) FROM d WHERE tokens > 300 AND ((SELECT count(*) FROM k) < 100 OR fp < (SELECT max(fp) FROM k))) AS skipped_long FROM k""")
+def hash_order_sample(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.concat(F.col("doc_id"), F.lit(":"), F.col("text")), 256).alias("fp"), tokens.whitespace_tokens(F.col("text")).alias("tokens"))
+    return selection.fitting_sample(docs, "fp", "tokens", 300, 100).select("doc_id", "skipped_long")
+
+
+#: The same text in both dialects: a reference and a response for each label.
+_REFERENCE = "substr('ABCD', CAST(doc_id % 4 + 1 AS INT), 1)"
+_ANSWER = "substr('ABCDZ', CAST((doc_id + quality * 3) % 5 + 1 AS INT), 1)"
+_RESPONSE = f"CASE doc_id % 6 WHEN 0 THEN 'Sagot: ' || {_ANSWER} WHEN 1 THEN 'sagot:  **' || lower({_ANSWER}) || '**' WHEN 2 THEN '  (' || {_ANSWER} || ')  ' WHEN 3 THEN 'The answer is ' || {_ANSWER} WHEN 4 THEN {_ANSWER} ELSE NULL END"
+_EXTRACT = f"""
+SELECT doc_id, reference, response, CASE plain WHEN 'a' THEN 'A' WHEN 'b' THEN 'B' WHEN 'c' THEN 'C' WHEN 'd' THEN 'D' ELSE 'null' END AS prediction FROM (
+SELECT *, regexp_replace(regexp_replace(lower(CASE WHEN tagged <> '' THEN tagged ELSE response END), '^[[:punct:] \\n]+|[[:punct:] \\n]+$', '', 'g'), '\\s+', ' ', 'g') AS plain FROM (
+SELECT *, regexp_extract(response, '(?i)Sagot:[\\s\\*]*(A|B|C|D)+', 1) AS tagged FROM (SELECT doc_id, {_REFERENCE} AS reference, {_RESPONSE} AS response FROM labels)))"""
+
+
+def _responses(spark, sf_dir) -> DataFrame:
+    rows = _table(spark, sf_dir, "labels").select("doc_id", F.expr(_REFERENCE).alias("reference"), F.expr(_RESPONSE).alias("response"))
+    return scoring.predictions(rows, "reference", "response", ["A", "B", "C", "D"])
+
+
+@query(f"SELECT doc_id, prediction, CAST(prediction = reference AS INTEGER) AS hit FROM ({_EXTRACT})")
+def mcq_extract(spark, sf_dir):
+    return _responses(spark, sf_dir).select("doc_id", "prediction", "hit")
+
+
+@query(f"""WITH e AS ({_EXTRACT}), l AS (SELECT reference AS label FROM e UNION SELECT prediction FROM e),
+f AS (SELECT label, label IN (SELECT reference FROM e) AS own, (SELECT count(*) FROM e WHERE reference = label AND prediction = label) AS tp,
+  (SELECT count(*) FROM e WHERE reference = label) AS r, (SELECT count(*) FROM e WHERE prediction = label) AS p FROM l),
+m AS (SELECT avg(CASE WHEN own THEN tp / r END) AS a, avg(2.0 * tp / (r + p)) AS f, avg(CASE WHEN own THEN 2.0 * tp / (r + p) END) AS rf, count(*) FILTER (WHERE own) AS k FROM f),
+n AS (SELECT count(*) AS n, count(*) FILTER (WHERE prediction = 'null') AS nulls FROM e)
+SELECT round(100 * a, 8) AS accuracy, round(100 * f, 8) AS macro_f1, round(100 * rf * (1 - nulls / n), 8) AS null_weighted_f1, round(100 * greatest((a - 1.0 / k) / (1 - 1.0 / k), 0), 8) AS normalized_accuracy, nulls AS null_count FROM m, n""")
+def mcq_metrics(spark, sf_dir):
+    m = scoring.choice_metrics(_responses(spark, sf_dir), "reference")
+    return m.select(*(F.round(c, 8).alias(c) for c in m.columns[:-1]), "null_count")
+
+
+@query("""SELECT event_type, round(sum(value * n) / sum(n), 6) AS loss, CASE WHEN sum(value * n) / sum(n) < 20 THEN round(exp(sum(value * n) / sum(n)), 3) ELSE -1 END AS perplexity
+FROM (SELECT event_type, value / 100 AS value, user_id % 50 + 1 AS n FROM events) GROUP BY event_type""")
+def weighted_loss(spark, sf_dir):
+    rows = _table(spark, sf_dir, "events").select("event_type", (F.col("value") / 100).alias("loss"), (F.col("user_id") % 50 + 1).alias("n"))
+    by = rows.groupBy("event_type").agg(arithmetic.weighted_loss(F.col("loss"), F.col("n")).alias("loss"))
+    return by.select("event_type", F.round("loss", 6).alias("loss"), F.coalesce(F.round(arithmetic.perplexity(F.col("loss")), 3), F.lit(-1.0)).alias("perplexity"))
+
+
+@query("""SELECT o_orderpriority, n, CAST(ceil(n / 8.0) AS BIGINT) AS per_epoch, CAST(3 * ceil(n / 8.0) AS BIGINT) AS total, CAST(least(ceil(3 * ceil(n / 8.0) * 0.03), 3 * ceil(n / 8.0)) AS BIGINT) AS warmup
+FROM (SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1)""")
+def optimizer_steps(spark, sf_dir):
+    by = _table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
+    total = arithmetic.total_steps(F.col("n"), F.lit(2), F.lit(4), F.lit(3)).cast("long")
+    return by.select("o_orderpriority", "n", arithmetic.steps_per_epoch(F.col("n"), F.lit(2), F.lit(4)).cast("long").alias("per_epoch"), total.alias("total"), arithmetic.warmup_steps(total, F.lit(None).cast("long"), F.lit(0.03)).cast("long").alias("warmup"))
+
+
+@query("SELECT lang, round(regr_slope(strlen(text), n_chars), 9) AS slope, round(regr_intercept(strlen(text), n_chars), 5) AS intercept FROM documents GROUP BY lang")
+def memory_fit(spark, sf_dir):
+    slope, intercept = integrity.line_fit(F.col("n_chars").cast("double"), F.octet_length("text").cast("double"))
+    return _table(spark, sf_dir, "documents").groupBy("lang").agg(slope, intercept).select("lang", F.round("slope", 9).alias("slope"), F.round("intercept", 5).alias("intercept"))
+
+
+@query("""SELECT code, count(*) AS n FROM (SELECT CASE WHEN k = 1 THEN 'family' WHEN k = 0 THEN 'DATASET_SCHEMA_UNKNOWN' ELSE 'DATASET_SCHEMA_MIXED' END AS code FROM
+(SELECT CAST(list_contains(json_keys(props), 'messages') AS INT) + CAST(list_contains(json_keys(props), 'prompt') OR list_contains(json_keys(props), 'completion') AS INT) + CAST(list_contains(json_keys(props), 'instruction') OR list_contains(json_keys(props), 'output') AS INT) AS k FROM events)) GROUP BY code""")
+def props_families(spark, sf_dir):
+    found = text.family(F.json_object_keys("props"))
+    return _table(spark, sf_dir, "events").select(F.when(found.startswith("DATASET"), found).otherwise("family").alias("code")).groupBy("code").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT doc_id % 3 AS split, doc_id, CASE doc_id % 3 WHEN 0 THEN 'conversational' WHEN 1 THEN 'prompt_completion' ELSE 'instruction' END AS family,
+CASE WHEN regexp_replace(text, '^\\s+|\\s+$', '', 'g') = '' THEN 'DATASET_TARGET_EMPTY' ELSE 'ok' END AS code, CASE WHEN doc_id % 3 = 2 THEN lang || chr(10) || chr(10) || source ELSE lang END AS asked, md5(text) AS answer FROM documents""")
+def record_family_roundtrip(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    turn = lambda role, c: F.struct(F.lit(role).alias("role"), F.col(c).alias("content"))
+    line = (
+        F.when(F.col("doc_id") % 3 == 0, F.to_json(F.struct(F.array(turn("user", "lang"), turn("assistant", "text")).alias("messages"))))
+        .when(F.col("doc_id") % 3 == 1, F.to_json(F.struct(F.col("lang").alias("prompt"), F.col("text").alias("completion"))))
+        .otherwise(F.to_json(F.struct(F.col("lang").alias("instruction"), F.col("source").alias("input"), F.col("text").alias("output"))))
+    )
+    got = jsonl.normalize(docs.select((F.col("doc_id") % 3).alias("split"), F.col("doc_id").alias("line_no"), line.alias("value")))
+    return got.select("split", F.col("line_no").alias("doc_id"), "family", F.coalesce("code", F.lit("ok")).alias("code"), F.get("messages", F.lit(0))["content"].alias("asked"), F.md5(text.assistant_text(F.col("messages"))).alias("answer"))
+
+
+_NAME = "CASE page_id % 5 WHEN 0 THEN replace(url, '://', '/') WHEN 1 THEN '/' || substr(url, 9) WHEN 2 THEN 'C:' || substr(url, 9) WHEN 3 THEN 'a/../' || substr(url, 9) ELSE 'd/./' || substr(url, 9, 12) END"
+
+
+@query(f"""SELECT page_id, CASE WHEN starts_with(p, '/') THEN 'absolute path' WHEN regexp_matches(p, '^[A-Za-z]:') THEN 'drive prefix' WHEN list_contains(string_split(p, '/'), '..') THEN 'parent traversal' ELSE 'safe' END AS verdict
+FROM (SELECT page_id, replace({_NAME}, chr(92), '/') AS p FROM pages)""")
+def member_path_safety(spark, sf_dir):
+    return _table(spark, sf_dir, "pages").select("page_id", F.coalesce(text.unsafe_member(F.expr(_NAME)), F.lit("safe")).alias("verdict"))
+
+
+@query(f"""SELECT path, count(*) AS n FROM (SELECT array_to_string(list_filter(string_split(replace({_NAME}, chr(92), '/'), '/'), lambda x: x NOT IN ('', '.')), '/') AS path FROM pages) GROUP BY path HAVING count(*) > 1""")
+def member_duplicates(spark, sf_dir):
+    return _table(spark, sf_dir, "pages").groupBy(text.member_path(F.expr(_NAME)).alias("path")).agg(F.count("*").alias("n")).filter("n > 1")
+
+
+@query("""WITH m AS (SELECT CAST(doc_id AS VARCHAR) AS path, CAST(strlen(text) AS BIGINT) AS size, sha256(text) AS h FROM documents WHERE doc_id % 10 < 8),
+d AS (SELECT CAST(doc_id AS VARCHAR) AS path, CAST(strlen(text) AS BIGINT) + CASE WHEN doc_id % 10 = 5 THEN 1 ELSE 0 END AS size, sha256(CASE WHEN doc_id % 10 = 6 THEN text || '!' ELSE text END) AS h FROM documents WHERE doc_id % 10 > 1)
+SELECT coalesce(m.path, d.path) AS path, CASE WHEN d.path IS NULL THEN 'missing' WHEN m.path IS NULL THEN 'unlisted' WHEN m.size <> d.size THEN 'size' ELSE 'sha256' END AS problem
+FROM m FULL OUTER JOIN d ON m.path = d.path WHERE d.path IS NULL OR m.path IS NULL OR m.size <> d.size OR m.h <> d.h""")
+def manifest_diff(spark, sf_dir):
+    docs, tenth = _table(spark, sf_dir, "documents"), F.col("doc_id") % 10
+    path, size = F.col("doc_id").cast("string").alias("path"), F.octet_length("text").cast("long")
+    listed = docs.filter(tenth < 8).select(path, size.alias("size"), F.sha2("text", 256).alias("sha256"))
+    disk = docs.filter(tenth > 1).select(path, (size + F.when(tenth == 5, 1).otherwise(0)).alias("size"), F.sha2(F.when(tenth == 6, F.concat("text", F.lit("!"))).otherwise(F.col("text")), 256).alias("sha256"))
+    return integrity.manifest_diff(listed, disk)
+
+
+_BUILT = "SELECT source AS split, count(*) AS examples, sha256(string_agg(sha256(text), chr(10) ORDER BY doc_id)) AS h FROM documents WHERE {where} GROUP BY source"
+
+
+@query(f"""WITH a AS ({_BUILT.format(where="source <> 'src1'")}), b AS ({_BUILT.format(where="source <> 'src2' AND doc_id % 100 <> 3")})
+SELECT coalesce(a.split, b.split) AS split, unnest(CASE WHEN a.split IS NULL THEN ['not approved'] WHEN b.split IS NULL THEN ['not built'] ELSE list_filter([CASE WHEN a.h <> b.h THEN 'digest' END, CASE WHEN a.examples <> b.examples THEN 'example count' END], lambda x: x IS NOT NULL) END) AS problem
+FROM a FULL OUTER JOIN b ON a.split = b.split""")
+def approval_diff(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+
+    def built(df: DataFrame) -> DataFrame:
+        rows = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", F.sha2("text", 256).alias("f")))), lambda r: r["f"])
+        return df.groupBy(F.col("source").alias("split")).agg(F.count("*").alias("examples"), F.sha2(F.array_join(rows, "\n"), 256).alias("sha256"))
+
+    return integrity.approval_diff(built(docs.filter("source <> 'src1'")), built(docs.filter("source <> 'src2' AND doc_id % 100 <> 3")))
+
+
+_FINDINGS = """SELECT event_id AS finding_id, CASE WHEN event_id % 2 = 0 THEN 'pip-audit' ELSE 'trivy' END AS source, 'p' || (user_id % 7) AS package, '1.' || (event_id % 3) AS installed,
+'CVE-' || (event_id % 11) AS identifier, CASE event_id % 4 WHEN 1 THEN 'HIGH' WHEN 3 THEN 'LOW' ELSE NULL END AS severity, CASE WHEN event_id % 5 < 3 THEN '2.0' ELSE '' END AS fix FROM events"""
+_ENTRIES = [
+    (1, "id", "CVE-1", ["CVE-4"], None, None, None, ["release"], "2026-01-31"), (2, "package", "x", None, "trivy", "p3", "1.0", ["release", "ci"], "2027-01-31"),
+    (3, "id", "CVE-2", [], None, None, None, ["ci"], "2027-01-31"), (4, None, "CVE-4", None, None, None, None, ["release"], "2027-06-30"), (5, "id", "CVE-6", None, None, None, None, ["release"], "2027-06-30"),
+]
+_RULES = {"dependencies": {"block_when_fix_available": True, "block_when_no_fix": False}, "images": {"block_severities": ["HIGH", "CRITICAL"], "require_fix_available": True}}
+
+
+@query(f"""WITH f AS ({_FINDINGS}), b AS (SELECT *, CASE WHEN source = 'pip-audit' THEN fix <> '' ELSE coalesce(severity IN ('HIGH', 'CRITICAL'), false) AND fix <> '' END AS blocks FROM f),
+e AS (SELECT * FROM (VALUES (1, 'CVE-1', '', '', '', DATE '2026-01-31'), (1, 'CVE-4', '', '', '', DATE '2026-01-31'), (2, NULL, 'trivy', 'p3', '1.0', DATE '2027-01-31'), (4, 'CVE-4', '', '', '', DATE '2027-06-30'), (5, 'CVE-6', '', '', '', DATE '2027-06-30')) t(entry, identifier, source, package, installed, expires)),
+h AS (SELECT b.finding_id, min(e.entry) AS entry FROM b JOIN e ON b.identifier = e.identifier OR (b.source = e.source AND b.package = e.package AND b.installed = e.installed) GROUP BY 1)
+SELECT b.finding_id, CASE WHEN NOT blocks THEN 'reported' WHEN h.entry IS NULL THEN 'blocking' WHEN h.entry = 1 THEN 'expired' ELSE 'excepted' END AS decision, CASE WHEN blocks THEN coalesce(h.entry, -1) ELSE -1 END AS entry
+FROM b LEFT JOIN h USING (finding_id)""")
+def policy_decisions(spark, sf_dir):
+    _table(spark, sf_dir, "events").createOrReplaceTempView("_finding_events")
+    findings = spark.sql(_FINDINGS.replace("FROM events", "FROM _finding_events"))
+    entries = spark.createDataFrame(_ENTRIES, "entry int, match string, id string, aliases array<string>, source string, package string, installed string, scope array<string>, expires string")
+    found = policy.decide(findings, entries, _RULES, "release", date(2026, 6, 1))
+    return found.select("finding_id", "decision", F.coalesce("entry", F.lit(-1)).alias("entry"))
+
+
+_MODELS = [("m0", True, False, "a" * 40), ("m1", False, False, "b" * 40), ("m2", True, True, "c" * 40), ("m3", True, False, "main"), ("m4", True, False, "0123456789" * 4)]
+
+
+@query(f"""WITH m(model_key, enabled, remote_code, revision) AS (VALUES {", ".join(f"('{k}', {e}, {r}, '{v}')" for k, e, r, v in _MODELS)}),
+q AS (SELECT o_orderkey AS request_id, CASE WHEN o_orderkey % 7 = 6 THEN '' ELSE 'm' || (o_orderkey % 7) END AS model_key FROM orders)
+SELECT request_id, CASE WHEN q.model_key = '' THEN 'MODEL_KEY_MISSING' WHEN m.model_key IS NULL THEN 'MODEL_NOT_APPROVED' WHEN NOT enabled THEN 'MODEL_DISABLED' WHEN remote_code THEN 'MODEL_REMOTE_CODE_BLOCKED'
+WHEN NOT regexp_full_match(revision, '[0-9a-f]{{40}}') THEN 'MODEL_REVISION_UNPINNED' ELSE 'ok' END AS code FROM q LEFT JOIN m ON q.model_key = m.model_key""")
+def registry_resolution(spark, sf_dir):
+    requests = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("request_id"), F.when(F.col("o_orderkey") % 7 == 6, "").otherwise(F.concat(F.lit("m"), F.col("o_orderkey") % 7)).alias("model_key"))
+    models = spark.createDataFrame(_MODELS, "model_key string, enabled boolean, remote_code boolean, revision string")
+    return policy.resolve_models(requests, models).select("request_id", F.coalesce("code", F.lit("ok")).alias("code"))
+
+
+@query("""SELECT doc_id, CASE WHEN lang = 'en' THEN 2 ELSE 0 END AS obligations, CASE WHEN doc_id % 3 = 0 THEN 'cuda:0' WHEN doc_id % 3 = 1 THEN 'cuda:' || (doc_id % 8) ELSE 'cpu' END AS device,
+CASE WHEN doc_id % 4 IN (0, 1) THEN 'ok' ELSE 'MODEL_BASE_MODEL_CONFLICT' END AS base_model, CASE WHEN n_chars > 2048 THEN 'CONFIG_OUT_OF_BOUNDS' ELSE 'ok' END AS sequence FROM documents""")
+def lookups(spark, sf_dir):
+    i = F.col("doc_id")
+    license_ = F.when(F.col("lang") == "en", " Llama3.2 ").otherwise("apache-2.0")
+    device = F.when(i % 3 == 0, " ").when(i % 3 == 1, (i % 8).cast("string")).otherwise("cpu")
+    base = F.when(i % 4 == 0, "org/base").when(i % 4 == 1, "LM-SFT-small").otherwise("org/other")
+    return _table(spark, sf_dir, "documents").select("doc_id", F.size(policy.obligations(license_)).alias("obligations"), policy.device(device).alias("device"), F.coalesce(policy.base_model_code(base, F.lit("org/base")), F.lit("ok")).alias("base_model"), F.coalesce(policy.sequence_code(F.col("n_chars"), F.lit(2048)), F.lit("ok")).alias("sequence"))
+
+
+@query("""SELECT doc_id, CAST(sum(CASE WHEN i >= 5 AND i < 40 AND (i % 7) > 0 THEN 1 ELSE 0 END) AS INTEGER) AS supervised FROM
+(SELECT doc_id, unnest(range(least(len(string_split(text, ' ')), 60))) AS i FROM documents) GROUP BY doc_id""")
+def supervised_counts(spark, sf_dir):
+    """Each word is a token whose offsets are its place, empty at every seventh; places 5 to 40 are supervised."""
+    n = F.least(F.size(F.split("text", " ")), F.lit(60))
+    places = F.sequence(F.lit(0), n - 1)
+    offsets = F.transform(places, lambda i: F.struct(i.alias("start"), F.when(i % 7 == 0, i).otherwise(i + 1).alias("end")))
+    spans = F.array(F.struct(F.lit(5).alias("start"), F.lit(40).alias("end")))
+    labels = arithmetic.masked_labels(places, offsets, spans)
+    return _table(spark, sf_dir, "documents").select("doc_id", arithmetic.supervised_tokens(labels).alias("supervised"))
+
+
+@query(r"""SELECT doc_id, sha256(CASE WHEN regexp_replace(source, '\s', '', 'g') = '' THEN 'none' ELSE 'Piliin ang pinaka-angkop na sagot sa sumusunod na tanong.' || chr(10) || chr(10) || 'Sumagot gamit ang sumusunod na format.' || chr(10) || '"Sagot: ANSWER"' || chr(10)
+|| 'Palitan ang ANSWER gamit ang napiling sagot. Gumamit lang ng letrang A, B, C, o D sa sagot mo.' || chr(10) || chr(10) || 'Tanong:' || chr(10) || '```' || chr(10) || source || chr(10) || chr(10) || lang || chr(10) || '```' END) AS prompt FROM documents""")
+def choice_prompts(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.coalesce(text.choice_prompt(F.col("source"), F.col("lang")), F.lit("none")), 256).alias("prompt"))
+
+
+@query(r"""SELECT doc_id, sha256(CASE WHEN doc_id % 2 = 0 THEN regexp_replace(lang || chr(10) || chr(10) || source, '^\s+|\s+$', '', 'g') ELSE lang END) AS asked, regexp_replace(text, '\s', '', 'g') <> '' AS valid FROM documents""")
+def adapted_instructions(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("instruction"), F.when(F.col("doc_id") % 2 == 0, F.col("source")).alias("context"), F.col("text").alias("response"))
+    return adapters.adapt("instruction", docs).select("doc_id", F.sha2(F.get("messages", F.lit(0))["content"], 256).alias("asked"), "valid")
+
+
+@query()
+def jsonl_error_report(spark, sf_dir):
+    """Codes by line of a JSONL file with every kind of bad line, written to the shared folder and read with its line numbers."""
+    import uuid
+
+    lines = ['{"prompt": "a", "completion": "b"}', "", '{"prompt": "a",, }', '[1]', '{"prompt": "a", "completion": "  "}', '{"messages": [{"role": "tool", "content": "x"}]}', '{"question": 1}', '{"prompt": "a", "output": "b"}', '{"prompt": 1, "completion": "b"}', '{"messages": [{"role": "user", "content": "x"}, {"role": "assistant", "content": "y"}]}']
+    where = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/quillspark-shared"
+    path = f"{where.rstrip('/')}/jsonl-{uuid.uuid4().hex}"
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    got = jsonl.normalize(jsonl.read_lines(spark, {"train": path}))
+    return got.select("split", "line_no", F.coalesce("family", F.lit("none")).alias("family"), F.coalesce("code", F.lit("ok")).alias("code"))

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.text import MESSAGES, family, messages_code
@@ -36,7 +35,11 @@ def _truthy(value: object) -> bool:
     return bool(value)
 
 
-@F.pandas_udf(f"kind string, keys array<string>, code string, messages {MESSAGES}")
+_MESSAGE = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
+_PARSED = T.StructType([T.StructField("kind", T.StringType()), T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("code", T.StringType()), T.StructField("messages", T.ArrayType(_MESSAGE))])
+
+
+@F.pandas_udf(_PARSED)
 def parse(lines: pd.Series) -> pd.DataFrame:
     """Strict parse of one line's bytes: its keys, and messages or the code of the first failed type rule.
 
