@@ -21,8 +21,7 @@ MAX_MEMBERS, MAX_RATIO, MAX_MEMBER_BYTES, MAX_TOTAL_BYTES = 10_000, 200, 512 <<
 def listing(spark: SparkSession, path: str) -> DataFrame:
     """Files below path: path, size, sha256."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    root = F.lit(path.rstrip("/") + "/")
-    return files.select(F.substring_index("path", root, -1).alias("path"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+    return files.select(F.substring_index("path", path.rstrip("/") + "/", -1).alias("path"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
 
 
 def manifest_diff(manifest: DataFrame, disk: DataFrame) -> DataFrame:

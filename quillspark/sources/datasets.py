@@ -17,7 +17,7 @@ MAX_SPLIT_BYTES, MAX_DATASET_BYTES = 512 << 20, 1 << 30
 def file_table(spark: SparkSession, folder: str) -> DataFrame:
     """Files below folder, without reading them: path (below folder), full, size."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length")
-    return files.select(F.substring_index("path", F.lit(folder.rstrip("/") + "/"), -1).alias("path"), F.col("path").alias("full"), F.col("length").alias("size"))
+    return files.select(F.substring_index("path", folder.rstrip("/") + "/", -1).alias("path"), F.col("path").alias("full"), F.col("length").alias("size"))
 
 
 def split_code(files: DataFrame) -> DataFrame:
