@@ -52,14 +52,17 @@ def encode(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     doc = np.repeat(np.arange(len(count)), count)
     owner = first[doc] + (np.arange(len(hashes)) - where[doc]) // PASSAGE
     x = np.zeros((total, FEATURES), np.float32)
-    if not len(hashes):
+    if not len(data):
         return x, passages
     n = np.bincount(owner, minlength=total)
+    # A passage's bytes run from its first word to the next one's; a text's first passage has what comes before its words too.
     opens = np.flatnonzero(np.diff(owner, prepend=-1))
-    # Bytes belong to the passage whose first word begins before them; what comes before a text's first word is left out.
-    of_byte = np.repeat(owner[opens], np.diff(begin[opens], append=len(data)))
+    start = np.zeros(total, np.int64)
+    start[owner[opens]] = begin[opens]
+    start[first] = at[:-1]
+    of_byte = np.repeat(np.arange(total), np.diff(start, append=len(data)))
     size = np.bincount(of_byte, minlength=total)
-    kinds = np.bincount(of_byte * _N_CLASSES + _CLASS[data[begin[0] :]], minlength=total * _N_CLASSES)
+    kinds = np.bincount(of_byte * _N_CLASSES + _CLASS[data], minlength=total * _N_CLASSES)
     x[:, :_N_CLASSES] = kinds.reshape(total, -1) / np.maximum(size, 1)[:, None]
     length = (end - begin).astype(np.float64)
     share = lambda v: np.bincount(owner, v, total) / np.maximum(n, 1)
