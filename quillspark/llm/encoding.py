@@ -14,7 +14,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Pieces in one generation of a worker's memory; the generation before stays until the next is full.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 #: A longer piece is encoded but not remembered.
 LONGEST = 200
 #: Marks that end a letter run in either vocabulary, whatever stands around them.
