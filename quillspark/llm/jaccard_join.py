@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import mix, shingles, slices, stored, text_bytes, words
 
 #: Bytes of text in a chunk, and of text that one shard answers for.
-CHUNK_BYTES, SHARD_BYTES = 16 << 20, 16 << 20
+CHUNK_BYTES, SHARD_BYTES = 8 << 20, 16 << 20
 #: Hash ranges of the suffix filter.
 RANGES = 16
 _REQUEST = "chunk long, shard int, docs binary, n binary, doc_ids array<long>, sizes binary, entries binary"
