@@ -41,12 +41,11 @@ def supervised_tokens(labels: Column) -> Column:
 def masked_labels(ids: Column, offsets: Column, spans: Column) -> Column:
     """ids where the token's offsets (start, end) lie in one of spans (start, end) and are not empty, else IGNORED."""
 
-    def label(i: Column, k: Column) -> Column:
-        at = offsets[k]
+    def label(i: Column, at: Column) -> Column:
         inside = F.exists(spans, lambda s: (s["start"] <= at["start"]) & (at["end"] <= s["end"]))
         return F.when(inside & (at["start"] < at["end"]), i).otherwise(F.lit(IGNORED))
 
-    return F.transform(ids, label)
+    return F.zip_with(ids, offsets, label)
 
 
 def _find(part: Column, text: Column, start: Column) -> Column:
@@ -74,12 +73,8 @@ def assistant_spans(messages: Column, text: Column, end_of_turn: str) -> Column:
 def marked(pieces: Column, labels: Column) -> Column:
     """Token texts with runs of supervised tokens between ⟦ and ⟧."""
     on = F.transform(labels, lambda x: x != IGNORED)
-
-    def show(p: Column, i: Column) -> Column:
-        before = F.when(i > 0, on[i - 1]).otherwise(False)
-        return F.concat(F.when(on[i] & ~before, "⟦").when(~on[i] & before, "⟧").otherwise(""), p)
-
-    return F.concat(F.array_join(F.transform(pieces, show), ""), F.when(F.element_at(on, -1), "⟧").otherwise(""))
+    edges = F.zip_with(on, F.slice(F.concat(F.array(F.lit(False)), on), 1, F.size(on)), lambda a, b: F.when(a & ~b, "⟦").when(~a & b, "⟧").otherwise(""))
+    return F.concat(F.array_join(F.zip_with(edges, pieces, lambda e, p: F.concat(e, p)), ""), F.when(F.element_at(on, -1), "⟧").otherwise(""))
 
 
 def bytes_text(n: Column) -> Column:

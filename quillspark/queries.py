@@ -402,10 +402,10 @@ def lookups(spark, sf_dir):
 
 
 @query("""SELECT doc_id, CAST(sum(CASE WHEN i >= 5 AND i < 40 AND (i % 7) > 0 THEN 1 ELSE 0 END) AS INTEGER) AS supervised FROM
-(SELECT doc_id, unnest(range(least(len(string_split(text, ' ')), 60))) AS i FROM documents) GROUP BY doc_id""")
+(SELECT doc_id, unnest(range(len(string_split(text, ' ')))) AS i FROM documents) GROUP BY doc_id""")
 def supervised_counts(spark, sf_dir):
     """Each word is a token whose offsets are its place, empty at every seventh; places 5 to 40 are supervised."""
-    n = F.least(F.size(F.split("text", " ")), F.lit(60))
+    n = F.size(F.split("text", " "))
     places = F.sequence(F.lit(0), n - 1)
     offsets = F.transform(places, lambda i: F.struct(i.alias("start"), F.when(i % 7 == 0, i).otherwise(i + 1).alias("end")))
     spans = F.array(F.struct(F.lit(5).alias("start"), F.lit(40).alias("end")))
