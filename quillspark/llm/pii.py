@@ -64,10 +64,14 @@ def _cut(df: DataFrame, name: str, may: Column, pattern: str) -> DataFrame:
     return df.withColumns({f"{name}_m": F.when(may, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none), f"{name}_g": F.when(may, F.split(text, pattern, -1)).otherwise(F.array(text))})
 
 
+def _gaps(name: str) -> Column:
+    """The text in front of each match of _cut."""
+    return F.slice(F.col(f"{name}_g"), 1, F.size(f"{name}_m"))
+
+
 def _spans(name: str) -> Column:
     """Array of (start, end, match, before) of what _cut found; before: the CONTEXT characters in front."""
-    gap = F.col(f"{name}_g")
-    item = F.transform(F.col(f"{name}_m"), lambda m, i: F.struct(F.length(gap[i]).alias("skip"), m.alias("match"), F.right(gap[i], F.lit(CONTEXT)).alias("before")))
+    item = F.zip_with(F.col(f"{name}_m"), _gaps(name), lambda m, g: F.struct(F.length(g).alias("skip"), m.alias("match"), F.right(g, F.lit(CONTEXT)).alias("before")))
     empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,match:string,before:string>>").alias("found"))
 
     def step(acc: Column, x: Column) -> Column:
@@ -155,8 +159,7 @@ class SpanClassifier:
 def train(docs: DataFrame) -> SpanClassifier:
     """Learn the classifier from all candidates of docs (text)."""
     found = _cut(docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), "c", F.lit(True), CANDIDATE)
-    gap = F.col("c_g")
-    near = F.transform("c_m", lambda m, i: F.struct(m.alias("match"), F.right(gap[i], F.lit(CONTEXT)).alias("before")))
+    near = F.zip_with("c_m", _gaps("c"), lambda m, g: F.struct(m.alias("match"), F.right(g, F.lit(CONTEXT)).alias("before")))
     each = found.select(F.explode(near).alias("x")).select("x.match", "x.before")
     v, f = votes(F.col("match"), F.col("before")), features(F.col("match"), F.col("before"))
     rows = each.select(*(c.alias(f"v_{n}") for n, c in v.items()), *(c.alias(f"f_{n}") for n, c in f.items())).groupBy(*(f"v_{n}" for n in v), *(f"f_{n}" for n in f)).count().collect()
@@ -203,9 +206,9 @@ def redacted(docs: DataFrame, classifier: SpanClassifier) -> DataFrame:
         kinds["secret"] = (F.lit(True), CANDIDATE)
 
     def parts(kind: str) -> Column:
-        gap, mark = F.col("_pii_g"), F.lit(f"[{kind.upper()}]")
+        mark = F.lit(f"[{kind.upper()}]")
         take = (lambda m, g: classifier.decides(m, F.right(g, F.lit(CONTEXT)))) if kind == "secret" else (lambda m, g: _valid(kind, m))
-        return F.transform("_pii_m", lambda m, i: F.concat(gap[i], F.when(take(m, gap[i]), mark).otherwise(m)))
+        return F.zip_with("_pii_m", _gaps("_pii"), lambda m, g: F.concat(g, F.when(take(m, g), mark).otherwise(m)))
 
     for kind, (may, pattern) in kinds.items():
         out = _cut(out, "_pii", may, pattern)
