@@ -35,7 +35,7 @@ _BEFORE = r"(?<![A-Za-z0-9_-])"
 CANDIDATE = rf"{_BEFORE}[A-Za-z0-9_-]{{20,}}+|{_BEFORE}\(?[0-9]{{3}}\)?[\x20.-][0-9]{{3}}[\x20.-][0-9]{{4}}(?![0-9])"
 #: Words that announce personal data (fixed values).
 GAZETTEER = ["token", "key", "apikey", "api_key", "secret", "password", "passwd", "pwd", "bearer", "auth", "credential", "session", "cookie", "phone", "tel", "mobile", "cell", "call", "fax", "contact", "ssn", "account", "iban"]
-CONTEXT, EM_ROUNDS = 24, 30
+CONTEXT, RUN, EM_ROUNDS = 24, 128, 30
 LABELERS = ("shape", "gazetteer", "marks", "digits")
 
 
@@ -69,22 +69,35 @@ def _gaps(name: str) -> Column:
     return F.slice(F.col(f"{name}_g"), 1, F.size(f"{name}_m"))
 
 
-def _spans(name: str) -> Column:
-    """Array of (start, end, match, before) of what _cut found; before: the CONTEXT characters in front."""
-    item = F.zip_with(F.col(f"{name}_m"), _gaps(name), lambda m, g: F.struct(F.length(g).alias("skip"), m.alias("match"), F.right(g, F.lit(CONTEXT)).alias("before")))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,match:string,before:string>>").alias("found"))
+def _spans(df: DataFrame, name: str) -> DataFrame:
+    """Adds name_s, an array of (start, end, match, before) of what _cut found; before: the CONTEXT characters in front.
+
+    Offsets add up within runs of RUN matches and then over the runs, so the arrays that grow while they are folded stay short."""
+    df = df.withColumn(f"{name}_i", F.zip_with(F.col(f"{name}_m"), _gaps(name), lambda m, g: F.struct(F.length(g).alias("skip"), m.alias("match"), F.right(g, F.lit(CONTEXT)).alias("before"))))
+    items, kind = F.col(f"{name}_i"), "array<struct<start:int,end:int,match:string,before:string>>"
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
+
+    def span(start: Column, end: Column, x: Column) -> Column:
+        return F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"), x["before"].alias("before"))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["skip"]
         end = start + F.length(x["match"])
-        return F.struct(end.alias("at"), F.concat(acc["found"], F.array(F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"), x["before"].alias("before")))).alias("found"))
+        return F.struct(end.alias("at"), F.concat(acc["found"], F.array(span(start, end, x))).alias("found"))
+
+    runs = F.transform(F.sequence(F.lit(0), ((F.size(items) - 1) / RUN).cast("int")), lambda i: F.aggregate(F.slice(items, i * RUN + 1, F.lit(RUN)), empty, step))
+
+    def join(acc: Column, run: Column) -> Column:
+        moved = F.transform(run["found"], lambda x: span(x["start"] + acc["at"], x["end"] + acc["at"], x))
+        return F.struct((acc["at"] + run["at"]).alias("at"), F.concat(acc["parts"], F.array(moved)).alias("parts"))
 
-    return F.aggregate(item, empty, step)["found"]
+    whole = F.aggregate(runs, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("parts")), join)["parts"]
+    return df.withColumn(f"{name}_s", F.when(F.size(items) > 0, F.flatten(whole)).otherwise(F.array().cast(kind))).drop(f"{name}_i", f"{name}_m", f"{name}_g")
 
 
 def _kept(kind: str) -> Column:
     """The spans of a base kind that are valid."""
-    return F.filter(_spans(kind), lambda s: _valid(kind, s["match"]))
+    return F.filter(f"{kind}_s", lambda s: _valid(kind, s["match"]))
 
 
 def _vote(yes: Column, no: Column) -> Column:
@@ -188,10 +201,10 @@ def with_spans(docs: DataFrame, classifier: SpanClassifier) -> DataFrame:
     """docs (doc_id, text) with one array of (start, end) for each base kind and for secret, the classifier's."""
     df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     for kind, (may, pattern) in BASE.items():
-        df = _cut(df, kind, may(F.col("text")), pattern)
-    df = _cut(df, "secret", F.lit(bool(classifier.weights)), CANDIDATE)
+        df = _spans(_cut(df, kind, may(F.col("text")), pattern), kind)
+    df = _spans(_cut(df, "secret", F.lit(bool(classifier.weights)), CANDIDATE), "secret")
     found = {kind: _kept(kind) for kind in BASE}
-    df = df.select("doc_id", "text", *(c.alias(k) for k, c in found.items()), F.filter(_spans("secret"), lambda s: classifier.decides(s["match"], s["before"])).alias("secret"))
+    df = df.select("doc_id", "text", *(c.alias(k) for k, c in found.items()), F.filter("secret_s", lambda s: classifier.decides(s["match"], s["before"])).alias("secret"))
     base = F.concat(*BASE)
     clear = F.filter("secret", lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     return df.withColumn("secret", clear)
