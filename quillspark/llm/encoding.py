@@ -9,18 +9,29 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 
-import numpy as np
 from tokenizers import Tokenizer
 
 #: Pieces in one generation of a worker's memory; the generation before stays until the next is full.
-REMEMBERED = 700_000
+REMEMBERED = 400_000
 #: A longer piece is encoded but not remembered.
 LONGEST = 200
 #: Marks that end a letter run in either vocabulary, whatever stands around them.
 MARKS = ".,:;!?|%&$#*"
 
 
+def _visible() -> dict[int, str]:
+    """The characters that stand for the bytes of each character up to U+00FF in byte-level vocabularies."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    shown = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    return {c: "".join(shown[b] for b in chr(c).encode()) for c in range(256)}
+
+
+_VISIBLE = _visible()
+
+
 class _Irregular(Exception):
     pass
 
@@ -69,6 +80,7 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         kind = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["type"]
         self.keeps_blanks = kind == "ByteLevel"
         self.first = _Pieces(self._library, "")
@@ -77,7 +89,12 @@ class PieceEncoder:
         self.raw = _Pieces(self._library, None, fold=not self.keeps_blanks)
 
     def _library(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        word = text[1:] if text[:1] == " " else text
+        if word.isalpha() and max(word) <= "\xff":  # one pretoken, to which the library's model can go straight
+            ids = [t.id for t in self.model.tokenize((text if self.keeps_blanks else word.lower()).translate(_VISIBLE))]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         if not text:

@@ -18,7 +18,7 @@ from .helpers import ODD, documents, prose
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = {p: Tokenizer.from_file(p) for p in (BYTES, WORDS)}
 ENCODERS = {p: PieceEncoder(p) for p in (BYTES, WORDS)}
-PARTS = [*"ab'sdmtrevlLTÉé \n\t  .,!|%09<>ß中́\x1c\x85 \U0001f600", "<|endoftext|>", "<|ENDOFTEXT|>", "'ll", " the", "ing"]
+PARTS = [*"ab'sdmtrevlLTÉéßµªÿ Æ\n\t  .,!|%09<>ß中́\x1c\x85 \U0001f600", "<|endoftext|>", "<|ENDOFTEXT|>", "'ll", " the", "ing"]
 TEXTS = st.lists(st.sampled_from(PARTS), max_size=60).map("".join)
 
 
