@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .backoff_lm import op9_backoff_lm
 from .decontaminate import op2_decontaminate
-from .jaccard_join import op8_jaccard_join
+from .jaccard_join import OP8_SQL, op8_jaccard_join
 from .media import op5_media
 from .mil_quality import op10_mil_quality
 from .packing import op3_packing
@@ -14,4 +14,4 @@ from .revisit import OP7_SQL, op7_revisits
 from .token_fst import op4_token_fst
 
 QUERIES = {f.__name__: f for f in (op1_repair_ids, op2_decontaminate, op3_packing, op4_token_fst, op5_media, op6_pii, op7_revisits, op8_jaccard_join, op9_backoff_lm, op10_mil_quality)}
-ORACLE_SQL: dict[str, str] = {"op7_revisits": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op7_revisits": OP7_SQL, "op8_jaccard_join": OP8_SQL}
