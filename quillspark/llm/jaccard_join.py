@@ -9,8 +9,9 @@ A text's set is its distinct k-word shingles. Two texts link when PERCENT * |uni
    other; the rest keep their sets. Shards give the frequency of each of their shingles; ordered by frequency,
    then hash, the first n - ceil(t * n) + 1 are a set's prefix.
 3. Prefix shingles are joined, filtered by length and by position. First each bucket is joined with its pivot
-   only (the set with the fewest rarer shingles), then, for buckets that still hold more than one component, with
-   members of other components; so a large group of near copies gives as many pairs as it has members. Each
+   only (the set with the fewest rarer shingles); then, in buckets that still hold more than one component, members
+   outside the most frequent one are joined with those of other components. So a large group of near copies gives as
+   many pairs as it has members, and work grows with its size, not with the square. Each
    pair that passes the suffix filter (sums over hash ranges bound the sets' difference) is verified once on
    the whole sets.
 
@@ -223,11 +224,13 @@ def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
 
     left = prefix.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     left = stored(left, "labelled")
-    mixed = left.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("gram")
-    left = left.join(mixed, "gram")
-    x, y = left.alias("x"), left.alias("y")
-    open_ = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & possible(F.col("x.n"), F.col("x.place"), F.col("y.n"), F.col("y.place"))
-    rest = x.join(y, open_).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    # Only members outside a bucket's most frequent component are joined with the others, so a large component never meets itself.
+    sizes = left.groupBy("gram", "label").agg(F.count("*").alias("members"))
+    main = sizes.groupBy("gram").agg(F.max(F.struct("members", "label"))["label"].alias("main"), F.count("*").alias("labels")).filter("labels > 1").select("gram", "main")
+    odd = left.join(main, "gram").filter("label <> main").select("gram", "id", "n", "place", "label")
+    x, y = odd.alias("x"), left.alias("y")
+    open_ = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.label") != F.col("y.label")) & possible(F.col("x.n"), F.col("x.place"), F.col("y.n"), F.col("y.place"))
+    rest = x.join(y, open_).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
     more = stored(verified(rest), "links")
     if more.limit(1).count():
         labels = components(links.unionByName(more))
