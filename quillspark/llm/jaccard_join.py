@@ -37,8 +37,8 @@ from .common import mix, shingles, slices, stored, text_bytes, words
 CHUNK_BYTES, SHARD_BYTES = 8 << 20, 16 << 20
 #: Hash ranges of the suffix filter.
 RANGES = 16
-_REQUEST = "chunk long, shard int, docs binary, n binary, doc_ids array<long>, sizes binary, entries binary"
-_ARROW = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), ("docs", pa.binary()), ("n", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("entries", pa.binary())])
+_REQUEST = "chunk long, shard int, places binary, docs binary, n binary, doc_ids array<long>, names binary, sizes binary, entries binary"
+_ARROW = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), *((n, pa.binary()) for n in ("places", "docs", "n")), ("doc_ids", pa.list_(pa.int64())), *((n, pa.binary()) for n in ("names", "sizes", "entries"))])
 
 
 def sets_of(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -52,21 +52,32 @@ def sets_of(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _requests(chunk: int, shards: int, gram: np.ndarray, row: np.ndarray, doc_ids: list, wide: bool) -> Iterator[pa.RecordBatch]:
-    """One row a shard: fingerprints by document; the row of one shard also has the chunk's documents."""
+    """One row for each shard that owns any of the shingles, with the documents that have some there; what is sent grows
+    with the shingles, whatever the number of shards. The row of one shard also has all the chunk's documents.
+
+    places: steps between the documents' places in the chunk; docs: their sets' names; n: how many of the entries each has."""
     size = np.bincount(row, minlength=len(doc_ids))
     name = np.zeros(len(doc_ids), np.uint64)
     np.add.at(name, row, mix(gram + np.uint64(99)))
     name = mix(name + size.astype(np.uint64))
     shard = (gram % np.uint64(shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")
-    per = np.bincount(shard * len(doc_ids) + row, minlength=shards * len(doc_ids)).reshape(shards, -1).astype("<u4")
-    value = gram if wide else ((gram // np.uint64(shards)) & np.uint64(0xFFFFFFFF)).astype("<u4")
-    parts = np.split(value[order], np.cumsum(per.sum(1))[:-1])
-    docs = name.astype("<u8").tobytes()
-    rows = [(chunk, s, docs, per[s].tobytes(), doc_ids if s == chunk % shards else None, size.astype("<u4").tobytes() if s == chunk % shards else None, parts[s].tobytes()) for s in range(shards)]
+    value = (gram if wide else ((gram // np.uint64(shards)) & np.uint64(0xFFFFFFFF)).astype("<u4"))[order]
+    s, d = shard[order], row[order]
+    first = np.flatnonzero((np.diff(s, prepend=-1) != 0) | (np.diff(d, prepend=-1) != 0))
+    edge = np.append(first, len(s))
+    s, d, n, home, rows = s[first], d[first], np.diff(edge), chunk % shards, []
+    for own in np.union1d(s, [home]).astype(int).tolist():
+        a, b = np.searchsorted(s, [own, own + 1])
+        about = (doc_ids, name.astype("<u8").tobytes(), size.astype("<u4").tobytes()) if own == home else (None, None, None)
+        rows.append((chunk, own, np.diff(d[a:b], prepend=0).astype("<u4").tobytes(), name[d[a:b]].astype("<u8").tobytes(), n[a:b].astype("<u4").tobytes(), *about, value[edge[a] : edge[b]].tobytes()))
     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
 
 
+def _places(row: dict) -> np.ndarray:
+    return np.cumsum(np.frombuffer(row["places"], "<u4").astype(np.int64))
+
+
 def _groups(table: pa.Table, wide: bool) -> tuple[list[dict], np.ndarray, np.ndarray, np.ndarray]:
     """A shard's requests; for all their entries in order the set's number, and how many distinct sets have it."""
     rows = table.to_pylist()
@@ -131,22 +142,24 @@ def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
 
     def count_shared(table: pa.Table) -> pa.Table:
         rows, per, _, count = _groups(table, False)
-        many = np.add.reduceat(np.append(count > 1, False), np.minimum(np.cumsum(per) - per, len(count))) * (per > 0)
+        many = np.add.reduceat((count > 1).astype(np.int64), np.cumsum(per) - per) if len(per) else per
         out, at = [], 0
         for r in rows:
             n = len(r["docs"]) // 8
-            out.append({"chunk": r["chunk"], "shared": many[at : at + n].astype("<u4").tobytes(), "docs": r["docs"] if r["sizes"] is not None else None, "doc_ids": r["doc_ids"], "sizes": r["sizes"]})
+            out.append({"shared": many[at : at + n].astype("<u4").tobytes(), **{c: r[c] for c in ("chunk", "places", "doc_ids", "names", "sizes")}})
             at += n
-        return pa.Table.from_pylist(out, pa.schema([("chunk", pa.int64()), ("shared", pa.binary()), ("docs", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary())]))
+        return pa.Table.from_pylist(out, pa.schema([_ARROW.field("chunk"), ("shared", pa.binary()), *(_ARROW.field(c) for c in ("places", "doc_ids", "names", "sizes"))]))
 
     def gather(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        shared = sum(np.frombuffer(r["shared"], "<u4").astype(np.int64) for r in rows)
         own = next(r for r in rows if r["sizes"] is not None)
+        shared = np.zeros(len(own["doc_ids"]), np.int64)
+        for r in rows:
+            shared[_places(r)] += np.frombuffer(r["shared"], "<u4")
         n = np.frombuffer(own["sizes"], "<u4").astype(np.int64)
-        return pa.table({"doc_id": pa.array(own["doc_ids"], pa.int64()), "n": n, "name": np.frombuffer(own["docs"], "<u8").view("<i8"), "survives": (n > 0) & (n - shared < _prefix(n, percent))})
+        return pa.table({"doc_id": pa.array(own["doc_ids"], pa.int64()), "n": n, "name": np.frombuffer(own["names"], "<u8").view("<i8"), "survives": (n > 0) & (n - shared < _prefix(n, percent))})
 
-    info = docs.mapInArrow(ask, _REQUEST).groupBy("shard").applyInArrow(count_shared, "chunk long, shared binary, docs binary, doc_ids array<long>, sizes binary")
+    info = docs.mapInArrow(ask, _REQUEST).groupBy("shard").applyInArrow(count_shared, "chunk long, shared binary, places binary, doc_ids array<long>, names binary, sizes binary")
     info = stored(info.groupBy("chunk").applyInArrow(gather, "doc_id long, n long, name long, survives boolean"), "sets")
     classes = info.filter("n > 0").groupBy("name").agg(F.min("doc_id").alias("rep"), F.max("survives").alias("survives"))
     kept = classes.filter("survives and rep is not null").select(F.col("rep").alias("doc_id"), "name")
@@ -177,14 +190,14 @@ def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
 
     def give_frequency(table: pa.Table) -> pa.Table:
         rows, per, value, count = _groups(table, True)
-        out, at, entry = [], 0, 0
+        out, entry = [], 0
         for r in rows:
             n = np.frombuffer(r["n"], "<u4").astype(np.int64)
             m = int(n.sum())
-            c, g, d = count[entry : entry + m], value[entry : entry + m], np.repeat(np.arange(len(n)), n)
+            c, g, d = count[entry : entry + m], value[entry : entry + m], np.repeat(_places(r), n)
             common = c > 1
             out.append({"chunk": r["chunk"], "doc_ids": r["doc_ids"], "sizes": r["sizes"], "doc": d[common].astype("<u4").tobytes(), "gram": g[common].tobytes(), "count": c[common].astype("<u4").tobytes()})
-            at, entry = at + len(n), entry + m
+            entry += m
         return pa.Table.from_pylist(out, pa.schema([("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("doc", pa.binary()), ("gram", pa.binary()), ("count", pa.binary())]))
 
     def prefixes(table: pa.Table) -> pa.Table:
