@@ -118,7 +118,7 @@ def _ask(shards: int, hot: np.ndarray):
                 prints, which = x.print[x.pair_order], x.hot[x.pair_order].astype("<u2")
                 w, p = np.concatenate([[0], np.cumsum(x.word_cuts)]), np.concatenate([[0], np.cumsum(x.pair_cuts)])
                 rows = []
-                for s in range(shards):
+                for s in np.flatnonzero(x.word_cuts + x.pair_cuts).tolist():  # a chunk asks only those that own some of its words or pairs
                     a, b, c, d = w[s], w[s + 1], p[s], p[s + 1]
                     rows.append((row["chunk"], s, word[a:b].tobytes(), word_train[a:b].tobytes(), follow[a:b].tobytes(), (prints[c:d] & _LOW).astype("<u4").tobytes(), (prints[c:d] >> np.uint64(32)).astype("<u2").tobytes(), pair_train[c:d].tobytes(), which[c : c + x.hot_cuts[s]].tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
@@ -126,7 +126,7 @@ def _ask(shards: int, hot: np.ndarray):
     return work, "chunk long, shard int, " + ", ".join(f"{n} binary" for n in names[2:])
 
 
-_ANSWER = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), ("word_count", pa.binary()), ("followers", pa.binary()), ("pair_count", pa.binary()), ("stats", pa.list_(pa.int64())), ("hot_followers", pa.binary())])
+_ANSWER = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), ("word_count", pa.binary()), ("followers", pa.binary()), ("pair_count", pa.binary()), ("stats", pa.list_(pa.int64())), ("hot_followers", pa.list_(pa.int64()))])
 
 
 def _answer(n_hot: int):
@@ -151,7 +151,7 @@ def _answer(n_hot: int):
         for i, r in enumerate(rows):
             a, b = len(r["words"]) // 8, len(r["prints_low"]) // 4
             x, y = word_at[w : w + a], pair_at[p : p + b]
-            out.append({"chunk": r["chunk"], "shard": r["shard"], "word_count": count[x].astype("<u8").tobytes(), "followers": follow[x].astype("<u4").tobytes(), "pair_count": times[y].astype("<u4").tobytes(), "stats": stats if i == 0 else None, "hot_followers": spread.astype("<u8").tobytes() if i == 0 else None})
+            out.append({"chunk": r["chunk"], "shard": r["shard"], "word_count": count[x].astype("<u8").tobytes(), "followers": follow[x].astype("<u4").tobytes(), "pair_count": times[y].astype("<u4").tobytes(), "stats": stats if i == 0 else None, "hot_followers": spread if i == 0 else None})
             w, p = w + a, p + b
         return pa.Table.from_pylist(out, _ANSWER)
 
@@ -200,12 +200,14 @@ def score_texts(docs: DataFrame) -> DataFrame:
     hot = [r["often_words"] for r in often.filter(F.col("n") * HOT > tokens).collect()]  # fewer than HOT rows
     hot = np.sort(np.array([int(BEGIN), *(h % (1 << 64) for h in hot)], np.uint64))
     ask, schema = _ask(shards, hot)
-    answers = chunks.mapInArrow(ask, schema).groupBy("shard").applyInArrow(_answer(len(hot)), "chunk long, shard int, word_count binary, followers binary, pair_count binary, stats array<long>, hot_followers binary")
+    answers = chunks.mapInArrow(ask, schema).groupBy("shard").applyInArrow(_answer(len(hot)), "chunk long, shard int, word_count binary, followers binary, pair_count binary, stats array<long>, hot_followers array<long>")
     answers = stored(answers, "lm-answers")
-    rows = answers.filter("stats is not null").select("stats", "hot_followers").collect()  # one row a shard
     names = ("n", "v", "w1", "w2", "p1", "p2")
-    stats = dict(zip(names, (sum(r["stats"][i] for r in rows) for i in range(len(names))))) | {"texts": total["texts"]}
-    followers = sum((np.frombuffer(r["hot_followers"], "<u8").astype(np.int64) for r in rows), np.zeros(len(hot), np.int64))
+    sums = answers.agg(*(F.sum(F.get("stats", F.lit(i))).alias(n) for i, n in enumerate(names))).first()
+    stats = {n: sums[n] or 0 for n in names} | {"texts": total["texts"]}
+    followers = np.zeros(len(hot), np.int64)
+    for r in answers.select(F.posexplode("hot_followers").alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n")).collect():  # as many rows as hot words
+        followers[r["at"]] = r["n"]
     columns = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     answers = answers.drop("stats", "hot_followers")
     return chunks.select("chunk", "doc_ids", "train", "n", "words", "ids").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_traverse(stats, shards, hot, followers), columns)
