@@ -8,7 +8,7 @@ passages, evenly spread, of each; every document's every passage is scored.
 
 Defined results: a null or blank text is one passage without words and gets a score too; without labels of both
 classes every score is the share of label 1, or 0.5 without labels; of repeated labels of a doc_id the lowest
-counts; rows that share a doc_id are scored each; an empty table gives no rows.
+counts; rows that share a doc_id are scored each, and one of them is trained on; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -150,6 +150,7 @@ def train(docs: DataFrame, labels: DataFrame) -> AttentionMil:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.binary())], ["doc_id", "label", "bag"])
 
     sampled = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").mapInArrow(bags, "doc_id long, label int, bag binary")
+    sampled = sampled.groupBy("doc_id", "label").agg(F.min("bag").alias("bag"))  # rows may share a doc_id
     rows = sorted((r["doc_id"], r["label"], bytes(r["bag"])) for r in sampled.collect())  # at most SAMPLE bags
     if len({r[1] for r in rows}) < 2:
         return AttentionMil(float(np.mean([r[1] for r in rows])) if rows else 0.5)
