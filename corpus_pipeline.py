@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages over documents, each written as Parquet before the next reads it.
 
 Documents that the quality classifier scores under its threshold go; of each group of near copies (five-word shingles,
-similarity 0.8, linked through others too) the smallest doc_id stays; documents with a passage of the benchmark go;
+similarity 0.8, linked through others too) one row of the smallest doc_id stays; documents with a passage of the benchmark go;
 personal data in the rest is replaced by its kind in brackets, and n_chars follows the new text; what is left is packed
 into sequences. Rows without a doc_id are nobody's copy. Columns other than those used pass through.
 """
@@ -23,9 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: keep the smallest doc_id of each component."""
-    copies = jaccard_join.jaccard_classes(docs, k=5, percent=80).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """Operator 8: keep one row of each component, that of the smallest doc_id."""
+    return jaccard_join.without_copies(docs, k=5, percent=80).select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

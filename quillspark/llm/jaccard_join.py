@@ -4,7 +4,8 @@ A text's set is its distinct k-word shingles. Two texts link when PERCENT * |uni
 
 1. Every set is hashed. Chunks of documents send each shingle's fingerprint to the shard that owns it, packed,
    and get back how many of each document's shingles other sets have too. Equal sets count once: they form a
-   class with its smallest doc_id as representative, so that copies are never expanded into pairs.
+   class, named by a 64-bit hash of the set, so that copies are never expanded into pairs. All further steps know
+   classes by name only: a doc_id may be missing or stand at several texts.
 2. Rare-first order puts shingles of one set alone first, so a set with a whole prefix of those can link with no
    other; the rest keep their sets. Shards give the frequency of each of their shingles; ordered by frequency,
    then hash, the first n - ceil(t * n) + 1 are a set's prefix.
@@ -16,9 +17,10 @@ A text's set is its distinct k-word shingles. Two texts link when PERCENT * |uni
    the whole sets.
 
 Nothing is capped: fingerprints only decide order and which sets may be left out safely; verification is on 64-bit
-hashes. Defined results: a null or blank text has an empty set and is its own component; a row with a null
-doc_id takes part as its own text but its component is that of its class, or null if it is alone; rows that
-share a doc_id stay; an empty table gives no rows; columns other than doc_id and text are not looked at.
+hashes. Defined results: a null or blank text has an empty set and is its own component; component_id is the
+smallest doc_id of a component's rows; a row with a null doc_id takes part like any other and has the component_id of
+its component, null if no row there has a doc_id; rows that share a doc_id stay, each with its own text (two components
+may so have one component_id); an empty table gives no rows; columns other than doc_id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import mix, shingles, slices, stored, text_bytes, words
 
@@ -51,15 +54,20 @@ def sets_of(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
     return gram[first], row[first]
 
 
+def _names(gram: np.ndarray, row: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Names of the sets with these shingles by row; size: how many each has."""
+    name = np.zeros(len(size), np.uint64)
+    np.add.at(name, row, mix(gram + np.uint64(99)))
+    return mix(name + size.astype(np.uint64))
+
+
 def _requests(chunk: int, shards: int, gram: np.ndarray, row: np.ndarray, doc_ids: list, wide: bool) -> Iterator[pa.RecordBatch]:
     """One row for each shard that owns any of the shingles, with the documents that have some there; what is sent grows
     with the shingles, whatever the number of shards. The row of one shard also has all the chunk's documents.
 
     places: steps between the documents' places in the chunk; docs: their sets' names; n: how many of the entries each has."""
     size = np.bincount(row, minlength=len(doc_ids))
-    name = np.zeros(len(doc_ids), np.uint64)
-    np.add.at(name, row, mix(gram + np.uint64(99)))
-    name = mix(name + size.astype(np.uint64))
+    name = _names(gram, row, size)
     shard = (gram % np.uint64(shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")
     value = (gram if wide else ((gram // np.uint64(shards)) & np.uint64(0xFFFFFFFF)).astype("<u4"))[order]
@@ -120,8 +128,9 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
-    """Per document of docs (doc_id, text): doc_id, n_shingles, component_id."""
+def _components_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Per document of docs (doc_id, text): doc_id, n (shingles), name (of its set), component_id and first: the name of
+    the set that comes first among those of the component that a row with its smallest doc_id has."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     shards = max(1, -(-size // SHARD_BYTES))
@@ -162,7 +171,7 @@ def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
     info = docs.mapInArrow(ask, _REQUEST).groupBy("shard").applyInArrow(count_shared, "chunk long, shared binary, places binary, doc_ids array<long>, names binary, sizes binary")
     info = stored(info.groupBy("chunk").applyInArrow(gather, "doc_id long, n long, name long, survives boolean"), "sets")
     classes = info.filter("n > 0").groupBy("name").agg(F.min("doc_id").alias("rep"), F.max("survives").alias("survives"))
-    kept = classes.filter("survives and rep is not null").select(F.col("rep").alias("doc_id"), "name")
+    kept = classes.filter("survives").select("name", "rep")
 
     def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -170,14 +179,13 @@ def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
             order = np.lexsort((g, r))
             g, at = g[order], np.searchsorted(r, np.arange(batch.num_rows + 1))
             spread = np.bincount(r * RANGES + (g >> np.uint64(60)).astype(np.int64), minlength=batch.num_rows * RANGES).astype(np.int32)
-            name = np.zeros(batch.num_rows, np.uint64)
-            np.add.at(name, r, mix(g + np.uint64(99)))
-            name = mix(name + np.diff(at).astype(np.uint64)).view(np.int64)
-            arrays = [batch.column("doc_id"), batch.column("name"), pa.array(name), pa.array(np.diff(at)), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(g.view(np.int64))), pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * RANGES, pa.int32()), pa.array(spread))]
-            yield pa.RecordBatch.from_arrays(arrays, ["id", "name", "own", "n", "grams", "spread"])
+            arrays = [pa.array(_names(g, r[order], np.diff(at)).view(np.int64)), pa.array(np.diff(at)), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(g.view(np.int64))), pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * RANGES, pa.int32()), pa.array(spread))]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "n", "grams", "spread"])
 
-    full = docs.join(kept, "doc_id").mapInArrow(whole_sets, "id long, name long, own long, n long, grams array<long>, spread array<int>")
-    sets = stored(full.filter("name = own").drop("own", "name").dropDuplicates(["id"]), "whole-sets")
+    # A class's text stands at its smallest doc_id, perhaps beside others, or at rows without one; of equal sets any one is taken.
+    some = docs.join(kept.filter("rep is not null").select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").unionByName(docs.filter("doc_id is null"))
+    full = some.select("text").mapInArrow(whole_sets, "id long, n long, grams array<long>, spread array<int>").dropDuplicates(["id"])
+    sets = stored(full.join(kept.select(F.col("name").alias("id")), "id", "left_semi"), "whole-sets")
 
     def ask_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
@@ -247,9 +255,45 @@ def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
     more = stored(verified(rest), "links")
     if more.limit(1).count():
         labels = components(links.unionByName(more))
-    found = classes.select("name", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("name", F.coalesce("label", "rep").alias("component"))
+    linked = labels.withColumnRenamed("id", "name").join(classes.select("name", "rep"), "name")
+    tops = linked.groupBy("label").agg(F.min(F.when(F.col("rep").isNotNull(), F.struct("rep", "name"))).alias("top"))
+    found = stored(labels.join(tops, "label").select(F.col("id").alias("name"), F.col("top.rep").alias("component"), F.col("top.name").alias("first"), F.lit(True).alias("linked")), "found")
+    found = classes.select("name", "rep").join(found, "name", "left")
+    found = found.select("name", F.when(F.col("linked"), F.col("component")).otherwise(F.col("rep")).alias("component"), F.when(F.col("linked"), F.col("first")).otherwise(F.col("name")).alias("first"))
     out = info.join(found, "name", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select("doc_id", "n", "name", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), "first")
+
+
+def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
+    """Per document of docs (doc_id, text): doc_id, n_shingles, component_id."""
+    return _components_of(docs, k, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def without_copies(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """docs with one row of each component: the smallest doc_id, then the first set's name, then the smallest text and
+    other columns. Rows without a doc_id or without words are nobody's copy."""
+    rows = _components_of(docs.select("doc_id", "text"), k, percent).filter("doc_id is not null")
+    rows = rows.withColumn("stays", (F.col("n") == 0) | (F.col("doc_id") == F.col("component_id")) & (F.col("name") == F.col("first")))
+    by_id = rows.groupBy("doc_id").agg(F.count("*").alias("of"), F.count_if("stays").alias("stay")).filter("stay = 0 or of > 1")
+    by_id = stored(by_id.select(F.col("doc_id").alias("_id"), (F.col("stay") > 0).alias("_some")), "copies")
+    key = F.col("doc_id").cast("long")
+    out = docs.join(by_id, key == F.col("_id"), "left_anti")
+    if not by_id.filter("_some").limit(1).count():
+        return out
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            g, r = sets_of(batch, k)
+            size = np.bincount(r, minlength=batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_names(g, r, size).view(np.int64)), pa.array(size), batch.column("row")], ["doc_id", "name", "n", "row"])
+
+    # Rows that share a doc_id are told apart by their sets' names.
+    several = docs.join(by_id.filter("_some"), key == F.col("_id"), "left_semi").select(key.alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*docs.columns).alias("row"))
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("name", T.LongType()), T.StructField("n", T.LongType()), several.schema["row"]])
+    several = several.mapInArrow(named, schema)
+    first = several.filter("n > 0").join(rows.filter("stays and n > 0").select("doc_id", "name").distinct(), ["doc_id", "name"], "left_semi")
+    first = first.groupBy("doc_id", "name").agg(F.min_by("row", F.struct("row.text", F.to_json("row"))).alias("row"))
+    return out.unionByName(several.filter("n = 0").select("row.*")).unionByName(first.select("row.*"))
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,6 +72,35 @@ def test_class_edges(spark):
     assert sorted((r["doc_id"] is None, r["doc_id"], r["component_id"]) for r in rows) == [(False, 0, 0), (False, 0, 0), (False, 1, 0), (True, None, None)]
 
 
+def shared_ids():
+    """doc_id, text and source: one doc_id at texts of several groups, as the smallest of each, and rows without a doc_id."""
+    one, two, three = prose(11, 80), prose(12, 80), prose(13, 80)
+    change = lambda text, *at: " ".join(f"new{i}" if i in at else w for i, w in enumerate(text.split()))
+    rows = [(1, one), (1, two), (1, two.upper()), (5, one), (6, two), (7, change(one, 2)), (8, change(two, 3)), (3, three), (3, prose(14, 30)), (4, change(three, 79))]
+    rows += [(None, change(three, 0)), (None, change(prose(15, 60), 0)), (20, change(prose(15, 60), 0, 59)), (21, prose(15, 60)), (None, prose(16, 50)), (None, prose(16, 50)), (9, None), (9, " "), (9, one)]
+    return [(d, t, str(i)) for i, (d, t) in enumerate(rows)]
+
+
+def test_one_doc_id_on_different_texts(spark):
+    given = shared_ids()
+    want = brute_classes([t for _, t, _ in given], 3, 80)
+    ids = {}
+    for i, (d, _, _) in enumerate(given):
+        ids.setdefault(want[i][1], []).extend([] if d is None else [d])
+    assert sum(1 in x and len(x) > 2 for x in ids.values()) == 2
+    df = spark.createDataFrame(given, "doc_id long, text string, source string")
+    for parts in (1, 5):
+        got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_classes(df.repartition(parts), 3, 80).collect())
+        assert got == Counter((d, want[i][0], min(ids[want[i][1]], default=None)) for i, (d, _, _) in enumerate(given))
+        left = jaccard_join.without_copies(df.repartition(parts), 3, 80)
+        assert left.columns == df.columns
+        stay = {}
+        for r in left.collect():
+            stay.setdefault(want[int(r["source"])][1], []).append(r["doc_id"])
+        assert {g: sorted(d for d in x if d is not None) for g, x in stay.items()} == {g: x if want[g][0] == 0 else sorted(x)[:1] for g, x in ids.items()}
+        assert sum(None in x for x in stay.values()) == 3 and left.filter("doc_id is null").count() == 4
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(70)] + [(200, 201), (201, 202), (200, 202)], "a long, b long")
     got = {r["id"]: r["label"] for r in jaccard_join.components(edges).collect()}
