@@ -48,8 +48,11 @@ def field_diff(approval: dict, manifest: dict, fields: list[str]) -> list[str]:
     return [f for f in fields if not same(approval.get(f), manifest.get(f))]
 
 
-def member_problems(members: DataFrame) -> DataFrame:
-    """Per archive member (name, size, packed, mode) that breaks a bound: path and problem, the first rule that it breaks."""
+def member_problems(members: DataFrame, archive_bytes: int | None = None) -> DataFrame:
+    """Per archive member (name, size, packed, mode) that breaks a bound: path and problem, the first rule that it breaks.
+
+    A bound that the archive breaks as a whole gives a row without name and path: its compressed size (archive_bytes, or
+    at least its members' packed sizes) and its number of members before the members' rules, their total size after them."""
     path = member_path(F.col("name"))
     seen = members.groupBy(path.alias("path")).agg(F.count("*").alias("n"))
     reason = unsafe_member(F.col("name"))
@@ -57,7 +60,12 @@ def member_problems(members: DataFrame) -> DataFrame:
         F.when(F.col("n") > 1, "duplicate").when(reason.isNotNull(), reason).when(F.col("mode").bitwiseAND(0o170000) == 0o120000, "symlink")
         .when(F.col("size") > MAX_MEMBER_BYTES, "too large").when((F.col("packed") > 0) & (F.col("size") > F.col("packed") * MAX_RATIO), "ratio")
     )
-    return members.withColumn("path", path).join(seen, "path").withColumn("problem", problem).filter("problem is not null").select("name", "path", "problem")
+    each = members.withColumn("path", path).join(seen, "path").withColumn("problem", problem).filter("problem is not null").select("name", "path", "problem")
+    total = lambda c: F.sum(F.col(c).cast("decimal(20,0)"))
+    sums = members.agg(F.count("*").alias("n"), total("size").alias("size"), F.greatest(total("packed"), F.lit(archive_bytes).cast("decimal(20,0)")).alias("packed"))
+    whole = lambda broken, text: sums.filter(broken).select(F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("path"), F.lit(text).alias("problem"))
+    before = whole(F.col("packed") > MAX_TOTAL_BYTES, "archive too large").unionByName(whole(F.col("n") > MAX_MEMBERS, "too many members"))
+    return before.unionByName(each).unionByName(whole(F.col("size") > MAX_TOTAL_BYTES, "total too large"))
 
 
 def foreign_task(files: DataFrame) -> DataFrame:

@@ -121,6 +121,24 @@ def test_archive_members(spark):
     assert got == {"train.jsonl": "duplicate", "./train.jsonl": "duplicate", "../x": "parent traversal", "C:/y": "drive prefix", "/z": "absolute path", "link": "symlink", "bomb": "ratio"}
 
 
+def test_bounds_of_a_whole_archive(spark):
+    def problems(n, size, packed, archive=None):
+        """Of n members, the first of them as large as given."""
+        first = lambda x, c: F.when(F.col("id") == 0, x).otherwise(1).cast("long").alias(c)
+        df = spark.range(n).select(F.concat(F.lit("m"), "id").alias("name"), first(size, "size"), first(packed, "packed"), F.lit(0o100644).alias("mode"))
+        return [(r["name"], r["problem"]) for r in integrity.member_problems(df, archive).collect()]
+
+    assert problems(integrity.MAX_MEMBERS, 1, 1) == [] and problems(integrity.MAX_MEMBERS + 1, 1, 1) == [(None, "too many members")]
+    assert problems(3, 1, (1 << 30) - 2) == [] and problems(3, 1, (1 << 30) - 1) == [(None, "archive too large")]
+    assert problems(3, 1, 1, 1 << 30) == [] and problems(3, 1, 1, (1 << 30) + 1) == [(None, "archive too large")]
+    assert problems(0, 1, 1) == []
+    half, rest = (f"a{i}" for i in range(2)), [("b", 0), ("c", 1)]
+    rows = [(n, 512 << 20, 8 << 20, 0o100644) for n in half]
+    for n, size in rest:
+        df = spark.createDataFrame([*rows, (n, size, 1, 0o100644)], "name string, size long, packed long, mode int")
+        assert [(r["name"], r["problem"]) for r in integrity.member_problems(df).collect()] == ([(None, "total too large")] if size else [])
+
+
 def test_manifest_against_files(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "a.txt").write_text("a")
