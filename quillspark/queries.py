@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -32,6 +34,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, set here only where it is unset (as in llm/common.py, which may be missing)."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        sc = spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(tempfile.mkdtemp(prefix="quillspark-"))
+        where = sc.getCheckpointDir()
+    return where.rstrip("/")
+
+
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per conversation: conv_id and its messages in order of turns."""
     turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
@@ -425,14 +438,39 @@ def adapted_instructions(spark, sf_dir):
     return adapters.adapt("instruction", docs).select("doc_id", F.sha2(F.get("messages", F.lit(0))["content"], 256).alias("asked"), "valid")
 
 
-@query()
+#: Documents as lines of three split files: part and kind of each line. Kinds from 15 on are good lines.
+_PARTS = ["train", "validation", "test"]
+_LINES = """SELECT doc_id, text, CASE WHEN doc_id % 10 = 8 THEN 1 WHEN doc_id % 10 = 9 THEN 2 ELSE 0 END AS part,
+CASE WHEN doc_id % 20011 = 11 THEN -1 ELSE coalesce(doc_id % 23, 15) END AS kind FROM documents"""
+
+
+@query(f"""WITH k AS ({_LINES}),
+l AS (SELECT ['train', 'validation', 'test'][part + 1] AS split, row_number() OVER (PARTITION BY part ORDER BY doc_id NULLS FIRST, text NULLS FIRST) AS line_no, kind,
+  CASE WHEN kind IN (4, 8, 12) THEN 'conversational' WHEN kind = 13 THEN 'instruction' WHEN kind IN (3, 7) OR kind >= 14 THEN 'prompt_completion' ELSE 'none' END AS family FROM k),
+f AS (SELECT split, arg_min(family, line_no) AS first FROM l WHERE family <> 'none' GROUP BY split)
+SELECT split, line_no, family, CASE WHEN kind = -1 THEN 'DATASET_LINE_TOO_LARGE' WHEN kind = 9 THEN 'DATASET_INVALID_UTF8' WHEN kind IN (1, 2, 10, 11) THEN 'DATASET_INVALID_JSON'
+WHEN kind = 5 THEN 'DATASET_SCHEMA_UNKNOWN' WHEN kind = 6 OR family <> first THEN 'DATASET_SCHEMA_MIXED' WHEN kind IN (7, 12) THEN 'DATASET_SCHEMA_UNKNOWN' WHEN kind = 4 THEN 'DATASET_ROLE_INVALID'
+WHEN kind = 3 THEN 'DATASET_TARGET_EMPTY' ELSE 'ok' END AS code FROM l LEFT JOIN f USING (split) WHERE kind <> 0""")
 def jsonl_error_report(spark, sf_dir):
-    """Codes by line of a JSONL file with every kind of bad line, written to the shared folder and read with its line numbers."""
-    import uuid
-
-    lines = ['{"prompt": "a", "completion": "b"}', "", '{"prompt": "a",, }', '[1]', '{"prompt": "a", "completion": "  "}', '{"messages": [{"role": "tool", "content": "x"}]}', '{"question": 1}', '{"prompt": "a", "output": "b"}', '{"prompt": 1, "completion": "b"}', '{"messages": [{"role": "user", "content": "x"}, {"role": "assistant", "content": "y"}]}']
-    where = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/quillspark-shared"
-    path = f"{where.rstrip('/')}/jsonl-{uuid.uuid4().hex}"
-    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
-    got = jsonl.normalize(jsonl.read_lines(spark, {"train": path}))
+    """Codes by line of all documents as JSONL with every kind of bad line, written to the shared folder as sorted part files
+    of each split, and read with the line numbers of the one file that they make up."""
+    lines = spark.sql(_LINES.replace("FROM documents", "FROM {documents}"), documents=_table(spark, sf_dir, "documents"))
+    said = F.regexp_extract(F.to_json(F.array(F.coalesce("text", F.lit("")))), r"(?s)^\[(.*)\]$", 1)
+    line = lambda before, after: F.concat(F.lit(before), said, F.lit(after))
+    good = line('{"prompt": ', ', "completion": "b"}')
+    kinds = {
+        -1: F.concat(F.lit('{"prompt": "'), F.repeat(F.lit("x"), jsonl.MAX_LINE_BYTES), F.lit('", "completion": "b"}')), 0: F.lit(" "), 1: line('{"prompt": ', ",, }"), 2: line("[", "]"), 3: line('{"prompt": ', ', "completion": "  "}'),
+        4: line('{"messages": [{"role": "tool", "content": ', "}]}"), 5: line('{"question": ', "}"), 6: line('{"prompt": ', ', "output": "b"}'), 7: line('{"prompt": 1, "completion": ', "}"),
+        8: line('{"messages": [{"role": "user", "content": ', '}, {"role": "assistant", "content": "y"}]}'), 9: F.concat(good, F.unhex(F.lit("FFFE")).cast("string")), 10: F.concat(good, F.lit(" x")),
+        11: line('{"prompt": "\\ud800", "completion": ', "}"), 12: line('{"messages": [], "id": ', "}"), 13: line('{"instruction": ', ', "input": "", "output": "b"}'), 14: line('{"prompt": ', ', "completion": "b", "messages_": 1}'),
+    }
+    value = good
+    for kind, text_ in kinds.items():
+        value = F.when(F.col("kind") == kind, text_).otherwise(value)
+    path = f"{shared_dir(spark)}/jsonl-{uuid.uuid4().hex}"
+    lines.repartitionByRange("part", "doc_id").sortWithinPartitions("part", "doc_id", "text").select("part", value.alias("value")).write.partitionBy("part").option("lineSep", "\n").text(path)
+    there = [r["part"] for r in lines.select("part").distinct().collect()]  # at most three
+    if not there:
+        return spark.createDataFrame([], "split string, line_no long, family string, code string")
+    got = jsonl.normalize(jsonl.read_lines(spark, {_PARTS[p]: f"{path}/part={p}" for p in sorted(there)}, joined_parts=True))
     return got.select("split", "line_no", F.coalesce("family", F.lit("none")).alias("family"), F.coalesce("code", F.lit("ok")).alias("code"))

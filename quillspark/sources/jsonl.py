@@ -14,19 +14,21 @@ from ..functions.text import MESSAGES, family, messages_code
 MAX_LINE_BYTES = 4 << 20
 
 
-def read_lines(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+def read_lines(spark: SparkSession, paths: dict[str, str], joined_parts: bool = False) -> DataFrame:
     """Rows (split, line_no, value) of text files, value with its bytes as they are; only a newline ends a line.
 
     Lines are numbered from 1 within each file: an input split's first line is the number of lines in the splits before
-    it, so no file passes through one task. What is windowed without a file's rows is one row per input split."""
+    it, so no file passes through one task. What is windowed without a file's rows is one row per input split.
+    joined_parts: a split's files, in order of their paths, are numbered on as the one file that they make up."""
     out = None
     for split, path in paths.items():
         one = spark.read.option("lineSep", "\n").text(path).select(F.lit(split).alias("split"), "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id"))
         out = one if out is None else out.unionByName(one)
     blocks = out.groupBy("split", "_file", "_start").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
-    before = Window.partitionBy("split", "_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    files = Window.partitionBy("split").orderBy("_file", "_start") if joined_parts else Window.partitionBy("split", "_file").orderBy("_start")
+    before = files.rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    joined = out.join(blocks.drop("_n"), ["split", "_file", "_start"])
+    joined = out.join(F.broadcast(blocks.drop("_n")), ["split", "_file", "_start"])  # one row an input split; lines stay where they are read
     # Identifiers are consecutive within a task's input split, so a line's place is the distance to the split's first.
     return joined.select("split", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line_no"), "value")
 
