@@ -1,25 +1,28 @@
 """Scoring by a weighted backoff automaton over words.
 
-States are the root and one state per word (and the text's begin); an arc to the next word's state carries the
-smoothed log10 probability, and where a state has no arc for a word its failure arc's weight leads to the root,
-which knows every training word and one class for all unknown ones. Weights are absolute discounting:
-
-    root:   P(w) = (c(w) - D1) / N, unknown: D1 * V / N
-    state:  P(w | h) = (c(h w) - D2) / c(h) + D2 * n(h) / c(h) * P(w), failure: D2 * n(h) / c(h)
-
-with n(h) the distinct continuations of h and D = n1 / (n1 + 2 n2), at most MOST, from the counts of counts. A text is read from
-left to right once; the state carried is the last word.
-
-No model is collected or broadcast. Documents are stored as chunks of word numbers; each chunk sends its distinct
-words and word pairs with their training counts to the shard that owns them, packed, and gets back their counts
-over the whole corpus, in the order asked: the part of the automaton that its texts can reach. Pairs go to the
-shard of their first word, so that it can count continuations; those of words with more than a thousandth of all
-tokens (at most a thousand words) are spread by the whole pair and the shards' partial counts are summed. Pairs are
-told apart by 48-bit fingerprints within a shard, words by 64-bit hashes.
+States are contexts of up to ORDER - 1 = 2 words: the root, one state for the text's begin and each training word, and
+one for each training pair. A state's arc for a word leads to the state of the longest context that the word leaves
+behind and carries the log10 of the smoothed probability; a word without an arc there takes the state's failure
+arc, whose weight is added and which leads to the context without its first word, down to the root, which knows every
+training word and one class for all others. Weights come from counts by hierarchical Dirichlet smoothing:
+
+    root:       P(w) = (c(w) + 1) / (N + V + 1)
+    arc at h:   P(w | h) = (c(h w) + M P(w | h')) / (c(h) + M)          h': h without its first word
+    failure:    M / (c(h) + M)
+
+with M = MASS[words of h]; so each state's probabilities add up to one. A text is read from left to right once and the
+state is carried. Long texts are cut into segments of SEGMENT words that are read side by side; a later segment reads
+the two words before it first, which leaves it in the state that a single reading would have there.
+
+No model is collected or broadcast. Documents are stored as chunks of word numbers of at most CHUNK_TOKENS tokens (or one
+longer text). Each chunk sends the 64-bit prints of its distinct words, pairs and triples with their training counts to the
+shards that own these prints, packed, and gets back the counts over the whole corpus in the order asked: the part
+of the automaton that its texts can reach. Counts are all that weights need, so no shard holds a context's
+continuations together and none is hot: a word or pair in all texts is one entry a chunk.
 
 Defined results: a null text is empty and has the end token only; a null doc_id counts as held out; rows that
 share a doc_id stay and count each; without training rows every token has probability 1; an empty table gives no
-rows.
+rows; columns other than doc_id, text and train are not looked at.
 """
 
 from __future__ import annotations
@@ -32,15 +35,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, slices, stored, text_bytes, words
+from .common import from_planes, mix, planes, slices, stored, text_bytes, words
 
-#: Bytes of text in a chunk and of text that one shard answers for; a word with more than 1 / HOT of all tokens is spread.
-CHUNK_BYTES, SHARD_BYTES, HOT = 8 << 20, 16 << 20, 1000
-#: A discount is at most this, so that every known word keeps some probability.
-MOST = 0.9
+#: Tokens in a chunk, bytes of text that one shard answers for, words that are read side by side.
+CHUNK_TOKENS, SHARD_BYTES, SEGMENT = 1 << 20, 8 << 20, 256
+#: Weight of the shorter context's distribution, in counts, for contexts of one and two words.
+MASS = {1: 1000.0, 2: 100.0}
 END, BEGIN = np.uint64(0xE4D), np.uint64(0xBE61)
-_CHUNKS = "chunk long, doc_ids array<long>, train binary, n binary, words binary, ids binary, often_words array<long>, often_counts array<long>, n_train long"
-_LOW = np.uint64(0xFFFFFFFF)
+_CHUNKS = "chunk long, doc_ids array<long>, train binary, n binary, words binary, ids binary, n_train long"
+_REQUEST = "chunk long, shard long, prints binary, train binary"
+_ANSWER = "chunk long, shard long, counts binary, known long"
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+_LOW, _KIND = 0xFFFFFFFF, ~np.uint64(3)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,141 +55,188 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def packed() -> pa.RecordBatch:
         word, number = np.unique(np.concatenate(hashes), return_inverse=True)
-        per = np.concatenate(n)
-        learn = np.repeat(np.concatenate(train), per)
-        count = np.bincount(number[learn], minlength=len(word))
-        often = np.flatnonzero(count * HOT > count.sum())
-        row = [chunk, ids, np.concatenate(train).astype(np.uint8).tobytes(), per.astype("<u4").tobytes(), word.tobytes(), number.astype("<u4").tobytes(), word[often].view(np.int64), count[often], int(count.sum())]
-        kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4, *[pa.list_(pa.int64())] * 2, pa.int64()]
+        often = np.argsort(-np.bincount(number), kind="stable")  # frequent words get small numbers, which pack well
+        place = np.empty(len(word), np.int64)
+        place[often] = np.arange(len(word))
+        per, learn = np.concatenate(n), np.concatenate(train)
+        row = [chunk, pa.concat_arrays(ids), learn.astype(np.uint8).tobytes(), per.astype("<u4").tobytes(), word[often].tobytes(), planes(place[number], 4), int(per[learn].sum())]
+        kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4, pa.int64()]
+        row[1] = row[1].to_pylist()
         return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], [c.split()[0] for c in _CHUNKS.split(", ")])
 
     for batch in slices(batches):
         data, at = text_bytes(batch.column("text"))
         h, _, _, where = words(data, at)
+        if seen and seen + len(h) + batch.num_rows > CHUNK_TOKENS:
+            yield packed()
+            chunk, hashes, n, ids, train, seen = chunk + 1, [], [], [], [], 0
         hashes.append(np.insert(h, where[1:], END))
         n.append(np.diff(where) + 1)
-        ids += batch.column("doc_id").to_pylist()
+        ids.append(batch.column("doc_id"))
         train.append(batch.column("train").to_numpy(zero_copy_only=False).astype(bool))
-        seen += len(data)
-        if seen >= CHUNK_BYTES:
-            yield packed()
-            chunk, hashes, n, ids, train, seen = chunk + 1, [], [], [], [], 0
+        seen += len(hashes[-1])
     if ids:
         yield packed()
 
 
-class _Layout:
-    """A chunk's distinct words and word pairs and the order in which shards are asked for them.
-
-    Word number -1 (0 in pairs) is the text's begin.
-    """
-
-    def __init__(self, row: dict, shards: int, hot: np.ndarray) -> None:
-        self.doc_ids = row["doc_ids"]
-        self.train, self.n = np.frombuffer(row["train"], np.uint8).astype(bool), np.frombuffer(row["n"], "<u4").astype(np.int64)
-        self.word, self.id = np.frombuffer(row["words"], "<u8"), np.frombuffer(row["ids"], "<u4").astype(np.int64)
-        before = np.concatenate([[0], self.id[:-1] + 1]) if len(self.id) else self.id
-        before[(np.cumsum(self.n) - self.n)] = 0
-        self.pair, self.pair_id = np.unique((before << 32) | self.id, return_inverse=True)
-        context = np.concatenate([[BEGIN], self.word])
-        first = self.pair >> 32
-        self.print = mix(context[first] * np.uint64(3) + self.word[self.pair & 0xFFFFFFFF]) >> np.uint64(16)
-        place = np.searchsorted(hot, context)
-        is_hot = hot[np.minimum(place, len(hot) - 1)] == context
-        self.hot = np.where(is_hot, place, -1)[first]
-        self.word_shard = (mix(self.word) % np.uint64(shards)).astype(np.int64)
-        home = np.concatenate([[0], self.word_shard])[first]
-        shard = np.where(self.hot >= 0, (self.print % np.uint64(shards)).astype(np.int64), home)
-        # Words by shard; pairs by shard, those of spread words first, then by first word.
-        self.word_order = np.argsort(self.word_shard, kind="stable")
-        self.pair_order = np.lexsort((first, self.hot < 0, shard))
-        self.word_cuts = np.bincount(self.word_shard, minlength=shards)
-        self.pair_cuts = np.bincount(shard, minlength=shards)
-        self.hot_cuts = np.bincount(shard[self.hot >= 0], minlength=shards)
-        self.followers = np.bincount(first[self.hot < 0], minlength=len(context))[1:]
-
-
-def _ask(shards: int, hot: np.ndarray):
-    names = ["chunk", "shard", "words", "word_train", "followers", "prints_low", "prints_high", "pair_train", "hot"]
-    schema = pa.schema([("chunk", pa.int64()), ("shard", pa.int32())] + [(n, pa.binary()) for n in names[2:]])
+class Grams:
+    """A chunk's distinct words, pairs and triples, their prints, and where each token's stand."""
+
+    def __init__(self, word: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
+        self.word, self.ids, self.n = word, ids, n
+        opens = np.zeros(len(ids), bool)
+        opens[np.cumsum(n) - n] = True
+        before = np.concatenate([[0], ids[:-1] + 1])  # 0 is the text's begin
+        before[opens] = 0
+        self.pair, self.pair_at = np.unique((before << 32) | ids, return_inverse=True)
+        self.inner = np.flatnonzero(~opens)
+        self.triple, self.triple_at = np.unique((self.pair_at[self.inner - 1] << 32) | ids[self.inner], return_inverse=True)
+        context = np.concatenate([[BEGIN], word])
+        pair = mix(context[self.pair >> 32] * np.uint64(3) + word[self.pair & _LOW])
+        triple = mix(pair[self.triple >> 32] * np.uint64(5) + word[self.triple & _LOW])
+        # The last two bits tell words, pairs and triples apart.
+        self.prints = np.concatenate([h & _KIND | np.uint64(k) for k, h in enumerate((word, pair, triple), 1)])
+        self.order = np.argsort(self.prints)
+
+    def counted(self, learn: np.ndarray) -> np.ndarray:
+        """How often each stands in the tokens for which learn is true."""
+        parts = ((self.ids[learn], self.word), (self.pair_at[learn], self.pair), (self.triple_at[learn[self.inner]], self.triple))
+        return np.concatenate([np.bincount(at, minlength=len(of)) for at, of in parts])
+
+
+def _unpack(row: dict) -> tuple[np.ndarray, Grams]:
+    n = np.frombuffer(row["n"], "<u4").astype(np.int64)
+    return np.frombuffer(row["train"], np.uint8).astype(bool), Grams(np.frombuffer(row["words"], "<u8"), from_planes(row["ids"], 4).astype(np.int64), n)
+
+
+def _shard_start(shard: np.ndarray, shards: int) -> np.ndarray:
+    """The least print of each shard; shards are ranges of prints."""
+    return np.array([((int(s) << 32) // shards + ((int(s) << 32) % shards > 0)) << 32 for s in shard], np.uint64)
+
+
+def _ask(shards: int):
+    schema = pa.schema([("chunk", pa.int64()), ("shard", pa.int64()), ("prints", pa.binary()), ("train", pa.binary())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                x = _Layout(row, shards, hot)
-                learn = np.repeat(x.train, x.n)
-                word_train = np.bincount(x.id[learn], minlength=len(x.word))[x.word_order].astype("<u4")
-                pair_train = np.bincount(x.pair_id[learn], minlength=len(x.pair))[x.pair_order].astype("<u4")
-                word, follow = x.word[x.word_order], x.followers[x.word_order].astype("<u4")
-                prints, which = x.print[x.pair_order], x.hot[x.pair_order].astype("<u2")
-                w, p = np.concatenate([[0], np.cumsum(x.word_cuts)]), np.concatenate([[0], np.cumsum(x.pair_cuts)])
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in ("chunk", "train", "n", "words", "ids")}
+                train, x = _unpack(row)
+                counts = x.counted(np.repeat(train, x.n))[x.order]
+                prints = x.prints[x.order]
+                shard = ((prints >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+                first = np.flatnonzero(np.diff(shard, prepend=np.uint64(shards)))  # a chunk asks only the shards that own some of its prints
+                step = np.diff(prints, prepend=np.uint64(0))
+                step[first] = prints[first] - _shard_start(shard[first], shards)
                 rows = []
-                for s in np.flatnonzero(x.word_cuts + x.pair_cuts).tolist():  # a chunk asks only those that own some of its words or pairs
-                    a, b, c, d = w[s], w[s + 1], p[s], p[s + 1]
-                    rows.append((row["chunk"], s, word[a:b].tobytes(), word_train[a:b].tobytes(), follow[a:b].tobytes(), (prints[c:d] & _LOW).astype("<u4").tobytes(), (prints[c:d] >> np.uint64(32)).astype("<u2").tobytes(), pair_train[c:d].tobytes(), which[c : c + x.hot_cuts[s]].tobytes()))
+                for a, b in zip(first.tolist(), [*first[1:].tolist(), len(prints)]):
+                    narrow = int(step[a:b].max()) >> 48 == 0  # steps between sorted prints mostly need six bytes
+                    rows.append((row["chunk"], int(shard[a]), planes(step[a:b], 6 if narrow else 8), planes(counts[a:b], 4)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return work, "chunk long, shard int, " + ", ".join(f"{n} binary" for n in names[2:])
-
+    return work
 
-_ANSWER = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), ("word_count", pa.binary()), ("followers", pa.binary()), ("pair_count", pa.binary()), ("stats", pa.list_(pa.int64())), ("hot_followers", pa.list_(pa.int64()))])
 
+def _answer(shards: int):
+    schema = pa.schema([("chunk", pa.int64()), ("shard", pa.int64()), ("counts", pa.binary()), ("known", pa.int64())])
 
-def _answer(n_hot: int):
     def work(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        cat = lambda name, kind: np.concatenate([np.frombuffer(r[name], kind) for r in rows])
-        word, word_at = np.unique(cat("words", "<u8"), return_inverse=True)
-        count = np.bincount(word_at, cat("word_train", "<u4"), len(word)).astype(np.int64)
-        prints = cat("prints_low", "<u4").astype(np.uint64) | (cat("prints_high", "<u2").astype(np.uint64) << np.uint64(32))
-        owner, at = [], 0  # the word of each pair; below 0 for spread words
-        for r in rows:
-            follow = np.frombuffer(r["followers"], "<u4")
-            owner += [-1 - np.frombuffer(r["hot"], "<u2").astype(np.int64), np.repeat(word_at[at : at + len(follow)], follow)]
-            at += len(follow)
-        pair, first, pair_at = np.unique(prints, return_index=True, return_inverse=True)
-        times = np.bincount(pair_at, cat("pair_train", "<u4"), len(pair)).astype(np.int64)
-        known = np.concatenate(owner)[first][times > 0] if len(pair) else np.zeros(0, np.int64)
-        follow = np.bincount(known[known >= 0], minlength=len(word))
-        spread = np.bincount(-1 - known[known < 0], minlength=n_hot)
-        stats = [int(count.sum()), int((count > 0).sum()), int((count == 1).sum()), int((count == 2).sum()), int((times == 1).sum()), int((times == 2).sum())]
-        out, w, p = [], 0, 0
-        for i, r in enumerate(rows):
-            a, b = len(r["words"]) // 8, len(r["prints_low"]) // 4
-            x, y = word_at[w : w + a], pair_at[p : p + b]
-            out.append({"chunk": r["chunk"], "shard": r["shard"], "word_count": count[x].astype("<u8").tobytes(), "followers": follow[x].astype("<u4").tobytes(), "pair_count": times[y].astype("<u4").tobytes(), "stats": stats if i == 0 else None, "hot_followers": spread if i == 0 else None})
-            w, p = w + a, p + b
-        return pa.Table.from_pylist(out, _ANSWER)
+        table = table.combine_chunks()
+        start = _shard_start([table.column("shard")[0].as_py()], shards)[0]
+        prints, train = [], []
+        for p, c in zip(table.column("prints"), table.column("train")):
+            train.append(from_planes(c.as_buffer(), 4).astype(np.int64))
+            prints.append(np.cumsum(from_planes(p.as_buffer(), len(p.as_buffer()) // len(train[-1]))) + start)
+        size = np.cumsum([0, *map(len, train)])
+        each, at = np.unique(np.concatenate(prints), return_inverse=True)
+        total = np.bincount(at, np.concatenate(train), len(each)).astype(np.int64)
+        known = int(np.count_nonzero((each & np.uint64(3) == 1) & (total > 0)))
+        counts = [planes(total[at[a:b]], 5) for a, b in zip(size[:-1], size[1:])]
+        columns = [table.column("chunk"), table.column("shard"), pa.array(counts, pa.binary()), pa.array([known] + [None] * (len(counts) - 1), pa.int64())]
+        return pa.Table.from_arrays(columns, schema=schema)
 
     return work
 
 
-def _traverse(stats: dict, shards: int, hot: np.ndarray, hot_followers: np.ndarray):
-    n, v = stats["n"], stats["v"]
-    d1, d2 = (min(MOST, stats[one] / (stats[one] + 2 * stats[two])) if stats[one] else 0.5 for one, two in (("w1", "w2"), ("p1", "p2")))
-    texts = stats["texts"]
-
+class Automaton:
+    """The states that a chunk's texts can reach: 0 the root, 1 the text's begin, then its words and its pairs.
+
+    counts: of grams' words, pairs and triples in the training texts; n, v and texts: all training tokens, distinct words
+    and texts. Arcs are sorted by (state, word)."""
+
+    def __init__(self, grams: Grams, counts: np.ndarray, n: int, v: int, texts: int) -> None:
+        w, p = len(grams.word), len(grams.pair)
+        word, pair, triple = counts[:w].astype(np.float64), counts[w : w + p].astype(np.float64), counts[w + p :].astype(np.float64)
+        held = np.concatenate([[texts], word])  # how often each one-word context stands
+        before, last = grams.pair >> 32, grams.pair & _LOW
+        behind = np.zeros(len(triple), np.int64)  # the pair that a triple ends in
+        behind[grams.triple_at] = grams.pair_at[grams.inner]
+        base = (word + 1) / (n + v + 1)
+        one, two = MASS[1], MASS[2]
+        after_one = (pair + one * base[last]) / (held[before] + one)
+        after_two = (triple + two * after_one[behind]) / (pair[grams.triple >> 32] + two)
+        pair_state = np.where(pair > 0, 2 + w + np.arange(p), 0)
+        seen, seen3 = pair > 0, triple > 0
+        key = np.concatenate([(((before + 1) << 32) | last)[seen], (((2 + w + (grams.triple >> 32)) << 32) | (grams.triple & _LOW))[seen3]])
+        self.key = np.append(key, np.iinfo(np.int64).max)
+        self.weight = np.append(np.log10(np.concatenate([after_one[seen], after_two[seen3]])), 0)
+        self.target = np.append(np.concatenate([pair_state[seen], pair_state[behind[seen3]]]), 0)
+        self.root = np.log10(base)
+        self.word_state = np.where(word > 0, 2 + np.arange(w), 0)
+        self.failure = np.log10(np.concatenate([[1], one / (held + one), two / (pair + two)]))
+        self.fails_to = np.concatenate([np.zeros(2 + w, np.int64), 2 + last])
+        self.start = 1 if texts else 0
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states and weights of reading one word in each state."""
+        state, target, weight = state.copy(), self.word_state[word], np.zeros(len(word))
+        fell = np.ones(len(word), bool)
+        moving = np.flatnonzero(state)
+        while len(moving):
+            key = (state[moving] << 32) | word[moving]
+            at = np.searchsorted(self.key, key)
+            found = self.key[at] == key
+            hit, miss = moving[found], moving[~found]
+            weight[hit] += self.weight[at[found]]
+            target[hit], fell[hit] = self.target[at[found]], False
+            weight[miss] += self.failure[state[miss]]
+            state[miss] = self.fails_to[state[miss]]
+            moving = miss[state[miss] > 0]
+        weight[fell] += self.root[word[fell]]
+        return target, weight
+
+    def read(self, ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The sum of weights of each text; n: how many of the ids each has."""
+        per = -(-n // SEGMENT)
+        text = np.repeat(np.arange(len(n)), per)
+        part = np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per)
+        warm = np.where(part > 0, 2, 0)
+        length = np.minimum(SEGMENT, n[text] - part * SEGMENT) + warm
+        order = np.argsort(-length, kind="stable")
+        text, part, warm, length = text[order], part[order], warm[order], length[order]
+        at = (np.cumsum(n) - n)[text] + part * SEGMENT - warm
+        state, sums = np.where(part > 0, 0, self.start), np.zeros(len(text))
+        open_ = np.searchsorted(-length, -np.arange(int(length[0]) if len(length) else 0), "left")
+        for j, m in enumerate(open_.tolist()):  # the first m segments have a word j
+            state[:m], weight = self.step(state[:m], ids[at[:m] + j])
+            sums[:m] += np.where(warm[:m] > j, 0.0, weight)
+        return np.bincount(text, sums, len(n))
+
+
+def _traverse(n: int, v: int, texts: int):
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
-        for row in left.to_pylist():
-            x = _Layout(row, shards, hot)
-            answers = sorted(right.to_pylist(), key=lambda r: r["shard"])
-            count, follow, times = np.empty(len(x.word)), np.empty(len(x.word)), np.empty(len(x.pair))
-            count[x.word_order] = np.concatenate([np.frombuffer(r["word_count"], "<u8") for r in answers])
-            follow[x.word_order] = np.concatenate([np.frombuffer(r["followers"], "<u4") for r in answers])
-            times[x.pair_order] = np.concatenate([np.frombuffer(r["pair_count"], "<u4") for r in answers])
-            contexts = np.concatenate([[BEGIN], x.word])
-            seen, after = np.concatenate([[texts], count]), np.concatenate([[0], follow])
-            place = np.minimum(np.searchsorted(hot, contexts), len(hot) - 1)
-            after = np.where(hot[place] == contexts, hot_followers[place], after)
-            # Weights of the arcs that these texts can take.
-            root = np.where(count > 0, (count - d1) / max(n, 1), d1 * v / n if n else 1.0)
-            failure = np.where(seen > 0, d2 * after / np.maximum(seen, 1), 1.0)
-            h, w = x.pair >> 32, x.pair & 0xFFFFFFFF
-            arc = np.log10(np.maximum(times - d2, 0) / np.maximum(seen[h], 1) + failure[h] * root[w])
-            steps, unigram, known = arc[x.pair_id], np.log10((count + 1) / (n + v + 1))[x.id], (count > 0)[x.id]
+        for row in left.to_pylist():  # one row
+            train, x = _unpack(row)
+            by_shard = np.argsort(right.column("shard").to_numpy())
+            parts = right.column("counts").combine_chunks()
+            counts = np.empty(len(x.prints), np.int64)
+            counts[x.order] = np.concatenate([from_planes(parts[i].as_buffer(), 5) for i in by_shard.tolist()])
+            word = counts[: len(x.word)]
+            automaton = Automaton(x, counts, n, v, texts)
             at = np.cumsum(x.n) - x.n
-            out.append(pa.table({"doc_id": pa.array(x.doc_ids, pa.int64()), "held_out": ~x.train, "n_tokens": x.n, "n_known": np.add.reduceat(known.astype(np.int64), at), "train_tokens": np.full(len(at), n, np.int64), "base_score": np.add.reduceat(unigram, at), "score": np.add.reduceat(steps, at)}))
+            known, base = np.add.reduceat((word > 0)[x.ids].astype(np.int64), at), np.add.reduceat(automaton.root[x.ids], at)
+            out.append(pa.table({"doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": ~train, "n_tokens": x.n, "n_known": known, "train_tokens": np.full(len(at), n, np.int64), "base_score": base, "score": automaton.read(x.ids, x.n)}))
         return pa.concat_tables(out)
 
     return work
@@ -193,24 +246,14 @@ def score_texts(docs: DataFrame) -> DataFrame:
     """Per document of docs (doc_id, text, train): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(F.col("train"), F.lit(False)).alias("train"))
     chunks = stored(docs.mapInArrow(_chunks, _CHUNKS), "lm-chunks")
-    total = docs.agg(F.sum(F.octet_length("text")).alias("n"), F.count_if("train").alias("texts")).first()
-    shards = max(1, -(-(total["n"] or 0) // SHARD_BYTES))
+    total = docs.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count_if("train").alias("texts")).first()
+    shards = max(1, -(-(total["bytes"] or 0) // SHARD_BYTES))
     tokens = chunks.agg(F.sum("n_train").alias("n")).first()["n"] or 0
-    often = chunks.select(F.explode(F.arrays_zip("often_words", "often_counts")).alias("o")).groupBy("o.often_words").agg(F.sum("o.often_counts").alias("n"))
-    hot = [r["often_words"] for r in often.filter(F.col("n") * HOT > tokens).collect()]  # fewer than HOT rows
-    hot = np.sort(np.array([int(BEGIN), *(h % (1 << 64) for h in hot)], np.uint64))
-    ask, schema = _ask(shards, hot)
-    answers = chunks.mapInArrow(ask, schema).groupBy("shard").applyInArrow(_answer(len(hot)), "chunk long, shard int, word_count binary, followers binary, pair_count binary, stats array<long>, hot_followers array<long>")
-    answers = stored(answers, "lm-answers")
-    names = ("n", "v", "w1", "w2", "p1", "p2")
-    sums = answers.agg(*(F.sum(F.get("stats", F.lit(i))).alias(n) for i, n in enumerate(names))).first()
-    stats = {n: sums[n] or 0 for n in names} | {"texts": total["texts"]}
-    followers = np.zeros(len(hot), np.int64)
-    for r in answers.select(F.posexplode("hot_followers").alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n")).collect():  # as many rows as hot words
-        followers[r["at"]] = r["n"]
-    columns = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    answers = answers.drop("stats", "hot_followers")
-    return chunks.select("chunk", "doc_ids", "train", "n", "words", "ids").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_traverse(stats, shards, hot, followers), columns)
+    asked = chunks.select("chunk", "train", "n", "words", "ids").mapInArrow(_ask(shards), _REQUEST)
+    answers = stored(asked.groupBy("shard").applyInArrow(_answer(shards), _ANSWER), "lm-answers")
+    known = answers.agg(F.sum("known").alias("v")).first()["v"] or 0
+    read = _traverse(tokens, known, total["texts"])
+    return chunks.drop("n_train").groupBy("chunk").cogroup(answers.drop("known").groupBy("chunk")).applyInArrow(read, _SCORES)
 
 
 def op9_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

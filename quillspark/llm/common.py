@@ -69,6 +69,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def planes(x: np.ndarray, width: int) -> bytes:
+    """The low width bytes of unsigned numbers, all first bytes, then all second ones: packs well where high ones are zero."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def from_planes(data: bytes | pa.Buffer, width: int) -> np.ndarray:
+    """The numbers of planes."""
+    parts = np.frombuffer(data, np.uint8).reshape(width, -1)
+    out = np.zeros((parts.shape[1], 8), np.uint8)
+    out[:, :width] = parts.T
+    return out.view("<u8").ravel()
+
+
 _STEP = 0x9E3779B97F4A7C15
 _LETTER = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_STEP))
 #: A to Z as their lower case, other bytes as they are.

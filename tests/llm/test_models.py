@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,27 +74,29 @@ def test_pii_plan_has_no_python(spark):
 
 
 def brute_scores(texts, train):
+    """By recursion over contexts, without an automaton."""
     tokens = [[*words(t), "\n"] for t in texts]
-    c, b, h = Counter(), Counter(), Counter()
+    c, b, t3 = Counter(), Counter(), Counter()
+    starts = 0
     for t, learn in zip(tokens, train):
         if learn:
+            starts += 1
             c.update(t)
-            for p, w in zip(["", *t], t):
-                b[p, w] += 1
-                h[p] += 1
+            b.update(zip(["", *t], t))
+            t3.update(zip(["", *t], t, t[1:]))
     n, v = sum(c.values()), len(c)
+    c[""] = starts
 
-    def discount(k):
-        one, two = sum(x == 1 for x in k.values()), sum(x == 2 for x in k.values())
-        return min(0.9, one / (one + 2 * two)) if one else 0.5
+    def p(w, *h):
+        if not h:
+            return ((c[w] if w else 0) + 1) / (n + v + 1)
+        held, joint = (c[h[0]], b[*h, w]) if len(h) == 1 else (b[h], t3[*h, w])
+        mass = backoff_lm.MASS[len(h)]
+        return (joint + mass * p(w, *h[1:])) / (held + mass) if held else p(w, *h[1:])
 
-    d1, d2, follow = discount(c), discount(b), Counter(p for p, _ in b)
     out = []
     for t in tokens:
-        score = 0.0
-        for p, w in zip(["", *t], t):
-            root = (c[w] - d1) / n if c[w] else d1 * v / n if n else 1.0
-            score += math.log10(max(b[p, w] - d2, 0) / h[p] + d2 * follow[p] / h[p] * root if h[p] else root)
+        score = sum(math.log10(p(w, *["", *t][max(0, i - 1) : i + 1])) for i, w in enumerate(t))
         out.append((len(t), sum(c[w] > 0 for w in t), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t), score))
     return out
 
@@ -101,32 +104,67 @@ def brute_scores(texts, train):
 @pytest.mark.parametrize("small", [False, True])
 def test_backoff_scores(spark, monkeypatch, small):
     if small:
-        monkeypatch.setattr(backoff_lm, "CHUNK_BYTES", 2000)
+        monkeypatch.setattr(backoff_lm, "CHUNK_TOKENS", 300)
         monkeypatch.setattr(backoff_lm, "SHARD_BYTES", 3000)
-        monkeypatch.setattr(backoff_lm, "HOT", 40)
-    texts = ODD[:13] + [prose(i % 9, 50) for i in range(40)]
+        monkeypatch.setattr(backoff_lm, "SEGMENT", 5)
+    texts = ODD[:13] + [prose(i % 9, 50) for i in range(40)] + ["two words", "one two words more"]
     train = [i % 4 != 2 for i in range(len(texts))]
     df = documents(spark, texts).withColumn("train", F.col("doc_id") % 4 != 2).repartition(3)
     rows = {r["doc_id"]: r for r in backoff_lm.score_texts(df).collect()}
+    assert len(rows) == len(texts)
     for i, want in enumerate(brute_scores(texts, train)):
         assert rows[i]["held_out"] == (not train[i])
         assert tuple(rows[i])[2:] == pytest.approx(want, rel=1e-9)
 
 
+def small_automaton():
+    texts = [prose(i % 4, 40) for i in range(8)] + ["unknown words of the test"]
+    tokens = [[*words(t), "\n"] for t in texts]
+    names = sorted({w for t in tokens for w in t})
+    ids, n = np.array([names.index(w) for t in tokens for w in t]), np.array([len(t) for t in tokens])
+    grams = backoff_lm.Grams(np.arange(1, len(names) + 1, dtype=np.uint64) * np.uint64(1 << 40), ids, n)
+    learn = np.repeat(np.arange(len(n)) < 8, n)
+    counts = grams.counted(learn)
+    return grams, counts, backoff_lm.Automaton(grams, counts, int(learn.sum()), int((counts[: len(names)] > 0).sum()), 8)
+
+
 def test_backoff_probabilities_sum_to_one():
-    texts = [prose(i, 30) for i in range(6)]
-    c, b, h = Counter(), Counter(), Counter()
-    for t in texts:
-        t = [*words(t), "\n"]
-        c.update(t)
-        for p, w in zip(["", *t], t):
-            b[p, w] += 1
-            h[p] += 1
-    n, v = sum(c.values()), len(c)
-    root = {w: (k - 0.5) / n for w, k in c.items()} | {None: 0.5 * v / n}
-    follow = Counter(p for p, _ in b)
-    for p in h:
-        assert sum(max(b[p, w] - 0.5, 0) / h[p] + 0.5 * follow[p] / h[p] * r for w, r in root.items()) == pytest.approx(1)
+    grams, counts, a = small_automaton()
+    known = np.flatnonzero(counts[: len(grams.word)])
+    assert len(a.key) > 100 and (np.diff(a.key) > 0).all()
+    unknown = 1 / (counts[known].sum() + len(known) + 1)
+    for state in {0, *(a.key[:-1] >> 32).tolist()}:
+        _, weight = a.step(np.full(len(known), state), known)
+        rest, s = math.log10(unknown), state
+        while s:
+            rest, s = rest + a.failure[s], a.fails_to[s]
+        assert (10**weight).sum() + 10**rest == pytest.approx(1)
+
+
+def test_arcs_lead_to_the_longest_context_and_failures_to_shorter_ones():
+    grams, counts, a = small_automaton()
+    w = len(grams.word)
+
+    def context(state):
+        if state >= 2 + w:
+            before, last = int(grams.pair[state - 2 - w] >> 32), int(grams.pair[state - 2 - w] & 0xFFFFFFFF)
+            return before - 1, last
+        return () if state == 0 else (-1,) if state == 1 else (state - 2,)
+
+    states = {context(s) for s in {0, 1, *a.target.tolist(), *a.word_state.tolist()}}
+    for s in set(a.target.tolist()) - {0}:
+        assert context(a.fails_to[s]) == context(s)[1:]
+    for key, target in zip(a.key[:-1].tolist(), a.target.tolist()):
+        full = (*context(key >> 32), key & 0xFFFFFFFF)
+        assert context(target) == next(full[i:] for i in range(max(0, len(full) - 2), len(full) + 1) if full[i:] in states)
+
+
+def test_segments_carry_the_state(monkeypatch):
+    grams, _, a = small_automaton()
+    whole = a.read(grams.ids, grams.n)
+    for size in (2, 3, 7):
+        monkeypatch.setattr(backoff_lm, "SEGMENT", size)
+        assert a.read(grams.ids, grams.n) == pytest.approx(whole, rel=1e-12)
 
 
 def test_backoff_edges(spark):
