@@ -146,7 +146,7 @@ def _answer(shards: int):
         prints, train = [], []
         for p, c in zip(table.column("prints"), table.column("train")):
             train.append(from_planes(c.as_buffer(), 4).astype(np.int64))
-            prints.append(np.cumsum(from_planes(p.as_buffer(), len(p.as_buffer()) // len(train[-1]))) + start)
+            prints.append(np.cumsum(from_planes(p.as_buffer(), n=len(train[-1]))) + start)
         size = np.cumsum([0, *map(len, train)])
         each, at = np.unique(np.concatenate(prints), return_inverse=True)
         total = np.bincount(at, np.concatenate(train), len(each)).astype(np.int64)

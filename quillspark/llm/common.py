@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one vectorised step looks at.
@@ -70,15 +71,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def planes(x: np.ndarray, width: int) -> bytes:
-    """The low width bytes of unsigned numbers, all first bytes, then all second ones: packs well where high ones are zero."""
-    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    """The low width bytes of unsigned numbers, compressed: all first bytes, then all second ones, and so on."""
+    return zstandard.compress(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes(), 1)
 
 
-def from_planes(data: bytes | pa.Buffer, width: int) -> np.ndarray:
-    """The numbers of planes."""
-    parts = np.frombuffer(data, np.uint8).reshape(width, -1)
+def from_planes(data: bytes | pa.Buffer, width: int | None = None, n: int | None = None) -> np.ndarray:
+    """The numbers of planes, of known width or known number."""
+    parts = np.frombuffer(zstandard.decompress(data), np.uint8)
+    parts = parts.reshape(width, -1) if width else parts.reshape(-1, n)
     out = np.zeros((parts.shape[1], 8), np.uint8)
-    out[:, :width] = parts.T
+    out[:, : len(parts)] = parts.T
     return out.view("<u8").ravel()
 
 
