@@ -14,8 +14,9 @@ with M = MASS[words of h]; so each state's probabilities add up to one. A text i
 state is carried. Long texts are cut into segments of SEGMENT words that are read side by side; a later segment reads
 the two words before it first, which leaves it in the state that a single reading would have there.
 
-No model is collected or broadcast. Documents are stored as chunks of word numbers of at most CHUNK_TOKENS tokens (or one
-longer text). Each chunk sends the 64-bit prints of its distinct words, pairs and triples with their training counts to the
+No model is collected or broadcast. Documents are taken in chunks of at most CHUNK_TOKENS tokens (or one longer
+text), by their order in the table, which is read twice: to ask and to score; docs must be a table or another source whose
+partitions give the same rows in the same order again, which is checked by a sum over each answer. Each chunk sends the 64-bit prints of its distinct words, pairs and triples with their training counts to the
 shards that own these prints, packed, and gets back the counts over the whole corpus in the order asked: the part
 of the automaton that its texts can reach. Counts are all that weights need, so no shard holds a context's
 continuations together and none is hot: a word or pair in all texts is one entry a chunk.
@@ -27,6 +28,7 @@ rows; columns other than doc_id, text and train are not looked at.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,9 +44,9 @@ CHUNK_TOKENS, SHARD_BYTES, SEGMENT = 1 << 20, 8 << 20, 256
 #: Weight of the shorter context's distribution, in counts, for contexts of one and two words.
 MASS = {1: 1000.0, 2: 100.0}
 END, BEGIN = np.uint64(0xE4D), np.uint64(0xBE61)
-_CHUNKS = "chunk long, doc_ids array<long>, train binary, n binary, words binary, ids binary, n_train long"
-_REQUEST = "chunk long, shard long, prints binary, train binary"
-_ANSWER = "chunk long, shard long, counts binary, known long"
+_CHUNK = "chunk long, doc_ids array<long>, train binary, n binary, words binary, ids binary"
+_REQUEST = "chunk long, shard long, sum long, prints binary, train binary"
+_ANSWER = "chunk long, shard long, sum long, counts binary, tokens long, known long"
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 _LOW, _KIND = 0xFFFFFFFF, ~np.uint64(3)
 
@@ -58,11 +60,9 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = np.argsort(-np.bincount(number), kind="stable")  # frequent words get small numbers, which pack well
         place = np.empty(len(word), np.int64)
         place[often] = np.arange(len(word))
-        per, learn = np.concatenate(n), np.concatenate(train)
-        row = [chunk, pa.concat_arrays(ids), learn.astype(np.uint8).tobytes(), per.astype("<u4").tobytes(), word[often].tobytes(), planes(place[number], 4), int(per[learn].sum())]
-        kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4, pa.int64()]
-        row[1] = row[1].to_pylist()
-        return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], [c.split()[0] for c in _CHUNKS.split(", ")])
+        row = [chunk, pa.concat_arrays(ids).to_pylist(), np.concatenate(train).astype(np.uint8).tobytes(), np.concatenate(n).astype("<u4").tobytes(), word[often].tobytes(), planes(place[number], 4)]
+        kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4]
+        return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], [c.split()[0] for c in _CHUNK.split(", ")])
 
     for batch in slices(batches):
         data, at = text_bytes(batch.column("text"))
@@ -79,81 +79,88 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield packed()
 
 
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the place of each key among them."""
+    each, at = np.unique(keys, return_inverse=True)
+    return each, at.astype(np.int32)
+
+
 class Grams:
     """A chunk's distinct words, pairs and triples, their prints, and where each token's stand."""
 
     def __init__(self, word: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
-        self.word, self.ids, self.n = word, ids, n
+        self.word, self.ids, self.n = word, ids.astype(np.int32), n
         opens = np.zeros(len(ids), bool)
         opens[np.cumsum(n) - n] = True
-        before = np.concatenate([[0], ids[:-1] + 1])  # 0 is the text's begin
+        before = np.concatenate([[0], self.ids[:-1].astype(np.int64) + 1])  # 0 is the text's begin
         before[opens] = 0
-        self.pair, self.pair_at = np.unique((before << 32) | ids, return_inverse=True)
-        self.inner = np.flatnonzero(~opens)
-        self.triple, self.triple_at = np.unique((self.pair_at[self.inner - 1] << 32) | ids[self.inner], return_inverse=True)
+        self.pair, self.pair_at = _numbered((before << 32) | self.ids)
+        self.inner = np.flatnonzero(~opens).astype(np.int32)
+        self.triple, self.triple_at = _numbered((self.pair_at[self.inner - 1].astype(np.int64) << 32) | self.ids[self.inner])
         context = np.concatenate([[BEGIN], word])
         pair = mix(context[self.pair >> 32] * np.uint64(3) + word[self.pair & _LOW])
         triple = mix(pair[self.triple >> 32] * np.uint64(5) + word[self.triple & _LOW])
         # The last two bits tell words, pairs and triples apart.
-        self.prints = np.concatenate([h & _KIND | np.uint64(k) for k, h in enumerate((word, pair, triple), 1)])
-        self.order = np.argsort(self.prints)
+        prints = np.concatenate([h & _KIND | np.uint64(k) for k, h in enumerate((word, pair, triple), 1)])
+        self.order = np.argsort(prints).astype(np.int32)
+        self.prints = prints[self.order]
 
     def counted(self, learn: np.ndarray) -> np.ndarray:
-        """How often each stands in the tokens for which learn is true."""
+        """How often each stands in the tokens for which learn is true: words, pairs, triples."""
         parts = ((self.ids[learn], self.word), (self.pair_at[learn], self.pair), (self.triple_at[learn[self.inner]], self.triple))
         return np.concatenate([np.bincount(at, minlength=len(of)) for at, of in parts])
 
+    def requests(self, shards: int) -> Iterator[tuple[int, int, int]]:
+        """Shard, begin and end of the sorted prints that it owns, of those shards that own some."""
+        shard = ((self.prints >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+        first = np.flatnonzero(np.diff(shard, prepend=np.uint64(shards)))
+        return zip(shard[first].astype(int).tolist(), first.tolist(), [*first[1:].tolist(), len(shard)])
+
 
-def _unpack(row: dict) -> tuple[np.ndarray, Grams]:
-    n = np.frombuffer(row["n"], "<u4").astype(np.int64)
-    return np.frombuffer(row["train"], np.uint8).astype(bool), Grams(np.frombuffer(row["words"], "<u8"), from_planes(row["ids"], 4).astype(np.int64), n)
+def _unpack(chunk: pa.RecordBatch | pa.Table) -> tuple[list, np.ndarray, Grams]:
+    """doc_ids, train and n-grams of a single row."""
+    row = {c: chunk.column(c)[0] for c in ("doc_ids", "train", "n", "words", "ids")}
+    read = lambda c, kind: np.frombuffer(row[c].as_buffer(), kind)
+    return row["doc_ids"].as_py(), read("train", np.uint8).astype(bool), Grams(read("words", "<u8"), from_planes(row["ids"].as_buffer(), 4), read("n", "<u4").astype(np.int64))
 
 
-def _shard_start(shard: np.ndarray, shards: int) -> np.ndarray:
-    """The least print of each shard; shards are ranges of prints."""
-    return np.array([((int(s) << 32) // shards + ((int(s) << 32) % shards > 0)) << 32 for s in shard], np.uint64)
+def _start(shard: int, shards: int) -> np.uint64:
+    """The least print of a shard; shards are ranges of prints."""
+    return np.uint64((-((-shard << 32) // shards)) << 32)
 
 
 def _ask(shards: int):
-    schema = pa.schema([("chunk", pa.int64()), ("shard", pa.int64()), ("prints", pa.binary()), ("train", pa.binary())])
+    schema = pa.schema([*((c, pa.int64()) for c in ("chunk", "shard", "sum")), ("prints", pa.binary()), ("train", pa.binary())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in ("chunk", "train", "n", "words", "ids")}
-                train, x = _unpack(row)
-                counts = x.counted(np.repeat(train, x.n))[x.order]
-                prints = x.prints[x.order]
-                shard = ((prints >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
-                first = np.flatnonzero(np.diff(shard, prepend=np.uint64(shards)))  # a chunk asks only the shards that own some of its prints
-                step = np.diff(prints, prepend=np.uint64(0))
-                step[first] = prints[first] - _shard_start(shard[first], shards)
-                rows = []
-                for a, b in zip(first.tolist(), [*first[1:].tolist(), len(prints)]):
-                    narrow = int(step[a:b].max()) >> 48 == 0  # steps between sorted prints mostly need six bytes
-                    rows.append((row["chunk"], int(shard[a]), planes(step[a:b], 6 if narrow else 8), planes(counts[a:b], 4)))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+        for chunk in _chunks(batches):
+            _, train, x = _unpack(chunk)
+            counts, rows = x.counted(np.repeat(train, x.n))[x.order], []
+            for shard, a, b in x.requests(shards):
+                step = np.diff(x.prints[a:b], prepend=_start(shard, shards))
+                narrow = int(step.max()) >> 48 == 0  # steps between sorted prints mostly need six bytes
+                rows.append((chunk.column(0)[0].as_py(), shard, zlib.crc32(x.prints[a:b]), planes(step, 6 if narrow else 8), planes(counts[a:b], 4)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return work
 
 
 def _answer(shards: int):
-    schema = pa.schema([("chunk", pa.int64()), ("shard", pa.int64()), ("counts", pa.binary()), ("known", pa.int64())])
+    kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 2
+    schema = pa.schema([(c.split()[0], k) for c, k in zip(_ANSWER.split(", "), kinds)])
 
     def work(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        start = _shard_start([table.column("shard")[0].as_py()], shards)[0]
-        prints, train = [], []
-        for p, c in zip(table.column("prints"), table.column("train")):
-            train.append(from_planes(c.as_buffer(), 4).astype(np.int64))
-            prints.append(np.cumsum(from_planes(p.as_buffer(), n=len(train[-1]))) + start)
+        start = _start(table.column("shard")[0].as_py(), shards)
+        train = [from_planes(c.as_buffer(), 4).astype(np.uint32) for c in table.column("train")]
+        prints = [np.cumsum(from_planes(p.as_buffer(), n=len(t))) + start for p, t in zip(table.column("prints"), train)]
         size = np.cumsum([0, *map(len, train)])
-        each, at = np.unique(np.concatenate(prints), return_inverse=True)
+        each, at = _numbered(np.concatenate(prints))
         total = np.bincount(at, np.concatenate(train), len(each)).astype(np.int64)
-        known = int(np.count_nonzero((each & np.uint64(3) == 1) & (total > 0)))
+        word = total[each & np.uint64(3) == 1]
         counts = [planes(total[at[a:b]], 5) for a, b in zip(size[:-1], size[1:])]
-        columns = [table.column("chunk"), table.column("shard"), pa.array(counts, pa.binary()), pa.array([known] + [None] * (len(counts) - 1), pa.int64())]
-        return pa.Table.from_arrays(columns, schema=schema)
+        once = [[int(x)] + [None] * (len(counts) - 1) for x in (word.sum(), np.count_nonzero(word))]
+        return pa.Table.from_arrays([*(table.column(c) for c in ("chunk", "shard", "sum")), *(pa.array(c, k) for c, k in zip([counts, *once], kinds[3:]))], schema=schema)
 
     return work
 
@@ -169,22 +176,22 @@ class Automaton:
         word, pair, triple = counts[:w].astype(np.float64), counts[w : w + p].astype(np.float64), counts[w + p :].astype(np.float64)
         held = np.concatenate([[texts], word])  # how often each one-word context stands
         before, last = grams.pair >> 32, grams.pair & _LOW
-        behind = np.zeros(len(triple), np.int64)  # the pair that a triple ends in
+        behind = np.zeros(len(triple), np.int32)  # the pair that a triple ends in
         behind[grams.triple_at] = grams.pair_at[grams.inner]
         base = (word + 1) / (n + v + 1)
         one, two = MASS[1], MASS[2]
         after_one = (pair + one * base[last]) / (held[before] + one)
         after_two = (triple + two * after_one[behind]) / (pair[grams.triple >> 32] + two)
-        pair_state = np.where(pair > 0, 2 + w + np.arange(p), 0)
+        pair_state = np.where(pair > 0, 2 + w + np.arange(p), 0).astype(np.int32)
         seen, seen3 = pair > 0, triple > 0
         key = np.concatenate([(((before + 1) << 32) | last)[seen], (((2 + w + (grams.triple >> 32)) << 32) | (grams.triple & _LOW))[seen3]])
         self.key = np.append(key, np.iinfo(np.int64).max)
         self.weight = np.append(np.log10(np.concatenate([after_one[seen], after_two[seen3]])), 0)
-        self.target = np.append(np.concatenate([pair_state[seen], pair_state[behind[seen3]]]), 0)
+        self.target = np.append(np.concatenate([pair_state[seen], pair_state[behind[seen3]]]), np.int32(0))
         self.root = np.log10(base)
-        self.word_state = np.where(word > 0, 2 + np.arange(w), 0)
+        self.word_state = np.where(word > 0, 2 + np.arange(w), 0).astype(np.int32)
         self.failure = np.log10(np.concatenate([[1], one / (held + one), two / (pair + two)]))
-        self.fails_to = np.concatenate([np.zeros(2 + w, np.int64), 2 + last])
+        self.fails_to = np.concatenate([np.zeros(2 + w, np.int32), (2 + last).astype(np.int32)])
         self.start = 1 if texts else 0
 
     def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -193,7 +200,7 @@ class Automaton:
         fell = np.ones(len(word), bool)
         moving = np.flatnonzero(state)
         while len(moving):
-            key = (state[moving] << 32) | word[moving]
+            key = (state[moving].astype(np.int64) << 32) | word[moving]
             at = np.searchsorted(self.key, key)
             found = self.key[at] == key
             hit, miss = moving[found], moving[~found]
@@ -215,7 +222,7 @@ class Automaton:
         order = np.argsort(-length, kind="stable")
         text, part, warm, length = text[order], part[order], warm[order], length[order]
         at = (np.cumsum(n) - n)[text] + part * SEGMENT - warm
-        state, sums = np.where(part > 0, 0, self.start), np.zeros(len(text))
+        state, sums = np.where(part > 0, 0, self.start).astype(np.int32), np.zeros(len(text))
         open_ = np.searchsorted(-length, -np.arange(int(length[0]) if len(length) else 0), "left")
         for j, m in enumerate(open_.tolist()):  # the first m segments have a word j
             state[:m], weight = self.step(state[:m], ids[at[:m] + j])
@@ -223,21 +230,19 @@ class Automaton:
         return np.bincount(text, sums, len(n))
 
 
-def _traverse(n: int, v: int, texts: int):
+def _traverse(shards: int, n: int, v: int, texts: int):
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        for row in left.to_pylist():  # one row
-            train, x = _unpack(row)
-            by_shard = np.argsort(right.column("shard").to_numpy())
-            parts = right.column("counts").combine_chunks()
-            counts = np.empty(len(x.prints), np.int64)
-            counts[x.order] = np.concatenate([from_planes(parts[i].as_buffer(), 5) for i in by_shard.tolist()])
-            word = counts[: len(x.word)]
-            automaton = Automaton(x, counts, n, v, texts)
-            at = np.cumsum(x.n) - x.n
-            known, base = np.add.reduceat((word > 0)[x.ids].astype(np.int64), at), np.add.reduceat(automaton.root[x.ids], at)
-            out.append(pa.table({"doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": ~train, "n_tokens": x.n, "n_known": known, "train_tokens": np.full(len(at), n, np.int64), "base_score": base, "score": automaton.read(x.ids, x.n)}))
-        return pa.concat_tables(out)
+        doc_ids, train, x = _unpack(left)
+        place = {shard: i for i, shard in enumerate(right.column("shard").to_pylist())}
+        sums, packed = right.column("sum").to_pylist(), right.column("counts").combine_chunks()
+        counts = np.empty(len(x.prints), np.int64)
+        for shard, a, b in x.requests(shards):
+            if sums[place[shard]] != zlib.crc32(x.prints[a:b]):
+                raise ValueError("docs gave other rows, or in another order, when they were read again; store them first")
+            counts[x.order[a:b]] = from_planes(packed[place[shard]].as_buffer(), 5)
+        automaton, at = Automaton(x, counts, n, v, texts), np.cumsum(x.n) - x.n
+        known, base = np.add.reduceat((counts > 0)[x.ids].astype(np.int64), at), np.add.reduceat(automaton.root[x.ids], at)
+        return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "held_out": ~train, "n_tokens": x.n, "n_known": known, "train_tokens": np.full(len(at), n, np.int64), "base_score": base, "score": automaton.read(x.ids, x.n)})
 
     return work
 
@@ -245,15 +250,14 @@ def _traverse(n: int, v: int, texts: int):
 def score_texts(docs: DataFrame) -> DataFrame:
     """Per document of docs (doc_id, text, train): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(F.col("train"), F.lit(False)).alias("train"))
-    chunks = stored(docs.mapInArrow(_chunks, _CHUNKS), "lm-chunks")
     total = docs.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count_if("train").alias("texts")).first()
     shards = max(1, -(-(total["bytes"] or 0) // SHARD_BYTES))
-    tokens = chunks.agg(F.sum("n_train").alias("n")).first()["n"] or 0
-    asked = chunks.select("chunk", "train", "n", "words", "ids").mapInArrow(_ask(shards), _REQUEST)
+    asked = docs.mapInArrow(_ask(shards), _REQUEST)
     answers = stored(asked.groupBy("shard").applyInArrow(_answer(shards), _ANSWER), "lm-answers")
-    known = answers.agg(F.sum("known").alias("v")).first()["v"] or 0
-    read = _traverse(tokens, known, total["texts"])
-    return chunks.drop("n_train").groupBy("chunk").cogroup(answers.drop("known").groupBy("chunk")).applyInArrow(read, _SCORES)
+    learnt = answers.agg(F.sum("tokens").alias("n"), F.sum("known").alias("v")).first()
+    read = _traverse(shards, learnt["n"] or 0, learnt["v"] or 0, total["texts"])
+    chunks = docs.mapInArrow(_chunks, _CHUNK)
+    return chunks.groupBy("chunk").cogroup(answers.drop("tokens", "known").groupBy("chunk")).applyInArrow(read, _SCORES)
 
 
 def op9_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -159,6 +159,15 @@ def test_arcs_lead_to_the_longest_context_and_failures_to_shorter_ones():
         assert context(target) == next(full[i:] for i in range(max(0, len(full) - 2), len(full) + 1) if full[i:] in states)
 
 
+def test_requests_cover_all_prints_by_owner():
+    grams, _, _ = small_automaton()
+    for shards in (1, 3, 1000, 1 << 22):
+        asked = list(grams.requests(shards))
+        assert [a for _, a, _ in asked] == [0, *(b for _, _, b in asked)][:-1] and asked[-1][2] == len(grams.prints)
+        for shard, a, b in asked:
+            assert backoff_lm._start(shard, shards) <= grams.prints[a] and (shard + 1 == shards or grams.prints[b - 1] < backoff_lm._start(shard + 1, shards))
+
+
 def test_segments_carry_the_state(monkeypatch):
     grams, _, a = small_automaton()
     whole = a.read(grams.ids, grams.n)
