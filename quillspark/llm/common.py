@@ -2,30 +2,43 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step looks at.
 SLICE_BYTES = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, set here only where it is unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir; only a local session may do without one."""
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
-        sc = spark.sparkContext
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="quillspark-"))
-        where = sc.getCheckpointDir()
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared")
+        where = spark.sparkContext.getCheckpointDir()
     return where.rstrip("/")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with as many underscores in front as df's own columns need."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def named(name: str) -> Column:
+    """The column of exactly this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
