@@ -1,7 +1,7 @@
 """Cost-balanced packing of whole documents into sequences of at most CAPACITY tokens.
 
 The attention cost of a piece of n tokens is estimated as LINEAR * n + QUADRATIC * n * n. Documents are dealt
-round robin into bins of about BIN_BYTES of text; a bin opens ceil(tokens / CAPACITY) sequences, so that it
+round robin into bins of about BIN_BYTES of text, and of BIN_ROWS rows at most; a bin opens ceil(tokens / CAPACITY) sequences, so that it
 pads fewer than CAPACITY tokens in all. Documents longer than a sequence are cut into full sequences and a
 rest. Documents and rests go, in descending length, to the lowest-cost sequence whose remaining capacity
 holds them whole; where none does, to the lowest-cost sequences with room, cut to fit. No token is lost.
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .encoding import encoder
 
-CAPACITY, LINEAR, QUADRATIC, BIN_BYTES = 4096, 1.0, 1.0 / 1024, 8 << 20
+CAPACITY, LINEAR, QUADRATIC, BIN_BYTES, BIN_ROWS = 4096, 1.0, 1.0 / 1024, 8 << 20, 1 << 16
 
 
 def assign(lengths: np.ndarray, capacity: int = CAPACITY, linear: float = LINEAR, quadratic: float = QUADRATIC) -> list[tuple[int, int, int, int, int]]:
@@ -56,8 +56,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 2, capaci
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit)."""
     vocabulary = vocabulary or public_tokenizers.path("word_bpe_49k.json")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    bins = max(1, -(-size // bin_bytes))
+    size = docs.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("rows")).first()
+    bins = max(1, -(-(size["bytes"] or 0) // bin_bytes), -(-size["rows"] // BIN_ROWS))
     end = np.array([end_id], "<u4").tobytes()
     schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")] + [("ids", pa.binary())])
 
