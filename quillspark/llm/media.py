@@ -113,4 +113,4 @@ def with_fingerprints(media: DataFrame) -> DataFrame:
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = with_fingerprints(with_media(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     digest = F.sha2(F.concat(F.array_join("times", ","), F.lit(";"), F.array_join("hashes", ",")), 256)
-    return found.withColumn("feature", F.concat(F.size("times"), F.lit(":"), digest)).drop("times", "hashes")
+    return found.withColumn("feature", F.concat(F.size("times"), F.lit(":"), digest))
