@@ -13,10 +13,12 @@ Two deterministic transducers run in cascade, and every transition carries the n
    which may be negative where tokens merge. All pretokens of a batch advance side by side.
 
 A pretoken begins in the counter's first state whatever stood before, so the cutter's marks are all that has to
-pass between chunks. The table holds at most STATES states and is compiled anew when full, so memory is bounded.
+pass between chunks. The table grows to at most STATES states; when it is full, it is compiled anew from the states in
+which the pretokens stand, so memory is bounded whatever their length.
 
 Defined results: a null text is empty and has no tokens; special strings in a text count one token each, as the
-library takes them by default; repeated rows stay; an empty table gives no rows.
+library takes them by default; repeated rows stay; an empty table gives no rows; columns other than doc_id and text
+are not looked at.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from tokenizers import Tokenizer
 from .common import slices
 
 #: Most states of the counter, symbols in a chunk of the cutter, tokens that over_limit allows.
-STATES, CHUNK, LIMIT = 1 << 18, 256, 512
+STATES, CHUNK, LIMIT = 1 << 17, 256, 512
 #: A place with at most so many longer tokens remembers which of them may follow instead of its last token.
 FEW = 48
 LETTER, NUMBER, OTHER, QUOTE2, QUOTE3, JOINS, ALONE, SPACE = range(8)
@@ -137,10 +139,21 @@ class Counter:
         self.masks: dict[tuple[int, bytes], int] = {}
         self.reset()
 
-    def reset(self) -> None:
-        self.table = np.zeros((STATES, 256), np.int32)
-        first = (b"", (-1,), (0,))
-        self.states, self.number = [first], {first: 0}
+    def reset(self, keep: tuple = ()) -> list[int]:
+        """Forget all states but the first and those of keep; their new numbers."""
+        self.table = np.zeros((1 << 10, 256), np.int32)
+        self.states, self.number = [], {}
+        self._state((b"", (-1,), (0,)))
+        return [self._state(key) for key in keep]
+
+    def _state(self, key: tuple) -> int:
+        """The number of a state; the table grows with them."""
+        if key not in self.number:
+            if len(self.states) == len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            self.number[key] = len(self.states)
+            self.states.append(key)
+        return self.number[key]
 
     def _merged(self, ids: list[int]) -> list[int]:
         while len(ids) > 1:
@@ -219,26 +232,30 @@ class Counter:
         kept = [self._narrow(m, held[j:], text[j:]) for j, m in enumerate(last[:-1])] + [self._after(last[-1], text[-1:])] + [token]
         keep = next(j for j, m in enumerate(kept) if m != -2)
         key = (text[keep:], tuple(kept[keep:]), tuple(c - change if m != -2 else 0 for c, m in zip((*count, change)[keep:], kept[keep:])))
-        if key not in self.number:
-            self.number[key] = len(self.states)
-            self.states.append(key)
-        self.table[state, byte] = 16 * self.number[key] + 8 + change
+        self.table[state, byte] = 16 * self._state(key) + 8 + change
 
     def count(self, data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """Tokens of the pretokens of data."""
+        """Tokens of the pretokens of data. A full table is compiled anew from the states that stand just then."""
         order = np.argsort(-length, kind="stable")
         at, length = begin[order], length[order]
         more = np.searchsorted(-length, -np.arange(int(length[0]) if len(length) else 0), "left")
         state, total = np.zeros(len(at), np.int32), np.zeros(len(at), np.int32)
         for j, n in enumerate(more.tolist()):  # the first n pretokens have a byte j
             here, read = state[:n], data[at[:n] + j]
-            got = self.table[here, read]
+            got, renewed = self.table[here, read], False
             while len(missing := np.flatnonzero(got == 0)):
                 for pair in np.unique(here[missing].astype(np.int64) * 256 + read[missing]).tolist():
-                    if len(self.states) >= STATES - 1:
-                        raise MemoryError
+                    if len(self.states) >= STATES:
+                        break
                     self.compile(pair >> 8, pair & 255)
-                got[missing] = self.table[here[missing], read[missing]]
+                else:
+                    got[missing] = self.table[here[missing], read[missing]]
+                    continue
+                held, lane = np.unique(here, return_inverse=True)
+                if renewed or 2 * len(held) > STATES:
+                    raise MemoryError
+                here, renewed = np.array(self.reset(tuple(self.states[s] for s in held.tolist())), np.int32)[lane], True
+                got = self.table[here, read]
             total[:n] += (got & 15) - 8
             state[:n] = got >> 4
         out = np.empty(len(at), np.int32)
@@ -246,28 +263,32 @@ class Counter:
         return out
 
     def counts(self, data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """count, with pretokens in halves where they stand in too many states at once; one alone stands in one."""
         try:
             return self.count(data, begin, length)
         except MemoryError:
-            self.reset()
-        if len(begin) == 1:
-            return self.count(data, begin, length)
-        half = len(begin) // 2
-        return np.concatenate([self.counts(data, begin[:half], length[:half]), self.counts(data, begin[half:], length[half:])])
+            half = len(begin) // 2
+            return np.concatenate([self.counts(data, begin[:half], length[:half]), self.counts(data, begin[half:], length[half:])])
 
 
 _kept: dict = {}
 
 
-def _compiled(path: str) -> tuple[np.ndarray, Counter]:
+def _classes(path: str) -> np.ndarray:
+    if (path, "classes") not in _kept:
+        _kept[path, "classes"] = _class_table(path)
+    return _kept[path, "classes"]
+
+
+def _counter(path: str) -> Counter:
     if path not in _kept:
-        _kept[path] = (_class_table(path), Counter(path))
+        _kept[path] = Counter(path)
     return _kept[path]
 
 
-def count_tokens(texts: list[str | None], path: str) -> np.ndarray:
-    """Tokens of each text, without added ones."""
-    table, counter = _compiled(path)
+def count_tokens(texts: list[str | None], path: str, classes: np.ndarray | None = None) -> np.ndarray:
+    """Tokens of each text, without added ones. classes: of the file's code points, if known."""
+    table, counter = _classes(path) if classes is None else classes, _counter(path)
     texts = [t or "" for t in texts]
     extra = np.zeros(len(texts), np.int64)
     parts, owner = texts, np.arange(len(texts))
@@ -309,10 +330,11 @@ def count_tokens(texts: list[str | None], path: str) -> np.ndarray:
 def with_token_counts(docs: DataFrame, vocabulary: str | None = None, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of docs (doc_id, text)."""
     vocabulary = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
+    classes = docs.sparkSession.sparkContext.broadcast(_classes(vocabulary))  # a byte for each code point
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            n = count_tokens(batch.column(1).to_pylist(), vocabulary)
+            n = count_tokens(batch.column(1).to_pylist(), vocabulary, classes.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
