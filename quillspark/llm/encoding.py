@@ -2,7 +2,8 @@
 
 Both public vocabularies used here cut texts at blanks before they merge, so that the ids of a text are the
 ids of its pieces one after another. A text whose blanks are not single ones between other characters is cut
-only where the rule is certain, and its pieces go to the library with their blanks.
+only where the rule is certain, and its pieces go to the library with their blanks. Every CHECKED-th text is given to
+the library whole as well, and another result is an error.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from tokenizers import Tokenizer
 REMEMBERED = 400_000
 #: A longer piece is encoded but not remembered.
 LONGEST = 200
+#: Of so many texts one is also encoded whole, to hold the pieces' ids against it.
+CHECKED = 64
 #: Marks that end a letter run in either vocabulary, whatever stands around them.
 MARKS = ".,:;!?|%&$#*"
 
@@ -39,16 +42,16 @@ class _Irregular(Exception):
 class _Pieces(dict):
     """Ids by piece. before: what the library gets in front of a piece (None: raw pieces with their own blanks)."""
 
-    def __init__(self, encode, before: str | None, fold: bool = False) -> None:
+    def __init__(self, encode, before: str | None, remembered: int, fold: bool = False) -> None:
         super().__init__()
-        self.encode, self.before, self.fold, self.old, self.bare = encode, before, fold, {}, self
+        self.encode, self.before, self.remembered, self.fold, self.old, self.bare = encode, before, remembered, fold, {}, self
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
             ids = self._found(piece)
         if len(piece) <= LONGEST:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.remembered:
                 self.old = dict(self)
                 self.clear()
             self[piece] = ids
@@ -76,17 +79,18 @@ class PieceEncoder:
 
     _certain = re.compile(r"(?<=\S)(?= \S)")
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         kind = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["type"]
         self.keeps_blanks = kind == "ByteLevel"
-        self.first = _Pieces(self._library, "")
-        self.later = _Pieces(self._library, " ")
+        self.first = _Pieces(self._library, "", remembered)
+        self.later = _Pieces(self._library, " ", remembered)
         self.later.bare = self.first
-        self.raw = _Pieces(self._library, None, fold=not self.keeps_blanks)
+        self.raw = _Pieces(self._library, None, remembered, fold=not self.keeps_blanks)
+        self.texts = 0
 
     def _library(self, text: str) -> bytes:
         word = text[1:] if text[:1] == " " else text
@@ -97,6 +101,13 @@ class PieceEncoder:
         return array("I", ids).tobytes()
 
     def encode(self, text: str | None) -> bytes:
+        ids = self._joined(text)
+        if self.texts % CHECKED == 0 and ids != array("I", self.tokenizer.encode(text or "", add_special_tokens=False).ids).tobytes():
+            raise ValueError("the ids of a text's pieces are not those of the whole text")
+        self.texts += 1
+        return ids
+
+    def _joined(self, text: str | None) -> bytes:
         if not text:
             return b""
         if not self.keeps_blanks:
@@ -111,8 +122,8 @@ class PieceEncoder:
 _encoders: dict[str, PieceEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> PieceEncoder:
     """The worker's encoder for a file, kept between tasks."""
     if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
+        _encoders[path] = PieceEncoder(path, remembered)
     return _encoders[path]

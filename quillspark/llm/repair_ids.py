@@ -2,8 +2,10 @@
 
 Documents are dealt by ranges of doc_id into shards and encoded; each shard writes blocks of about BLOCK ids.
 In a block, frequent pairs of neighbouring symbols within a document are replaced by new nonterminals, round
-after round: every round counts all pairs, takes the most frequent ones that cannot overlap (no symbol is the
-left part of one and the right part of another), and replaces them together. A block keeps its rules, the
+after round, until no pair stands LEAST times: every round counts all pairs (of a run of equal symbols every second
+one), takes the most frequent ones that cannot overlap (no symbol is the left part of one and the right part of
+another), and replaces them together. Each block of a shard has a grammar of its own, so that ids are decoded from one
+row and a shard of any size takes the memory of a block. A block keeps its rules, the
 number of ids each rule expands to, and each document's symbols, so that any range of ids of a document can
 be decoded from the symbols that cover it.
 
@@ -12,8 +14,9 @@ n_tokens, doc_ids, doc_symbols and doc_tokens (little-endian unsigned 32-bit, on
 of symbols, unsigned 32-bit), expansions (ids under each rule, unsigned 32-bit), symbols (unsigned 16-bit, or
 32-bit where wide is true).
 
-Defined results: a null text is empty and has the end id only; rows that share a doc_id stay separate, in the
-order of their texts; a null doc_id comes first; an empty table gives an empty file set and no rows.
+Defined results: a null text is empty and has the end id only; rows that share a doc_id stay separate, one after
+another in an order by hash, so that many of them need not meet in one shard; a null doc_id comes first; an empty table
+gives an empty file set and no rows; columns other than doc_id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -33,31 +36,51 @@ from pyspark.sql.window import Window
 from .common import shared_dir
 from .encoding import encoder
 
-#: Ids in a block, rounds of replacement, least count of a replaced pair, pairs replaced in a round.
-BLOCK, ROUNDS, LEAST, WIDTH = 1 << 20, 6, 6, 3000
+#: Ids in a block, least count of a pair that is replaced, bytes of text in a shard, pieces that a worker remembers.
+BLOCK, LEAST, SHARD_BYTES, REMEMBERED = 1 << 20, 6, 32 << 20, 1_000_000
+#: Bins of the first, rough count of pairs.
+_BINS = 1 << 20
 SCHEMA = "shard int, block int, shard_start long, n_tokens long, doc_ids array<long>, doc_symbols binary, doc_tokens binary, base int, rules binary, expansions binary, wide boolean, symbols binary"
 
 
+def _pairs(symbols: np.ndarray, last: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs that may be frequent, of a run of equal symbols every second one, and their keys.
+
+    live: where a pair may be frequent; is updated. Pairs that are rare stay rare, as later rounds only take from them."""
+    at = np.flatnonzero(live[:-1] & ~last[:-1])
+    left, right = symbols[at], symbols[at + 1]
+    equal = np.flatnonzero(left == right)
+    fine = np.ones(len(at), bool)
+    if len(equal):
+        opens = np.concatenate([[True], np.diff(at[equal]) != 1])
+        odd = (np.arange(len(equal)) - np.flatnonzero(opens)[np.cumsum(opens) - 1]) & 1
+        fine[equal[odd == 1]] = False
+    bins = (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA6B)) & np.uint32(_BINS - 1)
+    often = np.bincount(bins[fine], minlength=_BINS)[bins] >= LEAST
+    live[at] = often
+    fine &= often
+    return at[fine], (left[fine].astype(np.uint64) << np.uint64(32)) | right[fine]
+
+
 def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, end of each document among them, rules (n x 2) and ids under each rule. base: first nonterminal."""
     symbols = ids.astype(np.uint32)
     last = np.zeros(len(symbols), bool)
     last[ends[ends > 0] - 1] = True
+    live = np.ones(len(symbols), bool)
     rules: list[np.ndarray] = []
     size = np.ones(base, np.int64)
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
-        keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        ordered = np.sort(keys[~last[:-1]])
+    while len(symbols) > 1:
+        at, keys = _pairs(symbols, last, live)
+        ordered = np.sort(keys)
         edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, int)
         count = np.diff(np.append(edge, len(ordered)))
-        edge, count = edge[count >= LEAST], count[count >= LEAST]
-        best = np.argsort(-count, kind="stable")[:WIDTH]
+        often = count >= LEAST
+        best = ordered[edge[often][np.argsort(-count[often], kind="stable")]]
         left, right, chosen = set(), set(), []
-        for key in ordered[edge[best]].tolist():
+        for key in best.tolist():
             a, b = key >> 32, key & 0xFFFFFFFF
-            if a != b and a not in right and b not in left:
+            if a not in right and b not in left and (a != b or (a not in left and b not in right)):
                 left.add(a)
                 right.add(b)
                 chosen.append(key)
@@ -65,18 +88,23 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
             break
         chosen = np.sort(np.array(chosen, np.uint64))
         first = base + sum(map(len, rules))
-        may_left, may_right = np.zeros(first, bool), np.zeros(first, bool)
         pairs = np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+        may_left, may_right = np.zeros(first, bool), np.zeros(first, bool)
         may_left[pairs[:, 0]] = may_right[pairs[:, 1]] = True
-        at = np.flatnonzero(may_left[symbols[:-1]] & may_right[symbols[1:]] & ~last[:-1])
-        slot = np.searchsorted(chosen, keys[at])
-        hit = chosen[np.minimum(slot, len(chosen) - 1)] == keys[at]
+        may = np.flatnonzero(may_left[symbols[at]] & may_right[symbols[at + 1]])
+        at, keys = at[may], keys[may]
+        slot = np.searchsorted(chosen, keys)
+        hit = chosen[np.minimum(slot, len(chosen) - 1)] == keys
         at, slot = at[hit], slot[hit]
         symbols[at] = first + slot
         last[at] = last[at + 1]
+        live[at] = live[np.maximum(at - 1, 0)] = True
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        symbols, last = symbols[keep], last[keep]
+        # A pair before a replaced one begins at the symbol before it, or at the nonterminal that took that one's place.
+        before = np.flatnonzero(~keep[np.maximum(at - 1, 0)])
+        live[np.maximum(at[before] - 2, 0)] = True
+        symbols, last, live = symbols[keep], last[keep], live[keep]
         rules.append(pairs)
         size = np.concatenate([size, size[pairs[:, 0]] + size[pairs[:, 1]]])
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
@@ -114,13 +142,13 @@ def _row(shard: int, block: int, start: int, docs: list[tuple[int, bytes]], base
 def write_ids(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = 0, shards: int | None = None) -> None:
     """Encode docs (doc_id, text) and write the files described above to path."""
     vocabulary = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
-    spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if shards is None:
+        shards = max(1, -(-(docs.agg(F.sum(F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit(""))) + 64).alias("n")).first()["n"] or 0) // SHARD_BYTES))
     end = np.array([end_id], "<u4").tobytes()
     arrow = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("shard_start", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), *((n, pa.binary()) for n in ("doc_symbols", "doc_tokens")), ("base", pa.int32()), *((n, pa.binary()) for n in ("rules", "expansions")), ("wide", pa.bool_()), ("symbols", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e, shard = encoder(vocabulary), TaskContext.get().partitionId()
+        e, shard = encoder(vocabulary, REMEMBERED), TaskContext.get().partitionId()
         base = max(e.tokenizer.get_vocab_size(), end_id + 1)
         docs, tokens, block, start = [], 0, 0, 0
         for batch in batches:
@@ -134,7 +162,8 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str | None = None, end_id:
         if docs:
             yield pa.RecordBatch.from_pylist([_row(shard, block, start, docs, base)], arrow)
 
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text", F.monotonically_increasing_id()).alias("tie"))
+    dealt = dealt.repartitionByRange(shards, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
     dealt.mapInArrow(encode, SCHEMA).write.option("compression", "zstd").parquet(path)
 
 

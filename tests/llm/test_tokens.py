@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -55,12 +56,14 @@ def test_chunk_maps_compose():
         assert token_fst.scan_marks(symbols, chunk).tolist() == want
 
 
-def test_counter_starts_anew_when_full(monkeypatch):
-    monkeypatch.setattr(token_fst, "STATES", 300)
-    counter, (table, _) = token_fst.Counter(BYTES), token_fst._compiled(BYTES)
-    monkeypatch.setitem(token_fst._kept, BYTES, (table, counter))
-    texts = [prose(i, 40) for i in range(30)]
+@pytest.mark.parametrize("states", [8, 40, 300])
+def test_counter_starts_anew_when_full(monkeypatch, states):
+    monkeypatch.setattr(token_fst, "STATES", states)
+    monkeypatch.setitem(token_fst._kept, BYTES, token_fst.Counter(BYTES))
+    rnd = random.Random(4)
+    texts = [prose(i, 40) for i in range(30)] + ["".join(rnd.choice("abcdefgh") for _ in range(4000))]  # one pretoken of more states than fit
     assert token_fst.count_tokens(texts, BYTES).tolist() == [len(library(BYTES, t)) for t in texts]
+    assert len(token_fst._kept[BYTES].states) <= states
 
 
 def test_counts_of_documents(spark):
@@ -88,6 +91,28 @@ def test_grammar_round_trip_and_random_access():
             assert (repair_ids.decode_range(block, d, a, b) == docs[d][a:b]).all()
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 4), max_size=80), min_size=1, max_size=6))
+def test_no_frequent_pair_is_left(docs):
+    ids = np.array([i for d in docs for i in [*d, 0]], np.uint32)
+    symbols, ends, rules, sizes = repair_ids.compress(ids, np.cumsum([len(d) + 1 for d in docs]), 10)
+    assert (repair_ids.expand(symbols, 10, rules, sizes) == ids).all()
+    count = {}
+    for a, b in zip(np.concatenate([[0], ends[:-1]]), ends):
+        i = a
+        while i + 1 < b:
+            pair = (symbols[i], symbols[i + 1])
+            count[pair] = count.get(pair, 0) + 1
+            i += 2 if pair[0] == pair[1] and i + 2 < b and symbols[i + 2] == pair[0] else 1
+    assert max(count.values(), default=0) < repair_ids.LEAST
+
+
+def test_runs_of_equal_ids_compress():
+    ids = np.full(5000, 7, np.uint32)
+    symbols, _, rules, sizes = repair_ids.compress(ids, np.array([5000]), 10)
+    assert len(symbols) < 20 and (repair_ids.expand(symbols, 10, rules, sizes) == ids).all()
+
+
 def test_no_rule_crosses_documents():
     ids = np.tile(np.array([5, 6], np.uint32), 50)
     symbols, ends, _, _ = repair_ids.compress(ids, np.arange(1, 101), 50257)
@@ -101,14 +126,15 @@ def test_id_files(spark, tmp_path, monkeypatch, shards):
     path = str(tmp_path / "ids")
     repair_ids.write_ids(df, path, shards=shards)
     rows = sorted(repair_ids.read_ids(spark, path).collect(), key=lambda r: r["start"])
-    want = sorted([*enumerate(texts), *enumerate(texts[3:5])], key=lambda x: (x[0], x[1] or ""))
-    start = 0
-    assert [r["doc_id"] for r in rows] == [i for i, _ in want]
-    for r, (_, t) in zip(rows, want):
-        ids = [*library(BYTES, t), 0]
-        assert np.frombuffer(bytes(r["ids"]), "<u4").tolist() == ids
+    want = [*enumerate(texts), *enumerate(texts[3:5])]
+    start, left = 0, Counter((i, (*library(BYTES, t), 0)) for i, t in want)
+    assert [r["doc_id"] for r in rows] == sorted(i for i, _ in want)
+    for r in rows:
+        ids = np.frombuffer(bytes(r["ids"]), "<u4").tolist()
+        left[r["doc_id"], tuple(ids)] -= 1
         assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
+    assert not any(left.values())
 
 
 def test_id_files_of_an_empty_table(spark, tmp_path):
