@@ -19,7 +19,7 @@ REMEMBERED = 400_000
 #: A longer piece is encoded but not remembered.
 LONGEST = 200
 #: Of so many texts one is also encoded whole, to hold the pieces' ids against it.
-CHECKED = 64
+CHECKED = 200
 #: Marks that end a letter run in either vocabulary, whatever stands around them.
 MARKS = ".,:;!?|%&$#*"
 

@@ -15,7 +15,7 @@ of symbols, unsigned 32-bit), expansions (ids under each rule, unsigned 32-bit),
 32-bit where wide is true).
 
 Defined results: a null text is empty and has the end id only; rows that share a doc_id stay separate, one after
-another in an order by hash, so that many of them need not meet in one shard; a null doc_id comes first; an empty table
+another in the order of the table, and many of them need not meet in one shard; a null doc_id comes first; an empty table
 gives an empty file set and no rows; columns other than doc_id and text are not looked at.
 """
 
@@ -38,28 +38,31 @@ from .encoding import encoder
 
 #: Ids in a block, least count of a pair that is replaced, bytes of text in a shard, pieces that a worker remembers.
 BLOCK, LEAST, SHARD_BYTES, REMEMBERED = 1 << 20, 6, 32 << 20, 1_000_000
-#: Bins of the first, rough count of pairs.
-_BINS = 1 << 20
 SCHEMA = "shard int, block int, shard_start long, n_tokens long, doc_ids array<long>, doc_symbols binary, doc_tokens binary, base int, rules binary, expansions binary, wide boolean, symbols binary"
 
 
-def _pairs(symbols: np.ndarray, last: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of pairs that may be frequent, of a run of equal symbols every second one, and their keys.
+def _bins(left: np.ndarray, right: np.ndarray, mask: int) -> np.ndarray:
+    return (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA6B)) >> np.uint32(7) & np.uint32(mask)
+
+
+def _pairs(symbols: np.ndarray, last: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Places of pairs that may be frequent, of a run of equal symbols every second one, their keys, and bins by a hash.
 
     live: where a pair may be frequent; is updated. Pairs that are rare stay rare, as later rounds only take from them."""
     at = np.flatnonzero(live[:-1] & ~last[:-1])
     left, right = symbols[at], symbols[at + 1]
+    mask = (1 << max(8, min(20, len(at).bit_length()))) - 1
+    bins = _bins(left, right, mask)
     equal = np.flatnonzero(left == right)
     fine = np.ones(len(at), bool)
     if len(equal):
         opens = np.concatenate([[True], np.diff(at[equal]) != 1])
         odd = (np.arange(len(equal)) - np.flatnonzero(opens)[np.cumsum(opens) - 1]) & 1
         fine[equal[odd == 1]] = False
-    bins = (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA6B)) & np.uint32(_BINS - 1)
-    often = np.bincount(bins[fine], minlength=_BINS)[bins] >= LEAST
+    often = (np.bincount(bins[fine] if len(equal) else bins, minlength=mask + 1) >= LEAST)[bins]
     live[at] = often
-    fine &= often
-    return at[fine], (left[fine].astype(np.uint64) << np.uint64(32)) | right[fine]
+    take = np.flatnonzero(fine & often)
+    return at[take], (left[take].astype(np.uint64) << np.uint64(32)) | right[take], bins[take], mask
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -71,7 +74,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
     rules: list[np.ndarray] = []
     size = np.ones(base, np.int64)
     while len(symbols) > 1:
-        at, keys = _pairs(symbols, last, live)
+        at, keys, bins, mask = _pairs(symbols, last, live)
         ordered = np.sort(keys)
         edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, int)
         count = np.diff(np.append(edge, len(ordered)))
@@ -86,17 +89,17 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
                 chosen.append(key)
         if not chosen:
             break
-        chosen = np.sort(np.array(chosen, np.uint64))
-        first = base + sum(map(len, rules))
+        chosen = np.array(chosen, np.uint64)
         pairs = np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
-        may_left, may_right = np.zeros(first, bool), np.zeros(first, bool)
-        may_left[pairs[:, 0]] = may_right[pairs[:, 1]] = True
-        may = np.flatnonzero(may_left[symbols[at]] & may_right[symbols[at + 1]])
-        at, keys = at[may], keys[may]
-        slot = np.searchsorted(chosen, keys)
-        hit = chosen[np.minimum(slot, len(chosen) - 1)] == keys
+        _, alone = np.unique(_bins(pairs[:, 0], pairs[:, 1], mask), return_index=True)  # of pairs in one bin the others wait for a later round
+        chosen, pairs = chosen[alone], pairs[alone]
+        first = base + sum(map(len, rules))
+        rule_of = np.full(mask + 1, -1, np.int32)
+        rule_of[_bins(pairs[:, 0], pairs[:, 1], mask)] = np.arange(len(chosen))
+        slot = rule_of[bins]
+        hit = np.flatnonzero((slot >= 0) & (chosen[slot] == keys))
         at, slot = at[hit], slot[hit]
-        symbols[at] = first + slot
+        symbols[at] = (first + slot).astype(np.uint32)
         last[at] = last[at + 1]
         live[at] = live[np.maximum(at - 1, 0)] = True
         keep = np.ones(len(symbols), bool)
@@ -162,7 +165,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str | None = None, end_id:
         if docs:
             yield pa.RecordBatch.from_pylist([_row(shard, block, start, docs, base)], arrow)
 
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text", F.monotonically_increasing_id()).alias("tie"))
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("tie"))
     dealt = dealt.repartitionByRange(shards, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
     dealt.mapInArrow(encode, SCHEMA).write.option("compression", "zstd").parquet(path)
 
