@@ -3,12 +3,14 @@
 A document is a bag of passages of PASSAGE words. Each passage is encoded by shares of character classes, word
 statistics and shares of hashed words; a hidden layer embeds it, gated attention (tanh times sigmoid, softmax over the
 bag) weighs it, and a logistic unit scores the weighted mean of the embeddings. Only document labels are used.
-Training takes a bounded sample: at most SAMPLE labelled documents, chosen by hash of doc_id, and at most BAG
-passages, evenly spread, of each; every document's every passage is scored.
+Training takes a bounded sample of whole documents: the labelled ones in order of a hash of doc_id, at most SAMPLE of
+them and of PASSAGES passages together (a document that would exceed these is left out; looked for among the first
+4 * SAMPLE labels); every document's every passage is scored.
 
 Defined results: a null or blank text is one passage without words and gets a score too; without labels of both
 classes every score is the share of label 1, or 0.5 without labels; of repeated labels of a doc_id the lowest
-counts; rows that share a doc_id are scored each, and one of them is trained on; an empty table gives no rows.
+counts; rows that share a doc_id are scored each, and one of them is trained on; an empty table gives no rows; all other
+columns stay, and the score's column takes underscores in front where docs has one of its name.
 """
 
 from __future__ import annotations
@@ -21,9 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import mix, slices, text_bytes, words
+from .common import free_name, mix, slices, text_bytes, words
 
-PASSAGE, SAMPLE, BAG, HIDDEN, EPOCHS, BATCH, RATE, DECAY, WORD_BINS, THRESHOLD = 48, 6000, 128, 24, 24, 64, 4e-3, 1e-4, 32, 0.3
+PASSAGE, SAMPLE, PASSAGES, HIDDEN, EPOCHS, BATCH, RATE, DECAY, WORD_BINS, THRESHOLD = 48, 6000, 1 << 17, 24, 24, 64, 4e-3, 1e-4, 32, 0.3
 #: Characters of each class; the classes after these are A-Z, a-z, other ASCII and non-ASCII bytes.
 _CLASSES = [b" ", b"\n", b"0123456789", b".", b",", b"|", b"%", b"&", b"$", b"#", b"*", b"!", b"'\"", b":;?", b"<>/=(){}[]", b"-_@+"]
 
@@ -96,6 +98,18 @@ class AttentionMil:
         p = 1 / (1 + np.exp(-np.clip(z @ w["c"] + w["d"], -30, 30)))
         return e, v, u, a, z, p, at
 
+    def _gradient(self, x: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the bags' mean log loss."""
+        e, v, u, a, z, p, at = self._forward(x, sizes)
+        error = ((p - labels) / len(sizes)).astype(x.dtype)
+        dz = np.repeat(error[:, None] * self.w["c"], sizes, 0)
+        de = dz * a[:, None] * (1 - e * e)
+        da = (dz * e).sum(1)
+        draw = a * (da - np.repeat(np.add.reduceat(a * da, at), sizes))
+        gate = draw[:, None] * self.w["g"]
+        dv, du = gate * u * (1 - v * v), gate * v * u * (1 - u)
+        return {"E": x.T @ de, "V": x.T @ dv, "U": x.T @ du, "g": (v * u).T @ draw, "c": z.T @ error, "e": de.sum(0), "v": dv.sum(0), "u": du.sum(0), "d": error.sum(keepdims=True)}
+
     def fit(self, x: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> AttentionMil:
         rng = np.random.default_rng(7)
         self.mean, self.scale = x.mean(0), x.std(0) + 1e-3
@@ -111,15 +125,7 @@ class AttentionMil:
                 n = sizes[bags]
                 rows = np.repeat(first[bags] - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 xb = x[rows]
-                e, v, u, a, z, p, at = self._forward(xb, n)
-                error = ((p - labels[bags]) / len(bags)).astype(np.float32)
-                dz = np.repeat(error[:, None] * self.w["c"], n, 0)
-                de = dz * a[:, None] * (1 - e * e)
-                da = (dz * e).sum(1)
-                draw = a * (da - np.repeat(np.add.reduceat(a * da, at), n))
-                gate = draw[:, None] * self.w["g"]
-                dv, du = gate * u * (1 - v * v), gate * v * u * (1 - u)
-                grad = {"E": xb.T @ de, "V": xb.T @ dv, "U": xb.T @ du, "g": (v * u).T @ draw, "c": z.T @ error, "e": de.sum(0), "v": dv.sum(0), "u": du.sum(0), "d": error.sum(keepdims=True)}
+                grad = self._gradient(xb, n, labels[bags])
                 step += 1
                 for k, w in self.w.items():
                     g = grad[k] + DECAY * w
@@ -138,20 +144,37 @@ class AttentionMil:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> AttentionMil:
-    """Fit on docs (doc_id, text) and labels (doc_id, label 0 or 1): at most SAMPLE of them."""
-    chosen = labels.filter("doc_id is not null and label is not null").groupBy("doc_id").agg(F.min("label").cast("int").alias("label"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    """Fit on docs (doc_id, text) and labels (doc_id, label 0 or 1): the sample described above."""
+    wanted = labels.filter("doc_id is not null and label is not null").groupBy("doc_id").agg(F.min("label").cast("int").alias("label"))
+    wanted = wanted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(4 * SAMPLE)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("hash"))
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            _, _, _, where = words(*text_bytes(batch.column("text")))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("hash"), pa.array(np.maximum(1, -(-np.diff(where) // PASSAGE)))], ["doc_id", "hash", "n"])
+
+    # Of rows that share a doc_id one is trained on, that of the least hash of its text.
+    found = docs.join(F.broadcast(wanted), "doc_id").select("doc_id", "text", "hash").mapInArrow(sizes, "doc_id long, hash long, n long")
+    found = found.groupBy("doc_id").agg(F.min(F.struct(F.coalesce("hash", F.lit(0)).alias("hash"), "n")).alias("row"))
+    chosen, room = [], PASSAGES
+    for r in found.orderBy(F.xxhash64("doc_id"), "doc_id").collect():  # at most 4 * SAMPLE numbers
+        if r["row"]["n"] <= room and len(chosen) < SAMPLE:
+            chosen.append((r["doc_id"], r["row"]["hash"]))
+            room -= r["row"]["n"]
+    if not chosen:
+        return AttentionMil()
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             x, n = encode(batch.column("text"))
-            at = np.cumsum(n) - n
-            rows = [x[a + np.unique(np.linspace(0, k - 1, min(k, BAG)).astype(int))].tobytes() for a, k in zip(at, n)]
+            rows = [x[a : a + k].tobytes() for a, k in zip(np.cumsum(n) - n, n)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.binary())], ["doc_id", "label", "bag"])
 
-    sampled = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").mapInArrow(bags, "doc_id long, label int, bag binary")
-    sampled = sampled.groupBy("doc_id", "label").agg(F.min("bag").alias("bag"))  # rows may share a doc_id
-    rows = sorted((r["doc_id"], r["label"], bytes(r["bag"])) for r in sampled.collect())  # at most SAMPLE bags
+    picked = wanted.join(docs.sparkSession.createDataFrame(chosen, "doc_id long, hash long"), "doc_id")
+    sampled = docs.withColumn("hash", F.coalesce("hash", F.lit(0))).join(F.broadcast(picked), ["doc_id", "hash"]).select("doc_id", "text", "label").mapInArrow(bags, "doc_id long, label int, bag binary")
+    sampled = sampled.groupBy("doc_id", "label").agg(F.min("bag").alias("bag"))  # rows may be repeated
+    rows = sorted((r["doc_id"], r["label"], bytes(r["bag"])) for r in sampled.collect())  # at most SAMPLE bags of PASSAGES passages
     if len({r[1] for r in rows}) < 2:
         return AttentionMil(float(np.mean([r[1] for r in rows])) if rows else 0.5)
     parts = [np.frombuffer(r[2], np.float32).reshape(-1, FEATURES) for r in rows]
@@ -159,7 +182,8 @@ def train(docs: DataFrame, labels: DataFrame) -> AttentionMil:
 
 
 def with_scores(docs: DataFrame, model: AttentionMil, name: str = "score") -> DataFrame:
-    """docs with a column of scores from text; all other columns stay."""
+    """docs with a column of scores from text, name or free_name(docs, name); all other columns stay."""
+    name = free_name(docs, name)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
