@@ -23,6 +23,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import free_name
+
 _LOCAL = r"A-Za-z0-9._%+-"
 #: kind: cheap test that a text may hold one, pattern.
 BASE = {
@@ -100,6 +102,20 @@ def _kept(kind: str) -> Column:
     return F.filter(f"{kind}_s", lambda s: _valid(kind, s["match"]))
 
 
+def _meets(kind: str, s: Column) -> Column:
+    """Whether s meets a span of a base kind: the last of those that begin before s ends, found by halving, ends after s begins."""
+    spans = F.col(kind)
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = ((at["low"] + at["high"]) / 2).cast("int")
+        before = F.get(spans, middle)["start"] < s["end"]
+        return F.when(at["low"] >= at["high"], at).otherwise(F.struct(F.when(before, middle + 1).otherwise(at["low"]).alias("low"), F.when(before, at["high"]).otherwise(middle).alias("high")))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(spans) + 1)).cast("int"))
+    first = F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.size(spans).alias("high")), halve)["low"]
+    return F.when(F.size(spans) > 0, F.coalesce(F.get(spans, first - 1)["end"] > s["start"], F.lit(False))).otherwise(False)
+
+
 def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, 1).when(no, -1).otherwise(0)
 
@@ -205,15 +221,15 @@ def with_spans(docs: DataFrame, classifier: SpanClassifier) -> DataFrame:
     df = _spans(_cut(df, "secret", F.lit(bool(classifier.weights)), CANDIDATE), "secret")
     found = {kind: _kept(kind) for kind in BASE}
     df = df.select("doc_id", "text", *(c.alias(k) for k, c in found.items()), F.filter("secret_s", lambda s: classifier.decides(s["match"], s["before"])).alias("secret"))
-    base = F.concat(*BASE)
-    clear = F.filter("secret", lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return df.withColumn("secret", clear)
+    return df.withColumn("secret", F.filter("secret", lambda s: ~reduce(lambda a, b: a | b, (_meets(k, s) for k in BASE))))
 
 
 def redacted(docs: DataFrame, classifier: SpanClassifier) -> DataFrame:
-    """docs with every span in text replaced by its kind in brackets; all columns stay."""
+    """docs with every span in text replaced by its kind in brackets; a null text becomes empty; all columns stay."""
     out, text = docs, F.coalesce(F.col("text").cast("string"), F.lit(""))
-    out = out.withColumn("text", text)
+    out, cut = out.withColumn("text", text), free_name(docs, "_pii")
+    while {f"{cut}_m", f"{cut}_g"} & {c.lower() for c in docs.columns}:
+        cut = "_" + cut
     kinds = {k: (may(text), pattern) for k, (may, pattern) in BASE.items()}
     if classifier.weights:
         kinds["secret"] = (F.lit(True), CANDIDATE)
@@ -221,12 +237,12 @@ def redacted(docs: DataFrame, classifier: SpanClassifier) -> DataFrame:
     def parts(kind: str) -> Column:
         mark = F.lit(f"[{kind.upper()}]")
         take = (lambda m, g: classifier.decides(m, F.right(g, F.lit(CONTEXT)))) if kind == "secret" else (lambda m, g: _valid(kind, m))
-        return F.zip_with("_pii_m", _gaps("_pii"), lambda m, g: F.concat(g, F.when(take(m, g), mark).otherwise(m)))
+        return F.zip_with(f"{cut}_m", _gaps(cut), lambda m, g: F.concat(g, F.when(take(m, g), mark).otherwise(m)))
 
     for kind, (may, pattern) in kinds.items():
-        out = _cut(out, "_pii", may, pattern)
-        joined = F.concat(F.array_join(parts(kind), ""), F.element_at("_pii_g", -1))
-        out = out.withColumn("text", F.when(F.size("_pii_m") > 0, joined).otherwise(F.col("text"))).drop("_pii_m", "_pii_g")
+        out = _cut(out, cut, may, pattern)
+        joined = F.concat(F.array_join(parts(kind), ""), F.element_at(f"{cut}_g", -1))
+        out = out.withColumn("text", F.when(F.size(f"{cut}_m") > 0, joined).otherwise(F.col("text"))).drop(f"{cut}_m", f"{cut}_g")
     return out
 
 
