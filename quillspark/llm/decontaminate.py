@@ -7,12 +7,12 @@ four blocks of 16 bits, each bucket listing the items within RADIUS / 4 bits of
 RADIUS is met in some block. Candidates of the window's length within RADIUS are verified by the weighted Jaccard
 similarity of their shingle counts, sum of minima over sum of maxima, at least PERCENT / 100.
 
-The benchmark is the query set: it is taken in blocks of ITEMS items, whose index is of bounded size and sent to
-the executors; each block reads the documents once. No document leaves its task.
+The benchmark is the query set: it is taken in blocks of about ITEMS items and ITEM_BYTES bytes (or one longer item), whose
+index is sent to the executors; each block reads the documents once. No document leaves its task.
 
 Defined results: null or blank texts and items match nothing; a text shorter than an item is one window; of equally
-similar windows the first counts; rows that share a doc_id give rows each, items that share an item_id too; empty
-tables give no rows.
+similar windows the first counts; rows that share a doc_id give rows each, items that share an item_id or are repeated
+too; a null item_id stays null; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, shingles, slices, text_bytes, words
+from .common import free_name, mix, shingles, slices, text_bytes, words
 
-K, PERCENT, RADIUS, BLOCKS, ITEMS = 5, 80, 19, 4, 1024
+K, PERCENT, RADIUS, BLOCKS, ITEMS, ITEM_BYTES = 5, 80, 19, 4, 1024, 16 << 20
 _BITS = np.arange(64, dtype=np.uint64)
 
 
@@ -49,15 +49,16 @@ def _need(window: int, item: int, percent: int) -> int:
 class Index:
     """A block of items, their shingles, and the multi-index of their fingerprints."""
 
-    def __init__(self, items: list[tuple[int, str]], k: int, percent: int, radius: int) -> None:
+    def __init__(self, items: list[tuple[int | None, str, int]], k: int, percent: int, radius: int) -> None:
         self.k, self.percent, self.radius = k, percent, radius
-        data, at = text_bytes(pa.array([t for _, t in items], pa.string()))
+        data, at = text_bytes(pa.array([t for _, t, _ in items], pa.string()))
         hashes, _, _, where = words(data, at)
-        self.ids, self.width, self.grams = [], [], []
-        for (item_id, _), a, b in zip(items, where[:-1], where[1:]):
+        self.ids, self.times, self.width, self.grams = [], [], [], []
+        for (item_id, _, times), a, b in zip(items, where[:-1], where[1:]):
             if b > a:
                 width = min(k, int(b - a))
                 self.ids.append(item_id)
+                self.times.append(times)
                 self.width.append(width)
                 self.grams.append(shingles(hashes[a:b], np.array([0, b - a]), width)[0])
         self.size = np.array([len(g) for g in self.grams])
@@ -116,12 +117,14 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
 
 
 def _blocks(benchmark: DataFrame, k: int, percent: int, radius: int) -> Iterator[Index]:
-    """The benchmark's index, in blocks of about ITEMS items."""
+    """The benchmark's index, in blocks of about ITEMS items and ITEM_BYTES bytes; an item that is repeated stands once, with its number."""
     items = benchmark.filter("text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.lower(F.col("text").cast("string")).alias("text"))
-    blocks = max(1, -(-items.count() // ITEMS))
+    items = items.groupBy("item_id", "text").agg(F.count("*").alias("times"))
+    size = items.agg(F.count("*").alias("items"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    blocks = max(1, -(-size["items"] // ITEMS), -(-(size["bytes"] or 0) // ITEM_BYTES))
     for block in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        yield Index(sorted((-1 if r[0] is None else r[0], r[1]) for r in rows), k, percent, radius)
+        yield Index(sorted(map(tuple, rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1])), k, percent, radius)
 
 
 def _found(index: Index, batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, dict[int, list]]]:
@@ -154,7 +157,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = K, percent: int = PERC
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch, found in _found(sent.value, batches, "text"):
-                rows = [(batch.column("doc_id")[r].as_py(), sent.value.ids[i], *rest) for r, got in found.items() for i, *rest in got]
+                rows = [(batch.column("doc_id")[r].as_py(), sent.value.ids[i], *rest) for r, got in found.items() for i, *rest in got for _ in range(sent.value.times[i])]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
@@ -165,7 +168,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = K, percent: int = PERC
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, k: int = K, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
     """The rows of docs (with text; all columns stay) that match no item; rows never leave their partition."""
-    low = "_" + "_".join(docs.columns)  # a name that docs can't have
+    low = free_name(docs, "_low")
     out = docs.withColumn(low, F.lower(F.col("text").cast("string")))
 
     def without(out: DataFrame, index: Index) -> DataFrame:
