@@ -2,19 +2,21 @@
 
 A text's set is its distinct k-word shingles. Two texts link when PERCENT * |union| <= 100 * |intersection|.
 
-1. Every set is hashed. Chunks of documents send each shingle's fingerprint to the shard that owns it, packed,
-   and get back how many of each document's shingles other sets have too. Equal sets count once: they form a
-   class, named by a 64-bit hash of the set, so that copies are never expanded into pairs. All further steps know
-   classes by name only: a doc_id may be missing or stand at several texts.
+1. Every set is hashed. Equal sets form a class, named by a 64-bit hash of the set, so that copies are never expanded into
+   pairs. Chunks of documents send each distinct shingle's fingerprint, packed, to the shard that owns it: with the set that
+   has it where only one of the chunk's sets does, else once as shared; so a shingle of many texts is one entry a
+   chunk. Back comes how many of each set's shingles other sets have too. All further steps know classes by
+   name only: a doc_id may be missing or stand at several texts.
 2. Rare-first order puts shingles of one set alone first, so a set with a whole prefix of those can link with no
-   other; the rest keep their sets. Shards give the frequency of each of their shingles; ordered by frequency,
-   then hash, the first n - ceil(t * n) + 1 are a set's prefix.
-3. Prefix shingles are joined, filtered by length and by position. First each bucket is joined with its pivot
-   only (the set with the fewest rarer shingles); then, in buckets that still hold more than one component, members
-   outside the most frequent one are joined with those of other components. So a large group of near copies gives as
-   many pairs as it has members, and work grows with its size, not with the square. Each
-   pair that passes the suffix filter (sums over hash ranges bound the sets' difference) is verified once on
-   the whole sets.
+   other; the rest keep their sets. Parts of them ask the shards for the number of sets with each of their distinct
+   shingles, to which each part adds one entry; ordered by it, then hash, the first n - ceil(t * n) + 1 are a set's
+   prefix. With each goes the number of shingles after it in each of RANGES hash ranges.
+3. Prefix shingles are joined. Pairs must pass the length filter, the positional filter, and the suffix filter: what both
+   sets may share after the joined shingle is at most the sum of the lesser counts over the hash ranges. First each
+   bucket is joined with its pivot only (the set with the fewest rarer shingles); then, in buckets that still hold more
+   than one component, members outside the most frequent one are joined with those of other components, by those pairs
+   of length and place alone that the filters let pass. So a large group of near copies gives as many pairs as it has
+   members, and work grows with its size, not with the square. Each pair is verified once on the whole sets.
 
 Nothing is capped: fingerprints only decide order and which sets may be left out safely; verification is on 64-bit
 hashes. Defined results: a null or blank text has an empty set and is its own component; component_id is the
@@ -25,6 +27,7 @@ may so have one component_id); an empty table gives no rows; columns other than
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,14 +37,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mix, shingles, slices, stored, text_bytes, words
+from .common import free_name, from_planes, mix, named, planes, shingles, slices, stored, text_bytes, words
 
-#: Bytes of text in a chunk, and of text that one shard answers for.
-CHUNK_BYTES, SHARD_BYTES = 8 << 20, 16 << 20
+#: Bytes of text in a chunk, and of text that one shard answers for; shingles in a part.
+CHUNK_BYTES, SHARD_BYTES, PART_GRAMS = 8 << 20, 16 << 20, 500_000
 #: Hash ranges of the suffix filter.
 RANGES = 16
-_REQUEST = "chunk long, shard int, places binary, docs binary, n binary, doc_ids array<long>, names binary, sizes binary, entries binary"
-_ARROW = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), *((n, pa.binary()) for n in ("places", "docs", "n")), ("doc_ids", pa.list_(pa.int64())), *((n, pa.binary()) for n in ("names", "sizes", "entries"))])
+_REQUEST = "chunk long, shard int, places binary, sets binary, n binary, entries binary, many binary, doc_ids array<long>, names binary, sizes binary, known binary"
+_ARROW = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), *((n, pa.binary()) for n in ("places", "sets", "n", "entries", "many")), ("doc_ids", pa.list_(pa.int64())), *((n, pa.binary()) for n in ("names", "sizes", "known"))])
 
 
 def sets_of(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -61,49 +64,134 @@ def _names(gram: np.ndarray, row: np.ndarray, size: np.ndarray) -> np.ndarray:
     return mix(name + size.astype(np.uint64))
 
 
-def _requests(chunk: int, shards: int, gram: np.ndarray, row: np.ndarray, doc_ids: list, wide: bool) -> Iterator[pa.RecordBatch]:
-    """One row for each shard that owns any of the shingles, with the documents that have some there; what is sent grows
-    with the shingles, whatever the number of shards. The row of one shard also has all the chunk's documents.
+def _requests(chunk: int, shards: int, gram: np.ndarray, row: np.ndarray, doc_ids: list) -> pa.RecordBatch:
+    """One row for each shard that owns any of the shingles; what is sent grows with the shingles, whatever the number of
+    shards. The row of one shard also has all the chunk's documents.
 
-    places: steps between the documents' places in the chunk; docs: their sets' names; n: how many of the entries each has."""
+    entries: shingles that one of the chunk's sets has alone, by set; places: steps between these sets' places among the
+    chunk's, sets: their names, n: how many entries each has; many: shingles of several sets; known: how many of these
+    each document's set has."""
     size = np.bincount(row, minlength=len(doc_ids))
     name = _names(gram, row, size)
+    filled = np.flatnonzero(size)
+    each, first, at = np.unique(name[filled], return_index=True, return_inverse=True)
+    place_of = np.full(len(doc_ids), -1, np.int64)
+    place_of[filled[first]] = np.arange(len(each))  # equal sets send once
+    own = place_of[row] >= 0
+    gram, place = gram[own], place_of[row[own]]
+    value, number, times = np.unique(gram, return_inverse=True, return_counts=True)
+    several = times[number] > 1
+    known = np.zeros(len(doc_ids), np.int64)
+    known[filled] = np.bincount(place[several], minlength=len(each))[at]
+    short = lambda g: ((g // np.uint64(shards)) & np.uint64(0xFFFFFFFF)).astype("<u4")
+    shard_of = lambda g: (g % np.uint64(shards)).astype(np.int64)
+    many = value[times > 1]
+    many_shard = shard_of(many)
+    order = np.argsort(many_shard, kind="stable")
+    many, many_shard = short(many[order]), many_shard[order]
+    gram, place = gram[~several], place[~several]
+    shard = shard_of(gram)
+    order = np.lexsort((place, shard))
+    entry, s, p = short(gram[order]), shard[order], place[order]
+    opens = np.flatnonzero((np.diff(s, prepend=-1) != 0) | (np.diff(p, prepend=-1) != 0))
+    edge = np.append(opens, len(s))
+    s, p, n, home, rows = s[opens], p[opens], np.diff(edge), chunk % shards, []
+    for own in np.union1d(np.union1d(s, many_shard), [home]).astype(int).tolist():
+        (a, b), (c, d) = np.searchsorted(s, [own, own + 1]), np.searchsorted(many_shard, [own, own + 1])
+        about = (doc_ids, name.astype("<u8").tobytes(), size.astype("<u4").tobytes(), known.astype("<u4").tobytes()) if own == home else (None,) * 4
+        rows.append((chunk, own, np.diff(p[a:b], prepend=0).astype("<u4").tobytes(), each[p[a:b]].astype("<u8").tobytes(), n[a:b].astype("<u4").tobytes(), entry[edge[a] : edge[b]].tobytes(), many[c:d].tobytes(), *about))
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
+
+
+def _count_shared(table: pa.Table) -> pa.Table:
+    """A shard's answers: of each requested set's entries, how many any other set has too."""
+    rows = table.to_pylist()
+    read = lambda c, kind: np.concatenate([np.frombuffer(r[c], kind) for r in rows])
+    per = read("n", "<u4").astype(np.int64)
+    value, number = np.unique(read("entries", "<u4"), return_inverse=True)
+    _, owner = np.unique(read("sets", "<u8"), return_inverse=True)
+    pair = np.unique((number.astype(np.uint64) << np.uint64(32)) | np.repeat(owner, per).astype(np.uint64))
+    shared = (np.bincount((pair >> np.uint64(32)).astype(np.int64), minlength=len(value)) > 1) | np.isin(value, read("many", "<u4"))
+    found = np.add.reduceat(shared[number].astype(np.int64), np.cumsum(per) - per) if len(per) else per
+    at, out = np.cumsum([0, *(len(r["n"]) // 4 for r in rows)]), []
+    for r, a, b in zip(rows, at[:-1], at[1:]):
+        out.append({"shared": found[a:b].astype("<u4").tobytes(), **{c: r[c] for c in ("chunk", "places", "doc_ids", "names", "sizes", "known")}})
+    return pa.Table.from_pylist(out, pa.schema([_ARROW.field("chunk"), ("shared", pa.binary()), *(_ARROW.field(c) for c in ("places", "doc_ids", "names", "sizes", "known"))]))
+
+
+def _gather(percent: int):
+    def work(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        own = next(r for r in rows if r["sizes"] is not None)
+        name, n = np.frombuffer(own["names"], "<u8"), np.frombuffer(own["sizes"], "<u4").astype(np.int64)
+        shared = np.frombuffer(own["known"], "<u4").astype(np.int64)
+        each, at = np.unique(name[n > 0], return_inverse=True)
+        others = np.zeros(len(each), np.int64)
+        for r in rows:
+            others[np.cumsum(np.frombuffer(r["places"], "<u4").astype(np.int64))] += np.frombuffer(r["shared"], "<u4")
+        shared[n > 0] += others[at]
+        return pa.table({"doc_id": pa.array(own["doc_ids"], pa.int64()), "n": n, "name": name.view("<i8"), "survives": (n > 0) & (n - shared < _prefix(n, percent))})
+
+    return work
+
+
+def _distinct(part: pa.Table, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a part's sets (grams): distinct shingles by owning shard, how many sets have each, each entry's place, the shards' edges."""
+    gram, number, times = np.unique(part.column("grams").combine_chunks().flatten().to_numpy().view(np.uint64), return_inverse=True, return_counts=True)
     shard = (gram % np.uint64(shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")
-    value = (gram if wide else ((gram // np.uint64(shards)) & np.uint64(0xFFFFFFFF)).astype("<u4"))[order]
-    s, d = shard[order], row[order]
-    first = np.flatnonzero((np.diff(s, prepend=-1) != 0) | (np.diff(d, prepend=-1) != 0))
-    edge = np.append(first, len(s))
-    s, d, n, home, rows = s[first], d[first], np.diff(edge), chunk % shards, []
-    for own in np.union1d(s, [home]).astype(int).tolist():
-        a, b = np.searchsorted(s, [own, own + 1])
-        about = (doc_ids, name.astype("<u8").tobytes(), size.astype("<u4").tobytes()) if own == home else (None, None, None)
-        rows.append((chunk, own, np.diff(d[a:b], prepend=0).astype("<u4").tobytes(), name[d[a:b]].astype("<u8").tobytes(), n[a:b].astype("<u4").tobytes(), *about, value[edge[a] : edge[b]].tobytes()))
-    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return gram[order], times[order], place[number], np.searchsorted(shard[order], np.arange(shards + 1))
 
 
-def _places(row: dict) -> np.ndarray:
-    return np.cumsum(np.frombuffer(row["places"], "<u4").astype(np.int64))
+def _ask_order(shards: int):
+    schema = pa.schema([("part", pa.int64()), ("shard", pa.int64()), ("grams", pa.binary()), ("times", pa.binary())])
 
+    def work(part: pa.Table) -> pa.Table:
+        gram, times, _, edge = _distinct(part, shards)
+        number = part.column("part")[0].as_py()
+        rows = [(number, s, gram[edge[s] : edge[s + 1]].tobytes(), planes(times[edge[s] : edge[s + 1]], 4)) for s in np.flatnonzero(np.diff(edge)).tolist()]
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    return work
+
+
+def _give_frequency(table: pa.Table) -> pa.Table:
+    grams = [np.frombuffer(g.as_buffer(), "<u8") for g in table.column("grams")]
+    value, number = np.unique(np.concatenate(grams), return_inverse=True)
+    total = np.bincount(number, np.concatenate([from_planes(t.as_buffer(), 4) for t in table.column("times")]), len(value)).astype(np.int64)[number]
+    edge = np.cumsum([0, *map(len, grams)])
+    return pa.table({"part": table.column("part"), "shard": table.column("shard"), "counts": pa.array([planes(total[a:b], 5) for a, b in zip(edge[:-1], edge[1:])], pa.binary())})
+
+
+_PREFIX = "gram long, id long, n long, place long, after array<int>"
 
-def _groups(table: pa.Table, wide: bool) -> tuple[list[dict], np.ndarray, np.ndarray, np.ndarray]:
-    """A shard's requests; for all their entries in order the set's number, and how many distinct sets have it."""
-    rows = table.to_pylist()
-    names = np.concatenate([np.frombuffer(r["docs"], "<u8") for r in rows])
-    per = np.concatenate([np.frombuffer(r["n"], "<u4") for r in rows]).astype(np.int64)
-    _, number = np.unique(names, return_inverse=True)
-    owner = np.repeat(number, per)
-    value = np.concatenate([np.frombuffer(r["entries"], "<u8" if wide else "<u4") for r in rows])
-    order = np.argsort(value, kind="stable")
-    v, o = value[order], owner[order]
-    new = np.concatenate([[True], v[1:] != v[:-1]]) if len(v) else np.zeros(0, bool)
-    run = np.cumsum(new) - 1
-    pair = np.sort((run.astype(np.uint64) << np.uint64(32)) | o.astype(np.uint64))
-    distinct = pair[np.concatenate([[True], pair[1:] != pair[:-1]])] if len(pair) else pair
-    sets = np.bincount((distinct >> np.uint64(32)).astype(np.int64), minlength=1)
-    count = np.empty(len(v), np.int64)
-    count[order] = sets[run]
-    return rows, per, value, count
+
+def _prefixes(shards: int, percent: int):
+    def work(part: pa.Table, answers: pa.Table) -> pa.Table:
+        gram, _, at, _ = _distinct(part, shards)
+        packed = answers.column("counts").combine_chunks()
+        count = np.concatenate([from_planes(packed[i].as_buffer(), 5) for i in np.argsort(answers.column("shard").to_numpy()).tolist()]).astype(np.int64)[at]
+        ids, n = part.column("id").to_numpy(), part.column("n").to_numpy()
+        gram, doc = gram[at], np.repeat(np.arange(len(n)), n)
+        order = np.lexsort((gram, count, doc))
+        gram, count = gram[order], count[order]
+        place = np.arange(len(doc)) - (np.cumsum(n) - n)[doc]
+        range_ = (mix(gram) >> np.uint64(60)).astype(np.int64)
+        every = np.bincount(doc * RANGES + range_, minlength=len(n) * RANGES).reshape(-1, RANGES)
+        front = np.flatnonzero(place < _prefix(n, percent)[doc])
+        seen = np.zeros((len(front) + 1, RANGES), np.int64)
+        seen[np.arange(1, len(front) + 1), range_[front]] = 1
+        seen = np.cumsum(seen, 0)
+        opens = np.searchsorted(doc[front], np.arange(len(n)))
+        after = every[doc[front]] - (seen[1:] - seen[opens[doc[front]]])
+        keep = count[front] > 1  # a shingle of one set joins nothing
+        front, after = front[keep], after[keep]
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(front) + 1) * RANGES, pa.int32()), pa.array(after.ravel().astype(np.int32)))
+        return pa.table({"gram": gram[front].view(np.int64), "id": ids[doc[front]], "n": n[doc[front]], "place": place[front], "after": lists})
+
+    return work
 
 
 def _links(a: Column, b: Column, both: Column, percent: int) -> Column:
@@ -143,33 +231,14 @@ def _components_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
             rows.append(r + len(ids))
             ids += batch.column(0).to_pylist()
             seen += batch.column("text").nbytes
-            if seen >= CHUNK_BYTES:
-                yield from _requests(chunk, shards, np.concatenate(grams), np.concatenate(rows), ids, False)
+            if seen >= CHUNK_BYTES or len(ids) >= CHUNK_BYTES:
+                yield _requests(chunk, shards, np.concatenate(grams), np.concatenate(rows), ids)
                 chunk, grams, rows, ids, seen = chunk + 1, [], [], [], 0
         if ids:
-            yield from _requests(chunk, shards, np.concatenate(grams), np.concatenate(rows), ids, False)
-
-    def count_shared(table: pa.Table) -> pa.Table:
-        rows, per, _, count = _groups(table, False)
-        many = np.add.reduceat((count > 1).astype(np.int64), np.cumsum(per) - per) if len(per) else per
-        out, at = [], 0
-        for r in rows:
-            n = len(r["docs"]) // 8
-            out.append({"shared": many[at : at + n].astype("<u4").tobytes(), **{c: r[c] for c in ("chunk", "places", "doc_ids", "names", "sizes")}})
-            at += n
-        return pa.Table.from_pylist(out, pa.schema([_ARROW.field("chunk"), ("shared", pa.binary()), *(_ARROW.field(c) for c in ("places", "doc_ids", "names", "sizes"))]))
+            yield _requests(chunk, shards, np.concatenate(grams), np.concatenate(rows), ids)
 
-    def gather(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        own = next(r for r in rows if r["sizes"] is not None)
-        shared = np.zeros(len(own["doc_ids"]), np.int64)
-        for r in rows:
-            shared[_places(r)] += np.frombuffer(r["shared"], "<u4")
-        n = np.frombuffer(own["sizes"], "<u4").astype(np.int64)
-        return pa.table({"doc_id": pa.array(own["doc_ids"], pa.int64()), "n": n, "name": np.frombuffer(own["names"], "<u8").view("<i8"), "survives": (n > 0) & (n - shared < _prefix(n, percent))})
-
-    info = docs.mapInArrow(ask, _REQUEST).groupBy("shard").applyInArrow(count_shared, "chunk long, shared binary, places binary, doc_ids array<long>, names binary, sizes binary")
-    info = stored(info.groupBy("chunk").applyInArrow(gather, "doc_id long, n long, name long, survives boolean"), "sets")
+    info = docs.mapInArrow(ask, _REQUEST).groupBy("shard").applyInArrow(_count_shared, "chunk long, shared binary, places binary, doc_ids array<long>, names binary, sizes binary, known binary")
+    info = stored(info.groupBy("chunk").applyInArrow(_gather(percent), "doc_id long, n long, name long, survives boolean"), "sets")
     classes = info.filter("n > 0").groupBy("name").agg(F.min("doc_id").alias("rep"), F.max("survives").alias("survives"))
     kept = classes.filter("survives").select("name", "rep")
 
@@ -178,80 +247,59 @@ def _components_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
             g, r = sets_of(batch, k)
             order = np.lexsort((g, r))
             g, at = g[order], np.searchsorted(r, np.arange(batch.num_rows + 1))
-            spread = np.bincount(r * RANGES + (g >> np.uint64(60)).astype(np.int64), minlength=batch.num_rows * RANGES).astype(np.int32)
-            arrays = [pa.array(_names(g, r[order], np.diff(at)).view(np.int64)), pa.array(np.diff(at)), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(g.view(np.int64))), pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * RANGES, pa.int32()), pa.array(spread))]
-            yield pa.RecordBatch.from_arrays(arrays, ["id", "n", "grams", "spread"])
+            arrays = [pa.array(_names(g, r[order], np.diff(at)).view(np.int64)), pa.array(np.diff(at)), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(g.view(np.int64)))]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "n", "grams"])
 
     # A class's text stands at its smallest doc_id, perhaps beside others, or at rows without one; of equal sets any one is taken.
     some = docs.join(kept.filter("rep is not null").select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").unionByName(docs.filter("doc_id is null"))
-    full = some.select("text").mapInArrow(whole_sets, "id long, n long, grams array<long>, spread array<int>").dropDuplicates(["id"])
+    full = some.select("text").mapInArrow(whole_sets, "id long, n long, grams array<long>").dropDuplicates(["id"])
     sets = stored(full.join(kept.select(F.col("name").alias("id")), "id", "left_semi"), "whole-sets")
 
-    def ask_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            if batch.num_rows:
-                grams = batch.column("grams")
-                at = np.concatenate([[0], np.cumsum(grams.value_lengths().to_numpy())])
-                yield from _requests(chunk, shards, grams.flatten().to_numpy().view(np.uint64), np.repeat(np.arange(batch.num_rows), np.diff(at)), batch.column("id").to_pylist(), True)
-                chunk += 1
-
-    def give_frequency(table: pa.Table) -> pa.Table:
-        rows, per, value, count = _groups(table, True)
-        out, entry = [], 0
-        for r in rows:
-            n = np.frombuffer(r["n"], "<u4").astype(np.int64)
-            m = int(n.sum())
-            c, g, d = count[entry : entry + m], value[entry : entry + m], np.repeat(_places(r), n)
-            common = c > 1
-            out.append({"chunk": r["chunk"], "doc_ids": r["doc_ids"], "sizes": r["sizes"], "doc": d[common].astype("<u4").tobytes(), "gram": g[common].tobytes(), "count": c[common].astype("<u4").tobytes()})
-            entry += m
-        return pa.Table.from_pylist(out, pa.schema([("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("doc", pa.binary()), ("gram", pa.binary()), ("count", pa.binary())]))
-
-    def prefixes(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        own = next(r for r in rows if r["sizes"] is not None)
-        n, ids = np.frombuffer(own["sizes"], "<u4").astype(np.int64), np.array(own["doc_ids"], np.int64)
-        doc = np.concatenate([np.frombuffer(r["doc"], "<u4") for r in rows]).astype(np.int64)
-        gram = np.concatenate([np.frombuffer(r["gram"], "<u8") for r in rows])
-        order = np.lexsort((gram, np.concatenate([np.frombuffer(r["count"], "<u4") for r in rows]), doc))
-        doc, gram = doc[order], gram[order]
-        alone = n - np.bincount(doc, minlength=len(n))
-        place = np.arange(len(doc)) - np.searchsorted(doc, doc) + alone[doc]
-        keep = place < _prefix(n, percent)[doc]
-        return pa.table({"gram": gram[keep].view(np.int64), "id": ids[doc[keep]], "n": n[doc[keep]], "place": place[keep]})
-
-    answered = sets.select("id", "grams").mapInArrow(ask_order, _REQUEST).groupBy("shard").applyInArrow(give_frequency, "chunk long, doc_ids array<long>, sizes binary, doc binary, gram binary, count binary")
-    prefix = stored(answered.groupBy("chunk").applyInArrow(prefixes, "gram long, id long, n long, place long"), "prefixes")
-
-    def possible(n: Column, place: Column, other_n: Column, other_place: Column) -> Column:
-        most = F.least(n - place, other_n - other_place)  # what may be shared from the first shared shingle on
+    parts = max(1, -(-(sets.agg(F.sum("n").alias("n")).first()["n"] or 0) // PART_GRAMS))
+    dealt = sets.withColumn("part", F.pmod("id", F.lit(parts)))
+    answered = dealt.groupBy("part").applyInArrow(_ask_order(shards), "part long, shard long, grams binary, times binary").groupBy("shard").applyInArrow(_give_frequency, "part long, shard long, counts binary")
+    prefix = stored(dealt.groupBy("part").cogroup(answered.groupBy("part")).applyInArrow(_prefixes(shards, percent), _PREFIX), "prefixes")
+
+    def possible(x: str, y: str) -> Column:
+        """By lengths and by the places of the first shared shingle."""
+        n, place, other_n, other_place = F.col(f"{x}n"), F.col(f"{x}place"), F.col(f"{y}n"), F.col(f"{y}place")
+        most = F.least(n - place, other_n - other_place)  # what may be shared from there on
         return (100 * F.least(n, other_n) >= percent * F.greatest(n, other_n)) & _links(n, other_n, most, percent)
 
+    def suffix(x: str, y: str) -> Column:
+        both = F.aggregate(F.zip_with(f"{x}after", f"{y}after", lambda p, q: F.least(p, q)), F.lit(1), lambda s, c: s + c)
+        return _links(F.col(f"{x}n"), F.col(f"{y}n"), both, percent)
+
     def verified(pairs: DataFrame) -> DataFrame:
-        x = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("grams").alias("grams_a"), F.col("spread").alias("spread_a"))
-        y = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("grams").alias("grams_b"), F.col("spread").alias("spread_b"))
-        apart = F.aggregate(F.zip_with("spread_a", "spread_b", lambda p, q: F.abs(p - q)), F.lit(0), lambda s, d: s + d)
-        near = (100 + percent) * apart <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
-        both = F.when(near, F.size(F.array_intersect("grams_a", "grams_b"))).otherwise(-1)
+        x = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("grams").alias("grams_a"))
+        y = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("grams").alias("grams_b"))
+        both = F.size(F.array_intersect("grams_a", "grams_b"))
         return pairs.join(x, "a").join(y, "b").filter(_links(F.col("n_a"), F.col("n_b"), both, percent)).select("a", "b")
 
-    pivots = prefix.groupBy("gram").agg(F.min(F.struct("place", "n", "id")).alias("pivot"), F.count("*").alias("members")).filter("members > 1")
-    pivots = pivots.select("gram", F.col("pivot.id").alias("pivot_id"), F.col("pivot.n").alias("pivot_n"), F.col("pivot.place").alias("pivot_place"))
-    star = prefix.join(pivots, "gram").filter((F.col("id") != F.col("pivot_id")) & possible(F.col("n"), F.col("place"), F.col("pivot_n"), F.col("pivot_place")))
+    # Aggregates are stored before they are joined with what they were made of, so that Spark can split a hot bucket in the join.
+    pivots = prefix.groupBy("gram").agg(F.min(F.struct("place", "n", "id", "after")).alias("pivot"), F.count("*").alias("members")).filter("members > 1")
+    pivots = stored(pivots.select("gram", *(F.col(f"pivot.{c}").alias(f"pivot_{c}") for c in ("id", "n", "place", "after"))), "pivots")
+    star = prefix.join(pivots, "gram").filter((F.col("id") != F.col("pivot_id")) & possible("", "pivot_")).filter(suffix("", "pivot_"))
     star = stored(star.select(F.least("id", "pivot_id").alias("a"), F.greatest("id", "pivot_id").alias("b")).distinct(), "pairs")
     links = stored(verified(star), "links")
     labels = components(links)
 
-    left = prefix.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    left = stored(left, "labelled")
+    left = stored(prefix.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")), "labelled")
     # Only members outside a bucket's most frequent component are joined with the others, so a large component never meets itself.
     sizes = left.groupBy("gram", "label").agg(F.count("*").alias("members"))
-    main = sizes.groupBy("gram").agg(F.max(F.struct("members", "label"))["label"].alias("main"), F.count("*").alias("labels")).filter("labels > 1").select("gram", "main")
-    odd = left.join(main, "gram").filter("label <> main").select("gram", "id", "n", "place", "label")
-    x, y = odd.alias("x"), left.alias("y")
-    open_ = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.label") != F.col("y.label")) & possible(F.col("x.n"), F.col("x.place"), F.col("y.n"), F.col("y.place"))
-    rest = x.join(y, open_).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    main = sizes.groupBy("gram").agg(F.max(F.struct("members", "label"))["label"].alias("main"), F.count("*").alias("labels")).filter("labels > 1")
+    main = stored(main.select("gram", "main"), "main")
+    mixed = stored(left.join(main, "gram"), "mixed")
+    # Pairs of length and place that may link, by bands of length of which only neighbours can.
+    band = F.floor(F.log("n") / (1.001 * math.log(100 / percent))) if percent < 100 else F.col("n")
+    cells = mixed.groupBy("gram", "n", "place").agg(F.max(F.col("label") != F.col("main")).alias("odd")).withColumn("band", band.cast("long"))
+    x = cells.filter("odd").select("gram", "band", "n", "place")
+    y = cells.select("gram", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), F.col("n").alias("y_n"), F.col("place").alias("y_place"))
+    met = stored(x.join(y, ["gram", "band"]).filter(possible("", "y_")).select("gram", "n", "place", "y_n", "y_place"), "cells")
+    odd = mixed.filter("label <> main").select("gram", "n", "place", "id", "label", "after").join(met, ["gram", "n", "place"])
+    others = mixed.select("gram", *(F.col(c).alias(f"y_{c}") for c in ("n", "place", "id", "label", "after")))
+    rest = stored(odd, "odd").join(others, ["gram", "y_n", "y_place"]).filter("label <> y_label").filter(suffix("", "y_"))
+    rest = rest.select(F.least("id", "y_id").alias("a"), F.greatest("id", "y_id").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
     more = stored(verified(rest), "links")
     if more.limit(1).count():
         labels = components(links.unionByName(more))
@@ -260,7 +308,7 @@ def _components_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
     found = stored(labels.join(tops, "label").select(F.col("id").alias("name"), F.col("top.rep").alias("component"), F.col("top.name").alias("first"), F.lit(True).alias("linked")), "found")
     found = classes.select("name", "rep").join(found, "name", "left")
     found = found.select("name", F.when(F.col("linked"), F.col("component")).otherwise(F.col("rep")).alias("component"), F.when(F.col("linked"), F.col("first")).otherwise(F.col("name")).alias("first"))
-    out = info.join(found, "name", "left")
+    out = info.join(stored(found, "components"), "name", "left")
     return out.select("doc_id", "n", "name", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), "first")
 
 
@@ -275,22 +323,24 @@ def without_copies(docs: DataFrame, k: int, percent: int) -> DataFrame:
     rows = _components_of(docs.select("doc_id", "text"), k, percent).filter("doc_id is not null")
     rows = rows.withColumn("stays", (F.col("n") == 0) | (F.col("doc_id") == F.col("component_id")) & (F.col("name") == F.col("first")))
     by_id = rows.groupBy("doc_id").agg(F.count("*").alias("of"), F.count_if("stays").alias("stay")).filter("stay = 0 or of > 1")
-    by_id = stored(by_id.select(F.col("doc_id").alias("_id"), (F.col("stay") > 0).alias("_some")), "copies")
+    id_ = free_name(docs, "_id")
+    by_id = stored(by_id.select(F.col("doc_id").alias(id_), (F.col("stay") > 0).alias("some")), "copies")
     key = F.col("doc_id").cast("long")
-    out = docs.join(by_id, key == F.col("_id"), "left_anti")
-    if not by_id.filter("_some").limit(1).count():
+    out = docs.join(by_id.select(id_), key == F.col(id_), "left_anti")
+    some = by_id.filter("some").select(id_)
+    if not some.limit(1).count():
         return out
 
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def with_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             g, r = sets_of(batch, k)
             size = np.bincount(r, minlength=batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_names(g, r, size).view(np.int64)), pa.array(size), batch.column("row")], ["doc_id", "name", "n", "row"])
 
     # Rows that share a doc_id are told apart by their sets' names.
-    several = docs.join(by_id.filter("_some"), key == F.col("_id"), "left_semi").select(key.alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*docs.columns).alias("row"))
+    several = docs.join(some, key == F.col(id_), "left_semi").select(key.alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*map(named, docs.columns)).alias("row"))
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("name", T.LongType()), T.StructField("n", T.LongType()), several.schema["row"]])
-    several = several.mapInArrow(named, schema)
+    several = several.mapInArrow(with_names, schema)
     first = several.filter("n > 0").join(rows.filter("stays and n > 0").select("doc_id", "name").distinct(), ["doc_id", "name"], "left_semi")
     first = first.groupBy("doc_id", "name").agg(F.min_by("row", F.struct("row.text", F.to_json("row"))).alias("row"))
     return out.unionByName(several.filter("n = 0").select("row.*")).unionByName(first.select("row.*"))
