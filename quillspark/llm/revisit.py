@@ -3,10 +3,12 @@
 A revisit record takes the payload of the latest full response with the same canonical URL and an earlier time, if
 its validators agree, and that response's headers with those that a 304 answer may carry replaced by its own.
 
-One URL may hold much of an archive, so no task gets all records of a URL: time is cut into at most BUCKETS ranges.
-Within a (URL, range) a window finds the latest earlier response; the last response of each (URL, range), aggregated
-before it is shuffled, is carried to later ranges by a window of at most BUCKETS rows. Only identifiers and times go
-through both; payloads are joined by record id afterwards.
+One URL may hold much of an archive, so no task gets all records of a URL: time is cut into at most BUCKETS ranges of about
+as many records each, whatever outliers there are (records of one time stay together). Within a (URL, range) a window
+finds the latest earlier response; the last response of each (URL, range), aggregated before it is shuffled, is
+carried to later ranges by a window of at most BUCKETS rows. Only identifiers and times go through both; payloads, of
+those responses only that some revisit refers to, are joined by record id afterwards, in a join that Spark can split
+where one response has many revisits; revisits without a source take no part in it.
 
 Defined results, as column status: resolved; mismatch (a validator differs); unvalidated (no common validator); orphan
 (no earlier response, or no URL or time). Only resolved revisits get a payload and merged headers. Equal times are
@@ -20,7 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BUCKETS = 256
+from .common import stored
+
+BUCKETS = 64
 #: Headers that a not-modified answer may replace (RFC 9110, 15.4.5; fixed values).
 PERMITTED = ["cache-control", "content-location", "date", "etag", "expires", "vary"]
 _URL = r"^(?i:https?)://(?i:www\.|m\.)?([^/?#]*)([^?#]*)(\?[^#]*)?"
@@ -34,26 +38,43 @@ def canonical_url(url: Column) -> Column:
     return F.when(url.rlike(_URL), F.concat(F.lower(F.regexp_extract(url, _URL, 1)), path, query)).otherwise(url)
 
 
+def _range(time: str, edges: list[int]) -> Column:
+    """How many of the sorted edges are at most time, by halving."""
+
+    def halve(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(F.col(time) < edges[middle], halve(low, middle)).otherwise(halve(middle + 1, high))
+
+    return halve(0, len(edges))
+
+
 def resolve_revisits(records: DataFrame) -> DataFrame:
-    """records: record_id, kind (response or revisit), url, time, headers (map), payload. One row per revisit:
-    record_id, url, time, status, source_id, payload, headers."""
-    records = records.withColumn("key", canonical_url(F.col("url")))
+    """records: record_id, kind (response or revisit), url, time, headers (map), payload; others are not looked at. One
+    row per revisit: record_id, url, time, status, source_id, payload, headers."""
+    records = records.select("record_id", "kind", "url", "time", "headers", "payload", canonical_url(F.col("url")).alias("key"))
     full = (F.col("kind") == "response") & F.col("payload").isNotNull()
-    range_ = records.agg(F.min("time").alias("low"), F.max("time").alias("high")).first()
-    low, width = range_["low"] or 0, max(1, -(-((range_["high"] or 0) - (range_["low"] or 0) + 1) // BUCKETS))
     timed = records.filter(F.col("key").isNotNull() & F.col("time").isNotNull() & (full | (F.col("kind") == "revisit")))
-    line = timed.select("key", "time", "record_id", "kind", F.expr(f"(time - {low}) div {width}").alias("bucket"))
+    edges = timed.agg(F.percentile_approx("time", [i / BUCKETS for i in range(1, BUCKETS)], 1000).alias("edges")).first()["edges"] or []
+    line = timed.select("key", "time", "record_id", "kind", _range("time", sorted(set(edges))).alias("bucket"))
     source = F.when(F.col("kind") == "response", F.struct("time", "record_id"))
     within = Window.partitionBy("key", "bucket").orderBy("time").rangeBetween(Window.unboundedPreceding, -1)
     near = line.withColumn("near", F.max(source).over(within)).filter("kind = 'revisit'")
     last = line.groupBy("key", "bucket").agg(F.max(source).alias("last"))
     before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = last.select("key", "bucket", F.last("last", ignorenulls=True).over(before).alias("far")).filter("far is not null")
-    found = near.join(carried, ["key", "bucket"], "left").select("record_id", "key", "time", F.coalesce("near.record_id", "far.record_id").alias("source_id")).distinct()
+    found = near.join(carried, ["key", "bucket"], "left").select("record_id", "key", "time", F.coalesce("near.record_id", "far.record_id").alias("source_id"))
+    found = stored(found.filter("source_id is not null").distinct(), "sources")
 
-    held = records.filter(full).groupBy(F.col("record_id").alias("source_id")).agg(F.max_by(F.struct("headers", "payload"), "payload").alias("source"))
+    held = records.filter(full).join(found.select(F.col("source_id").alias("record_id")).distinct(), "record_id", "left_semi")
+    held = stored(held.groupBy(F.col("record_id").alias("source_id")).agg(F.max_by(F.struct("headers", "payload"), "payload").alias("source")), "responses")
     revisits = records.filter("kind = 'revisit'").select("record_id", "url", "key", "time", F.col("headers").alias("own"))
-    matched = revisits.join(found, (revisits["record_id"].eqNullSafe(found["record_id"])) & (revisits["key"] == found["key"]) & (revisits["time"] == found["time"]), "left").select(revisits["*"], "source_id").join(held, "source_id", "left")
+    same = revisits["record_id"].eqNullSafe(found["record_id"]) & (revisits["key"] == found["key"]) & (revisits["time"] == found["time"])
+    referring = stored(revisits.join(found, same, "left").select(revisits["*"], "source_id"), "revisits")
+    matched = referring.filter("source_id is not null").join(held, "source_id", "left")
+    nothing = referring.filter("source_id is null").withColumn("source", F.lit(None).cast(held.schema["source"].dataType))
+    matched = matched.unionByName(nothing)
     old = F.col("source.headers")
     weak = lambda c: F.regexp_replace(c, "^W/", "")
     tag = weak(F.col("own")["etag"]) == weak(old["etag"])
