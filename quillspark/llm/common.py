@@ -39,6 +39,11 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def as_row(df: DataFrame) -> Column:
+    """All columns of df as one struct, row: passes through Arrow functions whatever the columns' names."""
+    return F.struct(*map(named, df.columns)).alias("row")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it again: cuts lineage and survives lost executors."""
     spark = df.sparkSession

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free_name, mix, shingles, slices, text_bytes, words
+from .common import as_row, mix, shingles, slices, text_bytes, words
 
 K, PERCENT, RADIUS, BLOCKS, ITEMS, ITEM_BYTES = 5, 80, 19, 4, 1024, 16 << 20
 _BITS = np.arange(64, dtype=np.uint64)
@@ -168,19 +168,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = K, percent: int = PERC
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, k: int = K, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
     """The rows of docs (with text; all columns stay) that match no item; rows never leave their partition."""
-    low = free_name(docs, "_low")
-    out = docs.withColumn(low, F.lower(F.col("text").cast("string")))
+    out = docs.select(F.lower(F.col("text").cast("string")).alias("text"), as_row(docs))
 
     def without(out: DataFrame, index: Index) -> DataFrame:
         sent = docs.sparkSession.sparkContext.broadcast(index)
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch, found in _found(sent.value, batches, low):
+            for batch, found in _found(sent.value, batches, "text"):
                 yield batch.filter(pa.array([r not in found for r in range(batch.num_rows)], pa.bool_()))
 
         return out.mapInArrow(work, out.schema)
 
-    return reduce(without, _blocks(benchmark, k, percent, radius), out).drop(low)
+    return reduce(without, _blocks(benchmark, k, percent, radius), out).select("row.*")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

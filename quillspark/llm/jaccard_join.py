@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, from_planes, mix, named, planes, shingles, slices, stored, text_bytes, words
+from .common import as_row, free_name, from_planes, mix, planes, shingles, slices, stored, text_bytes, words
 
 #: Bytes of text in a chunk, and of text that one shard answers for; shingles in a part.
 CHUNK_BYTES, SHARD_BYTES, PART_GRAMS = 8 << 20, 16 << 20, 500_000
@@ -338,7 +338,7 @@ def without_copies(docs: DataFrame, k: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_names(g, r, size).view(np.int64)), pa.array(size), batch.column("row")], ["doc_id", "name", "n", "row"])
 
     # Rows that share a doc_id are told apart by their sets' names.
-    several = docs.join(some, key == F.col(id_), "left_semi").select(key.alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*map(named, docs.columns)).alias("row"))
+    several = docs.join(some, key == F.col(id_), "left_semi").select(key.alias("doc_id"), F.col("text").cast("string").alias("text"), as_row(docs))
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("name", T.LongType()), T.StructField("n", T.LongType()), several.schema["row"]])
     several = several.mapInArrow(with_names, schema)
     first = several.filter("n > 0").join(rows.filter("stays and n > 0").select("doc_id", "name").distinct(), ["doc_id", "name"], "left_semi")

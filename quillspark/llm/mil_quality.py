@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import free_name, mix, slices, text_bytes, words
+from .common import as_row, free_name, mix, slices, text_bytes, words
 
 PASSAGE, SAMPLE, PASSAGES, HIDDEN, EPOCHS, BATCH, RATE, DECAY, WORD_BINS, THRESHOLD = 48, 6000, 1 << 17, 24, 24, 64, 4e-3, 1e-4, 32, 0.3
 #: Characters of each class; the classes after these are A-Z, a-z, other ASCII and non-ASCII bytes.
@@ -184,12 +184,19 @@ def train(docs: DataFrame, labels: DataFrame) -> AttentionMil:
 def with_scores(docs: DataFrame, model: AttentionMil, name: str = "score") -> DataFrame:
     """docs with a column of scores from text, name or free_name(docs, name); all other columns stay."""
     name = free_name(docs, name)
+    held = docs.select(as_row(docs))
+    place = [c.lower() for c in docs.columns].index("text")
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0).field(place).cast(pa.string()), batch.column(0)], ["text", "row"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(*encode(batch.column("text"))), pa.float64())], [*batch.schema.names, name])
+        for batch in slices(texts(batches)):
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(model.scores(*encode(batch.column("text"))), pa.float64())], ["row", "score"])
 
-    return docs.mapInArrow(work, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+    scored = held.mapInArrow(work, StructType([held.schema["row"], StructField("score", DoubleType())]))
+    return scored.select("row.*", F.col("score").alias(name))
 
 
 def quality_model(spark: SparkSession, sf_dir: str) -> AttentionMil:
