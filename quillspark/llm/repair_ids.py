@@ -36,8 +36,10 @@ from pyspark.sql.window import Window
 from .common import shared_dir
 from .encoding import encoder
 
-#: Ids in a block, least count of a pair that is replaced, bytes of text in a shard, pieces that a worker remembers.
-BLOCK, LEAST, SHARD_BYTES, REMEMBERED = 1 << 20, 6, 32 << 20, 1_000_000
+#: Ids in a block, least count of a pair that is replaced, pieces that a worker remembers.
+BLOCK, LEAST, REMEMBERED = 1 << 20, 6, 600_000
+#: Marks of a symbol: the last of its document; begins a pair that may be frequent.
+LAST, LIVE = np.uint8(1), np.uint8(2)
 SCHEMA = "shard int, block int, shard_start long, n_tokens long, doc_ids array<long>, doc_symbols binary, doc_tokens binary, base int, rules binary, expansions binary, wide boolean, symbols binary"
 
 
@@ -45,11 +47,11 @@ def _bins(left: np.ndarray, right: np.ndarray, mask: int) -> np.ndarray:
     return (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA6B)) >> np.uint32(7) & np.uint32(mask)
 
 
-def _pairs(symbols: np.ndarray, last: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+def _pairs(symbols: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Places of pairs that may be frequent, of a run of equal symbols every second one, their keys, and bins by a hash.
 
-    live: where a pair may be frequent; is updated. Pairs that are rare stay rare, as later rounds only take from them."""
-    at = np.flatnonzero(live[:-1] & ~last[:-1])
+    Pairs that are rare stay rare, as later rounds only take from them: their marks lose LIVE."""
+    at = np.flatnonzero(marks[:-1] == LIVE)
     left, right = symbols[at], symbols[at + 1]
     mask = (1 << max(8, min(20, len(at).bit_length()))) - 1
     bins = _bins(left, right, mask)
@@ -60,7 +62,7 @@ def _pairs(symbols: np.ndarray, last: np.ndarray, live: np.ndarray) -> tuple[np.
         odd = (np.arange(len(equal)) - np.flatnonzero(opens)[np.cumsum(opens) - 1]) & 1
         fine[equal[odd == 1]] = False
     often = (np.bincount(bins[fine] if len(equal) else bins, minlength=mask + 1) >= LEAST)[bins]
-    live[at] = often
+    marks[at[~often]] = 0
     take = np.flatnonzero(fine & often)
     return at[take], (left[take].astype(np.uint64) << np.uint64(32)) | right[take], bins[take], mask
 
@@ -68,13 +70,12 @@ def _pairs(symbols: np.ndarray, last: np.ndarray, live: np.ndarray) -> tuple[np.
 def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, end of each document among them, rules (n x 2) and ids under each rule. base: first nonterminal."""
     symbols = ids.astype(np.uint32)
-    last = np.zeros(len(symbols), bool)
-    last[ends[ends > 0] - 1] = True
-    live = np.ones(len(symbols), bool)
+    marks = np.full(len(symbols), LIVE, np.uint8)
+    marks[ends[ends > 0] - 1] |= LAST
     rules: list[np.ndarray] = []
     size = np.ones(base, np.int64)
     while len(symbols) > 1:
-        at, keys, bins, mask = _pairs(symbols, last, live)
+        at, keys, bins, mask = _pairs(symbols, marks)
         ordered = np.sort(keys)
         edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, int)
         count = np.diff(np.append(edge, len(ordered)))
@@ -100,18 +101,18 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
         hit = np.flatnonzero((slot >= 0) & (chosen[slot] == keys))
         at, slot = at[hit], slot[hit]
         symbols[at] = (first + slot).astype(np.uint32)
-        last[at] = last[at + 1]
-        live[at] = live[np.maximum(at - 1, 0)] = True
+        marks[at] = marks[at + 1] | LIVE
+        marks[np.maximum(at - 1, 0)] |= LIVE
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         # A pair before a replaced one begins at the symbol before it, or at the nonterminal that took that one's place.
         before = np.flatnonzero(~keep[np.maximum(at - 1, 0)])
-        live[np.maximum(at[before] - 2, 0)] = True
-        symbols, last, live = symbols[keep], last[keep], live[keep]
+        marks[np.maximum(at[before] - 2, 0)] |= LIVE
+        symbols, marks = symbols[keep], marks[keep]
         rules.append(pairs)
         size = np.concatenate([size, size[pairs[:, 0]] + size[pairs[:, 1]]])
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
-    return symbols, np.flatnonzero(last) + 1, table, size[base:]
+    return symbols, np.flatnonzero(marks & LAST) + 1, table, size[base:]
 
 
 def expand(symbols: np.ndarray, base: int, rules: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -143,10 +144,10 @@ def _row(shard: int, block: int, start: int, docs: list[tuple[int, bytes]], base
 
 
 def write_ids(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = 0, shards: int | None = None) -> None:
-    """Encode docs (doc_id, text) and write the files described above to path."""
+    """Encode docs (doc_id, text) and write the files described above to path. shards: as many as docs has input splits,
+    whose size Spark bounds, if not given."""
     vocabulary = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
-    if shards is None:
-        shards = max(1, -(-(docs.agg(F.sum(F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit(""))) + 64).alias("n")).first()["n"] or 0) // SHARD_BYTES))
+    shards = shards or max(1, docs.rdd.getNumPartitions())
     end = np.array([end_id], "<u4").tobytes()
     arrow = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("shard_start", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), *((n, pa.binary()) for n in ("doc_symbols", "doc_tokens")), ("base", pa.int32()), *((n, pa.binary()) for n in ("rules", "expansions")), ("wide", pa.bool_()), ("symbols", pa.binary())])
 
@@ -185,8 +186,8 @@ def decode_range(block: dict, doc: int, begin: int, end: int) -> np.ndarray:
     return expand(symbols[first:last], block["base"], rules, sizes)[begin - skipped : end - skipped]
 
 
-def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Per document of the files at path: doc_id, start, n_tokens, ids_crc32, ids (little-endian unsigned 32-bit)."""
+def read_ids(spark: SparkSession, path: str, digests_only: bool = False) -> DataFrame:
+    """Per document of the files at path: doc_id, start, n_tokens, ids_crc32, and unless digests_only ids (little-endian unsigned 32-bit)."""
     blocks = spark.read.schema(SCHEMA).parquet(path)
     totals = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("shard_tokens"))
     before = totals.select("shard", (F.sum("shard_tokens").over(Window.orderBy("shard")) - F.col("shard_tokens")).alias("before"))  # one row a shard: as many as write_ids was told to write
@@ -198,13 +199,16 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                 ids = expand(*(lambda s, r, z: (s, block["base"], r, z))(*_unpack(block))).astype("<u4")
                 n = np.frombuffer(block["doc_tokens"], "<u4").astype(np.int64)
                 at = np.concatenate([[0], np.cumsum(n)])
-                parts = [ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(block["doc_ids"], pa.int64()), pa.array(at[:-1] + block["before"] + block["shard_start"], pa.int64()), pa.array(n, pa.int64()), pa.array([zlib.crc32(p) for p in parts], pa.int64()), pa.array(parts, pa.binary())], ["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
+                parts = [memoryview(ids[a:b]) for a, b in zip(at[:-1], at[1:])]
+                columns = [pa.array(block["doc_ids"], pa.int64()), pa.array(at[:-1] + block["before"] + block["shard_start"], pa.int64()), pa.array(n, pa.int64()), pa.array([zlib.crc32(p) for p in parts], pa.int64())]
+                if not digests_only:
+                    columns.append(pa.array([p.tobytes() for p in parts], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(columns)])
 
-    return blocks.join(F.broadcast(before), "shard").mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
+    return blocks.join(F.broadcast(before), "shard").mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * (not digests_only))
 
 
 def op1_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}"
     write_ids(spark.read.parquet(f"{sf_dir}/documents.parquet"), path)
-    return read_ids(spark, path).drop("ids")
+    return read_ids(spark, path, digests_only=True)
