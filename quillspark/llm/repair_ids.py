@@ -115,20 +115,29 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
     return symbols, np.flatnonzero(marks & LAST) + 1, table, size[base:]
 
 
+def _runs(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers begin, begin + 1, ... of n[i] each, one run after another."""
+    return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 def expand(symbols: np.ndarray, base: int, rules: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The ids under symbols."""
-    size = np.concatenate([np.ones(base, np.int64), sizes.astype(np.int64)])
-    begin = np.concatenate([np.arange(base), base + np.cumsum(sizes.astype(np.int64)) - sizes])
+    """The ids under symbols. Rules are expanded level by level, those of a level side by side."""
+    sizes = sizes.astype(np.int64)
+    size = np.concatenate([np.ones(base, np.int64), sizes])
+    begin = np.concatenate([np.arange(base), base + np.cumsum(sizes) - sizes])
     flat = np.empty(base + int(sizes.sum()), np.uint32)
     flat[:base] = np.arange(base)
-    at, length = begin.tolist(), size.tolist()
-    for i, (a, b) in enumerate(rules.tolist(), base):
-        k = at[i]
-        flat[k : k + length[a]] = flat[at[a] : at[a] + length[a]]
-        flat[k + length[a] : k + length[i]] = flat[at[b] : at[b] + length[b]]
-    n = size[symbols]
-    shift = np.repeat(begin[symbols] - (np.cumsum(n) - n), n)
-    return flat[shift + np.arange(len(shift))]
+    level, left, right = np.zeros(base + len(rules), np.int64), rules[:, 0], rules[:, 1]
+    while True:
+        deeper = 1 + np.maximum(level[left], level[right])
+        if (deeper == level[base:]).all():
+            break
+        level[base:] = deeper
+    order = np.argsort(level[base:], kind="stable")
+    for some in np.split(order, np.flatnonzero(np.diff(level[base:][order])) + 1):
+        for part, at in ((left[some], begin[base + some]), (right[some], begin[base + some] + size[left[some]])):
+            flat[_runs(at, size[part])] = flat[_runs(begin[part], size[part])]
+    return flat[_runs(begin[symbols], size[symbols])]
 
 
 def _row(shard: int, block: int, start: int, docs: list[tuple[int, bytes]], base: int) -> dict:
