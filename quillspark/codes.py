@@ -3,16 +3,47 @@
 from __future__ import annotations
 
 #: The codes that this engine's operators give.
-DATASET_CODES = """
-DATASET_MISSING DATASET_ARCHIVE_UNREADABLE DATASET_ARCHIVE_UNSAFE DATASET_ARCHIVE_TOO_LARGE DATASET_ARCHIVE_NESTED
-DATASET_ARCHIVE_DUPLICATE_MEMBER DATASET_SPLIT_MISSING DATASET_SPLIT_AMBIGUOUS DATASET_WRONG_PIPELINE DATASET_SPLIT_TOO_LARGE
-DATASET_INVALID_UTF8 DATASET_INVALID_JSON DATASET_SCHEMA_MIXED DATASET_SCHEMA_UNKNOWN DATASET_ROLE_INVALID DATASET_TARGET_EMPTY
-DATASET_LINE_TOO_LARGE DATASET_TOO_FEW_EXAMPLES DATASET_TOO_MANY_EXAMPLES DATASET_SEQUENCE_TOO_LONG DATASET_TOKEN_BUDGET_EXCEEDED
-DATASET_CHAT_TEMPLATE_MISSING DATASET_SPLIT_LEAKAGE
-""".split()
-MODEL_CODES = "MODEL_KEY_MISSING MODEL_NOT_APPROVED MODEL_DISABLED MODEL_REMOTE_CODE_BLOCKED MODEL_REVISION_UNPINNED MODEL_BASE_MODEL_CONFLICT".split()
-CONFIG_CODES = "CONFIG_INVALID_JSON CONFIG_OUT_OF_BOUNDS CONFIG_METHOD_UNSUPPORTED".split()
-ARTIFACT_CODES = "ARTIFACT_VERIFICATION_FAILED".split()
+DATASET_CODES = [
+    "DATASET_MISSING",
+    "DATASET_ARCHIVE_UNREADABLE",
+    "DATASET_ARCHIVE_UNSAFE",
+    "DATASET_ARCHIVE_TOO_LARGE",
+    "DATASET_ARCHIVE_NESTED",
+    "DATASET_ARCHIVE_DUPLICATE_MEMBER",
+    "DATASET_SPLIT_MISSING",
+    "DATASET_SPLIT_AMBIGUOUS",
+    "DATASET_WRONG_PIPELINE",
+    "DATASET_SPLIT_TOO_LARGE",
+    "DATASET_INVALID_UTF8",
+    "DATASET_INVALID_JSON",
+    "DATASET_SCHEMA_MIXED",
+    "DATASET_SCHEMA_UNKNOWN",
+    "DATASET_ROLE_INVALID",
+    "DATASET_TARGET_EMPTY",
+    "DATASET_LINE_TOO_LARGE",
+    "DATASET_TOO_FEW_EXAMPLES",
+    "DATASET_TOO_MANY_EXAMPLES",
+    "DATASET_SEQUENCE_TOO_LONG",
+    "DATASET_TOKEN_BUDGET_EXCEEDED",
+    "DATASET_CHAT_TEMPLATE_MISSING",
+    "DATASET_SPLIT_LEAKAGE",
+]
+MODEL_CODES = [
+    "MODEL_KEY_MISSING",
+    "MODEL_NOT_APPROVED",
+    "MODEL_DISABLED",
+    "MODEL_REMOTE_CODE_BLOCKED",
+    "MODEL_REVISION_UNPINNED",
+    "MODEL_BASE_MODEL_CONFLICT",
+]
+CONFIG_CODES = [
+    "CONFIG_INVALID_JSON",
+    "CONFIG_OUT_OF_BOUNDS",
+    "CONFIG_METHOD_UNSUPPORTED",
+]
+ARTIFACT_CODES = [
+    "ARTIFACT_VERIFICATION_FAILED",
+]
 
 
 class Refused(ValueError):

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .digests import sequence_digest
+
 FINGERPRINT_CHARS = 16
 
 
@@ -31,29 +31,25 @@ def short_fingerprints(df: DataFrame, fingerprint: str) -> DataFrame:
 
 
 def set_digest(values: Column, separator: str = "\n") -> Column:
-    """SHA-256 of the sorted values with a separator between; an aggregate that holds the values of one group."""
+    """SHA-256 of the sorted values with a separator between; an aggregate for groups of bounded size, such as a selection."""
     return F.sha2(F.array_join(F.array_sort(F.collect_list(values)), separator), 256)
 
 
-def streamed_digest(df: DataFrame, value: str, separator: str = "\n") -> str:
-    """set_digest for sets of any size: sorted by ranges in the cluster, then hashed partition by partition as it comes."""
-    digest, first = hashlib.sha256(), True
-    for row in df.select(F.col(value).alias("v")).orderBy("v").toLocalIterator(prefetchPartitions=True):
-        digest.update((row["v"] if first else separator + row["v"]).encode())
-        first = False
-    return digest.hexdigest()
+def fingerprint_digest(df: DataFrame, value: str, separator: str = "\n") -> DataFrame:
+    """One row, n and digest: SHA-256 of the sorted values with a separator between, for tables of any size."""
+    return sequence_digest(df, F.lit(""), [F.col(value)], F.col(value), separator).select("n", "digest")
 
 
 def ordered_digest(df: DataFrame, split: str, order: str, fingerprint: str) -> DataFrame:
     """dataset_digest: SHA-256 of all fingerprints one after another, splits by name and rows in order."""
-    rows = F.array_sort(F.collect_list(F.struct(F.col(split).alias("s"), F.col(order).alias("o"), F.col(fingerprint).alias("f"))))
-    return df.agg(F.sha2(F.array_join(F.transform(rows, lambda r: r["f"]), ""), 256).alias("dataset_digest"))
+    return sequence_digest(df, F.lit(""), [F.col(split), F.col(order)], F.col(fingerprint)).select(F.col("digest").alias("dataset_digest"))
 
 
 def named_set_digest(df: DataFrame, split: str, fingerprint: str) -> DataFrame:
     """dataset_digest: SHA-256 of each split's name and its sorted fingerprints, splits by name."""
-    rows = df.groupBy(split).agg(F.concat(F.col(split), F.array_join(F.array_sort(F.collect_list(fingerprint)), "")).alias("_t"))
-    return rows.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(split, "_t"))), lambda r: r["_t"]), ""), 256).alias("dataset_digest"))
+    names = df.select(F.col(split).alias("s")).distinct().select("s", F.lit(0).alias("k"), F.col("s").alias("v"))
+    rows = names.unionByName(df.select(F.col(split).alias("s"), F.lit(1).alias("k"), F.col(fingerprint).alias("v")))
+    return sequence_digest(rows, F.lit(""), [F.col("s"), F.col("k"), F.col("v")], F.col("v")).select(F.col("digest").alias("dataset_digest"))
 
 
 def split_report(df: DataFrame, split: str, fingerprint: str, tokens: str) -> DataFrame:

@@ -10,43 +10,61 @@ from pyspark.sql.window import Window
 
 from ..codes import Refused
 from ..functions.text import content_hash, is_blank, prefix_length
+from .digests import FEW, around_rank, edges_of, ranges
 
 #: Least characters that a template common to one language's rows must have.
 LEAST_PREFIX = 100
-#: Rows of one content that a window may count together before the count is split by ranges of the order column.
+#: Ranges of the order column in which the rows of one content are counted apart.
 _PARTS = 64
 
 
+def _free(df: DataFrame, *names: str) -> list[str]:
+    """names with underscores in front until df has no column of them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def rank(salt: str, identity: Column) -> Column:
     return F.sha2(F.concat(F.lit(f"{salt}:"), identity), 256)
 
 
-def occurrence(df: DataFrame, key: str, order: str) -> DataFrame:
+def occurrence(df: DataFrame, key: str, order: str, name: str = "occurrence") -> DataFrame:
     """df with column occurrence: rows of the same key before this one in the order (0 for the first).
 
     A key may hold much of the table, so rows are numbered within (key, range of order) and the ranges' sizes, which
-    were aggregated before the shuffle, are added."""
-    span = df.agg(F.min(order).alias("low"), F.max(order).alias("high")).first()
-    low, width = span["low"] or 0, max(1, ((span["high"] or 0) - (span["low"] or 0)) // _PARTS + 1)
-    dealt = df.withColumn("_part", F.expr(f"(`{order}` - {low}) div {width}"))
-    sizes = dealt.groupBy(key, "_part").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(key, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy(key, "_part").orderBy(order)) - 1
-    return dealt.withColumn("_inside", inside).join(sizes, [key, "_part"]).withColumn("occurrence", F.col("_before") + F.col("_inside")).drop("_part", "_inside", "_before")
+    were aggregated before the shuffle, are added. Ranges hold about as many rows each. Rows without an order come first,
+    those without a key are a key of their own; order is numeric."""
+    part, inside, n, before, k = _free(df, "_part", "_inside", "_n", "_before", "_key")
+    dealt = df.withColumn(part, ranges(F.col(order), edges_of(df, F.col(order), _PARTS)))
+    sizes = dealt.groupBy(F.col(key).alias(k), F.col(part).alias(f"{part}_")).agg(F.count("*").alias(n))
+    earlier = Window.partitionBy(k).orderBy(f"{part}_").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(k, f"{part}_", F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(before))
+    numbered = dealt.withColumn(inside, F.row_number().over(Window.partitionBy(key, part).orderBy(order)) - 1)
+    joined = numbered.join(sizes, F.col(key).eqNullSafe(F.col(k)) & (F.col(part) == F.col(f"{part}_")))
+    return joined.withColumn(name, F.col(before) + F.col(inside)).drop(part, inside, before, k, f"{part}_")
 
 
 def select_stable(df: DataFrame, count: int | None, salt: str, key_fields: Sequence[str], order: str, selection: str = "stable_hash") -> DataFrame:
     """The count rows of least rank, in source order; all rows for selection 'all', no count, or a count that covers them.
 
-    Equal contents are told apart by their occurrence, so the choice doesn't depend on how rows are dealt."""
+    Equal contents are told apart by their occurrence, so the choice doesn't depend on how rows are dealt. Only hashes and
+    the order are ranked; the chosen rows are joined to them afterwards. Of rows that have the same key fields and order
+    any may be taken."""
     if selection == "all" or count is None:
         return df.orderBy(order)
     if selection != "stable_hash":
         raise Refused("CONFIG_OUT_OF_BOUNDS", f"unknown selection {selection!r}")
-    hashed = occurrence(df.withColumn("_hash", content_hash(key_fields)), "_hash", order)
-    ranked = hashed.withColumn("_rank", rank(salt, F.concat_ws(":", "_hash", F.col("occurrence").cast("string"))))
-    return ranked.orderBy("_rank", order).limit(count).drop("_hash", "_rank", "occurrence").orderBy(order)
+    h, o, k, i = _free(df, "_hash", "_order", "_times", "_number")
+    keys = df.select(content_hash(key_fields).alias(h), F.col(order).alias(o))
+    ranked = occurrence(keys, h, o, "occurrence").withColumn("rank", rank(salt, F.concat_ws(":", h, F.col("occurrence").cast("string"))))
+    chosen = ranked.orderBy("rank", o).limit(count).groupBy(h, o).agg(F.count("*").alias(k))
+    rows = df.join(chosen, F.col(order).eqNullSafe(F.col(o)) & (content_hash(key_fields) == F.col(h)))
+    numbered = rows.withColumn(i, F.row_number().over(Window.partitionBy(h, o).orderBy(F.lit(0))))
+    return numbered.filter(F.col(i) <= F.col(k)).drop(h, o, k, i).orderBy(order)
 
 
 def with_identity(df: DataFrame, salt: str, identity_field: str, key_fields: Sequence[str]) -> DataFrame:
@@ -95,15 +113,23 @@ def drop_prefix(df: DataFrame, field: str, prefix: str, expected: int | None = N
 
 
 def holdout(df: DataFrame, fingerprint: str, order: str, fraction: float = 0.2) -> DataFrame:
-    """df with column split: the first max(1, floor(n * fraction)) rows by fingerprint are validation, the rest train.
+    """df with column split: the first max(1, floor(n * fraction)) rows by fingerprint (small hex digits), then order, are
+    validation, the rest train.
 
-    The cut is a value found by a bounded sort (TakeOrdered), not a window over the whole table."""
+    The cut is one (fingerprint, order) value, found by counts in ranges that are narrowed until few rows are left; then
+    rows are compared with it. Rows without a fingerprint or an order are train; rows equal in both go the same way."""
     n = df.count()
     if n < 2:
         raise Refused("DATASET_TOO_FEW_EXAMPLES")
-    k = max(1, int(n * fraction))
-    chosen = df.select(fingerprint, order).orderBy(fingerprint, order).limit(k).withColumn("_in", F.lit(True))
-    return df.join(chosen, [fingerprint, order], "left").withColumn("split", F.when(F.col("_in"), "validation").otherwise("train")).drop("_in")
+    rows = df.select(F.col(fingerprint).alias("f"), F.col(order).alias("o")).filter("f is not null and o is not null")
+    rows, k = around_rank(rows, F.conv(F.left("f", F.lit(15)), 16, 10).cast("long"), max(1, int(n * fraction)))
+    rows, k = around_rank(rows, F.col("o"), k) if rows.limit(FEW + 1).count() > FEW else (rows, k)
+    last = rows.orderBy("f", "o").limit(k).agg(F.max(F.struct("f", "o")).alias("last")).first()["last"]  # of at most FEW rows
+    if last is None:
+        return df.withColumn("split", F.lit("train"))
+    f, o = F.col(fingerprint), F.col(order)
+    first = (f < last["f"]) | ((f == last["f"]) & (o <= last["o"]))
+    return df.withColumn("split", F.when(first, "validation").otherwise("train"))
 
 
 def fitting_sample(df: DataFrame, fingerprint: str, tokens: str, ceiling: int, limit: int) -> DataFrame:

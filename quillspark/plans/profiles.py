@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import hashlib
 import json
 from dataclasses import dataclass
 from datetime import date
@@ -11,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..codes import Refused
-from ..functions.text import record_fingerprint
+from ..functions.text import record_fingerprint, strip
 from ..operators import checks, selection
+from ..operators.digests import sequence_digest
 from ..operators.integrity import field_diff
 from ..sources import adapters, datasets
 
@@ -63,8 +65,8 @@ def build(source: DataFrame, profile: Profile, order: str = "source_index", dono
 
 def manifest(built: DataFrame, profile: Profile, split: str = "train") -> dict:
     """Provenance of a build: counts and digests, no content."""
-    indices = F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list("source_index")), ","), F.lit("]"))
-    row = built.agg(F.count("*").alias("n"), F.sha2(indices, 256).alias("digest")).first()
+    index = F.col("source_index")
+    row = sequence_digest(built, F.lit(""), [index], index, ",", "[", "]").first() or {"n": 0, "digest": hashlib.sha256(b"[]").hexdigest()}
     parts = datasets.manifest(built.withColumn("_split", F.lit(split)), "_split", "source_index").first()
     return {
         "schemaVersion": "1.0", "datasetId": profile.dataset_id, "profile": profile.name, "sourceRevision": profile.revision, "conversionVersion": profile.conversion,
@@ -75,13 +77,24 @@ def manifest(built: DataFrame, profile: Profile, split: str = "train") -> dict:
 
 def approval(made: dict, built: DataFrame, on: date) -> dict:
     """An approval of a manifest: its compared fields, each split's count and digest, and the fingerprints' number and digest."""
-    short = checks.short_fingerprints(built, "fingerprint")
+    short = checks.fingerprint_digest(checks.short_fingerprints(built, "fingerprint"), "fp").first() or {"n": 0, "digest": hashlib.sha256(b"").hexdigest()}
     return {k: made[k] for k in ("datasetId", "profile", *COMPARED)} | {
         "approvedOn": on.isoformat(), "splits": {s: {"exampleCount": v["exampleCount"], "sha256": v["sha256"]} for s, v in made["splits"].items()},
-        "fingerprintCount": short.count(), "fingerprintDigest": checks.streamed_digest(short, "fp"),
+        "fingerprintCount": short["n"], "fingerprintDigest": short["digest"],
     }
 
 
+def write_fingerprints(built: DataFrame, path: str) -> None:
+    """The sorted short fingerprints of a build, one a line, as part files whose concatenation is the approval's file."""
+    short = checks.short_fingerprints(built, "fingerprint")
+    short.repartitionByRange("fp").sortWithinPartitions("fp").select(F.col("fp").alias("value")).write.option("lineSep", "\n").text(path)
+
+
+def read_fingerprints(spark: SparkSession, path: str) -> DataFrame:
+    """Distinct fingerprints of such files, fp; blank lines and white space around don't count."""
+    return spark.read.option("lineSep", "\n").text(path).select(strip(F.col("value")).alias("fp")).filter("fp <> ''").distinct()
+
+
 def verify(made: dict, approved: dict) -> list[str]:
     """Every difference between a manifest and an approval: fields in order, then splits by name."""
     problems = field_diff(approved, made, COMPARED)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import date
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import arithmetic, text
-from .operators import checks, integrity, policy, scoring, selection, tokens
+from .operators import checks, digests, integrity, policy, scoring, selection, tokens
 from .sources import adapters, datasets, jsonl
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,7 +39,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not where:
         sc = spark.sparkContext
         if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="quillspark-"))
+            if not sc.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+            sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared")
         where = sc.getCheckpointDir()
     return where.rstrip("/")
 
@@ -142,7 +143,7 @@ def dataset_digest_set(spark, sf_dir):
 @query("SELECT count(*) AS fingerprints, sha256(string_agg(fp, chr(10) ORDER BY fp)) AS digest FROM (SELECT DISTINCT left(sha256(text), 16) AS fp FROM documents)")
 def fingerprint_set_digest(spark, sf_dir):
     short = checks.short_fingerprints(_table(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("f")), "f")
-    return short.agg(F.count("*").alias("fingerprints"), checks.set_digest(F.col("fp")).alias("digest"))
+    return checks.fingerprint_digest(short, "fp").select(F.col("n").alias("fingerprints"), "digest")
 
 
 _HASH = "sha256(CAST(to_json({'lang': lang, 'text': text}) AS VARCHAR))"
@@ -363,8 +364,8 @@ def approval_diff(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
 
     def built(df: DataFrame) -> DataFrame:
-        rows = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", F.sha2("text", 256).alias("f")))), lambda r: r["f"])
-        return df.groupBy(F.col("source").alias("split")).agg(F.count("*").alias("examples"), F.sha2(F.array_join(rows, "\n"), 256).alias("sha256"))
+        # Only equality counts: sums that are combined where the rows are.
+        return df.groupBy(F.col("source").alias("split")).agg(F.count("*").alias("examples"), digests.content_sum(F.col("doc_id"), F.sha2("text", 256)).alias("sha256"))
 
     return integrity.approval_diff(built(docs.filter("source <> 'src1'")), built(docs.filter("source <> 'src2' AND doc_id % 100 <> 3")))
 
@@ -384,8 +385,7 @@ h AS (SELECT b.finding_id, min(e.entry) AS entry FROM b JOIN e ON b.identifier =
 SELECT b.finding_id, CASE WHEN NOT blocks THEN 'reported' WHEN h.entry IS NULL THEN 'blocking' WHEN h.entry = 1 THEN 'expired' ELSE 'excepted' END AS decision, CASE WHEN blocks THEN coalesce(h.entry, -1) ELSE -1 END AS entry
 FROM b LEFT JOIN h USING (finding_id)""")
 def policy_decisions(spark, sf_dir):
-    _table(spark, sf_dir, "events").createOrReplaceTempView("_finding_events")
-    findings = spark.sql(_FINDINGS.replace("FROM events", "FROM _finding_events"))
+    findings = spark.sql(_FINDINGS.replace("FROM events", "FROM {events}"), events=_table(spark, sf_dir, "events"))
     entries = spark.createDataFrame(_ENTRIES, "entry int, match string, id string, aliases array<string>, source string, package string, installed string, scope array<string>, expires string")
     found = policy.decide(findings, entries, _RULES, "release", date(2026, 6, 1))
     return found.select("finding_id", "decision", F.coalesce("entry", F.lit(-1)).alias("entry"))

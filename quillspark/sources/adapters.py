@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..codes import Refused
-from ..functions.text import MESSAGES, is_blank, messages_code, strip
+from ..functions.text import is_blank, strip
+from .jsonl import message_list
 
 
 def _pair(user: Column, assistant: Column) -> Column:
@@ -25,10 +26,10 @@ def input_target_rows(df: DataFrame) -> DataFrame:
 
 
 def conversation_rows(df: DataFrame) -> DataFrame:
-    """conversations_id and conversations, a JSON list of messages; a string in another notation is not valid."""
-    got = F.from_json("conversations", MESSAGES)
-    valid = ~is_blank(F.col("conversations_id")) & F.col("conversations").rlike(r"^\s*\[") & F.coalesce(messages_code(got).isNull(), F.lit(False))
-    return df.withColumn("messages", got).withColumn("valid", F.coalesce(valid, F.lit(False)))
+    """conversations_id and conversations, a JSON list of messages; a string in another notation, with text after the list, or
+    with other than text in it, is not valid."""
+    valid = ~is_blank(F.col("conversations_id").cast("string")) & F.col("messages").isNotNull()
+    return df.withColumn("messages", message_list(F.col("conversations"))).withColumn("valid", F.coalesce(valid, F.lit(False)))
 
 
 def evaluation_rows(df: DataFrame) -> DataFrame:

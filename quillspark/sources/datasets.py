@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..codes import Refused
 from ..functions.text import record_json
+from ..operators.digests import sequence_digest
+from ..operators.integrity import foreign_task
 
 #: File names of each split (fixed values).
 SPLIT_FILES = {"train": ["train.jsonl"], "validation": ["validation.jsonl", "val.jsonl"], "test": ["test.jsonl"]}
@@ -20,6 +22,24 @@ def file_table(spark: SparkSession, folder: str) -> DataFrame:
     return files.select(F.substring_index("path", folder.rstrip("/") + "/", -1).alias("path"), F.col("path").alias("full"), F.col("length").alias("size"))
 
 
+def content_root(files: DataFrame, depth: int = 4) -> DataFrame:
+    """A listing (path, size) below its content root: folders that hold nothing but one folder are descended into, at most
+    depth of them; macOS' own folder doesn't count. Refuses a listing that is one archive, or has several at the top."""
+    files = files.filter(~F.col("path").startswith("__MACOSX"))
+    zipped = lambda c: F.lower(c).endswith(".zip")
+    for step in range(depth + 1):
+        top = F.substring_index("path", "/", 1)
+        seen = files.agg(F.count_distinct(top).alias("tops"), F.min(top).alias("name"), F.count_if(F.contains("path", F.lit("/"))).alias("deep"), F.count_if(~F.contains("path", F.lit("/")) & zipped(F.col("path"))).alias("zips")).first()
+        if seen["zips"] > 1:
+            raise Refused("DATASET_SPLIT_AMBIGUOUS", "more than one archive")
+        if seen["tops"] == 1 and seen["zips"] == 1:
+            raise Refused("DATASET_ARCHIVE_NESTED", member=seen["name"])
+        if seen["tops"] != 1 or not seen["deep"] or step == depth:
+            return files
+        files = files.withColumn("path", F.expr(f"substr(path, {len(seen['name']) + 2})"))
+    return files
+
+
 def split_code(files: DataFrame) -> DataFrame:
     """One row: code and split of the first rule that a listing (path, size) breaks, else nulls.
 
@@ -35,9 +55,12 @@ def split_code(files: DataFrame) -> DataFrame:
 
 
 def split_paths(spark: SparkSession, folder: str) -> dict[str, str]:
-    """The path of each split's file in folder; refuses what split_code names."""
-    files = file_table(spark, folder)
+    """The path of each split's file in folder, below its content root; refuses what split_code names, and, where there is no
+    train file, the layout of another task by its name."""
+    files = content_root(file_table(spark, folder))
     found = split_code(files).first()
+    if found["code"] == "DATASET_SPLIT_MISSING" and (task := foreign_task(files).first()["task"]):
+        raise Refused("DATASET_WRONG_PIPELINE", task=task)
     if found["code"]:
         raise Refused(found["code"], split=found["split"])
     rows = files.filter(F.col("path").isin([f for fs in SPLIT_FILES.values() for f in fs])).select("path", "full").collect()  # at most one a split
@@ -59,6 +82,7 @@ def write_canonical(df: DataFrame, path: str, order: str = "source_index", messa
 def manifest(df: DataFrame, split: str, order: str, messages: str = "messages") -> DataFrame:
     """Per split: examples, distinct fingerprints, bytes and digest of record digests in source order."""
     line = record_json(F.col(messages))
-    each = df.select(F.col(split).alias("split"), F.col(order).alias("_o"), F.sha2(line, 256).alias("_f"), F.octet_length(line).alias("_b"))
-    rows = F.transform(F.array_sort(F.collect_list(F.struct("_o", "_f"))), lambda r: r["_f"])
-    return each.groupBy("split").agg(F.count("*").alias("examples"), F.count_distinct("_f").alias("fingerprints"), F.sum("_b").alias("bytes"), F.sha2(F.array_join(rows, "\n"), 256).alias("sha256"))
+    each = df.select(F.col(split).cast("string").alias("split"), F.col(order).alias("_o"), F.sha2(line, 256).alias("_f"), F.octet_length(line).alias("_b"))
+    digests = sequence_digest(each, F.col("split"), [F.col("_o"), F.col("_f")], F.col("_f"), "\n").select(F.col("g").alias("split"), F.col("digest").alias("sha256"))
+    counts = each.groupBy("split").agg(F.count("*").alias("examples"), F.count_distinct("_f").alias("fingerprints"), F.sum("_b").alias("bytes"))
+    return counts.join(digests, "split")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..functions.text import MESSAGES, family, messages_code
+from ..functions.text import MESSAGES, ROLES, family, messages_code
+from ..operators.digests import around_rank
 
 MAX_LINE_BYTES = 4 << 20
 
@@ -33,10 +34,6 @@ def read_lines(spark: SparkSession, paths: dict[str, str], joined_parts: bool =
     return joined.select("split", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line_no"), "value")
 
 
-def _truthy(value: object) -> bool:
-    return bool(value)
-
-
 _MESSAGE = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
 _PARSED = T.StructType([T.StructField("kind", T.StringType()), T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("code", T.StringType()), T.StructField("messages", T.ArrayType(_MESSAGE))])
 
@@ -54,7 +51,8 @@ def parse(lines: pd.Series) -> pd.DataFrame:
     def one(raw: bytes) -> tuple:
         try:
             record = json.loads(raw.decode())
-            json.dumps(record, ensure_ascii=False).encode()  # lone surrogates are not text
+            if b"\\u" in raw:
+                json.dumps(record, ensure_ascii=False).encode()  # lone surrogates are not text; only escapes can give them
         except UnicodeDecodeError:
             return "bad", None, "DATASET_INVALID_UTF8", None
         except (ValueError, RecursionError):
@@ -80,9 +78,11 @@ def parse(lines: pd.Series) -> pd.DataFrame:
             code, (user, answer) = texts(record, "prompt", "completion")
         elif "instruction" in record or "output" in record:
             code, (user, answer) = texts(record, "instruction", "output")
-            extra = record.get("input")
-            if code is None and _truthy(extra):
-                code, user = (None, f"{user}\n\n{extra}") if isinstance(extra, str) else ("DATASET_SCHEMA_UNKNOWN", user)
+            extra = record.get("input") or ""
+            if not isinstance(extra, str):
+                code = code or "DATASET_SCHEMA_UNKNOWN"
+            elif code is None and extra.strip():
+                user = f"{user}\n\n{extra}".strip()
         else:
             return "record", keys, None, None
         return "record", keys, code, None if code else [{"role": "user", "content": user}, {"role": "assistant", "content": answer}]
@@ -108,16 +108,49 @@ def normalize(lines: DataFrame, max_examples: int | None = None) -> DataFrame:
     )
     out = rows.join(F.broadcast(firsts), "split", "left").select("split", "line_no", "family", F.col("_p.messages").alias("messages"), code.alias("code"))  # firsts is one row a split
     if max_examples is not None:
-        over = out.filter("code is null").withColumn("_k", F.row_number().over(Window.partitionBy("split").orderBy("line_no"))).filter(F.col("_k") == max_examples + 1).select("split", "line_no", F.lit("DATASET_TOO_MANY_EXAMPLES").alias("_over"))
-        out = out.join(over, ["split", "line_no"], "left").withColumn("code", F.coalesce("code", "_over")).drop("_over")
+        fine = out.filter("code is null").select("split", "line_no")
+        for r in fine.groupBy("split").agg(F.count("*").alias("n")).filter(F.col("n") > max_examples).collect():  # one row a split
+            near, k = around_rank(fine.filter(F.col("split") == r["split"]), F.col("line_no"), max_examples + 1)
+            line = near.orderBy("line_no").limit(k).agg(F.max("line_no").alias("line")).first()["line"]
+            here = (F.col("split") == r["split"]) & (F.col("line_no") == line)
+            out = out.withColumn("code", F.when(here & F.col("code").isNull(), "DATASET_TOO_MANY_EXAMPLES").otherwise(F.col("code")))
     return out.withColumn("messages", F.when(F.col("code").isNull(), F.col("messages")))
 
 
+@F.pandas_udf(T.ArrayType(_MESSAGE))
+def message_list(values: pd.Series) -> pd.Series:
+    """Strict parse of a JSON list of messages, each with a known role and text that isn't blank, one at least of the
+    assistant; null for anything else."""
+
+    def one(text: str | None) -> list[dict] | None:
+        try:
+            got = json.loads(text)
+        except (TypeError, ValueError, RecursionError):
+            return None
+        if not isinstance(got, list):
+            return None
+        for m in got:
+            if not isinstance(m, dict) or m.get("role") not in ROLES or not isinstance(m.get("content"), str) or not m["content"].strip():
+                return None
+        return [{"role": m["role"], "content": m["content"]} for m in got] if any(m["role"] == "assistant" for m in got) else None
+
+    return values.map(one)
+
+
 def lenient(record: DataFrame) -> DataFrame:
-    """record (raw, JSON text) with messages by the lenient rule: the first family that fits, response and context as other
-    names of completion or output and input; scalars become text."""
-    v = lambda *names: F.coalesce(*(F.get_json_object("raw", f"$.{n}") for n in names))
-    answer = v("completion", "output", "response")
-    asked = F.when(v("prompt").isNotNull(), v("prompt")).otherwise(F.concat(v("instruction"), F.when(F.coalesce(v("input", "context"), F.lit("")) != "", F.concat(F.lit("\n\n"), v("input", "context"))).otherwise("")))
-    pair = F.array(F.struct(F.lit("user").alias("role"), asked.alias("content")), F.struct(F.lit("assistant").alias("role"), answer.alias("content")))
-    return record.withColumn("messages", F.when(v("messages").isNotNull(), F.from_json(v("messages"), MESSAGES)).when(asked.isNotNull() & answer.isNotNull(), pair))
+    """record (raw, JSON text of an object) with messages by the lenient rule, null where it refuses.
+
+    messages if there; else a prompt with completion or response; else an instruction with output or response, and input or
+    context after it; scalars become text as JSON has them. Roles must be known and some assistant turn not blank."""
+    v = lambda name: F.get_json_object("raw", f"$.{name}")
+    has = lambda name: F.coalesce(F.array_contains(F.json_object_keys("raw"), name), F.lit(False))
+    either = lambda name: F.coalesce(F.when(has(name), v(name)).otherwise(v("response")), F.lit("None"))
+    filled = lambda name: F.when(v(name) != "", v(name))
+    context = F.coalesce(filled("input"), filled("context"))
+    pair = lambda asked, answer: F.array(F.struct(F.lit("user").alias("role"), asked.alias("content")), F.struct(F.lit("assistant").alias("role"), answer.alias("content")))
+    got = (
+        F.when(has("messages"), F.from_json(v("messages"), MESSAGES))
+        .when(has("prompt") & (has("completion") | has("response")), pair(F.coalesce(v("prompt"), F.lit("None")), either("completion")))
+        .when(has("instruction") & (has("output") | has("response")), pair(F.concat(F.coalesce(v("instruction"), F.lit("None")), F.coalesce(F.concat(F.lit("\n\n"), context), F.lit(""))), either("output")))
+    )
+    return record.withColumn("messages", F.when(messages_code(got).isNull(), got))

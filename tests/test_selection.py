@@ -118,7 +118,7 @@ def test_leakage_and_digests(spark):
     dup = {r["split"]: r["duplicates"] for r in checks.duplicate_counts(df, "split", "fp").collect()}
     assert dup == {"train": 1, "test": 0, "validation": 0}
     want = hashlib.sha256("\n".join(sorted("aaabbc")).encode()).hexdigest()
-    assert checks.streamed_digest(df, "fp") == want == df.agg(checks.set_digest(F.col("fp"))).first()[0]
+    assert checks.fingerprint_digest(df, "fp").first()["digest"] == want == df.agg(checks.set_digest(F.col("fp"))).first()[0]
     report = checks.split_report(df.withColumn("n", F.lit(3)), "split", "fp", "n")
     none = df.limit(0)
     assert checks.first_problem(report, checks.leakage(df, "split", "fp"), "split", 10, 100) == "DATASET_SPLIT_LEAKAGE"
