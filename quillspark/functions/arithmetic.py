@@ -83,3 +83,13 @@ def bytes_text(n: Column) -> Column:
     for i, unit in enumerate(("KiB", "MiB", "GiB", "TiB"), 1):
         out = out.when(n < 1024 ** (i + 1), F.concat(F.format_string("%.1f", n / 1024**i), F.lit(" " + unit)))
     return out.otherwise(F.concat(F.format_string("%.1f", n / 1024**5), F.lit(" PiB")))
+
+
+def accumulation_window(place: Column, total: Column, width: Column) -> Column:
+    """How many batches the accumulation window of the place-th batch (from 1) has: the last one may be shorter."""
+    return F.least(width, total - F.floor((place - 1) / width) * width)
+
+
+def lowered_controls(patience: Column, scheduler: Column, warmup: Column) -> Column:
+    """JSON of training controls: a patience of 0 and a warm-up without a scheduler are left out."""
+    return F.to_json(F.struct(F.when(patience > 0, patience).alias("patience"), scheduler.alias("scheduler"), F.when(scheduler.isNotNull(), warmup).alias("warmup_steps")))

@@ -14,6 +14,7 @@ ANNOTATION_DIRS = ["annotations", "annotation", "labels", "label"]
 IMAGE_SUFFIXES = ["jpg", "jpeg", "png", "bmp", "gif", "tif", "tiff", "webp"]
 ANNOTATION_SUFFIXES = ["json", "xml", "txt", "csv"]
 IGNORED_DIRS = ["__MACOSX", ".git", ".ipynb_checkpoints", "__pycache__"]
+TOP_FILES = ["README", "README.md", "LICENSE", "classes.txt"]
 LEAST_IMAGES, LEAST_CLASSES = 4, 2
 MAX_MEMBERS, MAX_RATIO, MAX_MEMBER_BYTES, MAX_TOTAL_BYTES = 10_000, 200, 512 << 20, 1 << 30
 
@@ -79,7 +80,7 @@ def foreign_task(files: DataFrame) -> DataFrame:
     sums = dirs.agg(
         F.min(F.when(low.isin(IMAGE_DIRS) & (F.col("images") > 0), F.col("dir"))).alias("image_dir"), F.min(F.when(low.isin(MASK_DIRS) & (F.col("images") > 0), F.col("dir"))).alias("mask_dir"),
         F.min(F.when(low.isin(ANNOTATION_DIRS) & (F.col("notes") > 0), F.struct("dir", "images", "notes"))).alias("note_dir"), F.count_if((F.col("images") > 0) & (F.col("notes") == 0)).alias("classes"))
-    whole = one.agg(F.count_if("image").alias("n_images"), F.count_if(F.col("suffix") == "jsonl").alias("n_jsonl"), F.count_if(F.col("dir").isNull() & ~F.col("image") & ~F.col("path").isin("README", "README.md", "LICENSE", "classes.txt")).alias("top_files"))
+    whole = one.agg(F.count_if("image").alias("n_images"), F.count_if(F.col("suffix") == "jsonl").alias("n_jsonl"), F.count_if(F.col("dir").isNull() & ~F.col("image") & ~F.col("path").isin(TOP_FILES)).alias("top_files"))
     pairs = one.filter("dir is not null and image").join(F.broadcast(sums.select("image_dir", "mask_dir")), (F.col("dir") == F.col("image_dir")) | (F.col("dir") == F.col("mask_dir")))  # sums is one row
     shared = pairs.groupBy("stem").agg(F.count_distinct("dir").alias("k")).agg(F.count_if(F.col("k") == 2).alias("paired"))
     task = (

@@ -88,3 +88,43 @@ def device(value: Column) -> Column:
 
 def may_commit_rows(redistribution: Column, gated: Column) -> Column:
     return redistribution.isin("yes", "share_alike") & ~gated
+
+
+def source_gate(requests: DataFrame, sources: DataFrame) -> DataFrame:
+    """requests (source_id, ...) with the first gate that their source fails, or ok: unknown, disabled, evaluation only, unpinned.
+
+    sources: source_id, enabled, intended_use (array), revision, and whatever else a registry holds."""
+    s = sources.select("source_id", F.lit(True).alias("_there"), "enabled", "intended_use", "revision")
+    gate = (
+        F.when(F.col("_there").isNull(), "unknown").when(~F.coalesce("enabled", F.lit(False)), "disabled")
+        .when(F.array_contains(F.coalesce("intended_use", F.array()), "evaluation_only"), "evaluation only")
+        .when(~F.coalesce(F.col("revision").rlike("^[0-9a-f]{40}$"), F.lit(False)), "unpinned").otherwise("ok")
+    )
+    return requests.join(s, "source_id", "left").withColumn("gate", gate).drop("_there", "enabled", "intended_use", "revision")
+
+
+def overlap_partners(sources: DataFrame) -> DataFrame:
+    """source_id and partner of sources (source_id, overlaps_with) that share rows: declared by either, each pair both ways."""
+    one = sources.select("source_id", F.explode("overlaps_with").alias("partner")).filter("partner <> source_id")
+    return one.unionByName(one.select(F.col("partner").alias("source_id"), F.col("source_id").alias("partner"))).distinct()
+
+
+def supports(methods: Column, method: Column) -> Column:
+    """Whether a model's methods have one; a model without methods has none."""
+    return F.coalesce(F.array_contains(methods, method), F.lit(False))
+
+
+def first_given(*names: Column) -> Column:
+    """The first of several texts that isn't empty."""
+    return F.coalesce(*(F.nullif(n, F.lit("")) for n in names))
+
+
+def same_version(a: Column, b: Column) -> Column:
+    """Whether two versions agree but for a local part after a plus sign."""
+    public = lambda v: F.split_part(v, F.lit("+"), F.lit(1))
+    return F.coalesce(public(a) == public(b), F.lit(False))
+
+
+def missing_names(required: DataFrame, present: DataFrame, name: str) -> DataFrame:
+    """Names that are required and not there; none means that the required ones are a subset."""
+    return required.select(name).distinct().join(present.select(name).distinct(), name, "left_anti")

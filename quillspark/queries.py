@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .functions import arithmetic, text
 from .operators import checks, digests, integrity, policy, scoring, selection, tokens
+from .plans import profiles
 from .sources import adapters, datasets, jsonl
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -429,6 +430,7 @@ def supervised_counts(spark, sf_dir):
 @query(r"""SELECT doc_id, sha256(CASE WHEN regexp_replace(source, '\s', '', 'g') = '' THEN 'none' ELSE 'Piliin ang pinaka-angkop na sagot sa sumusunod na tanong.' || chr(10) || chr(10) || 'Sumagot gamit ang sumusunod na format.' || chr(10) || '"Sagot: ANSWER"' || chr(10)
 || 'Palitan ang ANSWER gamit ang napiling sagot. Gumamit lang ng letrang A, B, C, o D sa sagot mo.' || chr(10) || chr(10) || 'Tanong:' || chr(10) || '```' || chr(10) || source || chr(10) || chr(10) || lang || chr(10) || '```' END) AS prompt FROM documents""")
 def choice_prompts(spark, sf_dir):
+    """The prompt's texts are fixed values, in the SQL as in functions/text.py."""
     return _table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.coalesce(text.choice_prompt(F.col("source"), F.col("lang")), F.lit("none")), 256).alias("prompt"))
 
 
@@ -474,3 +476,96 @@ def jsonl_error_report(spark, sf_dir):
         return spark.createDataFrame([], "split string, line_no long, family string, code string")
     got = jsonl.normalize(jsonl.read_lines(spark, {_PARTS[p]: f"{path}/part={p}" for p in sorted(there)}, joined_parts=True))
     return got.select("split", "line_no", F.coalesce("family", F.lit("none")).alias("family"), F.coalesce("code", F.lit("ok")).alias("code"))
+
+
+@query(f"""SELECT conv_id, CAST(n_turns AS INTEGER) AS n_turns, CAST(n_chars AS BIGINT) AS n_chars, CASE WHEN wanted NOT BETWEEN 1 AND 1024 THEN 'new tokens' WHEN roles[-1] <> 'user' THEN 'last turn'
+WHEN bad = 'role' THEN 'role' WHEN bad = 'empty' THEN 'empty turn' WHEN bad = 'long' THEN 'long turn' ELSE 'accepted' END AS problem FROM (
+SELECT conv_id, count(*) AS n_turns, coalesce(sum(length(text)), 0) AS n_chars, list(role ORDER BY turn) AS roles, conv_id % 1100 AS wanted,
+  arg_min(CASE WHEN role NOT IN ('system', 'user', 'assistant') THEN 'role' WHEN regexp_replace(text, '\\s', '', 'g') = '' THEN 'empty' WHEN length(text) > 20000 THEN 'long' END, turn) AS bad
+FROM (SELECT * FROM conversations WHERE turn < 3 OR conv_id % 2 = 0) GROUP BY conv_id)""")
+def prompt_checks(spark, sf_dir):
+    """Conversations, every second one cut after its third turn, as prompts."""
+    from .operators import prompts
+
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    convs = _table(spark, sf_dir, "conversations").filter("turn < 3 OR conv_id % 2 = 0").groupBy("conv_id").agg(F.transform(turns, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content"))).alias("messages"))
+    found = prompts.prompt_report(convs).withColumn("problem", prompts.prompt_problem(F.col("messages"), F.col("conv_id") % 1100))
+    return found.select("conv_id", "n_turns", "n_chars", F.coalesce("problem", F.lit("accepted")).alias("problem"))
+
+
+_SOURCES = [("src0", True, ["training"], "a" * 40, ["src1"]), ("src1", False, ["training"], "b" * 40, []), ("src2", True, ["evaluation_only"], "c" * 40, ["src0", "src5"]), ("src3", True, ["training"], "main", []), ("src5", True, ["training"], "0123456789" * 4, ["src5"])]
+_SOURCE_SQL = ", ".join(f"('{i}', {str(e).lower()}, {str('evaluation_only' in u).lower()}, '{r}')" for i, e, u, r, _ in _SOURCES)
+
+
+@query(f"""WITH s(source_id, enabled, evaluation, revision) AS (VALUES {_SOURCE_SQL})
+SELECT d.source AS source_id, CASE WHEN s.source_id IS NULL THEN 'unknown' WHEN NOT enabled THEN 'disabled' WHEN evaluation THEN 'evaluation only' WHEN NOT regexp_full_match(revision, '[0-9a-f]{{40}}') THEN 'unpinned' ELSE 'ok' END AS gate, count(*) AS n
+FROM documents d LEFT JOIN s ON d.source = s.source_id GROUP BY 1, 2""")
+def source_registry(spark, sf_dir):
+    sources = spark.createDataFrame(_SOURCES, "source_id string, enabled boolean, intended_use array<string>, revision string, overlaps_with array<string>")
+    rows = _table(spark, sf_dir, "documents").select(F.col("source").alias("source_id"))
+    return policy.source_gate(rows, sources).groupBy("source_id", "gate").agg(F.count("*").alias("n"))
+
+
+@query("""WITH o(a, b) AS (VALUES ('src0', 'src1'), ('src2', 'src0'), ('src2', 'src5')), p AS (SELECT a AS source_id, b AS partner FROM o UNION SELECT b, a FROM o)
+SELECT p.source_id, partner, count(DISTINCT x.text) AS shared FROM p JOIN documents x ON x.source = p.source_id JOIN documents y ON y.source = partner AND x.text = y.text GROUP BY 1, 2""")
+def overlap_partners(spark, sf_dir):
+    """Distinct texts that declared partners share."""
+    sources = spark.createDataFrame(_SOURCES, "source_id string, enabled boolean, intended_use array<string>, revision string, overlaps_with array<string>")
+    texts = _table(spark, sf_dir, "documents").select("source", F.sha2("text", 256).alias("fp")).distinct()
+    pairs = policy.overlap_partners(sources)
+    shared = checks.leakage(texts, "source", "fp")
+    both = shared.unionByName(shared.select(F.col("split_b").alias("split_a"), F.col("split_a").alias("split_b"), "shared"))
+    return pairs.join(both, (F.col("source_id") == F.col("split_a")) & (F.col("partner") == F.col("split_b"))).select("source_id", "partner", "shared")
+
+
+@query("SELECT count(*) AS fingerprints, sha256(string_agg(fp, chr(10) ORDER BY fp)) AS digest FROM (SELECT DISTINCT left(sha256(text), 16) AS fp FROM documents)")
+def approval_fingerprints(spark, sf_dir):
+    """The approval's sorted fingerprint file, written, read back, and digested."""
+    path = f"{shared_dir(spark)}/fingerprints-{uuid.uuid4().hex}"
+    profiles.write_fingerprints(_table(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("fingerprint")), path)
+    return checks.fingerprint_digest(profiles.read_fingerprints(spark, path), "fp").select(F.col("n").alias("fingerprints"), "digest")
+
+
+_BLANK_INPUT = "CASE doc_id % 4 WHEN 0 THEN '  ' WHEN 1 THEN source || '  ' WHEN 2 THEN '' ELSE ' ' || source END"
+
+
+@query(rf"""SELECT doc_id, md5(CASE WHEN doc_id % 4 IN (0, 2) THEN ' ' || lang ELSE regexp_replace(' ' || lang || chr(10) || chr(10) || {_BLANK_INPUT}, '^\s+|\s+$', '', 'g') END) AS asked FROM documents WHERE regexp_replace(text, '\s', '', 'g') <> ''""")
+def instruction_inputs(spark, sf_dir):
+    """Instructions with blank, padded and empty inputs."""
+    docs = _table(spark, sf_dir, "documents")
+    line = F.to_json(F.struct(F.concat(F.lit(" "), F.col("lang")).alias("instruction"), F.expr(_BLANK_INPUT).alias("input"), F.col("text").alias("output")))
+    got = jsonl.normalize(docs.select(F.lit("train").alias("split"), F.col("doc_id").alias("line_no"), line.alias("value"))).filter("code is null")
+    return got.select(F.col("line_no").alias("doc_id"), F.md5(F.get("messages", F.lit(0))["content"]).alias("asked"))
+
+
+@query(r"""SELECT conv_id, n > 0 AND NOT blank AND answered AND conv_id % 3 = 0 AS valid FROM (SELECT conv_id, count(*) AS n, bool_or(regexp_replace(text, '\s', '', 'g') = '') AS blank, bool_or(role = 'assistant') AS answered FROM conversations GROUP BY conv_id)""")
+def conversation_strict(spark, sf_dir):
+    """Conversations as JSON lists: a third as they are, a third with text after the list, a third with a number as a content."""
+    convs = conversations(spark, sf_dir)
+    text_ = F.to_json("messages")
+    said = F.when(F.col("conv_id") % 3 == 0, text_).when(F.col("conv_id") % 3 == 1, F.concat(text_, F.lit(" x"))).otherwise(F.concat(F.lit('[{"role": "assistant", "content": 1},'), F.substring(text_, 2, 1 << 30)))
+    got = adapters.adapt("conversation", convs.select("conv_id", F.col("conv_id").alias("conversations_id"), said.alias("conversations")))
+    return got.select("conv_id", "valid")
+
+
+_MEMBERS = "SELECT o_custkey AS archive, o_orderkey || '' AS name, CAST(o_totalprice * 4000 AS BIGINT) AS size, CAST(o_totalprice * 10 AS BIGINT) + 1 AS packed FROM orders"
+
+
+@query(f"""WITH m AS ({_MEMBERS}), e AS (SELECT CASE WHEN size > 536870912 THEN 'too large' WHEN size > packed * 200 THEN 'ratio' END AS problem FROM m)
+SELECT problem, count(*) AS n FROM (SELECT problem FROM e WHERE problem IS NOT NULL
+UNION ALL SELECT 'archive too large' FROM m HAVING sum(packed) > 1073741824 UNION ALL SELECT 'too many members' FROM m HAVING count(*) > 10000 UNION ALL SELECT 'total too large' FROM m HAVING sum(size) > 1073741824) GROUP BY problem""")
+def archive_bounds(spark, sf_dir):
+    """All orders as the members of one archive."""
+    members = spark.sql(_MEMBERS.replace("FROM orders", "FROM {orders}"), orders=_table(spark, sf_dir, "orders")).withColumn("mode", F.lit(0o100644))
+    return integrity.member_problems(members).groupBy("problem").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT o_orderkey, o_orderkey % 3 = 1 AS supported, CASE WHEN o_orderkey % 5 = 0 THEN 'base' WHEN o_orderkey % 2 = 0 THEN o_orderstatus ELSE NULL END AS base, o_orderkey % 4 <> 3 AS same,
+least(4, 10 - (o_orderkey % 10) // 4 * 4) AS in_window FROM orders""")
+def small_rules(spark, sf_dir):
+    k, given = F.col("o_orderkey"), lambda c, v: F.when(c, v).otherwise("")
+    methods = F.when(k % 3 == 0, F.array(F.lit("lora"))).when(k % 3 == 1, F.array(F.lit("lora"), F.lit("qlora")))
+    return _table(spark, sf_dir, "orders").select(
+        "o_orderkey", policy.supports(methods, F.lit("qlora")).alias("supported"), policy.first_given(given(k % 5 == 0, F.lit("base")), given(k % 2 == 0, F.col("o_orderstatus"))).alias("base"),
+        policy.same_version(F.when(k % 4 == 3, "2.1").otherwise("2.0+cu1"), F.lit("2.0")).alias("same"), arithmetic.accumulation_window(k % 10 + 1, F.lit(10), F.lit(4)).alias("in_window"),
+    )

@@ -80,7 +80,7 @@ def test_language_exclusion(spark):
 
 
 def test_template_exclusion(spark):
-    head = "Sa aktibidad na ito, kailangan mong hanapin ang mga pangalan. é" * 3
+    head = "Name every lake that the next lines speak of, in their order é; " * 3
     donor = spark.createDataFrame([(head + "a",), (head + "b",)], "inputs string")
     prefix = selection.derive_prefix(donor, "inputs")
     assert prefix == head
@@ -125,3 +125,51 @@ def test_leakage_and_digests(spark):
     assert checks.first_problem(report, checks.leakage(none, "split", "fp"), "split", 2, 100) == "DATASET_SEQUENCE_TOO_LONG"
     assert checks.first_problem(report, checks.leakage(none, "split", "fp"), "split", 10, 5) == "DATASET_TOKEN_BUDGET_EXCEEDED"
     assert checks.first_problem(report, checks.leakage(none, "split", "fp"), "split", 10, 100) is None
+
+
+def test_occurrence_with_null_orders_and_one_frequent_content(spark):
+    rows = [(None if i % 5 == 0 else 7 * i, "hot" if i % 2 else None, i) for i in range(200)] + [(10**15, "hot", 500)]
+    df = spark.createDataFrame(rows, "o long, k string, occurrence int").repartition(5)
+    got = selection.occurrence(df, "k", "o", "place").collect()
+    assert len(got) == len(rows) and got[0].asDict().keys() == {"o", "k", "occurrence", "place"}
+    for key in ("hot", None):
+        mine = sorted((r["o"] is not None, r["o"] or 0, r["place"]) for r in got if r["k"] == key)
+        assert sorted(p for _, _, p in mine) == list(range(len(mine)))
+        assert [p for there, _, p in mine if there] == list(range(sum(not there for there, _, _ in mine), len(mine)))
+
+
+def test_selection_keeps_a_users_columns(spark):
+    df = spark.createDataFrame([(i, f"t{i % 4}", i, i, i) for i in range(40)], "id long, text string, occurrence int, _hash int, _rank int")
+    out = selection.select_stable(df, 10, "s", ["text"], "id")
+    assert out.columns == df.columns and out.count() == 10
+    assert [tuple(r) for r in out.collect()] == sorted(tuple(r) for r in out.collect())
+
+
+@pytest.mark.parametrize("few", [5, 100_000])
+def test_holdout_of_frequent_fingerprints(spark, monkeypatch, few):
+    from quillspark.operators import digests
+
+    monkeypatch.setattr(digests, "FEW", few)
+    monkeypatch.setattr(selection, "FEW", few)
+    fps = ["00" * 32 if i % 2 else f"{i * 7919 % 100000:064x}"[::-1] for i in range(300)]
+    rows = [(f, i) for i, f in enumerate(fps)] + [(None, 999)]
+    df = spark.createDataFrame(rows, "fp string, o long")
+    got = {(r["fp"], r["o"]) for r in selection.holdout(df, "fp", "o", 0.4).filter("split = 'validation'").collect()}
+    assert got == set(sorted(r for r in rows if r[0] is not None)[: int(301 * 0.4)])
+
+
+def test_digests_of_groups_in_pieces(spark, monkeypatch):
+    import hashlib
+
+    from quillspark.operators import digests
+
+    monkeypatch.setattr(digests, "PIECE_BYTES", 50)
+    rows = [(f"g{i % 3}", (i * 37) % 101, f"value{i}") for i in range(101)]
+    df = spark.createDataFrame(rows, "g string, o long, v string").repartition(7)
+    got = {r["g"]: (r["n"], r["digest"]) for r in digests.sequence_digest(df, F.col("g"), [F.col("o")], F.col("v"), ",", "[", "]").collect()}
+    for g in ("g0", "g1", "g2"):
+        mine = [v for _, v in sorted((o, v) for k, o, v in rows if k == g)]
+        assert got[g] == (len(mine), hashlib.sha256(("[" + ",".join(mine) + "]").encode()).hexdigest())
+    assert digests.sequence_digest(df.limit(0), F.col("g"), [F.col("o")], F.col("v")).count() == 0
+    a, b = (df.select(digests.content_sum(F.col("o"), F.col("v")).alias("s")).first()["s"] for df in (df, df.filter("o <> 3")))
+    assert a != b
