@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from .common import as_row, free_name, from_planes, mix, planes, shingles, slices, stored, text_bytes, words
 
 #: Bytes of text in a chunk, and of text that one shard answers for; shingles in a part.
-CHUNK_BYTES, SHARD_BYTES, PART_GRAMS = 8 << 20, 16 << 20, 500_000
+CHUNK_BYTES, SHARD_BYTES, PART_GRAMS = 4 << 20, 8 << 20, 250_000
 #: Hash ranges of the suffix filter.
 RANGES = 16
 _REQUEST = "chunk long, shard int, places binary, sets binary, n binary, entries binary, many binary, doc_ids array<long>, names binary, sizes binary, known binary"
@@ -83,6 +83,7 @@ def _requests(chunk: int, shards: int, gram: np.ndarray, row: np.ndarray, doc_id
     several = times[number] > 1
     known = np.zeros(len(doc_ids), np.int64)
     known[filled] = np.bincount(place[several], minlength=len(each))[at]
+    del number, own, place_of
     short = lambda g: ((g // np.uint64(shards)) & np.uint64(0xFFFFFFFF)).astype("<u4")
     shard_of = lambda g: (g % np.uint64(shards)).astype(np.int64)
     many = value[times > 1]
@@ -110,7 +111,7 @@ def _count_shared(table: pa.Table) -> pa.Table:
     per = read("n", "<u4").astype(np.int64)
     value, number = np.unique(read("entries", "<u4"), return_inverse=True)
     _, owner = np.unique(read("sets", "<u8"), return_inverse=True)
-    pair = np.unique((number.astype(np.uint64) << np.uint64(32)) | np.repeat(owner, per).astype(np.uint64))
+    pair = np.unique((number.astype(np.uint64) << np.uint64(32)) | np.repeat(owner.astype(np.uint64), per))
     shared = (np.bincount((pair >> np.uint64(32)).astype(np.int64), minlength=len(value)) > 1) | np.isin(value, read("many", "<u4"))
     found = np.add.reduceat(shared[number].astype(np.int64), np.cumsum(per) - per) if len(per) else per
     at, out = np.cumsum([0, *(len(r["n"]) // 4 for r in rows)]), []
