@@ -252,7 +252,8 @@ def _components_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, ["id", "n", "grams"])
 
     # A class's text stands at its smallest doc_id, perhaps beside others, or at rows without one; of equal sets any one is taken.
-    some = docs.join(kept.filter("rep is not null").select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").unionByName(docs.filter("doc_id is null"))
+    # Joined by sorting at every size, so that a small table shows the costs of a large one.
+    some = docs.join(kept.filter("rep is not null").select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi").unionByName(docs.filter("doc_id is null"))
     full = some.select("text").mapInArrow(whole_sets, "id long, n long, grams array<long>").dropDuplicates(["id"])
     sets = stored(full.join(kept.select(F.col("name").alias("id")), "id", "left_semi"), "whole-sets")
 
@@ -275,7 +276,7 @@ def _components_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
         x = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("grams").alias("grams_a"))
         y = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("grams").alias("grams_b"))
         both = F.size(F.array_intersect("grams_a", "grams_b"))
-        return pairs.join(x, "a").join(y, "b").filter(_links(F.col("n_a"), F.col("n_b"), both, percent)).select("a", "b")
+        return pairs.join(x.hint("merge"), "a").join(y.hint("merge"), "b").filter(_links(F.col("n_a"), F.col("n_b"), both, percent)).select("a", "b")
 
     # Aggregates are stored before they are joined with what they were made of, so that Spark can split a hot bucket in the join.
     pivots = prefix.groupBy("gram").agg(F.min(F.struct("place", "n", "id", "after")).alias("pivot"), F.count("*").alias("members")).filter("members > 1")
