@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step looks at.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -15,7 +15,7 @@ from array import array
 from tokenizers import Tokenizer
 
 #: Pieces in one generation of a worker's memory; the generation before stays until the next is full.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 #: A longer piece is encoded but not remembered.
 LONGEST = 200
 #: Of so many texts one is also encoded whole, to hold the pieces' ids against it.
