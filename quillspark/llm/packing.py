@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .encoding import encoder
+from .encoding import REMEMBERED, encoder
 
 CAPACITY, LINEAR, QUADRATIC, BIN_BYTES, BIN_ROWS = 4096, 1.0, 1.0 / 1024, 8 << 20, 1 << 16
 
@@ -52,8 +52,10 @@ def assign(lengths: np.ndarray, capacity: int = CAPACITY, linear: float = LINEAR
     return pieces
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 2, capacity: int = CAPACITY, bin_bytes: int = BIN_BYTES) -> DataFrame:
-    """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit)."""
+def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 2, capacity: int = CAPACITY, bin_bytes: int = BIN_BYTES, remembered: int = REMEMBERED) -> DataFrame:
+    """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit).
+
+    remembered: pieces whose ids a worker keeps; memory against time, the same result."""
     vocabulary = vocabulary or public_tokenizers.path("word_bpe_49k.json")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = docs.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("rows")).first()
@@ -62,7 +64,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 2, capaci
     schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")] + [("ids", pa.binary())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e, first = encoder(vocabulary), TaskContext.get().partitionId() << 32
+        e, first = encoder(vocabulary, remembered), TaskContext.get().partitionId() << 32
         doc_ids, ids = [], []
         for batch in batches:
             doc_ids += batch.column(0).to_pylist()
