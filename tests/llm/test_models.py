@@ -1,6 +1,5 @@
 """Operators 6, 9 and 10 and the revisits."""
 
-import hashlib
 import math
 import re
 import zlib
@@ -258,4 +257,4 @@ def test_one_url_over_many_ranges(spark):
 def test_query_digests(spark):
     texts = ["mail a@b.cd now"]
     r = pii.with_spans(documents(spark, texts), pii.SpanClassifier(0.0, {})).collect()[0]
-    assert hashlib.sha256(b"email:5:11").hexdigest() and [(s["start"], s["end"]) for s in r["email"]] == [(5, 11)]
+    assert [(s["start"], s["end"]) for s in r["email"]] == [(5, 11)]
