@@ -38,6 +38,7 @@ MODEL_CODES = [
 ]
 CONFIG_CODES = [
     "CONFIG_INVALID_JSON",
+    "CONFIG_SCHEMA_INVALID",
     "CONFIG_OUT_OF_BOUNDS",
     "CONFIG_METHOD_UNSUPPORTED",
 ]

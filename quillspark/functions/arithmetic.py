@@ -78,11 +78,12 @@ def marked(pieces: Column, labels: Column) -> Column:
 
 
 def bytes_text(n: Column) -> Column:
-    """Bytes in the largest unit from B to PiB that leaves at least one."""
-    out = F.when(n < 1024, F.concat(n.cast("string"), F.lit(" B")))
-    for i, unit in enumerate(("KiB", "MiB", "GiB", "TiB"), 1):
-        out = out.when(n < 1024 ** (i + 1), F.concat(F.format_string("%.1f", n / 1024**i), F.lit(" " + unit)))
-    return out.otherwise(F.concat(F.format_string("%.1f", n / 1024**5), F.lit(" PiB")))
+    """Bytes in the largest unit from B to PiB that leaves at least one, to two places, halves to the even digit."""
+    show = lambda i, unit: F.format_string(f"%.2f {unit}", F.bround(n / 1024**i, 2))
+    out = F.when(n.isNull(), F.lit(None).cast("string"))
+    for i, unit in enumerate(("B", "KiB", "MiB", "GiB", "TiB")):
+        out = out.when(F.abs(n) < 1024 ** (i + 1), show(i, unit))
+    return out.otherwise(show(5, "PiB"))
 
 
 def accumulation_window(place: Column, total: Column, width: Column) -> Column:

@@ -133,3 +133,23 @@ def choice_prompt(question: Column, choices: Column, tag: str = "Sagot:") -> Col
     """The zero-shot prompt of a question and its lettered choices; null if either is blank."""
     body = F.concat(F.lit(PROMPT_HEAD.replace("{tag}", tag) + "\n\nTanong:\n```\n"), question, F.lit("\n\n"), choices, F.lit("\n```"))
     return F.when(~is_blank(question) & ~is_blank(choices), strip(body))
+
+
+def folded_system(messages: Column) -> Column:
+    """Messages for a template without a system role: a first system turn goes in front of the user's turn that follows it."""
+    at = lambda i: F.get(messages, F.lit(i))
+    both = F.struct(F.lit("user").alias("role"), F.concat(at(0)["content"], F.lit("\n\n"), at(1)["content"]).alias("content"))
+    fold = (at(0)["role"] == "system") & (at(1)["role"] == "user")
+    return F.when(fold, F.concat(F.array(both), F.slice(messages, 3, F.greatest(F.size(messages), F.lit(1))))).otherwise(messages)
+
+
+def chat_text(messages: Column, start: str = "<|im_start|>", end: str = "<|im_end|>", has_system: bool = True, ask: bool = False) -> Column:
+    """Messages in the default template: each turn's role and content between marks, a line each; ask opens the assistant's turn."""
+    turns = messages if has_system else folded_system(messages)
+    each = F.transform(turns, lambda m: F.concat(F.lit(start), m["role"], F.lit("\n"), m["content"], F.lit(end + "\n")))
+    return F.concat(F.array_join(each, ""), F.lit(f"{start}assistant\n" if ask else ""))
+
+
+def short_record_fingerprint(record: Column) -> Column:
+    """The shortened fingerprint of any record; the caller gives struct fields in alphabetical order."""
+    return F.left(F.sha2(canonical_json(record), 256), F.lit(16))

@@ -7,6 +7,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import strip
+
 #: Licenses with obligations (fixed values).
 OBLIGATIONS = {"llama3.2": ["preserve_llama_attribution", "include_applicable_license_notice"]}
 SENTINEL = "lm-sft-"
@@ -62,12 +64,28 @@ def base_model_code(requested: Column, registered: Column) -> Column:
     return F.when(~fine, "MODEL_BASE_MODEL_CONFLICT")
 
 
+def _given(channels: list[Column]) -> Column:
+    return F.array_distinct(F.filter(F.transform(F.array(*channels), lambda c: strip(c)), lambda c: F.coalesce(c, F.lit("")) != ""))
+
+
 def agreed(channels: list[Column]) -> Column:
-    """The value that non-empty channels agree on; null where they differ or all are empty."""
-    given = F.array_distinct(F.filter(F.array(*channels), lambda c: F.coalesce(F.trim(c), F.lit("")) != ""))
+    """The value, trimmed, that non-empty channels agree on; null where they differ or all are empty."""
+    given = _given(channels)
     return F.when(F.size(given) == 1, F.get(given, F.lit(0)))
 
 
+def agreement_code(channels: list[Column]) -> Column:
+    """A code where non-empty channels name different values; null where they agree or none is given."""
+    return F.when(F.size(_given(channels)) > 1, "CONFIG_SCHEMA_INVALID")
+
+
+def license_notice(license_: Column, model_id: Column) -> Column:
+    """A model card's lines on the obligations of its base model's license; empty without any."""
+    duties = obligations(license_)
+    line = F.concat(F.lit("Base model "), model_id, F.lit(", license "), F.lower(F.trim(license_)), F.lit(": "), F.array_join(F.transform(duties, lambda d: F.replace(d, F.lit("_"), F.lit(" "))), ", "), F.lit("."))
+    return F.when(F.size(duties) > 0, line).otherwise("")
+
+
 def sequence_code(requested: Column, ceiling: Column) -> Column:
     """A sequence length above its ceiling is refused, never lowered."""
     return F.when((requested > ceiling) | (requested < 1), "CONFIG_OUT_OF_BOUNDS")

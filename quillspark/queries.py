@@ -569,3 +569,6 @@ def small_rules(spark, sf_dir):
         "o_orderkey", policy.supports(methods, F.lit("qlora")).alias("supported"), policy.first_given(given(k % 5 == 0, F.lit("base")), given(k % 2 == 0, F.col("o_orderstatus"))).alias("base"),
         policy.same_version(F.when(k % 4 == 3, "2.1").otherwise("2.0+cu1"), F.lit("2.0")).alias("same"), arithmetic.accumulation_window(k % 10 + 1, F.lit(10), F.lit(4)).alias("in_window"),
     )
+
+
+from . import rule_queries  # noqa: E402, F401  registers its queries with those above

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillspark.functions import arithmetic, text
-from quillspark.operators import integrity, policy, scoring, tokens
+from quillspark.operators import integrity, measurements, policy, registration, scoring, tokens
 from quillspark.sources import adapters
 
 
@@ -74,7 +74,7 @@ def test_plan_arithmetic(spark):
     assert one(spark, arithmetic.warmup_steps(F.lit(5), F.lit(9), F.lit(None))) == 5
     assert one(spark, arithmetic.warmup_steps(F.lit(5), F.lit(1), F.lit(0.1))) is None
     assert one(spark, arithmetic.perplexity(F.lit(20.0))) is None
-    assert one(spark, arithmetic.bytes_text(F.lit(1536))) == "1.5 KiB"
+    assert one(spark, arithmetic.bytes_text(F.lit(1536))) == "1.50 KiB"
 
 
 def test_masks(spark):
@@ -207,3 +207,51 @@ def test_small_rules(spark):
     assert json.loads(one(spark, arithmetic.lowered_controls(F.lit(2), F.lit("cosine"), F.lit(5)))) == {"patience": 2, "scheduler": "cosine", "warmup_steps": 5}
     names = lambda *n: spark.createDataFrame([(x,) for x in n], "path string")
     assert [r["path"] for r in policy.missing_names(names("a", "b"), names("b", "c"), "path").collect()] == ["a"]
+
+
+def test_bytes_text_has_two_places_in_every_unit(spark):
+    cases = {0: "0.00 B", 1023: "1023.00 B", 1024: "1.00 KiB", 5 << 18: "1.25 MiB", -2048: "-2.00 KiB", 1029: "1.00 KiB", 3 << 50: "3.00 PiB"}
+    for n, said in cases.items():
+        assert one(spark, arithmetic.bytes_text(F.lit(n))) == said
+    assert one(spark, arithmetic.bytes_text(F.lit(None).cast("long"))) is None
+
+
+def test_selectors_that_differ(spark):
+    assert one(spark, policy.agreement_code([F.lit("a"), F.lit("b"), F.lit(None)])) == "CONFIG_SCHEMA_INVALID"
+    assert one(spark, policy.agreement_code([F.lit(" a"), F.lit("a "), F.lit("")])) is None
+    assert one(spark, policy.agreement_code([F.lit(None).cast("string"), F.lit(" ")])) is None
+    assert one(spark, policy.license_notice(F.lit(None).cast("string"), F.lit("m"))) == ""
+
+
+def test_chat_without_a_system_role(spark):
+    messages = lambda *pairs: F.array(*(F.struct(F.lit(r).alias("role"), F.lit(c).alias("content")) for r, c in pairs))
+    shown = lambda m, **k: one(spark, text.chat_text(m, "<", ">", **k))
+    both = messages(("system", "be brief"), ("user", "hi"), ("assistant", "yo"))
+    assert shown(both) == "<system\nbe brief>\n<user\nhi>\n<assistant\nyo>\n"
+    assert shown(both, has_system=False, ask=True) == "<user\nbe brief\n\nhi>\n<assistant\nyo>\n<assistant\n"
+    assert shown(messages(("system", "s"), ("assistant", "a")), has_system=False) == "<system\ns>\n<assistant\na>\n"
+    assert shown(messages(("system", "s")), has_system=False) == "<system\ns>\n"
+    assert shown(messages(("system", "s"), ("user", "u")), has_system=False) == "<user\ns\n\nu>\n"
+
+
+def test_snapshot_patterns(spark):
+    fits = lambda path, allow, ignore=(): one(spark, registration.wanted(F.lit(path), allow, ignore))
+    assert fits("x/y/config.json", ["*.json"]) and fits("x/y/config.json", ["config.*"]) and not fits("x/config.json", ["*.json"], ["x/*"])
+    assert fits("a[1].txt", ["a[[]1].txt"]) and fits("b3", ["b[!12]"]) and not fits("b1", ["b[!12]"]) and not fits("b.", ["b\\."]) and not fits("new\n", ["new"])
+    assert not fits("anything", [])
+
+
+def test_registration_problems(spark):
+    row = lambda id, w, p="p", d=1: (id, w, "f", p, "d", d)
+    block = spark.createDataFrame([row("a", "w1"), row("a", "w2"), row("b", "w2", None), row(None, "w9"), row("c", " ", d=None)], "id string, base_weights string, framework string, provider string, data_format string, defaults int")
+    found = registration.registration_problems(block, spark.createDataFrame([("a",), ("b",), ("z",)], "model_key string"), "a").collect()
+    assert {tuple(r) for r in found} == {("a", "id twice"), ("a", "base_weights twice"), ("b", "base_weights twice"), ("b", "no provider"), ("c", "no base_weights"), ("c", "no defaults"), ("c", "not approved"), ("z", "not registered"), ("", "no id")}
+    assert [r["problem"] for r in registration.registration_problems(block.limit(0), spark.createDataFrame([], "model_key string"), "q").collect()] == ["default not registered"]
+
+
+def test_measurements(spark):
+    runs = spark.createDataFrame([("a", "lora", "ok", 5.0), ("a", "qlora", "ok", 7.0), ("b", "lora", "failed", 9.0), ("c", None, "ok", None)], "model_key string, method string, status string, required double")
+    assert [tuple(r) for r in measurements.required_memory(runs).collect()] == [("a", 7.0)]
+    assert {tuple(r) for r in measurements.measured_models(runs).collect()} == {("a", True), ("b", True), ("c", False)}
+    points = spark.createDataFrame([("x", 100, 10, 1000), ("x", 400, 10, 1600), ("y", 5, 1, 9), ("y", 0, 0, 3)], "shape string, file_bytes long, examples long, ingest_bytes long")
+    assert {tuple(r) for r in measurements.shape_fit(points, "shape").collect()} == {("x", 2.0, 80.0), ("y", None, None)}
