@@ -109,38 +109,64 @@ def verify(made: dict, approved: dict) -> list[str]:
 
 def disjoint(profiles: dict[str, DataFrame]) -> DataFrame:
     """Pairs of profiles (each with fingerprint) that share rows: split_a, split_b, shared; every pair, not only the first."""
+    return disjoint_files({name: checks.short_fingerprints(df, "fingerprint") for name, df in profiles.items()})
+
+
+def disjoint_files(approved: dict[str, DataFrame]) -> DataFrame:
+    """As disjoint, from approvals' fingerprint files (each with fp, as read_fingerprints gives it)."""
     short = None
-    for name, df in profiles.items():
-        one = checks.short_fingerprints(df, "fingerprint").withColumn("profile", F.lit(name))
+    for name, df in approved.items():
+        one = df.select("fp", F.lit(name).alias("profile"))
         short = one if short is None else short.unionByName(one)
     return checks.leakage(short, "profile", "fp")
 
 
 def main(argv: list[str] | None = None) -> int:
-    """build or verify a profile of a Parquet source from the command line; prints a JSON document, returns 1 for problems."""
+    """build, verify or approve a profile of a Parquet source, or show that approvals share no rows, from the command line;
+    prints a JSON document, returns 1 for problems."""
     parser = argparse.ArgumentParser(prog="quillspark")
-    parser.add_argument("command", choices=["build", "verify"])
-    parser.add_argument("source")
-    parser.add_argument("--profile", required=True, help="JSON of a profile's fields")
+    parser.add_argument("command", choices=["build", "verify", "approve", "disjoint"])
+    parser.add_argument("source", nargs="+", help="the source; for disjoint name=folder of each approval's fingerprints")
+    parser.add_argument("--profile", help="JSON of a profile's fields")
     parser.add_argument("--order", default="source_index")
-    parser.add_argument("--out", help="folder for canonical JSONL")
+    parser.add_argument("--out", help="folder for canonical JSONL, or for an approval's fingerprints")
     parser.add_argument("--approval", help="approval JSON to verify against")
+    parser.add_argument("--date", type=date.fromisoformat, help="day of an approval, YYYY-MM-DD")
     args = parser.parse_args(argv)
+    disjoint_ = args.command == "disjoint"
+    if disjoint_ and (len(args.source) < 2 or not all("=" in s for s in args.source)):
+        parser.error("disjoint takes two or more name=folder")
+    if not disjoint_ and (len(args.source) > 1 or not args.profile):
+        parser.error(f"{args.command} takes one source and a profile")
+    if args.command == "approve" and not args.date or args.command == "verify" and not args.approval:
+        parser.error("approve takes a date, verify an approval")
     spark = SparkSession.builder.getOrCreate()
+    if disjoint_:
+        shared = disjoint_files({name: read_fingerprints(spark, folder) for name, folder in (s.split("=", 1) for s in args.source)})
+        pairs = [r.asDict() for r in shared.orderBy("split_a", "split_b").collect()]  # one row a pair of profiles
+        print(json.dumps({"successful": not pairs, "shared": pairs}))
+        return int(bool(pairs))
     fields = json.loads(args.profile)
     profile = Profile(**{k: tuple(v) if isinstance(v, list) else v for k, v in fields.items()})
     try:
-        built = build(spark.read.parquet(args.source), profile, args.order)
+        built = build(spark.read.parquet(args.source[0]), profile, args.order)
         made = manifest(built, profile)
     except Refused as refused:
         print(json.dumps({"successful": False, "code": refused.code}))
         return 1
-    if args.command == "build":
+    if args.command == "verify":
+        try:
+            with open(args.approval, encoding="utf-8") as f:
+                problems = verify(made, json.load(f))
+        except FileNotFoundError:
+            problems = ["there is no approval"]
+        print(json.dumps({"successful": not problems, "problems": problems}))
+        return int(bool(problems))
+    if args.command == "approve":
         if args.out:
-            datasets.write_canonical(built, args.out)
-        print(json.dumps(made, sort_keys=True))
-        return 0
-    with open(args.approval, encoding="utf-8") as f:
-        problems = verify(made, json.load(f))
-    print(json.dumps({"successful": not problems, "problems": problems}))
-    return int(bool(problems))
+            write_fingerprints(built, args.out)
+        made = approval(made, built, args.date)
+    elif args.out:
+        datasets.write_canonical(built, args.out)
+    print(json.dumps(made, sort_keys=True))
+    return 0

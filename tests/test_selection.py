@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillspark.codes import Refused
 from quillspark.operators import checks, selection
+from quillspark.plans import profiles
 
 
 def table(spark, n=60):
@@ -173,3 +174,21 @@ def test_digests_of_groups_in_pieces(spark, monkeypatch):
     assert digests.sequence_digest(df.limit(0), F.col("g"), [F.col("o")], F.col("v")).count() == 0
     a, b = (df.select(digests.content_sum(F.col("o"), F.col("v")).alias("s")).first()["s"] for df in (df, df.filter("o <> 3")))
     assert a != b
+
+
+def test_command_line(spark, tmp_path, capsys):
+    rows = [(i, f"ask {i}", "", f"answer {i}") for i in range(30)]
+    for name, part in (("a", rows[:20]), ("b", rows[15:])):
+        spark.createDataFrame(part, "source_index int, instruction string, context string, response string").write.parquet(f"{tmp_path}/{name}")
+    profile = json.dumps({"dataset_id": "d", "name": "p", "kind": "instruction", "key_fields": ["instruction", "response"], "revision": "r", "count": 20})
+    said = lambda *args: (profiles.main(list(args)), json.loads(capsys.readouterr().out))
+    for name in "ab":
+        code, approved = said("approve", f"{tmp_path}/{name}", "--profile", profile.replace("20", "15") if name == "b" else profile, "--date", "2024-05-06", "--out", f"{tmp_path}/fp-{name}")
+        assert code == 0 and approved["approvedOn"] == "2024-05-06" and approved["fingerprintCount"] == (20 if name == "a" else 15)
+        (tmp_path / f"{name}.json").write_text(json.dumps(approved))
+    assert said("verify", f"{tmp_path}/a", "--profile", profile, "--approval", f"{tmp_path}/a.json") == (0, {"successful": True, "problems": []})
+    assert said("verify", f"{tmp_path}/a", "--profile", profile, "--approval", f"{tmp_path}/b.json")[0] == 1
+    assert said("verify", f"{tmp_path}/a", "--profile", profile, "--approval", f"{tmp_path}/none.json") == (1, {"successful": False, "problems": ["there is no approval"]})
+    assert said("disjoint", f"a={tmp_path}/fp-a", f"b={tmp_path}/fp-b") == (1, {"successful": False, "shared": [{"split_a": "a", "split_b": "b", "shared": 5}]})
+    with pytest.raises(SystemExit):
+        profiles.main(["disjoint", "a"])
