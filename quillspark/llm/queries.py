@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .backoff_lm import op9_backoff_lm
 from .decontaminate import op2_decontaminate
+from .distinct_bpe import op13_distinct_bpe
 from .jaccard_join import OP8_SQL, op8_jaccard_join
 from .media import op5_media
 from .mil_quality import op10_mil_quality
@@ -13,5 +14,5 @@ from .repair_ids import op1_repair_ids
 from .revisit import OP7_SQL, op7_revisits
 from .token_fst import op4_token_fst
 
-QUERIES = {f.__name__: f for f in (op1_repair_ids, op2_decontaminate, op3_packing, op4_token_fst, op5_media, op6_pii, op7_revisits, op8_jaccard_join, op9_backoff_lm, op10_mil_quality)}
+QUERIES = {f.__name__: f for f in (op1_repair_ids, op2_decontaminate, op3_packing, op4_token_fst, op5_media, op6_pii, op7_revisits, op8_jaccard_join, op9_backoff_lm, op10_mil_quality, op13_distinct_bpe)}
 ORACLE_SQL: dict[str, str] = {"op7_revisits": OP7_SQL, "op8_jaccard_join": OP8_SQL}
