@@ -25,6 +25,8 @@ def folder(spark, tmp_path_factory):
     documents(spark, TEXTS).limit(0).write.parquet(f"{path}/empty/documents.parquet")
     for p in (path, f"{path}/empty"):
         spark.createDataFrame([(0, prose(3, 50)), (1, None)], "item_id long, text string").write.parquet(f"{p}/benchmark.parquet")
+        spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{p}/embeddings.parquet")
+        spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{p}/conversations.parquet")
         spark.createDataFrame([(i, i % 2, 0) for i in range(len(TEXTS))], "doc_id long, quality int, toxic int").write.parquet(f"{p}/labels.parquet")
     return path
 
