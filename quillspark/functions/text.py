@@ -109,7 +109,7 @@ def unsafe_member(name: Column) -> Column:
 def answer_label(response: Column, labels: Sequence[str], tag: str = "Sagot:") -> Column:
     """The label a response answers with: the last one directly after tag, else the whole response; 'null' if neither.
 
-    Letters' case, marks at the edges and runs of white space don't count."""
+    Letters' case, marks at the edges and runs of white space don't count; of labels that differ by case alone the last is given."""
     import re
 
     choice = "|".join(map(re.escape, sorted(labels, key=len, reverse=True)))
@@ -117,7 +117,7 @@ def answer_label(response: Column, labels: Sequence[str], tag: str = "Sagot:") -
     marks = r"[!-/:-@\[-`{-~ \n]+"
     plain = F.regexp_replace(F.lower(F.when(tagged != "", tagged).otherwise(response)), rf"^{marks}|{marks}$", "")
     plain = F.regexp_replace(strip(plain), r"(?U)[\s\x1c-\x1f]+", " ")
-    table = F.create_map(*(x for label in labels for x in (F.lit(label.lower()), F.lit(label))))
+    table = F.create_map(*(F.lit(x) for pair in {label.lower(): label for label in labels}.items() for x in pair))
     return F.coalesce(F.try_element_at(table, plain), F.lit("null"))
 
 

@@ -26,10 +26,15 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def manifest_diff(manifest: DataFrame, disk: DataFrame) -> DataFrame:
-    """Problems of a manifest (path, size, sha256) against what is there: missing, unlisted, size, sha256; agreeing files give none."""
-    m, d = manifest.alias("m"), disk.alias("d")
-    both = m.join(d, F.col("m.path") == F.col("d.path"), "full_outer")
-    problem = F.when(F.col("d.path").isNull(), "missing").when(F.col("m.path").isNull(), "unlisted").when(F.col("m.size") != F.col("d.size"), "size").when(F.col("m.sha256") != F.col("d.sha256"), "sha256")
+    """Problems of a manifest (path, size, sha256) against what is there: repeated (listed twice or more, however it agrees),
+    missing, unlisted, size, sha256; agreeing files give none. A path is one row; a null path is a path of its own."""
+    once = lambda df: df.groupBy("path").agg(F.count("*").alias("n"), F.min("size").alias("size"), F.min("sha256").alias("sha256"))
+    m, d = once(manifest).alias("m"), once(disk).alias("d")
+    both = m.join(d, F.col("m.path").eqNullSafe(F.col("d.path")), "full_outer")
+    problem = (
+        F.when((F.col("m.n") > 1) | (F.col("d.n") > 1), "repeated").when(F.col("d.n").isNull(), "missing").when(F.col("m.n").isNull(), "unlisted")
+        .when(~F.col("m.size").eqNullSafe(F.col("d.size")), "size").when(~F.col("m.sha256").eqNullSafe(F.col("d.sha256")), "sha256")
+    )
     return both.select(F.coalesce("m.path", "d.path").alias("path"), problem.alias("problem")).filter("problem is not null")
 
 
@@ -50,7 +55,8 @@ def field_diff(approval: dict, manifest: dict, fields: list[str]) -> list[str]:
 
 
 def member_problems(members: DataFrame, archive_bytes: int | None = None) -> DataFrame:
-    """Per archive member (name, size, packed, mode) that breaks a bound: path and problem, the first rule that it breaks.
+    """Per archive member (name, size, packed, mode) that breaks a bound: path, problem, the first rule that it breaks, and its
+    code. A member without a name is a problem of its own.
 
     A bound that the archive breaks as a whole gives a row without name and path: its compressed size (archive_bytes, or
     at least its members' packed sizes) and its number of members before the members' rules, their total size after them."""
@@ -58,15 +64,35 @@ def member_problems(members: DataFrame, archive_bytes: int | None = None) -> Dat
     seen = members.groupBy(path.alias("path")).agg(F.count("*").alias("n"))
     reason = unsafe_member(F.col("name"))
     problem = (
-        F.when(F.col("n") > 1, "duplicate").when(reason.isNotNull(), reason).when(F.col("mode").bitwiseAND(0o170000) == 0o120000, "symlink")
+        F.when(F.col("name").isNull(), "no name").when(F.col("n") > 1, "duplicate").when(reason.isNotNull(), reason).when(F.col("mode").bitwiseAND(0o170000) == 0o120000, "symlink")
         .when(F.col("size") > MAX_MEMBER_BYTES, "too large").when((F.col("packed") > 0) & (F.col("size") > F.col("packed") * MAX_RATIO), "ratio")
     )
-    each = members.withColumn("path", path).join(seen, "path").withColumn("problem", problem).filter("problem is not null").select("name", "path", "problem")
+    each = members.withColumn("path", path).join(seen.withColumnRenamed("path", "_p"), F.col("path").eqNullSafe(F.col("_p"))).withColumn("problem", problem).filter("problem is not null").select("name", "path", "problem")
     total = lambda c: F.sum(F.col(c).cast("decimal(20,0)"))
     sums = members.agg(F.count("*").alias("n"), total("size").alias("size"), F.greatest(total("packed"), F.lit(archive_bytes).cast("decimal(20,0)")).alias("packed"))
     whole = lambda broken, text: sums.filter(broken).select(F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("path"), F.lit(text).alias("problem"))
     before = whole(F.col("packed") > MAX_TOTAL_BYTES, "archive too large").unionByName(whole(F.col("n") > MAX_MEMBERS, "too many members"))
-    return before.unionByName(each).unionByName(whole(F.col("size") > MAX_TOTAL_BYTES, "total too large"))
+    found = before.unionByName(each).unionByName(whole(F.col("size") > MAX_TOTAL_BYTES, "total too large"))
+    code = F.when(F.col("problem") == "duplicate", "DATASET_ARCHIVE_DUPLICATE_MEMBER").when(F.col("problem").isin("too large", "ratio", "archive too large", "too many members", "total too large"), "DATASET_ARCHIVE_TOO_LARGE")
+    return found.withColumn("code", code.otherwise("DATASET_ARCHIVE_UNSAFE"))
+
+
+def path_collisions(members: DataFrame, path: str, within: str | None = None, fold: bool = True) -> DataFrame:
+    """Names that cannot stand side by side in a folder: (within, name, problem, files, below), problem being "duplicate" (a file is
+    listed more than once) or "file and folder" (a file's name is also that of a folder), in whatever order they are listed.
+
+    Every path is expanded to the folders above it; names meet by equality (by lower case where fold), as counts that are
+    combined where the rows are: a folder that holds a third of all rows is a few rows of the shuffle, and no two siblings are
+    ever compared. A path that ends in a slash is a folder. Null and empty paths have no name and collide with nothing. within:
+    a column of archives or roots that are kept apart; null is one of them."""
+    parts = F.filter(F.split(F.replace(F.col(path), F.lit("\\"), F.lit("/")), "/"), lambda p: ~p.isin("", "."))
+    rows = members.select((F.lit(None).cast("string") if within is None else F.col(within)).alias("within"), parts.alias("p"), F.col(path).rlike(r"[/\\\\]$").alias("folder")).filter(F.size("p") > 0)
+    depths = F.sequence(F.lit(1), F.size("p"))
+    names = rows.select("within", F.explode(F.transform(depths, lambda i: F.struct(F.array_join(F.slice("p", 1, i), "/").alias("name"), ((i == F.size("p")) & ~F.col("folder")).alias("file")))).alias("x"))
+    name = F.lower("x.name") if fold else F.col("x.name")
+    by = names.groupBy("within", name.alias("name")).agg(F.count_if("x.file").alias("files"), F.count_if(~F.col("x.file")).alias("below"))
+    problems = F.array_compact(F.array(F.when(F.col("files") > 1, "duplicate"), F.when((F.col("files") > 0) & (F.col("below") > 0), "file and folder")))
+    return by.select("within", "name", F.explode(problems).alias("problem"), "files", "below")
 
 
 def foreign_task(files: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import strip
 
@@ -38,9 +39,16 @@ def decide(findings: DataFrame, exceptions: DataFrame, rules: dict, scope: str,
     return findings.join(first, "finding_id", "left").withColumn("decision", decision).withColumn("entry", F.when(blocking, F.col("_e.entry"))).drop("_e")
 
 
+def unique(registry: DataFrame, key: str) -> DataFrame:
+    """A registry whose keys must stand once each: a repeated or null key ends with CONFIG_SCHEMA_INVALID when it is met."""
+    bad = (F.count("*").over(Window.partitionBy(key)) > 1) | F.col(key).isNull()
+    return registry.withColumn(key, F.when(bad, F.raise_error(F.concat(F.lit("CONFIG_SCHEMA_INVALID: repeated or null key "), F.coalesce(F.col(key), F.lit("null"))))).otherwise(F.col(key)))
+
+
 def resolve_models(requests: DataFrame, registry: DataFrame) -> DataFrame:
-    """requests (request_id, model_key) with code: null where the registry (model_key, enabled, remote_code, revision) allows it."""
-    found = requests.join(registry.withColumn("_known", F.lit(True)), "model_key", "left")
+    """requests (request_id, model_key) with code: null where the registry (model_key, enabled, remote_code, revision) allows it.
+    A registry with a repeated key is refused."""
+    found = requests.join(unique(registry, "model_key").withColumn("_known", F.lit(True)), "model_key", "left")
     code = (
         F.when(F.coalesce(F.trim("model_key"), F.lit("")) == "", "MODEL_KEY_MISSING").when(F.col("_known").isNull(), "MODEL_NOT_APPROVED").when(~F.col("enabled"), "MODEL_DISABLED")
         .when(F.col("remote_code"), "MODEL_REMOTE_CODE_BLOCKED").when(~F.coalesce(F.col("revision").rlike("^[0-9a-f]{40}$"), F.lit(False)), "MODEL_REVISION_UNPINNED")
@@ -111,8 +119,9 @@ def may_commit_rows(redistribution: Column, gated: Column) -> Column:
 def source_gate(requests: DataFrame, sources: DataFrame) -> DataFrame:
     """requests (source_id, ...) with the first gate that their source fails, or ok: unknown, disabled, evaluation only, unpinned.
 
-    sources: source_id, enabled, intended_use (array), revision, and whatever else a registry holds."""
-    s = sources.select("source_id", F.lit(True).alias("_there"), "enabled", "intended_use", "revision")
+    sources: source_id, enabled, intended_use (array), revision, and whatever else a registry holds; a repeated source_id is
+    refused."""
+    s = unique(sources, "source_id").select("source_id", F.lit(True).alias("_there"), "enabled", "intended_use", "revision")
     gate = (
         F.when(F.col("_there").isNull(), "unknown").when(~F.coalesce("enabled", F.lit(False)), "disabled")
         .when(F.array_contains(F.coalesce("intended_use", F.array()), "evaluation_only"), "evaluation only")

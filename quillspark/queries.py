@@ -13,6 +13,7 @@ from .functions import arithmetic, text
 from .operators import checks, digests, integrity, policy, scoring, selection, tokens
 from .plans import profiles
 from .sources import adapters, datasets, jsonl
+from .storage import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -34,19 +35,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, set here only where it is unset (as in llm/common.py, which may be missing)."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        sc = spark.sparkContext
-        if sc.getCheckpointDir() is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-            sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared")
-        where = sc.getCheckpointDir()
-    return where.rstrip("/")
-
-
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per conversation: conv_id and its messages in order of turns."""
     turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
@@ -571,4 +559,4 @@ def small_rules(spark, sf_dir):
     )
 
 
-from . import rule_queries  # noqa: E402, F401  registers its queries with those above
+from . import ingest_queries, rule_queries  # noqa: E402, F401  they register their queries with those above

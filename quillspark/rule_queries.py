@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from .functions import arithmetic, text
 from .operators import integrity, measurements, policy, registration, tokens
 from .plans import profiles
-from .queries import _CONV, _table, conversations, query, shared_dir
+from .queries import _CONV, _table, conversations, query
 from .sources import adapters, datasets, jsonl
+from .storage import shared_dir
 
 _CHAT = r"string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn)"
 
