@@ -75,7 +75,10 @@ def content_sum(*columns: Column) -> Column:
 
 
 def ranges(order: Column, edges: Sequence) -> Column:
-    """How many of the sorted edges are at most order, found by halving; -1 for null."""
+    """How many of the sorted edges are at most order, found by halving; -1 for null.
+
+    Few edges become nested conditions, which Spark compiles; many are halved in one literal array, as a long condition would not
+    compile."""
 
     def halve(low: int, high: int) -> Column:
         if low == high:
@@ -83,7 +86,20 @@ def ranges(order: Column, edges: Sequence) -> Column:
         middle = (low + high) // 2
         return F.when(order < edges[middle], halve(low, middle)).otherwise(halve(middle + 1, high))
 
-    return F.when(order.isNull(), F.lit(-1)).otherwise(halve(0, len(edges)))
+    if len(edges) <= STEPS:
+        found = halve(0, len(edges))
+    else:
+        every = F.lit(list(edges))
+        start = F.struct(F.lit(0).alias("low"), F.lit(len(edges)).alias("high"))
+
+        def step(s: Column, _: Column) -> Column:
+            middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
+            below = order < F.get(every, middle)
+            open_ = s["low"] < s["high"]
+            return F.struct(F.when(open_ & ~below, middle + 1).otherwise(s["low"]).alias("low"), F.when(open_ & below, middle).otherwise(s["high"]).alias("high"))
+
+        found = F.aggregate(F.sequence(F.lit(0), F.lit(len(edges).bit_length())), start, step)["low"]
+    return F.when(order.isNull(), F.lit(-1)).otherwise(found)
 
 
 def edges_of(df: DataFrame, order: Column, steps: int) -> list:
@@ -92,6 +108,15 @@ def edges_of(df: DataFrame, order: Column, steps: int) -> list:
     return sorted(set(found or []))
 
 
+def grown_edges(df: DataFrame, order: Column, rows: int, least: int = 64, most: int = 4096) -> list:
+    """Edges of a numeric column for ranges of about `rows` rows each, and so of at most about as many of any key, from one pass:
+    at least `least` ranges and at most `most`; a table of more than rows * most rows has larger ones."""
+    found = df.agg(F.percentile_approx(order, [i / most for i in range(1, most)], 4 * most).alias("e"), F.count("*").alias("n")).first()
+    steps = min(most, max(least, -(-found["n"] // rows)))
+    edges = found["e"] or []
+    return sorted({edges[i * most // steps - 1] for i in range(1, steps)}) if edges else []
+
+
 def around_rank(df: DataFrame, order: Column, k: int) -> tuple[DataFrame, int]:
     """The rows of df that may be the k-th by a numeric column (from 1), few or all of one value, and k among them."""
     while True:

@@ -10,12 +10,12 @@ from pyspark.sql.window import Window
 
 from ..codes import Refused
 from ..functions.text import content_hash, is_blank, prefix_length
-from .digests import FEW, around_rank, edges_of, ranges
+from .digests import FEW, around_rank, grown_edges, ranges
 
 #: Least characters that a template common to one language's rows must have.
 LEAST_PREFIX = 100
-#: Ranges of the order column in which the rows of one content are counted apart.
-_PARTS = 64
+#: Rows in a range of the order column in which the rows of one content are counted apart.
+RANGE_ROWS = 1 << 20
 
 
 def _free(df: DataFrame, *names: str) -> list[str]:
@@ -32,14 +32,14 @@ def rank(salt: str, identity: Column) -> Column:
     return F.sha2(F.concat(F.lit(f"{salt}:"), identity), 256)
 
 
-def occurrence(df: DataFrame, key: str, order: str, name: str = "occurrence") -> DataFrame:
+def occurrence(df: DataFrame, key: str, order: str, name: str = "occurrence", range_rows: int = RANGE_ROWS) -> DataFrame:
     """df with column occurrence: rows of the same key before this one in the order (0 for the first).
 
     A key may hold much of the table, so rows are numbered within (key, range of order) and the ranges' sizes, which
-    were aggregated before the shuffle, are added. Ranges hold about as many rows each. Rows without an order come first,
+    were aggregated before the shuffle, are added. Ranges hold about range_rows rows each, so their number grows with the table. Rows without an order come first,
     those without a key are a key of their own; order is numeric."""
     part, inside, n, before, k = _free(df, "_part", "_inside", "_n", "_before", "_key")
-    dealt = df.withColumn(part, ranges(F.col(order), edges_of(df, F.col(order), _PARTS)))
+    dealt = df.withColumn(part, ranges(F.col(order), grown_edges(df, F.col(order), range_rows)))
     sizes = dealt.groupBy(F.col(key).alias(k), F.col(part).alias(f"{part}_")).agg(F.count("*").alias(n))
     earlier = Window.partitionBy(k).orderBy(f"{part}_").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select(k, f"{part}_", F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(before))

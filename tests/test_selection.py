@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillspark.codes import Refused
-from quillspark.operators import checks, selection
+from quillspark.operators import checks, digests, selection
 from quillspark.plans import profiles
 
 
@@ -207,3 +207,17 @@ def test_command_line(spark, tmp_path, capsys):
     assert said("disjoint", f"a={tmp_path}/fp-a", f"b={tmp_path}/fp-b") == (1, {"successful": False, "shared": [{"split_a": "a", "split_b": "b", "shared": 5}]})
     with pytest.raises(SystemExit):
         profiles.main(["disjoint", "a"])
+
+
+def test_a_key_of_half_of_all_rows_is_cut_into_ranges_of_a_set_size(spark):
+    df = spark.range(0, 40000, 1, 4).select((F.col("id") * 7919 % 40009).alias("o"), F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    edges = digests.grown_edges(df, F.col("o"), 100)
+    assert 300 < len(edges) < 400 and len(digests.grown_edges(df, F.col("o"), 10**9)) == 63
+    sizes = df.groupBy("k", digests.ranges(F.col("o"), edges).alias("r")).count()
+    assert sizes.agg(F.max("count")).first()[0] < 200
+    few = edges[::4]
+    both = df.select(digests.ranges(F.col("o"), edges).alias("a"), "o").collect()
+    assert all(r["a"] == sum(e <= r["o"] for e in edges) for r in both[::97]) and len(few) < digests.STEPS < len(edges)
+    got = selection.occurrence(df, "k", "o", range_rows=100).filter("k = 'hot'").orderBy("o").select("occurrence").collect()
+    assert [r["occurrence"] for r in got] == list(range(20000))
+    assert df.select(digests.ranges(F.lit(None).cast("long"), edges).alias("x")).first()["x"] == -1
