@@ -3,10 +3,10 @@
 A revisit record takes the payload of the latest full response with the same canonical URL and an earlier time, if
 its validators agree, and that response's headers with those that a 304 answer may carry replaced by its own.
 
-One URL may hold much of an archive, so no task gets all records of a URL: time is cut into at most BUCKETS ranges of about
-as many records each, whatever outliers there are (records of one time stay together). Within a (URL, range) a window
+One URL may hold much of an archive, so no task gets all records of a URL: time is cut into ranges of about
+RANGE_ROWS records each, whatever outliers there are, so that their number grows with the archive (records of one time stay together). Within a (URL, range) a window
 finds the latest earlier response; the last response of each (URL, range), aggregated before it is shuffled, is
-carried to later ranges by a window of at most BUCKETS rows. Only identifiers and times go through both; payloads, of
+carried to later ranges by a window of one row a range. Only identifiers and times go through both; payloads, of
 those responses only that some revisit refers to, are joined by record id afterwards, in a join that Spark can split
 where one response has many revisits; revisits without a source take no part in it.
 
@@ -22,9 +22,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.digests import grown_edges, ranges
 from .common import stored
 
-BUCKETS = 64
+#: Records in a range of time.
+RANGE_ROWS = 1 << 18
 #: Headers that a not-modified answer may replace (RFC 9110, 15.4.5; fixed values).
 PERMITTED = ["cache-control", "content-location", "date", "etag", "expires", "vary"]
 _URL = r"^(?i:https?)://(?i:www\.|m\.)?([^/?#]*)([^?#]*)(\?[^#]*)?"
@@ -38,26 +40,14 @@ def canonical_url(url: Column) -> Column:
     return F.when(url.rlike(_URL), F.concat(F.lower(F.regexp_extract(url, _URL, 1)), path, query)).otherwise(url)
 
 
-def _range(time: str, edges: list[int]) -> Column:
-    """How many of the sorted edges are at most time, by halving."""
-
-    def halve(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(F.col(time) < edges[middle], halve(low, middle)).otherwise(halve(middle + 1, high))
-
-    return halve(0, len(edges))
-
-
-def resolve_revisits(records: DataFrame) -> DataFrame:
+def resolve_revisits(records: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """records: record_id, kind (response or revisit), url, time, headers (map), payload; others are not looked at. One
     row per revisit: record_id, url, time, status, source_id, payload, headers."""
     records = records.select("record_id", "kind", "url", "time", "headers", "payload", canonical_url(F.col("url")).alias("key"))
     full = (F.col("kind") == "response") & F.col("payload").isNotNull()
     timed = records.filter(F.col("key").isNotNull() & F.col("time").isNotNull() & (full | (F.col("kind") == "revisit")))
-    edges = timed.agg(F.percentile_approx("time", [i / BUCKETS for i in range(1, BUCKETS)], 1000).alias("edges")).first()["edges"] or []
-    line = timed.select("key", "time", "record_id", "kind", _range("time", sorted(set(edges))).alias("bucket"))
+    edges = grown_edges(timed, F.col("time"), range_rows)
+    line = timed.select("key", "time", "record_id", "kind", ranges(F.col("time"), edges).alias("bucket"))
     source = F.when(F.col("kind") == "response", F.struct("time", "record_id"))
     within = Window.partitionBy("key", "bucket").orderBy("time").rangeBetween(Window.unboundedPreceding, -1)
     near = line.withColumn("near", F.max(source).over(within)).filter("kind = 'revisit'")
