@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from ..codes import Refused
 from ..functions.text import record_fingerprint, strip
-from ..operators import checks, selection
+from ..operators import checks, masking, selection
 from ..operators.digests import sequence_digest
 from ..operators.integrity import field_diff
 from ..sources import adapters, datasets
+from . import package
 
 #: Fields compared with an approval, the most explanatory first (fixed values).
 COMPARED = ["sourceRevision", "conversionVersion", "excludeLanguages", "selectedSourceIndexDigest", "selectedSourceIndexCount"]
@@ -122,11 +123,12 @@ def disjoint_files(approved: dict[str, DataFrame]) -> DataFrame:
 
 
 def main(argv: list[str] | None = None) -> int:
-    """build, verify or approve a profile of a Parquet source, or show that approvals share no rows, from the command line;
-    prints a JSON document, returns 1 for problems."""
+    """build, verify or approve a profile of a Parquet source, show that approvals share no rows, check and package a dataset
+    folder, or list the sources of a registry (JSON lines), from the command line; prints a JSON document, returns 1 for problems."""
     parser = argparse.ArgumentParser(prog="quillspark")
-    parser.add_argument("command", choices=["build", "verify", "approve", "disjoint"])
+    parser.add_argument("command", choices=["build", "verify", "approve", "disjoint", "package", "list"])
     parser.add_argument("source", nargs="+", help="the source; for disjoint name=folder of each approval's fingerprints")
+    parser.add_argument("--vocabulary", help="tokenizers file that package counts tokens by; white space without one")
     parser.add_argument("--profile", help="JSON of a profile's fields")
     parser.add_argument("--order", default="source_index")
     parser.add_argument("--out", help="folder for canonical JSONL, or for an approval's fingerprints")
@@ -136,8 +138,11 @@ def main(argv: list[str] | None = None) -> int:
     disjoint_ = args.command == "disjoint"
     if disjoint_ and (len(args.source) < 2 or not all("=" in s for s in args.source)):
         parser.error("disjoint takes two or more name=folder")
-    if not disjoint_ and (len(args.source) > 1 or not args.profile):
-        parser.error(f"{args.command} takes one source and a profile")
+    alone = args.command in ("package", "list")
+    if not disjoint_ and (len(args.source) > 1 or not (args.profile or alone)):
+        parser.error(f"{args.command} takes one source" + ("" if alone else " and a profile"))
+    if args.command == "package" and not args.out:
+        parser.error("package takes a folder to write to")
     if args.command == "approve" and not args.date or args.command == "verify" and not args.approval:
         parser.error("approve takes a date, verify an approval")
     spark = SparkSession.builder.getOrCreate()
@@ -146,6 +151,18 @@ def main(argv: list[str] | None = None) -> int:
         pairs = [r.asDict() for r in shared.orderBy("split_a", "split_b").collect()]  # one row a pair of profiles
         print(json.dumps({"successful": not pairs, "shared": pairs}))
         return int(bool(pairs))
+    if args.command == "package":
+        try:
+            made = package.package(spark, args.source[0], args.out, masking.from_file(args.vocabulary) if args.vocabulary else None)
+        except Refused as refused:
+            print(json.dumps({"successful": False, "code": refused.code, "details": refused.details}))
+            return 1
+        print(json.dumps(made, sort_keys=True))
+        return 0
+    if args.command == "list":
+        sources = spark.read.schema("source_id string, enabled boolean, intended_use array<string>, revision string, tier int").json(args.source[0])
+        print(json.dumps([r.asDict() for r in package.listing(sources).collect()]))  # one row a source
+        return 0
     fields = json.loads(args.profile)
     profile = Profile(**{k: tuple(v) if isinstance(v, list) else v for k, v in fields.items()})
     try:
