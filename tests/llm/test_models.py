@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quillspark.operators.digests import ranges
 from quillspark.llm import backoff_lm, mil_quality, pii, revisit
 
 from .helpers import ODD, documents, prose, words
@@ -240,7 +241,7 @@ def test_an_outlier_leaves_the_ranges_even(spark):
     rows = [(i, "response" if i % 2 else "revisit", "http://u.org", 10**9 + i, {"etag": "e"}, "p" if i % 2 else None) for i in range(300)] + [(999, "response", "http://u.org", 5, {"etag": "e"}, "first")]
     df = archive(spark, rows).withColumn("key", F.lit(1)).withColumn("bucket", F.lit(2))
     edges = df.agg(F.percentile_approx("time", [i / 64 for i in range(1, 64)], 1000)).first()[0]
-    sizes = df.groupBy(revisit._range("time", sorted(set(edges))).alias("b")).count().collect()
+    sizes = df.groupBy(ranges(F.col("time"), sorted(set(edges))).alias("b")).count().collect()
     assert len(sizes) == 64 and max(r["count"] for r in sizes) < 12
     got = {r["record_id"]: r["source_id"] for r in revisit.resolve_revisits(df).collect()}
     assert got == {i: i - 1 if i else 999 for i in range(0, 300, 2)}

@@ -65,7 +65,7 @@ def test_run_equals_the_stages(spark):
 
 
 def test_queries_and_their_sql(spark):
-    assert sorted(QUERIES) == sorted(f"op{i}_{n}" for i, n in enumerate(("repair_ids", "decontaminate", "packing", "token_fst", "media", "pii", "revisits", "jaccard_join", "backoff_lm", "mil_quality"), 1))
+    assert sorted(QUERIES) == sorted(f"op{i}_{n}" for i, n in enumerate(("repair_ids", "decontaminate", "packing", "token_fst", "media", "pii", "revisits", "jaccard_join", "backoff_lm", "mil_quality", "centroids", "turn_repair", "distinct_bpe"), 1))
     for name, sql in ORACLE_SQL.items():
         assert rows(QUERIES[name](spark, SF).toPandas()) == rows(database().sql(sql).df())
 
