@@ -30,7 +30,9 @@ import hashlib
 from collections.abc import Iterator
 
 import duckdb
+import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,8 +41,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import stored
 
-#: Rows in a segment, characters of text in one, segments in a batch of the recursive query.
-SEGMENT, SEGMENT_TEXT, BATCH = 512, 1 << 20, 2000
+#: Rows in a segment, characters of text in one, segments in a batch of the recursive query and in one that is being made.
+SEGMENT, SEGMENT_TEXT, BATCH, READY = 512, 1 << 20, 2000, 256
 #: Costs of the edits and what a truncated row adds unless it is deleted (fixed values of the task).
 REROLE, DELETE, INSERT, TRUNCATED = 3, 4, 3, 3
 BLANKS = " \t\n\x0b\x0c\r"
@@ -113,33 +115,37 @@ def segments(rows: DataFrame, segment: int = SEGMENT) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seg, conv, first, held, size, parts = TaskContext.get().partitionId() << 32, None, True, [], 0, 0
-        seen = False
+        seen, ready, waiting = False, [], 0
 
-        def made(whole: bool) -> pa.RecordBatch:
-            nonlocal seg, parts
+        def made(whole: bool) -> None:
+            nonlocal seg, parts, waiting
             kinds, keys = [], []
             for _, role, text in held:
                 kind, last = role[:1] if role[:1] in ("s", "u", "a") else "o", text.rstrip(BLANKS)[-1:]
                 kinds.append("x" if not last else kind if last in ".!?" else kind.upper())
                 keys.append(hashlib.blake2b(f"{len(role)}:{role}{text}".encode(), digest_size=16).digest())
             row = {"conv_id": conv, "seg": seg, "whole": whole, "turns": [t for t, _, _ in held], "roles": [r for _, r, _ in held], "texts": packed([x for _, _, x in held]), "kinds": "".join(kinds), "keys": keys}
-            seg, parts = seg + 1, parts + 1
-            return pa.RecordBatch.from_pylist([row], schema)
+            seg, parts, waiting = seg + 1, parts + 1, waiting + size
+            ready.append(row)
 
         for batch in batches:
             for c, turn, role, text, times in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if seen and c != conv:
-                    yield made(not parts and not first)
+                    made(not parts and not first)
                     held, size, parts, first = [], 0, 0, False
+                if len(ready) >= READY or waiting >= SEGMENT_TEXT:
+                    yield pa.RecordBatch.from_pylist(ready, schema)
+                    ready, waiting = [], 0
                 conv, seen = c, True
                 for _ in range(times):
                     if held and (len(held) >= segment or size + len(text) > SEGMENT_TEXT):
-                        yield made(False)
+                        made(False)
                         held, size = [], 0
                     held.append((turn, role, text))
                     size += len(text)
         if seen:
-            yield made(False)  # the first and the last conversation of a task may go on in others
+            made(False)  # the first and the last conversation of a task may go on in others
+            yield pa.RecordBatch.from_pylist(ready, schema)
 
     order = [F.xxhash64("conv_id").alias("_h"), "conv_id", "turn", "role", "text"]
     dealt = rows.select(order[0], "conv_id", "turn", "role", "text", "times")
@@ -148,16 +154,16 @@ def segments(rows: DataFrame, segment: int = SEGMENT) -> DataFrame:
 
 
 def packed(texts: list[str]) -> bytes:
-    """Texts as one compressed column."""
-    sink = pa.BufferOutputStream()
-    batch = pa.record_batch([pa.array(texts, pa.string())], names=["t"])
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+    """Texts as one compressed value: their number, the bytes of each, and all bytes."""
+    parts = [t.encode() for t in texts]
+    return zstandard.compress(np.array([len(parts), *map(len, parts)], "<u4").tobytes() + b"".join(parts), 3)
 
 
 def unpacked(data: bytes) -> list[str]:
-    return pa.ipc.open_stream(data).read_all()["t"].to_pylist()
+    raw = zstandard.decompress(data)
+    n = int.from_bytes(raw[:4], "little")
+    ends = 4 + 4 * n + np.cumsum(np.frombuffer(raw, "<u4", n, 4).astype(np.int64))
+    return [raw[a:b].decode() for a, b in zip([4 + 4 * n, *ends.tolist()], ends.tolist())]
 
 
 def judged(segs: DataFrame) -> DataFrame:
