@@ -559,4 +559,4 @@ def small_rules(spark, sf_dir):
     )
 
 
-from . import ingest_queries, rule_queries  # noqa: E402, F401  they register their queries with those above
+from . import document_queries, ingest_queries, rule_queries  # noqa: E402, F401  they register their queries with those above
