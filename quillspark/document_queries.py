@@ -90,7 +90,7 @@ _MODELS = """'{"schema_version": "1.1", "models": {"m' || c_custkey || '": {"mod
 
 @query("""WITH m AS (SELECT 'm' || c_custkey AS model_key, c_custkey % 4 IN (1, 3) AS enabled, c_custkey % 5 = 0 AS remote, c_custkey % 3 > 0 AS pinned, 'generic_causal_lm' AS backend, CASE WHEN c_custkey % 2 = 1 THEN c_nationkey + 4.5 END AS vram FROM customer
 UNION ALL SELECT 'd' || c_custkey, false, false, false, 'own', NULL FROM customer)
-SELECT model_key, backend, CASE WHEN NOT enabled THEN 'MODEL_DISABLED' WHEN remote THEN 'MODEL_REMOTE_CODE_BLOCKED' WHEN NOT pinned THEN 'MODEL_REVISION_UNPINNED' ELSE 'ok' END AS code, CAST(vram AS DOUBLE) AS min_vram_gb, CAST(CASE WHEN vram IS NOT NULL THEN 1024 END AS BIGINT) AS load FROM m""")
+SELECT model_key, backend, CASE WHEN NOT enabled THEN 'MODEL_DISABLED' WHEN remote THEN 'MODEL_REMOTE_CODE_BLOCKED' WHEN NOT pinned THEN 'MODEL_REVISION_UNPINNED' ELSE 'ok' END AS code, CAST(vram AS DOUBLE) AS min_vram_gb, CAST(CASE WHEN vram IS NOT NULL THEN 1024 ELSE 0 END AS BIGINT) AS load FROM m""")
 def registry_models(spark, sf_dir):
     """Each customer as a registry document of two models; a request for each model, and its measurement."""
     docs = _table(spark, sf_dir, "customer").select("c_custkey", F.expr(_MODELS).alias("doc"))
@@ -98,7 +98,7 @@ def registry_models(spark, sf_dir):
     registry = entries.select("model_key", "backend", "enabled", F.col("requires_trust_remote_code").alias("remote_code"), "revision")
     resolved = policy.resolve_models(entries.select("model_key"), registry)
     figures = registries.measured(entries).select("model_key", "min_vram_gb", (F.col("max_sequence_length") * F.col("per_device_batch_size")).alias("load"))
-    return resolved.join(figures, "model_key", "left").select("model_key", "backend", F.coalesce("code", F.lit("ok")).alias("code"), "min_vram_gb", "load")
+    return resolved.join(figures, "model_key", "left").select("model_key", "backend", F.coalesce("code", F.lit("ok")).alias("code"), "min_vram_gb", F.coalesce("load", F.lit(0)).alias("load"))
 
 
 _SOURCES = """'{"sources": {"s' || s_suppkey || '": {"source_id": "org/' || s_nationkey || '"' || CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE ', "revision": "' || repeat('a', 40) || '"' END
