@@ -95,9 +95,14 @@ class PieceEncoder:
         self.texts, self.whole = 0, False
 
     def _library(self, text: str) -> bytes:
-        word = text[1:] if text[:1] == " " else text
-        if word.isalpha() and max(word) <= "\xff":  # one pretoken, to which the library's model can go straight
-            ids = [t.id for t in self.model.tokenize((text if self.keeps_blanks else word.lower()).translate(_VISIBLE))]
+        blank = text[:1] == " "
+        word = text[1:] if blank else text
+        if word.isalpha() and (word.isascii() or max(word) <= "\xff"):  # one pretoken, to which the library's model can go straight
+            if not self.keeps_blanks:
+                word = word.lower()
+            if not word.isascii():
+                word = word.translate(_VISIBLE)
+            ids = [t.id for t in self.model.tokenize(_VISIBLE[32] + word if blank and self.keeps_blanks else word)]
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return array("I", ids).tobytes()
