@@ -44,14 +44,14 @@ class _Irregular(Exception):
 class _Pieces(dict):
     """Ids by piece. before: what the library gets in front of a piece (None: raw pieces with their own blanks)."""
 
-    def __init__(self, encode, before: str | None, remembered: int, fold: bool = False) -> None:
+    def __init__(self, encode, word, before: str | None, remembered: int, fold: bool = False) -> None:
         super().__init__()
-        self.encode, self.before, self.remembered, self.fold, self.old, self.bare = encode, before, remembered, fold, {}, self
+        self.encode, self.word, self.before, self.remembered, self.fold, self.old, self.bare = encode, word, before, remembered, fold, {}, self
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            ids = self._found(piece)
+            ids = self.word((self.before or "") + piece) if piece.isascii() and piece.isalpha() and not self.fold else self._found(piece)
         if len(piece) <= LONGEST:
             if len(self) >= self.remembered:
                 self.old = dict(self)
@@ -88,24 +88,27 @@ class PieceEncoder:
         self.model = self.tokenizer.model
         kind = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["type"]
         self.keeps_blanks = kind == "ByteLevel"
-        self.first = _Pieces(self._library, "", remembered)
-        self.later = _Pieces(self._library, " ", remembered)
+        self.four = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
+        self.first = _Pieces(self._library, self._word, "", remembered)
+        self.later = _Pieces(self._library, self._word, " ", remembered)
         self.later.bare = self.first
-        self.raw = _Pieces(self._library, None, remembered, fold=not self.keeps_blanks)
+        self.raw = _Pieces(self._library, self._word, None, remembered, fold=not self.keeps_blanks)
         self.texts, self.whole = 0, False
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a single pretoken of letters up to U+00FF, which may follow a blank, from the library's model."""
+        if not self.keeps_blanks:
+            word = word.strip(" ").lower()
+        elif word[0] == " ":
+            word = _VISIBLE[32] + (word[1:] if word.isascii() else word[1:].translate(_VISIBLE))
+            return b"".join([self.four[t.id] for t in self.model.tokenize(word)])
+        return b"".join([self.four[t.id] for t in self.model.tokenize(word if word.isascii() else word.translate(_VISIBLE))])
+
     def _library(self, text: str) -> bytes:
-        blank = text[:1] == " "
-        word = text[1:] if blank else text
-        if word.isalpha() and (word.isascii() or max(word) <= "\xff"):  # one pretoken, to which the library's model can go straight
-            if not self.keeps_blanks:
-                word = word.lower()
-            if not word.isascii():
-                word = word.translate(_VISIBLE)
-            ids = [t.id for t in self.model.tokenize(_VISIBLE[32] + word if blank and self.keeps_blanks else word)]
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return array("I", ids).tobytes()
+        word = text[1:] if text[:1] == " " else text
+        if word.isalpha() and (word.isascii() or max(word) <= "\xff"):
+            return self._word(text)
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         self.texts += 1
