@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 #: The stable codes. Those of opening archives, running templates and loading models (DATASET_MISSING,
-#: DATASET_ARCHIVE_UNREADABLE, DATASET_CHAT_TEMPLATE_MISSING, CONFIG_INVALID_JSON, CONFIG_METHOD_UNSUPPORTED,
-#: ARTIFACT_VERIFICATION_FAILED) are names for callers; the engine's operators give the others.
+#: DATASET_ARCHIVE_UNREADABLE, DATASET_CHAT_TEMPLATE_MISSING, CONFIG_INVALID_JSON, CONFIG_METHOD_UNSUPPORTED) are names
+#: for callers; the engine's operators give the others.
 DATASET_CODES = [
     "DATASET_MISSING",
     "DATASET_ARCHIVE_UNREADABLE",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .functions import text
 from .operators import integrity, masking, report, tokens
+from .plans import evaluation, profiles
 from .queries import _CONV, _HASH, _table, conversations, query
 from .sources import datasets, files, jsonl
 from .storage import shared_path
@@ -130,3 +131,44 @@ def masked_public(spark, sf_dir):
     got = masking.masked_examples(convs, F.col("messages"), text.chat_text(F.col("messages")), "<|im_end|>", masking.from_file(path), 2048, ["conv_id"])
     shown = lambda c: F.md5(F.array_join(c, ","))
     return got.select("conv_id", "n_tokens", F.coalesce("code", F.lit("ok")).alias("code"), shown("input_ids").alias("ids"), shown("labels").alias("labels"))
+
+
+_SNAPSHOT = r"""SELECT p_partkey AS k, CASE p_partkey % 9 WHEN 1 THEN '../' || p_partkey WHEN 2 THEN 'a' || chr(92) || p_partkey WHEN 4 THEN 'd//' || p_partkey ELSE 'w/' || p_partkey || '.safetensors' END AS path, p_size AS size, p_name AS name FROM part"""
+
+
+@query(f"""WITH b AS MATERIALIZED (SELECT *, k % 13 <> 0 AS listed, k % 8 <> 0 AS there, k % 9 IN (1, 2, 4) AS unsafe, k % 11 = 0 AS link FROM ({_SNAPSHOT})),
+r AS (SELECT * FROM b WHERE listed AND there AND NOT unsafe AND NOT link)
+SELECT path, problem, count(*) AS n FROM (
+SELECT path, 'repeated' AS problem FROM b WHERE listed AND k % 10 = 3
+UNION ALL SELECT path, CASE WHEN unsafe THEN 'unsafe path' WHEN there THEN 'symlink' ELSE 'missing' END FROM b WHERE listed AND (unsafe OR NOT there OR link)
+UNION ALL SELECT path, 'size' FROM r WHERE k % 7 = 0 UNION ALL SELECT path, 'sha256' FROM r WHERE k % 5 = 0
+UNION ALL SELECT path, 'unlisted' FROM b WHERE there AND NOT (listed AND NOT unsafe AND NOT link)
+UNION ALL SELECT '(whole)', 'total' FROM (SELECT coalesce(sum(CASE WHEN k % 10 = 3 THEN 2 ELSE 1 END * (size + CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END)), 0) AS t FROM r) WHERE t <> (SELECT sum(size) FROM b WHERE listed)
+UNION ALL SELECT '(whole)', 'no needed file' WHERE NOT EXISTS (SELECT 1 FROM r WHERE path LIKE '%.safetensors')) GROUP BY ALL""")
+def snapshot_check(spark, sf_dir):
+    """Parts as files of a snapshot: some listed twice, under names that aren't safe, changed, gone, linked or unlisted."""
+    parts = spark.sql(_SNAPSHOT.replace("FROM part", "FROM {part}"), part=_table(spark, sf_dir, "part"))
+    k, digest = F.col("k"), F.sha2("name", 256)
+    listed = parts.filter(k % 13 != 0)
+    listed = listed.unionByName(listed.filter(k % 10 == 3))
+    disk = parts.filter(k % 8 != 0).select("path", (F.col("size") + F.when(k % 7 == 0, 1).otherwise(0)).alias("size"), F.when(k % 5 == 0, F.sha2("path", 256)).otherwise(digest).alias("sha256"), (k % 11 == 0).alias("link"))
+    total = parts.filter(k % 13 != 0).agg(F.sum("size")).first()[0]
+    found = integrity.snapshot_problems(listed.select("path", "size", digest.alias("sha256")), disk, total, ".safetensors")
+    return found.groupBy(F.coalesce("path", F.lit("(whole)")).alias("path"), "problem").agg(F.count("*").alias("n"))
+
+
+_J = "CAST(to_json({}) AS VARCHAR)".format
+
+
+@query(rf"""SELECT row_number() OVER (ORDER BY doc_id) AS line_no, sha256('{{"id": "' || doc_id || '", "label": ' || {_J("lang")} || ', "metadata": {{"category": "", "language": ' || {_J("lang")} || ', "topic": ' || {_J("source")} || '}}, "prompts": [{{"mcq": '
+|| {_J("text")} || ', "mcq_options": "A", "question": ' || {_J("source")} || '}}]}}') AS line FROM documents WHERE regexp_replace(coalesce(text, ''), '\s', '', 'g') <> ''""")
+def evaluation_corpus(spark, sf_dir):
+    """Documents with text as an evaluation corpus, built and written by the job, and its file's lines as read back."""
+    one = F.struct(F.col("text").alias("mcq"), F.lit("A").alias("mcq_options"), F.col("source").alias("question"))
+    about = F.struct(F.lit("").alias("category"), F.col("lang").alias("language"), F.col("source").alias("topic"))
+    docs = _table(spark, sf_dir, "documents").filter(~text.is_blank(F.col("text"))).select("doc_id", F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("label"), about.alias("metadata"), F.array(one).alias("prompts"))
+    sources = spark.createDataFrame([("held", True, ["evaluation_only"], "a" * 40)], "source_id string, enabled boolean, intended_use array<string>, revision string")
+    path = shared_path(spark, "corpus")
+    evaluation.build(docs, sources, profiles.Profile("held", "full", "evaluation", ("id", "label", "prompts", "metadata"), "a" * 40, strategy="all"), path, "doc_id")
+    got = jsonl.read_bounded(spark, f"{path}/{evaluation.SPLIT}", 1 << 30)
+    return got.select("line_no", F.sha2("value", 256).alias("line"))

@@ -38,6 +38,30 @@ def manifest_diff(manifest: DataFrame, disk: DataFrame) -> DataFrame:
     return both.select(F.coalesce("m.path", "d.path").alias("path"), problem.alias("problem")).filter("problem is not null")
 
 
+def snapshot_problems(listed: DataFrame, disk: DataFrame, total: int | Column | None, needed: str) -> DataFrame:
+    """All problems (path, problem) of a manifest's files (path, size, sha256) against a folder (path, size, sha256, link).
+
+    Of a listed path the first of: no path, unsafe path (a backslash, a colon, an absolute one, one with empty, dot or
+    double-dot parts), symlink, missing; else size and sha256, each that differs. A path listed twice or more is repeated. A
+    path of the folder is unlisted unless the manifest lists it and it can be read. Without a path: total, where the sizes
+    found of all listed rows that can be read aren't the manifest's total, and no needed file, where none of them has the
+    ending. Both sides are one row a path before they meet, so that a repeated path costs no more than one."""
+    m = listed.groupBy("path").agg(F.count("*").alias("n"), F.collect_set(F.struct("size", "sha256")).alias("said")).alias("m")
+    d = disk.groupBy("path").agg(F.min("size").alias("size"), F.min("sha256").alias("sha256"), F.max("link").alias("link"), F.lit(True).alias("there")).alias("d")
+    path = F.col("m.path")
+    unsafe = path.rlike(r"[\\\\:]") | F.exists(F.split(path, "/"), lambda p: p.isin("", ".", ".."))
+    broken = F.when(F.coalesce(path, F.lit("")) == "", "no path").when(unsafe, "unsafe path").when(F.col("d.link"), "symlink").when(F.col("d.there").isNull(), "missing")
+    differs = lambda f: F.when(F.exists("m.said", lambda s: ~s[f].eqNullSafe(F.col(f"d.{f}"))), f)
+    read = F.col("m.n").isNotNull() & broken.isNull()
+    several = F.array(F.when(F.col("m.n") > 1, "repeated"), F.when(F.col("m.n").isNotNull(), broken), F.when(read, differs("size")), F.when(read, differs("sha256")), F.when(F.col("d.there") & ~read, "unlisted"))
+    both = m.join(d, path.eqNullSafe(F.col("d.path")), "full_outer").select(F.coalesce("m.path", "d.path").alias("path"), F.array_compact(several).alias("problems"), read.alias("read"), (F.col("d.size") * F.col("m.n")).alias("bytes"))
+    each = both.select("path", F.explode("problems").alias("problem"))
+    sums = both.filter("read").agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.count_if(F.col("path").endswith(needed)).alias("needed"))
+    said = total if isinstance(total, Column) else F.lit(total).cast("long")
+    whole = F.array_compact(F.array(F.when(~F.col("bytes").eqNullSafe(said), "total"), F.when(F.col("needed") == 0, "no needed file")))
+    return each.unionByName(sums.select(F.lit(None).cast("string").alias("path"), F.explode(whole).alias("problem")))
+
+
 def approval_diff(approved: DataFrame, built: DataFrame) -> DataFrame:
     """Problems by split between an approval and a build, both (split, examples, sha256)."""
     a, b = approved.alias("a"), built.alias("b")

@@ -116,15 +116,17 @@ def may_commit_rows(redistribution: Column, gated: Column) -> Column:
     return redistribution.isin("yes", "share_alike") & ~gated
 
 
-def source_gate(requests: DataFrame, sources: DataFrame) -> DataFrame:
+def source_gate(requests: DataFrame, sources: DataFrame, evaluation: bool = False) -> DataFrame:
     """requests (source_id, ...) with the first gate that their source fails, or ok: unknown, disabled, evaluation only, unpinned.
+    For evaluation the third is "not evaluation only" instead: a source is of use for one of the two alone.
 
     sources: source_id, enabled, intended_use (array), revision, and whatever else a registry holds; a repeated source_id is
     refused."""
     s = unique(sources, "source_id").select("source_id", F.lit(True).alias("_there"), "enabled", "intended_use", "revision")
+    held_out = F.array_contains(F.coalesce("intended_use", F.array()), "evaluation_only")
     gate = (
         F.when(F.col("_there").isNull(), "unknown").when(~F.coalesce("enabled", F.lit(False)), "disabled")
-        .when(F.array_contains(F.coalesce("intended_use", F.array()), "evaluation_only"), "evaluation only")
+        .when(~held_out if evaluation else held_out, "not evaluation only" if evaluation else "evaluation only")
         .when(~F.coalesce(F.col("revision").rlike("^[0-9a-f]{40}$"), F.lit(False)), "unpinned").otherwise("ok")
     )
     return requests.join(s, "source_id", "left").withColumn("gate", gate).drop("_there", "enabled", "intended_use", "revision")

@@ -122,13 +122,17 @@ def disjoint_files(approved: dict[str, DataFrame]) -> DataFrame:
     return checks.leakage(short, "profile", "fp")
 
 
+_REGISTRY = "source_id string, enabled boolean, intended_use array<string>, revision string, tier int"
+
+
 def main(argv: list[str] | None = None) -> int:
     """build, verify or approve a profile of a Parquet source, show that approvals share no rows, check and package a dataset
-    folder, or list the sources of a registry (JSON lines), from the command line; prints a JSON document, returns 1 for problems."""
+    folder, list the sources of a registry (JSON lines), or build an evaluation corpus, from the command line; prints a JSON document, returns 1 for problems."""
     parser = argparse.ArgumentParser(prog="quillspark")
-    parser.add_argument("command", choices=["build", "verify", "approve", "disjoint", "package", "list"])
+    parser.add_argument("command", choices=["build", "verify", "approve", "disjoint", "package", "list", "evaluate"])
     parser.add_argument("source", nargs="+", help="the source; for disjoint name=folder of each approval's fingerprints")
     parser.add_argument("--vocabulary", help="tokenizers file that package counts tokens by; white space without one")
+    parser.add_argument("--registry", help="JSON lines of the sources that evaluate looks its own up in")
     parser.add_argument("--profile", help="JSON of a profile's fields")
     parser.add_argument("--order", default="source_index")
     parser.add_argument("--out", help="folder for canonical JSONL, or for an approval's fingerprints")
@@ -143,6 +147,8 @@ def main(argv: list[str] | None = None) -> int:
         parser.error(f"{args.command} takes one source" + ("" if alone else " and a profile"))
     if args.command == "package" and not args.out:
         parser.error("package takes a folder to write to")
+    if args.command == "evaluate" and not (args.out and args.registry):
+        parser.error("evaluate takes a registry and a folder to write to")
     if args.command == "approve" and not args.date or args.command == "verify" and not args.approval:
         parser.error("approve takes a date, verify an approval")
     spark = SparkSession.builder.getOrCreate()
@@ -160,11 +166,25 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(made, sort_keys=True))
         return 0
     if args.command == "list":
-        sources = spark.read.schema("source_id string, enabled boolean, intended_use array<string>, revision string, tier int").json(args.source[0])
+        sources = spark.read.schema(_REGISTRY).json(args.source[0])
         print(json.dumps([r.asDict() for r in package.listing(sources).collect()]))  # one row a source
         return 0
     fields = json.loads(args.profile)
     profile = Profile(**{k: tuple(v) if isinstance(v, list) else v for k, v in fields.items()})
+    if args.command == "evaluate":
+        from . import evaluation
+
+        approved = None
+        if args.approval:
+            with open(args.approval, encoding="utf-8") as f:
+                approved = json.load(f)
+        try:
+            made = evaluation.build(spark.read.parquet(args.source[0]), spark.read.schema(_REGISTRY).json(args.registry), profile, args.out, args.order, approved)
+        except Refused as refused:
+            print(json.dumps({"successful": False, "code": refused.code, "details": refused.details}))
+            return 1
+        print(json.dumps(made, sort_keys=True))
+        return int(bool(made["problems"]))
     try:
         built = build(spark.read.parquet(args.source[0]), profile, args.order)
         made = manifest(built, profile)

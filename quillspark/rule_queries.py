@@ -115,10 +115,21 @@ _LAYOUTS = {
     "lines": "SELECT source || '/' || doc_id || '.webp' AS path FROM documents UNION ALL SELECT 'train.jsonl'",
     "few": "SELECT 'images/' || doc_id || '.jpg' AS path FROM documents WHERE doc_id < 2 UNION ALL SELECT 'a/b.txt'",
 }
-_TASKS = {"pairs": "image segmentation", "notes": "object detection", "classes": "image classification", "lines": None, "few": None}
-
-
-@query(" UNION ALL ".join(f"SELECT '{k}' AS listing, count(*) AS files, {repr(_TASKS[k]) if _TASKS[k] else repr('none')} AS task FROM ({v})" for k, v in _LAYOUTS.items()))
+#: The rules of a layout over all listings at once, the task worked out from each one's files.
+_LAYOUT_SQL = rf"""WITH f AS ({" UNION ALL ".join(f"SELECT '{k}' AS listing, path FROM ({v})" for k, v in _LAYOUTS.items())}),
+p AS MATERIALIZED (SELECT listing, path, CASE WHEN contains(path, '/') THEN split_part(path, '/', 1) END AS dir, lower(regexp_extract(path, '\.([^./]+)$', 1)) AS suffix, regexp_extract(path, '([^/]*?)(\.[^./]*)?$', 1) AS stem FROM f WHERE NOT list_has_any(string_split(path, '/'), {integrity.IGNORED_DIRS})),
+k AS MATERIALIZED (SELECT *, list_contains({integrity.IMAGE_SUFFIXES}, suffix) AS image, list_contains({integrity.ANNOTATION_SUFFIXES}, suffix) AS note FROM p),
+d AS MATERIALIZED (SELECT listing, dir, count(*) FILTER (image) AS images, count(*) FILTER (note) AS notes FROM k WHERE dir IS NOT NULL GROUP BY ALL),
+s AS MATERIALIZED (SELECT listing, min(dir) FILTER (images > 0 AND list_contains({integrity.IMAGE_DIRS}, lower(dir))) AS image_dir, min(dir) FILTER (images > 0 AND list_contains({integrity.MASK_DIRS}, lower(dir))) AS mask_dir,
+  min_by(notes >= images, dir) FILTER (notes > 0 AND list_contains({integrity.ANNOTATION_DIRS}, lower(dir))) AS noted, count(*) FILTER (images > 0 AND notes = 0) AS classes FROM d GROUP BY listing),
+w AS (SELECT listing, count(*) FILTER (image) AS images, count(*) FILTER (suffix = 'jsonl') AS lines, count(*) FILTER (dir IS NULL AND NOT image AND NOT list_contains({integrity.TOP_FILES}, path)) AS top FROM k GROUP BY listing),
+m AS (SELECT a.listing, count(DISTINCT a.stem) AS paired FROM k a JOIN s ON s.listing = a.listing AND a.dir = s.image_dir JOIN k b ON b.listing = a.listing AND b.dir = s.mask_dir AND b.stem = a.stem WHERE a.image AND b.image GROUP BY a.listing)
+SELECT listing, (SELECT count(*) FROM f WHERE f.listing = s.listing) AS files, CASE WHEN lines > 0 THEN 'none' WHEN coalesce(paired, 0) >= {integrity.LEAST_IMAGES} THEN 'image segmentation'
+WHEN image_dir IS NOT NULL AND noted AND images >= {integrity.LEAST_IMAGES} THEN 'object detection' WHEN images >= {integrity.LEAST_IMAGES} AND classes >= {integrity.LEAST_CLASSES} AND top = 0 THEN 'image classification' ELSE 'none' END AS task
+FROM s JOIN w USING (listing) LEFT JOIN m USING (listing)"""
+
+
+@query(_LAYOUT_SQL)
 def layout_tasks(spark, sf_dir):
     """Listings made from the documents' ids, and the task that each has the layout of."""
     out = None
@@ -137,10 +148,17 @@ _SPLITS = {
     "big": "SELECT 'train.jsonl' AS path, 536870912 + count(*) AS size FROM documents",
     "total": "SELECT 'train.jsonl' AS path, 536870912 AS size FROM documents WHERE n_chars >= 0 GROUP BY 2 UNION ALL SELECT 'test.jsonl', 536870912 UNION ALL SELECT 'validation.jsonl', max(n_chars) FROM documents",
 }
-_SPLIT_CODES = {"fine": ("ok", ""), "stray": ("DATASET_SPLIT_AMBIGUOUS", "test"), "two": ("DATASET_SPLIT_AMBIGUOUS", "validation"), "missing": ("DATASET_SPLIT_MISSING", "train"), "big": ("DATASET_SPLIT_TOO_LARGE", "train"), "total": ("DATASET_SPLIT_TOO_LARGE", "")}
+_SPLIT_NAMES = ", ".join(f"('{f}', '{split}')" for split, fs in datasets.SPLIT_FILES.items() for f in fs)
 
 
-@query(" UNION ALL ".join(f"SELECT '{k}' AS listing, CAST(sum(size) AS BIGINT) AS bytes, '{_SPLIT_CODES[k][0]}' AS code, '{_SPLIT_CODES[k][1]}' AS split FROM ({v})" for k, v in _SPLITS.items()))
+@query(rf"""WITH f AS MATERIALIZED ({" UNION ALL ".join(f"SELECT '{k}' AS listing, path, size FROM ({v})" for k, v in _SPLITS.items())}), names(file, split) AS (VALUES {_SPLIT_NAMES}),
+s AS MATERIALIZED (SELECT listing, split, contains(path, '/') AS deep, size FROM f JOIN names ON regexp_extract(path, '[^/]*$') = file WHERE NOT list_has_any(string_split(path, '/'), {list(datasets.IGNORED)})),
+b AS (SELECT listing, split, bool_or(deep) AS stray, count(*) FILTER (NOT deep) AS n, sum(size) FILTER (NOT deep) AS bytes FROM s GROUP BY ALL),
+r AS (SELECT listing, 1 AS rule, min(split) AS split, 'DATASET_SPLIT_AMBIGUOUS' AS code FROM b WHERE stray GROUP BY listing UNION ALL SELECT listing, 2, min(split), 'DATASET_SPLIT_AMBIGUOUS' FROM b WHERE n > 1 GROUP BY listing
+UNION ALL SELECT DISTINCT listing, 3, 'train', 'DATASET_SPLIT_MISSING' FROM f WHERE listing NOT IN (SELECT listing FROM b WHERE split = 'train' AND n > 0)
+UNION ALL SELECT listing, 4, min(split), 'DATASET_SPLIT_TOO_LARGE' FROM b WHERE bytes > {datasets.MAX_SPLIT_BYTES} GROUP BY listing UNION ALL SELECT listing, 5, '', 'DATASET_SPLIT_TOO_LARGE' FROM b GROUP BY listing HAVING sum(bytes) > {datasets.MAX_DATASET_BYTES}),
+o AS (SELECT listing, min_by(code, rule) AS code, min_by(split, rule) AS split FROM r GROUP BY listing)
+SELECT listing, CAST(sum(size) AS BIGINT) AS bytes, coalesce(any_value(code), 'ok') AS code, coalesce(any_value(o.split), '') AS split FROM f LEFT JOIN o USING (listing) GROUP BY listing""")
 def split_listings(spark, sf_dir):
     """Listings of split files sized by the documents, and the first rule that each breaks."""
     out = None

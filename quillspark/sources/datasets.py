@@ -67,11 +67,29 @@ def split_paths(spark: SparkSession, folder: str) -> dict[str, str]:
     return {s: r["full"] for s, fs in SPLIT_FILES.items() for r in rows if r["path"] in fs}
 
 
+def _spaced(**fields: F.Column) -> F.Column:
+    """A JSON object of JSON texts, keys sorted, a blank after each comma and colon."""
+    return F.concat(F.lit("{"), F.concat_ws(", ", *(F.concat(F.lit(f'"{k}": '), fields[k]) for k in sorted(fields))), F.lit("}"))
+
+
+def _text(c: F.Column) -> F.Column:
+    return F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)
+
+
+def _list(items: F.Column) -> F.Column:
+    return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+
+
 def spaced_json(messages) -> F.Column:
     """The record's JSON line as the canonical files have it: sorted keys, a blank after each comma and colon outside strings."""
-    text = lambda c: F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)
-    item = F.transform(messages, lambda m: F.concat(F.lit('{"content": '), text(m["content"]), F.lit(', "role": '), text(m["role"]), F.lit("}")))
-    return F.concat(F.lit('{"messages": ['), F.array_join(item, ", "), F.lit("]}"))
+    return _spaced(messages=_list(F.transform(messages, lambda m: _spaced(content=_text(m["content"]), role=_text(m["role"])))))
+
+
+def spaced_evaluation() -> F.Column:
+    """As spaced_json, of an evaluation record's columns id, label, prompts and metadata; fields of other names are left out."""
+    some = lambda of, *names: _spaced(**{n: _text(of[n]) for n in names})
+    prompts = _list(F.transform("prompts", lambda p: some(p, "question", "mcq_options", "mcq")))
+    return _spaced(id=_text(F.col("id")), label=_text(F.col("label")), metadata=some(F.col("metadata"), "language", "category", "topic"), prompts=prompts)
 
 
 def write_canonical(df: DataFrame, path: str, order: str = "source_index", messages: str = "messages") -> None:

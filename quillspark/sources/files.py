@@ -17,8 +17,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -39,15 +40,25 @@ def opened(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
-def listed(path: str) -> list[tuple[str, int]]:
-    """(path, size) of a file, or of the files below a folder in order of their paths, without those that begin with _ or a dot."""
+def listed(path: str, hidden: bool = False) -> list[tuple[str, int]]:
+    """(path, size) of a file, or of the files below a folder in order of their paths, without those that begin with _ or a dot
+    unless hidden."""
     store, where = opened(path)
     prefix = path[: path.index("://") + 3] if "://" in path and not path.startswith("file:") else ""
     info = store.get_file_info(where)
     if info.type == fs.FileType.File:
         return [(prefix + info.path, info.size)]
     found = store.get_file_info(fs.FileSelector(where, recursive=True))
-    return sorted((prefix + f.path, f.size) for f in found if f.type == fs.FileType.File and f.base_name[0] not in "_.")
+    return sorted((prefix + f.path, f.size) for f in found if f.type == fs.FileType.File and (hidden or f.base_name[0] not in "_."))
+
+
+def links(path: str) -> list[str]:
+    """Names below a folder that are symbolic links, to files or folders, in order; other stores than local ones have none."""
+    store, where = opened(path)
+    if not isinstance(store, fs.LocalFileSystem):
+        return []
+    root = where.rstrip("/")
+    return sorted(f"{at}/{name}"[len(root) + 1 :] for at, folders, names in os.walk(root) for name in folders + names if os.path.islink(f"{at}/{name}"))
 
 
 @dataclass
@@ -157,12 +168,14 @@ class Files(InputPartition):
 
 class _DigestReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
-        self.path, self.kind = options["path"], options.get("kind", "file")
+        self.path, self.kind, self.hidden = options["path"], options.get("kind", "file"), options.get("hidden") == "true"
+        self.skipped = set(json.loads(options.get("skipped", "[]")))
 
     def partitions(self) -> list[Files]:
-        files = [f for f, _ in listed(self.path)]
         root = opened(self.path)[1].rstrip("/") + "/"
         below = lambda f: f.split(root, 1)[-1]
+        above = lambda f: {f} | {f[:i] for i, c in enumerate(f) if c == "/"}
+        files = [f for f, _ in listed(self.path, self.hidden) if not self.skipped or not above(below(f)) & self.skipped]
         if self.kind == "tree":
             return [Files(self.path, sorted(files, key=below), root)]
         if self.kind == "folder":
@@ -192,7 +205,8 @@ class _DigestReader(DataSourceReader):
 
 class FileDigests(DataSource):
     """Rows (name, files, bytes, lines, sha256). Option kind: file (one row each), folder (a folder's files in order of their
-    paths, as one), tree (one row for the folder: each path below it, a zero byte, its content, a zero byte)."""
+    paths, as one), tree (one row for the folder: each path below it, a zero byte, its content, a zero byte). Option hidden: files that begin with _ or a dot too. Option skipped: JSON list of names, of
+    files or folders below the path, that aren't read."""
 
     @classmethod
     def name(cls) -> str:
@@ -205,10 +219,10 @@ class FileDigests(DataSource):
         return _DigestReader({k.lower(): v for k, v in self.options.items()})
 
 
-def digests(spark: SparkSession, path: str, kind: str = "file") -> DataFrame:
+def digests(spark: SparkSession, path: str, kind: str = "file", hidden: bool = False, skipped: Sequence[str] = ()) -> DataFrame:
     """Sizes and SHA-256 of the files below path, read back by one task a file (or folder, or tree) in constant memory."""
     spark.dataSource.register(FileDigests)
-    return spark.read.format("file_digests").option("path", path).option("kind", kind).load()
+    return spark.read.format("file_digests").option("path", path).option("kind", kind).option("hidden", hidden).option("skipped", json.dumps(list(skipped))).load()
 
 
 @dataclass
