@@ -12,7 +12,8 @@ index is sent to the executors; each block reads the documents once. No document
 
 Defined results: null or blank texts and items match nothing; a text shorter than an item is one window; of equally
 similar windows the first counts; rows that share a doc_id give rows each, items that share an item_id or are repeated
-too; a null item_id stays null; empty tables give no rows.
+too; a null item_id or doc_id stays null; other columns aren't looked at (without_leaks keeps them);
+empty tables give no rows.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ most REACH frames later. A pair is stored as its time code (frame of the first p
 the frames between.
 
 Defined results: a null text is empty; empty text is one UNIT of blanks; equal texts get equal values; repeated
-rows stay; an empty table gives no rows.
+rows stay, a null doc_id stays null; other columns are not looked at; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -7,7 +7,7 @@ rest. Documents and rests go, in descending length, to the lowest-cost sequence
 holds them whole; where none does, to the lowest-cost sequences with room, cut to fit. No token is lost.
 
 Defined results: a null text is empty and has the end id only; rows that share a doc_id are packed
-separately; an empty table gives no rows.
+separately, those without one too; other columns are not looked at; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ Offsets come from the texts between matches: what split() leaves and regexp_extr
 The patterns are written so that each takes linear time and finds what the plain pattern finds.
 
 Defined results: a null text is empty and has no spans; without candidates the classifier takes none; spans of the
-classifier that overlap a base span are dropped; offsets are code points, the end exclusive; repeated rows stay.
+classifier that overlap a base span are dropped; offsets are code points, the end exclusive; repeated rows stay, a null
+doc_id stays null; other columns are not looked at (redacted keeps them).
 """
 
 from __future__ import annotations

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import wave
 import io
 import zlib
@@ -46,3 +47,30 @@ def test_a_cut_out_keeps_its_pairs():
     t2, h2 = media.fingerprints(sound[96 * 40 :])
     both = set(zip(t.tolist(), h.tolist())) & {(a + 40, b) for a, b in zip(t2.tolist(), h2.tolist())}
     assert len(both) > 0.5 * len(t2)
+
+
+def plain_pairs(payload):
+    """The fingerprint's rule by sums of sines and cosines in double precision, frame by frame."""
+    x = [b - 128.0 for b in payload] + [0.0] * (media.UNIT // 2)
+    turn = 2 * math.pi / media.UNIT
+    window = [0.5 - 0.5 * math.cos(turn * i) for i in range(media.UNIT)]
+    tops, bins = [], []
+    for start in range(0, len(x) - media.UNIT + 1, media.UNIT // 2):
+        frame = [a * w for a, w in zip(x[start : start + media.UNIT], window)]
+        power = [math.hypot(sum(v * math.cos(turn * k * i) for i, v in enumerate(frame)), sum(v * math.sin(turn * k * i) for i, v in enumerate(frame))) for k in range(media.UNIT // 2 + 1)]
+        best = [max(range(a, b), key=lambda k: power[k]) for a, b in media.BANDS]
+        bins.append(best)
+        tops.append([power[k] for k in best])
+    mean = [sum(t[j] for t in tops) / len(tops) for j in range(len(media.BANDS))]
+    peaks = [(f, bins[f][j]) for f, t in enumerate(tops) for j in range(len(media.BANDS)) if t[j] > mean[j] and t[j] >= max(o[j] for o in tops[max(0, f - media.NEAR) : f + media.NEAR + 1])]
+    pairs = [(f, (a << 14) | (b << 7) | (g - f)) for i, (f, a) in enumerate(peaks) for g, b in peaks[i + 1 : i + 1 + media.FAN] if g - f <= media.REACH]
+    return sorted(pairs)
+
+
+def test_fingerprints_of_texts_against_a_plain_transform(spark):
+    texts = [prose(seed, 60 + 40 * seed) for seed in range(4)] + ["日本語 テキスト " * 30 + prose(9, 50)]
+    rows = {r["doc_id"]: r for r in media.with_fingerprints(media.with_media(documents(spark, texts))).collect()}
+    for i, t in enumerate(texts):
+        data = t.encode()
+        want = plain_pairs(data + b" " * (-len(data) % media.UNIT))
+        assert want and list(zip(rows[i]["times"], rows[i]["hashes"])) == want
