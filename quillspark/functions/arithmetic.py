@@ -78,8 +78,8 @@ def marked(pieces: Column, labels: Column) -> Column:
 
 
 def bytes_text(n: Column) -> Column:
-    """Bytes in the largest unit from B to PiB that leaves at least one, to two places, halves to the even digit."""
-    show = lambda i, unit: F.format_string(f"%.2f {unit}", F.bround(n / 1024**i, 2))
+    """Bytes, a long or a whole decimal, in the largest unit from B to PiB that leaves at least one, to two places, halves to the even digit."""
+    show = lambda i, unit: F.format_string(f"%.2f {unit}", F.bround(n.cast("double") / 1024**i, 2))
     out = F.when(n.isNull(), F.lit(None).cast("string"))
     for i, unit in enumerate(("B", "KiB", "MiB", "GiB", "TiB")):
         out = out.when(F.abs(n) < 1024 ** (i + 1), show(i, unit))

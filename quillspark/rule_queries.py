@@ -102,7 +102,7 @@ def model_rules(spark, sf_dir):
     channels = [F.when(k % 6 == 0, "m1").when(k % 6 == 4, "m3").otherwise(""), F.when(k % 6 < 3, " m1 "), F.when((k % 6 > 1) & (k % 6 < 5), F.when(k % 6 == 3, "m1").otherwise("m2"))]
     yes = F.when(k % 3 == 0, "yes").when(k % 3 == 1, "share_alike").otherwise("no")
     return _table(spark, sf_dir, "orders").select(
-        "o_orderkey", arithmetic.bytes_text(F.expr(_SIZE)).alias("size"), policy.measured_load_applies(k % 4, k % 8, F.when(k % 3 > 0, 6)).alias("applies"),
+        "o_orderkey", arithmetic.bytes_text(F.expr(_SIZE.replace("o_orderkey", "CAST(o_orderkey AS DECIMAL(38, 0))", 1))).alias("size"), policy.measured_load_applies(k % 4, k % 8, F.when(k % 3 > 0, 6)).alias("applies"),
         policy.default_method(F.when(k % 2 == 0, F.array(F.lit("qlora"), F.lit("lora"))).otherwise(F.array(F.lit("qlora")))).alias("method"), policy.may_commit_rows(yes, k % 5 == 0).alias("committable"),
         F.coalesce(policy.agreement_code(channels), policy.agreed(channels)).alias("selected"), policy.license_notice(F.when(k % 4 == 0, " Llama3.2").otherwise("mit"), F.concat(F.lit("m"), "o_custkey")).alias("notice"),
     )

@@ -4,6 +4,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from quillspark import rule_queries
 from quillspark.functions import arithmetic, text
 from quillspark.operators import integrity, measurements, policy, registration, scoring, tokens
 from quillspark.sources import adapters
@@ -255,3 +256,10 @@ def test_measurements(spark):
     assert {tuple(r) for r in measurements.measured_models(runs).collect()} == {("a", True), ("b", True), ("c", False)}
     points = spark.createDataFrame([("x", 100, 10, 1000), ("x", 400, 10, 1600), ("y", 5, 1, 9), ("y", 0, 0, 3)], "shape string, file_bytes long, examples long, ingest_bytes long")
     assert {tuple(r) for r in measurements.shape_fit(points, "shape").collect()} == {("x", 2.0, 80.0), ("y", None, None)}
+
+
+def test_model_rules_sizes_beyond_a_long(spark, tmp_path):
+    keys = [149_999, 211_400, 899_999, 9_000_000]  # from the second on the bytes are more than a long holds
+    spark.createDataFrame([(k, k % 100) for k in keys], "o_orderkey long, o_custkey long").coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    got = {r["o_orderkey"]: r["size"] for r in rule_queries.model_rules(spark, str(tmp_path)).collect()}
+    assert got == {k: f"{float(k**3 * 977) / 1024**5:.2f} PiB" for k in keys}
