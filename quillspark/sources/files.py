@@ -2,7 +2,8 @@
 
 Sources open files by URI through pyarrow's file systems; a plain path is a local or mounted one.
 
-bounded_lines: partitions are byte ranges; a line belongs to the range in which it begins. A range is read in chunks, and a
+bounded_lines: partitions are neighbouring byte ranges of PACK bytes together, or one larger range, so that small ranges don't
+make a task each; a line belongs to the range in which it begins. A range is read in chunks, and a
 line is given up as soon as it passes the bound, so that a worker holds one chunk and one line of at most max_bytes. Of a line
 over the bound only its place and its size so far are given, as soon as that is known, and what follows is skipped.
 
@@ -28,8 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-#: Bytes read at once, in a range, and in a batch of lines.
-CHUNK, RANGE, BATCH = 1 << 20, 64 << 20, 4 << 20
+#: Bytes read at once, in a range, in a batch of lines, and in the ranges that one task reads.
+CHUNK, RANGE, BATCH, PACK = 1 << 20, 64 << 20, 4 << 20, 8 << 20
 MANIFEST = "_manifest.json"
 
 
@@ -79,6 +80,25 @@ def ranges(path: str, size: int = RANGE) -> list[Range]:
     return out
 
 
+@dataclass
+class Pack(InputPartition):
+    """Neighbouring ranges that one task reads in order."""
+
+    ranges: list[Range]
+
+
+def packed(some: list[Range], limit: int = PACK) -> list[Pack]:
+    """Ranges in order as packs of at most limit bytes, or one larger range."""
+    out, size = [], 0
+    for r in some:
+        if not out or size + r.end - r.start > limit:
+            out.append(Pack([]))
+            size = 0
+        out[-1].ranges.append(r)
+        size += r.end - r.start
+    return out
+
+
 def lines_of(part: Range, max_bytes: int, chunk: int = CHUNK) -> Iterator[tuple[int, bytes | None, int]]:
     """(place, line, size) of the lines that begin in a range; line is None and size what was seen so far beyond max_bytes."""
     store, where = opened(part.path)
@@ -123,17 +143,18 @@ class _LineReader(DataSourceReader):
         self.size, self.chunk = int(options.get("rangebytes", RANGE)), int(options.get("chunkbytes", CHUNK))
         self.first, self.last = int(options.get("first", 0)), int(options.get("last", 1 << 62))
 
-    def partitions(self) -> list[Range]:
-        return ranges(self.path, self.size)[self.first : self.last] or [Range(-1, "", 0, 0)]
+    def partitions(self) -> list[Pack]:
+        return packed(ranges(self.path, self.size)[self.first : self.last]) or [Pack([])]
 
-    def read(self, part: Range) -> Iterator[pa.RecordBatch]:
+    def read(self, part: Pack | Range) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
-        for place, line, n in lines_of(part, self.max_bytes, self.chunk) if part.path else ():
-            rows.append((part.number, place, line, n))
-            size += len(line or b"") + 64
-            if size >= BATCH:
-                yield self._batch(rows)
-                rows, size = [], 0
+        for one in part.ranges if isinstance(part, Pack) else [part]:
+            for place, line, n in lines_of(one, self.max_bytes, self.chunk):
+                rows.append((one.number, place, line, n))
+                size += len(line or b"") + 64
+                if size >= BATCH:
+                    yield self._batch(rows)
+                    rows, size = [], 0
         if rows:
             yield self._batch(rows)
 

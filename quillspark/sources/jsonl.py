@@ -151,7 +151,7 @@ def numbered(rows: DataFrame, counts: dict[int, int]) -> DataFrame:
         table.append((number, before))
         before += counts[number]
     offsets = rows.sparkSession.createDataFrame(table, "range long, _before long")
-    if len(table) <= 100_000:  # rows of two numbers: at most some 2 MB; beyond that Spark chooses
+    if len(table) <= 1 << 20:  # rows of two numbers: at most some 24 MB; beyond that Spark chooses
         offsets = F.broadcast(offsets)
     return rows.join(offsets, "range").withColumn("line_no", F.col("_before") + F.col("place") + 1).drop("_before")
 

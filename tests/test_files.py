@@ -195,3 +195,17 @@ def test_one_folder_of_many_files_is_few_rows(spark):
     df = spark.range(0, 20000, 1, 4).select(F.concat(F.lit("all/in/one/"), F.col("id").cast("string")).alias("path")).union(spark.sql("SELECT 'all/in'"))
     got = integrity.path_collisions(df, "path").collect()
     assert [(r["name"], r["problem"], r["files"], r["below"]) for r in got] == [("all/in", "file and folder", 1, 20000)]
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    (tmp_path / "t").write_bytes(b"".join(b"%d\n" % i for i in range(20_000)))
+    (tmp_path / "u").write_bytes(b"x" * 500 + b"\nlast")
+    for path, size in ((tmp_path / "t", 64), (tmp_path, 1 << 10)):
+        lines = jsonl.bounded_lines(spark, str(path), 400, size)
+        assert lines.rdd.getNumPartitions() == 1 < len(files.ranges(str(path), size))
+        want = b"".join((tmp_path / n).read_bytes() for n in ("t", "u")[: 1 + (path == tmp_path)]).split(b"\n")
+        want = want[:-1] if not want[-1] else want
+        got = sorted((r["line_no"], r["value"]) for r in jsonl.read_bounded(spark, str(path), 400, size).collect())
+        assert got == [(i + 1, None if len(w) > 400 else w) for i, w in enumerate(want)]
+    some = [files.Range(i, "f", 0, n) for i, n in enumerate([3, 3, 3, 20, 1, 9])]
+    assert [[r.number for r in p.ranges] for p in files.packed(some, 10)] == [[0, 1, 2], [3], [4, 5]]
