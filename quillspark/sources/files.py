@@ -29,6 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
+from ..storage import small_batches
+
 #: Bytes read at once, in a range, in a batch of lines, and in the ranges that one task reads.
 CHUNK, RANGE, BATCH, PACK = 1 << 20, 64 << 20, 4 << 20, 8 << 20
 MANIFEST = "_manifest.json"
@@ -313,7 +315,8 @@ def write_lines(lines: DataFrame, path: str, overwrite: bool = False) -> dict:
     """Write the one column of lines, whose partitions are in order, as a canonical file, and give its manifest."""
     spark = lines.sparkSession
     spark.dataSource.register(CanonicalJsonl)
-    lines.toDF("value").write.format("canonical_jsonl").option("path", path).mode("overwrite" if overwrite else "append").save()
+    with small_batches(spark):
+        lines.toDF("value").write.format("canonical_jsonl").option("path", path).mode("overwrite" if overwrite else "append").save()
     return committed(path)
 
 

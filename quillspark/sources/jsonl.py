@@ -16,10 +16,12 @@ from pyspark.sql.window import Window
 from ..codes import Refused
 from ..functions.text import MESSAGES, ROLES, family, messages_code
 from ..operators.digests import around_rank
-from ..storage import shared_path, stored
+from ..storage import shared_path, small_batches, stored
 from . import files
 
 MAX_LINE_BYTES = 4 << 20
+#: Bytes of lines that are parsed before their rows leave.
+SLICE = 1 << 20
 #: Names of the schema families (fixed values, as functions/text.family gives them).
 FAMILIES = ["conversational", "prompt_completion", "instruction"]
 
@@ -100,14 +102,22 @@ def parsed(lines: DataFrame, at: list[str], value: F.Column) -> DataFrame:
     """The columns at of lines with kind (big, blank, bad, record), family, messages, and code: that of the first rule which a line
     breaks by itself. value: its bytes, null for a line over the bound.
 
-    One Arrow function over batches; Spark's JSON functions accept text after a value and other things that the rules refuse."""
+    One Arrow function over batches, a few lines of SLICE bytes or one longer line at a time; Spark's JSON functions accept text after
+    a value and other things that the rules refuse."""
     rows = lines.select(*at, value.alias("_value"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_record(x) for x in batch.columns[-1].to_pylist()]
-            columns = [pa.array(c, f.type) for c, f in zip(zip(*found), _FOUND)] if found else [pa.array([], f.type) for f in _FOUND]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*batch.schema.names[:-1], *_FOUND.names])
+            begin = 0
+            while begin < batch.num_rows:
+                found, size = [], 0
+                while begin + len(found) < batch.num_rows and size < SLICE:
+                    raw = batch.columns[-1][begin + len(found)].as_py()
+                    found.append(_record(raw))
+                    size += len(raw or b"") + 64
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*found), _FOUND)]
+                yield pa.RecordBatch.from_arrays([*(c.slice(begin, len(found)) for c in batch.columns[:-1]), *columns], names=[*batch.schema.names[:-1], *_FOUND.names])
+                begin += len(found)
 
     ddl = T.StructType([*rows.schema.fields[:-1], *T.StructType.fromDDL("kind string, keys array<string>, code string, messages array<struct<role:string,content:string>>").fields])
     fam = F.when(F.col("kind") == "record", family(F.col("keys")))
@@ -123,7 +133,8 @@ def normalize(lines: DataFrame, max_examples: int | None = None) -> DataFrame:
     one, types and roles, assistant text, number of examples. A row with a code is no example. Lines are parsed once, into a
     table of the shared folder that the rules over many lines then read."""
     value = F.when(F.octet_length("value") <= MAX_LINE_BYTES, F.col("value").cast("binary"))
-    rows = stored(parsed(lines.filter("value is not null"), ["split", "line_no"], value).filter("kind <> 'blank'"), "parsed")
+    with small_batches(lines.sparkSession):
+        rows = stored(parsed(lines.filter("value is not null"), ["split", "line_no"], value).filter("kind <> 'blank'"), "parsed")
     firsts = rows.filter("family is not null").groupBy("split").agg(F.min_by("family", "line_no").alias("_first"))
     code = F.when(F.col("family") != F.col("_first"), "DATASET_SCHEMA_MIXED").otherwise(F.col("code"))
     out = rows.join(F.broadcast(firsts), "split", "left").select("split", "line_no", "family", "messages", code.alias("code"))  # firsts is one row a split
@@ -186,7 +197,8 @@ def load(spark: SparkSession, path: str, max_examples: int, max_bytes: int = MAX
     while at < total:
         last = min(total, at + step)
         lines = bounded_lines(spark, path, max_bytes, range_bytes, at, last)
-        parsed(lines, ["range", "place"], F.col("value")).write.parquet(f"{folder}/group={at}")
+        with small_batches(spark):
+            parsed(lines, ["range", "place"], F.col("value")).write.parquet(f"{folder}/group={at}")
         group = spark.read.parquet(f"{folder}/group={at}")
         own = F.min(F.when(F.col("code").isNotNull(), F.struct("place", "code"))).alias("own")
         seen = F.min_by(F.col("family"), F.when(F.col("family").isNotNull(), F.col("place"))).alias("family")

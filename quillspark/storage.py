@@ -3,9 +3,26 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of rows that a Python function or sink gets at once, beside one longer row.
+ARROW_BYTES = 4 << 20
+_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, limit: int = ARROW_BYTES) -> Iterator[None]:
+    """While a job runs, its Arrow batches are bounded by bytes, as Spark's bound on their rows leaves long ones as large as they are."""
+    old = spark.conf.get(_BYTES)
+    spark.conf.set(_BYTES, limit)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BYTES, old)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, set here only where it is unset in a local session."""
