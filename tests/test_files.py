@@ -209,3 +209,21 @@ def test_small_ranges_share_tasks(spark, tmp_path):
         assert got == [(i + 1, None if len(w) > 400 else w) for i, w in enumerate(want)]
     some = [files.Range(i, "f", 0, n) for i, n in enumerate([3, 3, 3, 20, 1, 9])]
     assert [[r.number for r in p.ranges] for p in files.packed(some, 10)] == [[0, 1, 2], [3], [4, 5]]
+
+
+def test_batches_and_parsed_rows_are_bounded_by_bytes(spark):
+    from quillspark.storage import small_batches
+
+    def rows(batches):
+        for batch in batches:
+            yield batch.from_arrays([[batch.num_rows]], ["n"])
+
+    lines = spark.range(0, 24, 1, 1).select(F.lit("s").alias("split"), F.col("id").alias("line_no"), F.to_binary(F.concat(F.lit('{"prompt": "p", "completion": "'), F.repeat(F.lit("x"), 1 << 20), F.lit('"}')), F.lit("utf-8")).alias("value"))
+    old = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    with small_batches(spark):
+        assert max(r["n"] for r in lines.mapInArrow(rows, "n long").collect()) <= 5
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == old
+    parsed = jsonl.parsed(lines, ["split", "line_no"], F.col("value"))
+    sizes = parsed.select("messages").mapInArrow(rows, "n long").collect()
+    assert sum(r["n"] for r in sizes) == 24
+    assert [r["line_no"] for r in parsed.filter("code is null and family = 'prompt_completion'").orderBy("line_no").collect()] == list(range(24))
