@@ -1,8 +1,8 @@
 """Bounded selection over a stream, with the least rows as keyed state.
 
-A row's rank depends on its content alone and the k least of a union are the k least of the parts' k least. So rows are dealt
-into PARTS keys by the last digits of their rank, each key's state holds its k least rows, and reading the selection merges at most
-k rows a key. State is written by changelog into the query's checkpoint: a batch that runs again, or a query that is started
+A row's rank depends on its content alone and the k least of a union are the k least of the parts' k least. So each task hands on
+the k least rows that it read, these are dealt into PARTS keys by the last digits of their rank, each key's state holds its k least
+rows, and reading the selection merges at most k rows a key. State is written by changelog into the query's checkpoint: a batch that runs again, or a query that is started
 again, goes on from the committed state, and neither repeats nor loses a row. Rows count as often as they come, as in the batch selection.
 
 Rows are kept as JSON text of their columns; what JSON text doesn't hold exactly (timestamps beyond milliseconds) is cut there."""
@@ -12,6 +12,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,6 +50,21 @@ class Least(StatefulProcessor):
         pass
 
 
+def least_of_task(count: int):
+    """An Arrow function that hands on the count least rows (rank, identity, row) of a task, as they are ordered by Least."""
+    order = [("rank", "ascending"), ("identity", "ascending"), ("row", "ascending")]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for batch in batches:
+            both = pa.Table.from_batches([batch] if kept is None else [*kept.to_batches(), batch])
+            kept = both.take(pc.sort_indices(both, sort_keys=order)[:count]).combine_chunks()
+        if kept is not None:
+            yield from kept.to_batches()
+
+    return work
+
+
 def stream_bounded(stream: DataFrame, checkpoint: str, count: int, salt: str, identity_field: str, key_fields: Sequence[str], parts: int = PARTS) -> StreamingQuery:
     """Start a query over what the stream has now; selected() reads its selection, between and after runs."""
     if count <= 0:
@@ -56,6 +73,7 @@ def stream_bounded(stream: DataFrame, checkpoint: str, count: int, salt: str, id
     ranked = with_identity(stream, salt, identity_field, key_fields)
     part = (F.conv(F.right("rank", F.lit(8)), 16, 10).cast("long") % parts).cast("int").alias("part")
     rows = ranked.select(part, "rank", "identity", F.to_json(F.struct(*stream.columns), {"ignoreNullFields": "false"}).alias("row"))
+    rows = rows.mapInArrow(least_of_task(count), rows.schema)
     kept = rows.groupBy("part").transformWithStateInPandas(Least(count), "part int, kept long", "Update", "None")
     old = spark.conf.get(_PROVIDER)
     spark.conf.set(_PROVIDER, _ROCKS)  # the query takes the setting when it starts

@@ -221,3 +221,16 @@ def test_a_key_of_half_of_all_rows_is_cut_into_ranges_of_a_set_size(spark):
     got = selection.occurrence(df, "k", "o", range_rows=100).filter("k = 'hot'").orderBy("o").select("occurrence").collect()
     assert [r["occurrence"] for r in got] == list(range(20000))
     assert df.select(digests.ranges(F.lit(None).cast("long"), edges).alias("x")).first()["x"] == -1
+
+
+def test_a_task_of_the_stream_hands_on_its_least_rows():
+    import pyarrow as pa
+
+    from quillspark.streaming.selection import least_of_task
+
+    rows = [(i % 4, f"{i * 7 % 10:02d}", "ü" if i % 2 else "z", f"r{i % 3}") for i in range(60)]
+    batches = [pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows[i : i + 7]))), ["part", "rank", "identity", "row"]) for i in range(0, 60, 7)]
+    for count in (1, 13, 100):
+        got = [tuple(r[1:]) for b in least_of_task(count)(iter(batches)) for r in zip(*(c.to_pylist() for c in b.columns))]
+        assert got == sorted(r[1:] for r in rows)[:count]
+    assert list(least_of_task(3)(iter([]))) == []
