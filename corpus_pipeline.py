@@ -51,7 +51,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: pieces of documents in sequences."""
-    return packing.pack(docs, remembered=150_000).drop("ids")  # few, as workers hold what earlier stages needed too
+    return packing.pack(docs, remembered=150_000, forget=True).drop("ids")  # few and not for long, as workers hold what other stages need too
 
 
 STAGES = [("quality", quality), ("near_copies", near_copies), ("benchmark", benchmark), ("personal_data", personal_data), ("packed", packed)]

@@ -95,6 +95,12 @@ class PieceEncoder:
         self.raw = _Pieces(self._library, self._word, None, remembered, fold=not self.keeps_blanks)
         self.texts, self.whole = 0, False
 
+    def forget(self) -> None:
+        """Drop the ids of all pieces; they are found anew."""
+        for pieces in (self.first, self.later, self.raw):
+            pieces.clear()
+            pieces.old = {}
+
     def _word(self, word: str) -> bytes:
         """Ids of a single pretoken of letters up to U+00FF, which may follow a blank, from the library's model."""
         if not self.keeps_blanks:

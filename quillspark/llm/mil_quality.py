@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import as_row, free_name, mix, slices, text_bytes, words
+from .common import as_row, free_name, give_back, mix, slices, text_bytes, words
 
 PASSAGE, SAMPLE, PASSAGES, HIDDEN, EPOCHS, BATCH, RATE, DECAY, WORD_BINS, THRESHOLD = 48, 6000, 1 << 17, 24, 24, 64, 4e-3, 1e-4, 32, 0.3
 #: Characters of each class; the classes after these are A-Z, a-z, other ASCII and non-ASCII bytes.
@@ -194,6 +194,7 @@ def with_scores(docs: DataFrame, model: AttentionMil, name: str = "score") -> Da
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(texts(batches)):
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(model.scores(*encode(batch.column("text"))), pa.float64())], ["row", "score"])
+        give_back()
 
     scored = held.mapInArrow(work, StructType([held.schema["row"], StructField("score", DoubleType())]))
     return scored.select("row.*", F.col("score").alias(name))

@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import give_back
 from .encoding import REMEMBERED, encoder
 
 CAPACITY, LINEAR, QUADRATIC, BIN_BYTES, BIN_ROWS = 4096, 1.0, 1.0 / 1024, 8 << 20, 1 << 16
@@ -52,10 +53,11 @@ def assign(lengths: np.ndarray, capacity: int = CAPACITY, linear: float = LINEAR
     return pieces
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 2, capacity: int = CAPACITY, bin_bytes: int = BIN_BYTES, remembered: int = REMEMBERED) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 2, capacity: int = CAPACITY, bin_bytes: int = BIN_BYTES, remembered: int = REMEMBERED, forget: bool = False) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit).
 
-    remembered: pieces whose ids a worker keeps; memory against time, the same result."""
+    remembered: pieces whose ids a worker keeps; forget: not beyond a task, whose memory goes back to the system. Memory against
+    time, the same result."""
     vocabulary = vocabulary or public_tokenizers.path("word_bpe_49k.json")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = docs.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("rows")).first()
@@ -69,6 +71,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 2, capaci
         for batch in batches:
             doc_ids += batch.column(0).to_pylist()
             ids += [e.encode(t.as_py()) + end for t in batch.column(1)]
+        if forget:
+            e.forget()
         if not ids:
             return
         pieces = assign(np.array([len(x) // 4 for x in ids]), capacity)
@@ -76,6 +80,9 @@ def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 2, capaci
         for i in range(0, len(pieces), 4000):
             rows = [(doc_ids[d], s, n, zlib.crc32(b := ids[d][4 * s : 4 * (s + n)]), len(ids[d]) // 4, first + q, o, b) for d, s, n, q, o in pieces[i : i + 4000]]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+        if forget:
+            doc_ids, ids, pieces, rows = [], [], [], []
+            give_back()
 
     return docs.repartition(bins).mapInArrow(work, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")
 

@@ -28,3 +28,12 @@ def test_where_pieces_fail_whole_texts_are_encoded(monkeypatch):
     e = PieceEncoder(public_tokenizers.path(VOCABULARIES[0]))
     monkeypatch.setattr(e, "_joined", lambda text: b"")
     assert [e.encode(t) for t in ("one two", "three")] == [e._of_whole(t) for t in ("one two", "three")]
+
+
+@pytest.mark.parametrize("name", VOCABULARIES)
+def test_an_encoder_that_forgets_gives_the_same_ids(name):
+    e = PieceEncoder(public_tokenizers.path(name), 3)
+    texts = ["one two three four five, one", "six\n one", ""]
+    before = [e.encode(t) for t in texts]
+    e.forget()
+    assert not any(len(p) or p.old for p in (e.first, e.later, e.raw)) and [e.encode(t) for t in texts] == before
