@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import shared_dir
-from .encoding import encoder
+from .encoding import encoder, runs
 
 #: Ids in a block, least count of a pair that is replaced, pieces that a worker remembers.
 BLOCK, LEAST, REMEMBERED = 1 << 20, 6, 600_000
@@ -52,19 +52,20 @@ def _pairs(symbols: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
     Pairs that are rare stay rare, as later rounds only take from them: their marks lose LIVE."""
     at = np.flatnonzero(marks[:-1] == LIVE)
-    left, right = symbols[at], symbols[at + 1]
+    left, right = symbols.take(at), symbols[1:].take(at)
     mask = (1 << max(8, min(20, len(at).bit_length()))) - 1
-    bins = _bins(left, right, mask)
+    bins = _bins(left, right, mask).astype(np.intp)  # an index of another width would be converted at each use
     equal = np.flatnonzero(left == right)
-    fine = np.ones(len(at), bool)
+    fine = None
     if len(equal):
+        fine = np.ones(len(at), bool)
         opens = np.concatenate([[True], np.diff(at[equal]) != 1])
         odd = (np.arange(len(equal)) - np.flatnonzero(opens)[np.cumsum(opens) - 1]) & 1
         fine[equal[odd == 1]] = False
-    often = (np.bincount(bins[fine] if len(equal) else bins, minlength=mask + 1) >= LEAST)[bins]
-    marks[at[~often]] = 0
-    take = np.flatnonzero(fine & often)
-    return at[take], (left[take].astype(np.uint64) << np.uint64(32)) | right[take], bins[take], mask
+    often = (np.bincount(bins[fine] if len(equal) else bins, minlength=mask + 1) >= LEAST).take(bins)
+    marks[at.take(np.flatnonzero(~often))] = 0
+    take = np.flatnonzero(often if fine is None else fine & often)
+    return at.take(take), (left.take(take).astype(np.uint64) << np.uint64(32)) | right.take(take), bins.take(take), mask
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -97,29 +98,26 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
         first = base + sum(map(len, rules))
         rule_of = np.full(mask + 1, -1, np.int32)
         rule_of[_bins(pairs[:, 0], pairs[:, 1], mask)] = np.arange(len(chosen))
-        slot = rule_of[bins]
-        hit = np.flatnonzero((slot >= 0) & (chosen[slot] == keys))
-        at, slot = at[hit], slot[hit]
+        slot = rule_of.take(bins)
+        hit = np.flatnonzero(slot >= 0)
+        hit = hit[chosen.take(slot.take(hit)) == keys.take(hit)]
+        at, slot = at.take(hit), slot.take(hit)
         symbols[at] = (first + slot).astype(np.uint32)
-        marks[at] = marks[at + 1] | LIVE
+        marks[at] = marks[1:].take(at) | LIVE
         marks[np.maximum(at - 1, 0)] |= LIVE
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         # A pair before a replaced one begins at the symbol before it, or at the nonterminal that took that one's place.
         before = np.flatnonzero(~keep[np.maximum(at - 1, 0)])
         marks[np.maximum(at[before] - 2, 0)] |= LIVE
-        symbols, marks = symbols[keep], marks[keep]
+        stay = np.flatnonzero(keep)
+        symbols, marks = symbols.take(stay), marks.take(stay)
         rules.append(pairs)
         size = np.concatenate([size, size[pairs[:, 0]] + size[pairs[:, 1]]])
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     return symbols, np.flatnonzero(marks & LAST) + 1, table, size[base:]
 
 
-def _runs(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """The numbers begin, begin + 1, ... of n[i] each, one run after another."""
-    return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
-
-
 def expand(symbols: np.ndarray, base: int, rules: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The ids under symbols. Rules are expanded level by level, those of a level side by side."""
     sizes = sizes.astype(np.int64)
@@ -136,44 +134,72 @@ def expand(symbols: np.ndarray, base: int, rules: np.ndarray, sizes: np.ndarray)
     order = np.argsort(level[base:], kind="stable")
     for some in np.split(order, np.flatnonzero(np.diff(level[base:][order])) + 1):
         for part, at in ((left[some], begin[base + some]), (right[some], begin[base + some] + size[left[some]])):
-            flat[_runs(at, size[part])] = flat[_runs(begin[part], size[part])]
-    return flat[_runs(begin[symbols], size[symbols])]
+            flat[runs(at, size[part])] = flat[runs(begin[part], size[part])]
+    return flat[runs(begin[symbols], size[symbols])]
 
 
 def _row(shard: int, block: int, start: int, docs: list[tuple[int, bytes]], base: int) -> dict:
     tokens = np.array([len(ids) // 4 for _, ids in docs], np.int64)
-    ids = np.frombuffer(b"".join(ids for _, ids in docs), "<u4")
+    return _block(shard, block, start, [d for d, _ in docs], tokens, np.frombuffer(b"".join(ids for _, ids in docs), "<u4"), base)
+
+
+def _block(shard: int, block: int, start: int, doc_ids: list[int], tokens: np.ndarray, ids: np.ndarray, base: int) -> dict:
     symbols, ends, rules, sizes = compress(ids, np.cumsum(tokens), base)
     wide = base + len(rules) > 1 << 16
     return {
-        "shard": shard, "block": block, "shard_start": start, "n_tokens": int(tokens.sum()), "doc_ids": [d for d, _ in docs],
+        "shard": shard, "block": block, "shard_start": start, "n_tokens": int(tokens.sum()), "doc_ids": doc_ids,
         "doc_symbols": np.diff(ends, prepend=0).astype("<u4").tobytes(), "doc_tokens": tokens.astype("<u4").tobytes(), "base": base,
         "rules": rules.astype("<u4").tobytes(), "expansions": sizes.astype("<u4").tobytes(), "wide": wide, "symbols": symbols.astype("<u4" if wide else "<u2").tobytes(),
     }
 
 
+def _ended(ids: np.ndarray, count: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """ids with end_id after each text's, and how many each then has."""
+    out, last = np.empty(len(ids) + len(count), np.uint32), np.zeros(len(ids) + len(count), bool)
+    last[np.cumsum(count + 1) - 1] = True
+    out[last], out[~last] = end_id, ids
+    return out, count + 1
+
+
+def _cut(slices: Iterator[tuple[list, np.ndarray, np.ndarray]], least: int) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """Documents (names, ids one after another, ids of each) in blocks, each up to the document with which it has least ids."""
+    names, parts, counts, held = [], [], [], 0
+    for mine, ids, count in slices:
+        while len(count):
+            ends = np.cumsum(count)
+            n = min(int(np.searchsorted(ends, least - held)) + 1, len(ends))
+            m = int(ends[n - 1])
+            names, parts, counts, held = names + mine[:n], [*parts, ids[:m]], [*counts, count[:n]], held + m
+            mine, ids, count = mine[n:], ids[m:], count[n:]
+            if held >= least:
+                yield names, np.concatenate(parts), np.concatenate(counts)
+                names, parts, counts, held = [], [], [], 0
+    if names:
+        yield names, np.concatenate(parts), np.concatenate(counts)
+
+
 def write_ids(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = 0, shards: int | None = None) -> None:
     """Encode docs (doc_id, text) and write the files described above to path. shards: as many as docs has input splits,
     whose size Spark bounds, if not given."""
     vocabulary = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
     shards = shards or max(1, docs.rdd.getNumPartitions())
-    end = np.array([end_id], "<u4").tobytes()
     arrow = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("shard_start", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), *((n, pa.binary()) for n in ("doc_symbols", "doc_tokens")), ("base", pa.int32()), *((n, pa.binary()) for n in ("rules", "expansions")), ("wide", pa.bool_()), ("symbols", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e, shard = encoder(vocabulary, REMEMBERED), TaskContext.get().partitionId()
         base = max(e.tokenizer.get_vocab_size(), end_id + 1)
-        docs, tokens, block, start = [], 0, 0, 0
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = e.encode(text.as_py()) + end
-                docs.append((doc_id, ids))
-                tokens += len(ids) // 4
-                if tokens >= BLOCK:
-                    yield pa.RecordBatch.from_pylist([_row(shard, block, start, docs, base)], arrow)
-                    docs, tokens, block, start = [], 0, block + 1, start + tokens
-        if docs:
-            yield pa.RecordBatch.from_pylist([_row(shard, block, start, docs, base)], arrow)
+
+        def slices() -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+            for batch in batches:
+                doc_ids = batch.column(0).to_pylist()
+                for ids, count in e.encode_all(batch.column(1)):
+                    yield doc_ids[: len(count)], *_ended(ids, count, end_id)
+                    doc_ids = doc_ids[len(count) :]
+
+        start = 0
+        for block, (doc_ids, ids, count) in enumerate(_cut(slices(), BLOCK)):
+            yield pa.RecordBatch.from_pylist([_block(shard, block, start, doc_ids, count, ids, base)], arrow)
+            start += len(ids)
 
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("tie"))
     dealt = dealt.repartitionByRange(shards, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")

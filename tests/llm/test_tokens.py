@@ -137,6 +137,18 @@ def test_id_files(spark, tmp_path, monkeypatch, shards):
     assert not any(left.values())
 
 
+def test_blocks_close_with_the_document_that_fills_them():
+    counts, ids = [3, 1, 9, 0, 4, 4, 1, 2], np.arange(24, dtype=np.uint32)
+    for at in ([8], [1, 4, 8], range(1, 9)):
+        edge = [0, *at]
+        ends = [0, *np.cumsum(counts)]
+        slices = ((list(range(a, b)), ids[ends[a] : ends[b]], np.array(counts[a:b])) for a, b in zip(edge, edge[1:]))
+        blocks = list(repair_ids._cut(slices, 4))
+        assert [b[0] for b in blocks] == [[0, 1], [2], [3, 4], [5], [6, 7]] and [len(b[1]) for b in blocks] == [4, 9, 4, 4, 3]
+        assert [b[2].tolist() for b in blocks] == [[3, 1], [9], [0, 4], [4], [1, 2]] and np.concatenate([b[1] for b in blocks]).tolist() == ids.tolist()
+
+
+
 def test_id_files_of_an_empty_table(spark, tmp_path):
     repair_ids.write_ids(documents(spark, ODD).limit(0), str(tmp_path / "ids"))
     assert repair_ids.read_ids(spark, str(tmp_path / "ids")).count() == 0
