@@ -20,7 +20,7 @@ import hashlib
 import json
 import os
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Collection, Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -43,15 +43,19 @@ def opened(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
-def listed(path: str, hidden: bool = False) -> list[tuple[str, int]]:
+def listed(path: str, hidden: bool = False, skipped: Collection[str] = ()) -> list[tuple[str, int]]:
     """(path, size) of a file, or of the files below a folder in order of their paths, without those that begin with _ or a dot
-    unless hidden."""
+    unless hidden. Names in skipped, of files or folders below it, are not looked behind."""
     store, where = opened(path)
     prefix = path[: path.index("://") + 3] if "://" in path and not path.startswith("file:") else ""
     info = store.get_file_info(where)
     if info.type == fs.FileType.File:
         return [(prefix + info.path, info.size)]
-    found = store.get_file_info(fs.FileSelector(where, recursive=True))
+    found, folders, root = [], [where], where.rstrip("/") + "/"
+    while folders:
+        here = [f for f in store.get_file_info(fs.FileSelector(folders.pop(), recursive=not skipped)) if f.path.split(root, 1)[-1] not in skipped]
+        found += here
+        folders += [f.path for f in here if f.type == fs.FileType.Directory] if skipped else []
     return sorted((prefix + f.path, f.size) for f in found if f.type == fs.FileType.File and (hidden or f.base_name[0] not in "_."))
 
 
@@ -197,8 +201,7 @@ class _DigestReader(DataSourceReader):
     def partitions(self) -> list[Files]:
         root = opened(self.path)[1].rstrip("/") + "/"
         below = lambda f: f.split(root, 1)[-1]
-        above = lambda f: {f} | {f[:i] for i, c in enumerate(f) if c == "/"}
-        files = [f for f, _ in listed(self.path, self.hidden) if not self.skipped or not above(below(f)) & self.skipped]
+        files = [f for f, _ in listed(self.path, self.hidden, self.skipped)]
         if self.kind == "tree":
             return [Files(self.path, sorted(files, key=below), root)]
         if self.kind == "folder":

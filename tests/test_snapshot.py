@@ -9,6 +9,7 @@ import pytest
 from quillspark.codes import Refused
 from quillspark.operators import integrity
 from quillspark.plans import evaluation, profiles, snapshot
+from quillspark.sources import files
 
 ROWS = "path string, size long, sha256 string"
 
@@ -77,6 +78,24 @@ def test_snapshot_folder(spark, tmp_path):
     assert problems() == [(None, "manifest can't be read")]
 
 
+def test_links_are_not_followed(spark, tmp_path):
+    (tmp_path / "w" / "deep").mkdir(parents=True)
+    for name in ("one.safetensors", "w/two", "w/deep/three", "w2"):
+        (tmp_path / name).write_bytes(b"x")
+    snapshot.write(spark, str(tmp_path), "k", "org/m", "a" * 40)
+    # A folder that links back to its top: who follows it reads every file again and again, until the path has too many links.
+    os.symlink(tmp_path, tmp_path / "w" / "top")
+    os.symlink(tmp_path / "w" / "deep", tmp_path / "w" / "deep" / "self")
+    os.symlink(tmp_path / "gone", tmp_path / "w3")
+    seen, selector = [], files.fs.FileSelector
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(files.fs, "FileSelector", lambda where, **how: seen.append((where, how.get("recursive", False))) or selector(where, **how))
+        found = files.listed(str(tmp_path), True, set(files.links(str(tmp_path))))
+    assert sorted(seen) == [(str(tmp_path / p), False) for p in ("", "w", "w/deep")]
+    assert [p[len(str(tmp_path)) + 1 :] for p, _ in found] == ["one.safetensors", snapshot.MANIFEST, "w/deep/three", "w/two", "w2"]
+    assert sorted(map(tuple, snapshot.verify(spark, str(tmp_path)).collect())) == [("w/deep/self", "unlisted"), ("w/top", "unlisted"), ("w3", "unlisted")]
+
+
 RECORD = "i long, id string, label string, prompts array<struct<question:string,mcq_options:string,mcq:string>>, metadata struct<language:string,category:string,topic:string,other:string>, extra int"
 
 
