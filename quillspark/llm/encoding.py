@@ -250,7 +250,10 @@ class PieceEncoder:
             at = end
 
     def _numbered(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        lines = pc.replace_substring(texts, "\n", " \n")
+        # Blank lines and repeated blanks make irregular pieces; such texts are left out here and encoded one by one below.
+        lines = pc.if_else(pc.or_(pc.match_substring(lines, "  "), pc.match_substring(lines, "\n ")), "", lines)
+        lists = pc.split_pattern(lines, " ")
         edge = lists.offsets.to_numpy().astype(np.int64)
         head_at = np.zeros(len(lists.values), bool)
         head_at[edge[:-1]] = True

@@ -84,3 +84,12 @@ def test_where_a_columns_pieces_fail_whole_texts_are_encoded(monkeypatch):
     for _ in range(2):
         (ids, count), = e.encode_all(pa.array(texts))
         assert e.whole and ids.tobytes() == b"".join(map(e._of_whole, texts)) and count.sum() == len(ids)
+
+
+def test_texts_with_blank_lines_are_not_encoded_twice(monkeypatch):
+    e, asked = PieceEncoder(public_tokenizers.path(VOCABULARIES[1])), []
+    plain = e.words._plain
+    monkeypatch.setattr(e.words, "_plain", lambda words: asked.extend(words) or plain(words))
+    texts = ["x one\n\ntwo three", "x  four five", "x six"]
+    (ids, count), = e.encode_all(pa.array(texts))
+    assert asked == ["six"] and ids.tobytes() == b"".join(map(e._of_whole, texts)) and len(count) == 3
