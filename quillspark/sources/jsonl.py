@@ -126,18 +126,21 @@ def parsed(lines: DataFrame, at: list[str], value: F.Column) -> DataFrame:
     return got.select(*at, "kind", F.when(~fam.startswith("DATASET"), fam).alias("family"), code.alias("code"), "messages")
 
 
-def normalize(lines: DataFrame, max_examples: int | None = None) -> DataFrame:
-    """lines (split, line_no, value) as (split, line_no, family, messages, code); blank lines are left out.
+def normalize(lines: DataFrame, max_examples: int | None = None, max_bytes: int = MAX_LINE_BYTES, examples_only: bool = True) -> DataFrame:
+    """lines (split, line_no, value, ...) as (split, line_no, ..., family, messages, code); blank lines are left out, other columns
+    go along.
 
     Rules in order: line size, UTF-8, JSON object, one family by its keys, the family of the split's first line that has
-    one, types and roles, assistant text, number of examples. A row with a code is no example. Lines are parsed once, into a
-    table of the shared folder that the rules over many lines then read."""
-    value = F.when(F.octet_length("value") <= MAX_LINE_BYTES, F.col("value").cast("binary"))
+    one, types and roles, assistant text, number of examples. A row with a code is no example, so that its messages are null;
+    without examples_only they stay where they have roles and texts. Lines are parsed once, into a table of the shared folder
+    that the rules over many lines then read."""
+    at = [c for c in lines.columns if c != "value"]
+    value = F.when(F.octet_length("value") <= max_bytes, F.col("value").cast("binary"))
     with small_batches(lines.sparkSession):
-        rows = stored(parsed(lines.filter("value is not null"), ["split", "line_no"], value).filter("kind <> 'blank'"), "parsed")
+        rows = stored(parsed(lines.filter("value is not null"), at, value).filter("kind <> 'blank'"), "parsed")
     firsts = rows.filter("family is not null").groupBy("split").agg(F.min_by("family", "line_no").alias("_first"))
     code = F.when(F.col("family") != F.col("_first"), "DATASET_SCHEMA_MIXED").otherwise(F.col("code"))
-    out = rows.join(F.broadcast(firsts), "split", "left").select("split", "line_no", "family", "messages", code.alias("code"))  # firsts is one row a split
+    out = rows.join(F.broadcast(firsts), "split", "left").select(*at, "family", "messages", code.alias("code"))  # firsts is one row a split
     if max_examples is not None:
         fine = out.filter("code is null").select("split", "line_no")
         for r in fine.groupBy("split").agg(F.count("*").alias("n")).filter(F.col("n") > max_examples).collect():  # one row a split
@@ -145,7 +148,7 @@ def normalize(lines: DataFrame, max_examples: int | None = None) -> DataFrame:
             line = near.orderBy("line_no").limit(k).agg(F.max("line_no").alias("line")).first()["line"]
             here = (F.col("split") == r["split"]) & (F.col("line_no") == line)
             out = out.withColumn("code", F.when(here & F.col("code").isNull(), "DATASET_TOO_MANY_EXAMPLES").otherwise(F.col("code")))
-    return out.withColumn("messages", F.when(F.col("code").isNull(), F.col("messages")))
+    return out.withColumn("messages", F.when(F.col("code").isNull(), F.col("messages"))) if examples_only else out
 
 
 def bounded_lines(spark: SparkSession, path: str, max_bytes: int = MAX_LINE_BYTES, range_bytes: int = files.RANGE, first: int = 0, last: int | None = None) -> DataFrame:
